@@ -49,7 +49,8 @@ def adjudicate_available_now(spark: SparkSession, gold_path: str, out_path: str,
                              provider: RationaleProvider = heuristic_rationale,
                              rationale_dim: DataFrame | None = None, max_files_per_trigger: int | None = None,
                              fmt: str = "parquet") -> int:
-    """R1 (streaming): process every gold file not yet seen, then stop. Returns the batches run."""
+    """R1 (streaming): process every gold file not yet seen, then stop.
+    Returns the number of micro-batches that had input."""
     static = spark.read.format(fmt).load(gold_path)
     dim = _bounded_dimension(rationale_dim if rationale_dim is not None else label_dimension(static, provider))
     reader = spark.readStream.schema(static.schema).format(fmt)
@@ -65,4 +66,4 @@ def adjudicate_available_now(spark: SparkSession, gold_path: str, out_path: str,
     query = (stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return len(query.recentProgress)
+    return sum(1 for p in query.recentProgress if p.numInputRows > 0)
