@@ -35,19 +35,71 @@ def _code_page_pairs(codepage: str) -> tuple[str, str]:
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
-def ebcdic_decode(c, codepage: str = "cp500") -> Column:
+@functools.lru_cache(maxsize=None)
+def _decode_pairs(codepage: str) -> tuple[str, str]:
+    """Decode table as the JVM's charset has it, so ``translate`` and ``decode``
+    agree byte for byte. The JVM's IBM500 reads 0x15 (EBCDIC NL) as U+000A, the
+    same as 0x25; Python's cp500 reads it as U+0085. Spark's own ``decode``
+    follows the JVM, so the JVM table is read from the running gateway when
+    there is one, and Python's codec is used otherwise."""
+    from pyspark.sql import SparkSession
+
+    raw = bytes(range(256))
+    spark = SparkSession.getActiveSession()
+    native = None
+    if spark is not None:
+        try:
+            native = spark.sparkContext._jvm.java.lang.String(bytearray(raw), codepage)
+        except Exception:  # noqa: BLE001 - no gateway (e.g. Spark Connect): use Python's table
+            native = None
+    if native is None or len(native) != 256:
+        native = raw.decode(codepage)
+    latin = raw.decode("latin-1")
+    pairs = [(a, b) for a, b in zip(latin, native) if a != b]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+JAVA_CHARSETS_CONF = "spark.sql.legacy.javaCharsets"
+
+
+def java_charsets_enabled() -> bool:
+    """True when the active session lets ``decode``/``encode`` use any JVM charset."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return False
+    try:
+        return str(spark.conf.get(JAVA_CHARSETS_CONF, "false")).lower() == "true"
+    except Exception:  # noqa: BLE001 - conf unknown on other versions
+        return False
+
+
+def ebcdic_decode(c, codepage: str = "cp500", method: str = "auto") -> Column:
     """Bytes in an EBCDIC code page -> string.
 
-    Portable across Spark versions: Spark 4 only accepts a few charsets in
-    ``decode`` unless ``spark.sql.legacy.javaCharsets`` is set, so the bytes are
-    read as Latin-1 and re-mapped with ``translate``.
+    ``method="charset"`` uses the JVM's decoder (fastest). Spark 4 only allows
+    it when ``spark.sql.legacy.javaCharsets`` is true; ``build_session`` sets
+    that. ``method="translate"`` works on any session: the bytes are read as
+    Latin-1 and re-mapped character by character. ``auto`` picks the
+    charset path when the active session allows it. Both give the same text.
     """
-    latin, native = _code_page_pairs(codepage)
+    if method == "charset" or (method == "auto" and java_charsets_enabled()):
+        return F.decode(_col(c), codepage)
+    latin, native = _decode_pairs(codepage)
     return F.translate(F.decode(_col(c), "ISO-8859-1"), latin, native)
 
 
-def ebcdic_encode(c, codepage: str = "cp500") -> Column:
-    """String -> bytes in an EBCDIC code page (E2). Inverse of ``ebcdic_decode``."""
+def ebcdic_encode(c, codepage: str = "cp500", method: str = "auto") -> Column:
+    """String -> bytes in an EBCDIC code page (E2), as a producer writes them.
+
+    Follows Python's codec (the legacy producer's encoder), whose table is a
+    permutation: LF becomes 0x25. ``method="charset"`` uses the JVM encoder
+    instead, which writes LF as 0x15. Text without control characters is
+    the same either way.
+    """
+    if method == "charset":
+        return F.encode(_col(c), codepage)
     latin, native = _code_page_pairs(codepage)
     return F.encode(F.translate(_col(c), native, latin), "ISO-8859-1")
 

@@ -27,7 +27,8 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
                                     WriterCommitMessage)
 
 FORMAT_NAME = "fixedwidth"
-DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024
+DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024   # upper bound per task, like spark.sql.files.maxPartitionBytes
+MIN_SPLIT_BYTES = 256 * 1024              # lower bound, so tiny inputs are not cut into slivers
 BATCH_RECORDS = 65536
 PART_SUFFIX = ".bin"
 
@@ -84,16 +85,26 @@ class FixedWidthReader(DataSourceReader):
         self.record_length = int(options.get("recordLength", 35))
         if self.record_length <= 0:
             raise ValueError("fixedwidth: recordLength must be positive")
-        split = int(options.get("splitBytes", DEFAULT_SPLIT_BYTES))
-        self.split_bytes = max(self.record_length, split - split % self.record_length)
+        self.max_split = int(options.get("splitBytes", DEFAULT_SPLIT_BYTES))
+        self.min_split = min(self.max_split, int(options.get("minSplitBytes", MIN_SPLIT_BYTES)))
+        self.min_partitions = int(options.get("minPartitions", 1))
         self.tail = options.get("tail", "drop").lower()
         if self.tail not in ("drop", "keep", "fail"):
             raise ValueError("fixedwidth: tail must be drop, keep or fail")
         self.with_position = options.get("withPosition", "false").lower() == "true"
 
+    def _split_bytes(self, total: int) -> int:
+        """Like Spark's file sources: spread the input over ``minPartitions`` tasks,
+        within [minSplitBytes, splitBytes], aligned to whole records."""
+        per_task = -(-total // max(1, self.min_partitions))
+        split = min(self.max_split, max(self.min_split, per_task))
+        return max(self.record_length, split - split % self.record_length)
+
     def partitions(self):
         parts: list[ByteRange] = []
-        for path, size in _list_files(self.path):
+        files = _list_files(self.path)
+        self.split_bytes = self._split_bytes(sum(size for _, size in files))
+        for path, size in files:
             full = size - size % self.record_length
             tail = size - full
             if tail and self.tail == "fail":
@@ -239,8 +250,15 @@ class FixedWidthDataSource(DataSource):
 
 
 def register(spark) -> None:
-    """Make ``format("fixedwidth")`` available on this session (idempotent)."""
-    from ..session import ship_package
+    """Make ``format("fixedwidth")`` available on this session (idempotent).
+
+    The module is pickled by value, so Python workers (the planner on the
+    driver and the readers and writers on executors) need no installed copy
+    of this package.
+    """
+    import sys
+
+    from pyspark import cloudpickle
 
-    ship_package(spark)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(FixedWidthDataSource)

@@ -15,9 +15,10 @@ def scan_fixed(spark: SparkSession, path: str, record_length: int = LEDGER_LAYOU
     """Fixed-length records from one file, a directory or a comma list, split across tasks."""
     register(spark)
     reader = (spark.read.format(FORMAT_NAME).option("recordLength", record_length).option("tail", tail)
-              .option("withPosition", str(with_position).lower()))
+              .option("withPosition", str(with_position).lower())
+              .option("minPartitions", spark.sparkContext.defaultParallelism))
     if split_bytes:
-        reader = reader.option("splitBytes", split_bytes)
+        reader = reader.option("splitBytes", split_bytes).option("minSplitBytes", split_bytes)
     return reader.load(path)
 
 
