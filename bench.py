@@ -36,9 +36,18 @@ def main() -> None:
 
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
     timings: dict[str, float] = {}
-    t = time.perf_counter()
+    from ledgerflow.plans.bridge import orders_to_records
+    from ledgerflow.session import scratch_path
+    from ledgerflow.sinks.tables import write_fixed
+
+    best = None
+    for _ in range(repeat):  # orders -> 35-byte records -> fixed-width part files
+        t = time.perf_counter()
+        write_fixed(orders_to_records(spark.read.parquet(f"{sf_dir}/orders.parquet")), scratch_path(spark, "bench-dump"))
+        elapsed = time.perf_counter() - t
+        best = elapsed if best is None else min(best, elapsed)
+    timings["bridge_dump"] = best
     ledger_dump_path(spark, sf_dir)
-    timings["bridge_dump"] = time.perf_counter() - t
     ledger_dump_path(spark, sf_dir, CORRUPT_EVERY)
 
     for name in HEADLINE:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import Contract, load_contract, required
-from ..functions.scalar import clamp01, context_id, fmt_fixed, py_round, run_ts
+from ..functions.scalar import clamp01, context_id, fmt_fixed, parse_rationale, py_round, run_ts
 from .split import Rule, split
 
 # Scoring constants, label thresholds, provider defaults and
@@ -98,6 +98,20 @@ def heuristic_rationale(dim: DataFrame, risk: str = "calculated_risk") -> DataFr
     })
 
 
+def json_rationale(responses: Callable[[DataFrame], Column]) -> RationaleProvider:
+    """A provider whose answer per label is JSON text (e.g. from a model endpoint).
+
+    ``responses(dim)`` returns a string column with the JSON answer for each
+    label row; missing keys fall back to confidence 0.90 and the text
+    "No reasoning provided." (X16). Runs over the <=3-row dimension only.
+    """
+    def provider(dim: DataFrame) -> DataFrame:
+        parsed = parse_rationale(responses(dim))
+        return dim.withColumns({"semantic_confidence": parsed["semantic_confidence"],
+                                "rationale": parsed["rationale"]})
+    return provider
+
+
 def rationale_by_label(df: DataFrame, provider: RationaleProvider = heuristic_rationale,
                        label_col: str = "adjudication_label") -> DataFrame:
     """The first id (ascending) of each label decides confidence and text for the whole label."""

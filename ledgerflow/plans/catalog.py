@@ -203,6 +203,25 @@ def q_rationale_by_label(spark, sf):
     return adj.label_dimension(gold)
 
 
+def q_rationale_json_defaults(spark, sf):
+    gold, _ = _gold(spark, sf)
+
+    def answers(dim):  # a provider that only sometimes sends a confidence
+        return F.when(F.col("adjudication_label") == "BLOCK",
+                      F.to_json(F.struct(F.lit(0.5).alias("semantic_confidence")))).otherwise(
+            F.to_json(F.struct(F.concat(F.lit("label "), F.col("adjudication_label")).alias("rationale"))))
+
+    return adj.label_dimension(gold, adj.json_rationale(answers))
+
+
+def q_binaryfile_scan(spark, sf):
+    from ..sources.tables import scan_small_files
+    from .dumps import ledger_dump_path
+
+    valid, _ = process_bronze(scan_small_files(spark, ledger_dump_path(spark, sf)))
+    return valid.select("tx_id", "cust_id", _hex("raw_balance").alias("raw_balance_hex"), "tx_status")
+
+
 def q_adjudicated(spark, sf):
     valid, _ = _adjudicated(spark, sf)
     return _flatten_payload(valid)
@@ -342,6 +361,8 @@ QUERIES: dict[str, Query] = {
     "structural_metrics": q_structural_metrics,
     "adjudicate_labels": q_adjudicate_labels,
     "rationale_by_label": q_rationale_by_label,
+    "rationale_json_defaults": q_rationale_json_defaults,
+    "binaryfile_scan": q_binaryfile_scan,
     "adjudicated": q_adjudicated,
     "adjudication_rejects": q_adjudication_rejects,
     "ordered_ids": q_ordered_ids,
@@ -525,6 +546,12 @@ ORACLE_SQL: dict[str, str] = {
     "rationale_by_label": _w(
         "SELECT adjudication_label, first_transaction_id, calculated_risk, semantic_confidence, rationale FROM dim2"),
     "adjudicated": _w(f"SELECT {_PAYLOAD} FROM adjudicated"),
+    "rationale_json_defaults": _w(
+        "SELECT adjudication_label, first_transaction_id, calculated_risk, "
+        "CASE WHEN adjudication_label = 'BLOCK' THEN CAST(0.5 AS DOUBLE) ELSE CAST(0.9 AS DOUBLE) END AS semantic_confidence, "
+        "CASE WHEN adjudication_label = 'BLOCK' THEN 'No reasoning provided.' ELSE 'label ' || adjudication_label END "
+        "AS rationale FROM dim"),
+    "binaryfile_scan": _w("SELECT tx_id, cust_id, bal_hex AS raw_balance_hex, tx_status FROM bronze"),
     "adjudication_rejects": _w(f"SELECT {_PAYLOAD}, 1 AS n FROM adjudicated WHERE false"),
     "ordered_ids": _w("SELECT transaction_hash_id FROM gold ORDER BY transaction_hash_id"),
     "adjudicate_one": _w(f"SELECT {_PAYLOAD} FROM adjudicated ORDER BY transaction_id LIMIT 1"),

@@ -69,31 +69,3 @@ def to_uri(path: str) -> str:
         return path
     return "file://" + os.path.abspath(path)
 
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``ledgerflow`` importable in Python workers (as ``--py-files`` would).
-
-    Needed by the Python data source and the pandas UDFs. Done once per
-    application; harmless where the package is installed on the executors.
-    """
-    import zipfile
-
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    fd, zpath = tempfile.mkstemp(prefix="ledgerflow-", suffix=".zip")
-    os.close(fd)
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as zf:
-        for base, dirs, files in os.walk(pkg_dir):
-            dirs[:] = [d for d in dirs if d != "__pycache__"]
-            for name in files:
-                if name.endswith((".py", ".yaml")):
-                    full = os.path.join(base, name)
-                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(zpath)
-    _SHIPPED.add(app)
