@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import Contract
-from ..operators.bronze import BRONZE_COLUMNS, parse_records, structural_rules
+from ..operators.bronze import BRONZE_COLUMNS, parse_records, record_length_rule, structural_rules
 from ..operators.kpi import assert_conserved
 from ..operators.product import process_gold
 from ..operators.split import REASON, reason_column, split
@@ -56,9 +56,13 @@ def run_medallion(spark: SparkSession, source: str | DataFrame, out_dir: str, st
     paths = layer_paths(out_dir)
 
     # 1. bronze: one pass over the source, every record kept, routed by gate.
-    reason = reason_column(structural_rules())
-    parsed = parse_records(raw).withColumn(REASON, reason).withColumn(
+    #    With tail="keep" a short last record is rejected here by the length rule.
+    rules = ([record_length_rule()] if tail == "keep" else []) + structural_rules()
+    parsed = parse_records(raw, keep=["raw_bytes"] if tail == "keep" else None)
+    parsed = parsed.withColumn(REASON, reason_column(rules)).withColumn(
         "gate", F.when(F.col(REASON).isNull(), F.lit("valid")).otherwise(F.lit("structural")))
+    if tail == "keep":
+        parsed = parsed.drop("raw_bytes")
     ingest = Observation("ingest")
     parsed = parsed.observe(ingest, F.count(F.lit(1)).alias("ingested"),
                             F.count_if(F.col("gate") == "structural").alias("structural_rejects"))

@@ -148,7 +148,7 @@ class FixedWidthReader(DataSourceReader):
         names = ["raw_bytes"]
         if self.with_position:
             first = pos // self.record_length
-            cols += [pa.array([path] * count, pa.string()), pa.array(np.arange(first, first + count, dtype=np.int64))]
+            cols += [pa.repeat(pa.scalar(path, pa.string()), count), pa.array(np.arange(first, first + count, dtype=np.int64))]
             names += ["source_file", "record_index"]
         return pa.RecordBatch.from_arrays(cols, names=names)
 

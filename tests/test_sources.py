@@ -70,3 +70,21 @@ def test_small_files_scan(spark, tmp):
         _write(os.path.join(tmp, f"f{k}.bin"), b"".join(_records(5 + k)) + (b"z" if k == 2 else b""))
     assert scan_small_files(spark, tmp).count() == 18
     assert scan_small_files(spark, tmp, tail="keep").count() == 19
+
+
+def test_medallion_rejects_kept_tail(spark, tmp):
+    from ledgerflow.functions.codec import comp3_encode, encode_text_field
+    from ledgerflow.plans.medallion import run_medallion
+
+    df = spark.createDataFrame([("TXN000000001", "CUST000001", 100, "ACTIVE")],
+                               "t string, c string, n long, s string").select(F.concat(
+        encode_text_field("t", 12), encode_text_field("c", 10), comp3_encode("n"),
+        encode_text_field("s", 8)).alias("raw_bytes"))
+    rec = df.first().raw_bytes
+    path = os.path.join(tmp, "in")
+    os.makedirs(path)
+    _write(os.path.join(path, "d.bin"), bytes(rec) * 3 + bytes(rec)[:30])
+    dropped = run_medallion(spark, path, os.path.join(tmp, "o1"))
+    assert (dropped["ingested"], dropped["delivered"]) == (3, 3)
+    kept = run_medallion(spark, path, os.path.join(tmp, "o2"), tail="keep")
+    assert (kept["ingested"], kept["structural_rejects"], kept["delivered"]) == (4, 1, 3)
