@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # partitioned writes (bronze by gate) keep one writer per value instead of sorting each task
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     # lets decode/encode use the JVM's EBCDIC code pages (faster than translate)
     "spark.sql.legacy.javaCharsets": "true",
     "spark.ui.enabled": "false",
