@@ -29,6 +29,7 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
 FORMAT_NAME = "fixedwidth"
 DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024   # upper bound per task, like spark.sql.files.maxPartitionBytes
 MIN_SPLIT_BYTES = 256 * 1024              # lower bound, so tiny inputs are not cut into slivers
+MAX_PARTITIONS = 100_000                  # above this, splits grow instead (100 TB -> ~1 GB ranges)
 BATCH_RECORDS = 65536
 PART_SUFFIX = ".bin"
 
@@ -98,6 +99,7 @@ class FixedWidthReader(DataSourceReader):
         within [minSplitBytes, splitBytes], aligned to whole records."""
         per_task = -(-total // max(1, self.min_partitions))
         split = min(self.max_split, max(self.min_split, per_task))
+        split = max(split, -(-total // MAX_PARTITIONS))
         return max(self.record_length, split - split % self.record_length)
 
     def partitions(self):
@@ -216,9 +218,15 @@ class FixedWidthWriter(DataSourceArrowWriter):
                 name = posixpath.basename(info.path)
                 if info.type == pafs.FileType.File and name.startswith("part-") and not name.endswith(self.job + PART_SUFFIX):
                     fs.delete_file(info.path)
+        committed = set()
         for m in messages:
             if m is not None:
                 fs.move(m.temp, m.final)
+                committed.add(m.temp)
+        # attempts that failed or were superseded leave temporaries; drop them
+        for info in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
+            if posixpath.basename(info.path).startswith(f"_temporary-{self.job}-") and info.path not in committed:
+                fs.delete_file(info.path)
         with fs.open_output_stream(f"{root}/_SUCCESS"):
             pass
 

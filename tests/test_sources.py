@@ -88,3 +88,13 @@ def test_medallion_rejects_kept_tail(spark, tmp):
     assert (dropped["ingested"], dropped["delivered"]) == (3, 3)
     kept = run_medallion(spark, path, os.path.join(tmp, "o2"), tail="keep")
     assert (kept["ingested"], kept["structural_rejects"], kept["delivered"]) == (4, 1, 3)
+
+
+def test_split_planning_bounds():
+    from ledgerflow.sources.fixed_width import MAX_PARTITIONS, FixedWidthReader
+
+    r = FixedWidthReader({"path": "x", "recordLength": "35", "minPartitions": "8"}, None)
+    assert r._split_bytes(35 * 1000) >= 35 * 1000                      # tiny input: a single split
+    assert r._split_bytes(100 * 2**20) % 35 == 0
+    huge = 100 * 2**40                                                 # 100 TB
+    assert huge / r._split_bytes(huge) <= MAX_PARTITIONS + 1
