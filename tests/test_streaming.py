@@ -31,3 +31,20 @@ def test_remaining_is_anti_join(spark):
     published = spark.createDataFrame([("id001",), ("id005",), ("zzz",)], "transaction_id string")
     left = sorted(r.transaction_hash_id for r in remaining(gold, published).collect())
     assert left == [f"id{i:03d}" for i in range(10) if i not in (1, 5)]
+
+
+def test_run_adjudication_resumes(spark, tmp):
+    from ledgerflow.plans.adjudication import run_adjudication
+
+    gold_path = os.path.join(tmp, "gold")
+    _gold(spark, 30).where("transaction_hash_id < 'id010'").write.parquet(gold_path)
+    out = os.path.join(tmp, "adj")
+    first = run_adjudication(spark, gold_path, out, run_id="r1", snapshot_ts="2026-01-01 00:00:00")
+    assert first == {"published": 10, "rejected": 0}
+    _gold(spark, 30).write.mode("overwrite").parquet(gold_path)   # the gold table grew
+    second = run_adjudication(spark, gold_path, out, run_id="r2", snapshot_ts="2026-01-02 00:00:00", json_dump=True)
+    assert second == {"published": 20, "rejected": 0}
+    product = spark.read.parquet(os.path.join(out, "published_product"))
+    assert product.count() == 30 and product.select("transaction_id").distinct().count() == 30
+    third = run_adjudication(spark, gold_path, out, run_id="r3", snapshot_ts="2026-01-03 00:00:00")
+    assert third == {"published": 0, "rejected": 0}
