@@ -81,7 +81,9 @@ AUDIT_SCHEMA = T.StructType([
 
 def check_layer(spark: SparkSession, name: str, path: str, formats: tuple[str, ...] = ("parquet", "json"),
                 where: str | None = None) -> tuple:
-    """A4: count a layer, trying each format in turn; "inaccessible" when none loads."""
+    """A4: count a layer, trying each format in turn; "inaccessible" when none loads.
+    A format whose extension appears among the layer's files is tried first."""
+    formats = tuple(sorted(formats, key=lambda f: not _has_files_like(spark, path, f)))
     for fmt in formats:
         try:
             df = spark.read.format(fmt).load(path)
@@ -93,6 +95,18 @@ def check_layer(spark: SparkSession, name: str, path: str, formats: tuple[str, .
     return (name, path, None, "inaccessible", None)
 
 
+def _has_files_like(spark: SparkSession, path: str, fmt: str) -> bool:
+    from ..sources.tables import _hadoop_path
+
+    try:
+        fs, hpath = _hadoop_path(spark, path)
+        if not fs.exists(hpath):
+            return False
+        return any(f".{fmt}" in str(s.getPath().getName()) for s in fs.listStatus(hpath))
+    except Exception:  # noqa: BLE001 - sniffing is only an ordering hint
+        return False
+
+
 def layer_audit(spark: SparkSession, layers: list[tuple[str, str]] | list[tuple[str, str, str]]) -> DataFrame:
     """A4 over several layers -> DataFrame(layer, path, format, status, row_count)."""
     rows = [check_layer(spark, *layer[:2], where=layer[2] if len(layer) > 2 else None) for layer in layers]
