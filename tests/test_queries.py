@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle at sf0.001 (the driver checks sf0.01)."""
+"""Every library query against its DuckDB oracle at sf0.001 (the driver checks sf0.01)."""
 
 import os
 import sys
@@ -31,13 +31,14 @@ def test_entry_smoke(spark):
 
 def test_all_queries_match_oracle(spark, con):
     from check_oracle import compare
+    from ledgerflow.plans.catalog import ORACLE_SQL, QUERIES
+
     from __spark_entry__ import oracle_sql, queries
 
-    sqls = oracle_sql()
-    assert set(sqls) <= set(queries())
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
     bad = []
-    for name, fn in queries().items():
-        line = compare(spark, con, name, fn, sqls.get(name), SF)
-        if sqls.get(name) is not None and not line.startswith("OK"):
+    for name, fn in QUERIES.items():
+        line = compare(spark, con, name, fn, ORACLE_SQL.get(name), SF)
+        if ORACLE_SQL.get(name) is not None and not line.startswith("OK"):
             bad.append(line)
     assert not bad, "\n".join(bad)
