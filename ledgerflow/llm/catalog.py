@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import bpe, sharding, url_filter
+from ledgerflow.llm import bpe, sharding, simhash, url_filter
 from ledgerflow.llm.arrow import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,5 +43,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
+@query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document."""
+    return simhash.group(read_table(spark, sf_dir, "documents"))
+
+
 LLM_ORACLE_SQL["op2_url_filter"] = url_filter.judge_sql()
 LLM_ORACLE_SQL["op4_sharding"] = sharding.place_sql()
