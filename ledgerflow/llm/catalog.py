@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import bpe, quality, sharding, simhash, url_filter
+from ledgerflow.llm import bpe, decontaminate, quality, sharding, simhash, url_filter
 from ledgerflow.llm.arrow import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,14 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and items of the benchmark found in every document."""
+    found = decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                                 carry=["doc_id"])
+    return found.drop("spans")
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document, by trees fitted on the labels."""
@@ -59,4 +67,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_ORACLE_SQL["op2_url_filter"] = url_filter.judge_sql()
+LLM_ORACLE_SQL["op5_decontamination"] = decontaminate.report_sql()
 LLM_ORACLE_SQL["op4_sharding"] = sharding.place_sql()
