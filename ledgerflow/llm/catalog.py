@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import bpe, decontaminate, quality, sharding, simhash, url_filter
+from ledgerflow.llm import bpe, decontaminate, quality, sharding, simhash, url_filter, warc
 from ledgerflow.llm.arrow import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived and read back from the bundles."""
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document, by trees fitted on the labels."""
@@ -68,4 +74,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_ORACLE_SQL["op2_url_filter"] = url_filter.judge_sql()
 LLM_ORACLE_SQL["op5_decontamination"] = decontaminate.report_sql()
+LLM_ORACLE_SQL["op8_warc"] = warc.round_trip_sql()
 LLM_ORACLE_SQL["op4_sharding"] = sharding.place_sql()
