@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import bpe, decontaminate, quality, sharding, simhash, url_filter, warc
+from ledgerflow.llm import bpe, decontaminate, lbl, quality, sharding, simhash, url_filter, warc
 from ledgerflow.llm.arrow import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+@query
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and log-bilinear scores of every document."""
+    return lbl.score(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived and read back from the bundles."""
