@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import bpe, decontaminate, lbl, quality, sharding, simhash, url_filter, warc
+from ledgerflow.llm import bpe, chat, decontaminate, lbl, quality, sharding, simhash, url_filter, warc
 from ledgerflow.llm.arrow import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,12 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read_table(spark, sf_dir, "pages"), carry=["page_id"])
 
 
+@query
+def op3_chat_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as quoting mail, linked back and put in reply order without quotes."""
+    return chat.format_chats(chat.as_mail(read_table(spark, sf_dir, "conversations")))
+
+
 @query
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slot and shard of every document."""
@@ -81,4 +87,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_ORACLE_SQL["op2_url_filter"] = url_filter.judge_sql()
 LLM_ORACLE_SQL["op5_decontamination"] = decontaminate.report_sql()
 LLM_ORACLE_SQL["op8_warc"] = warc.round_trip_sql()
+LLM_ORACLE_SQL["op3_chat_quotes"] = chat.format_chats_sql()
 LLM_ORACLE_SQL["op4_sharding"] = sharding.place_sql()
