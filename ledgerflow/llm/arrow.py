@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows that one call of a compute function sees at most; bounds its memory beside the batch itself.
@@ -44,11 +43,3 @@ def with_columns(df: DataFrame, inputs: list[str], carry: list[str] | None, resu
                 yield pa.RecordBatch.from_arrays([*batch.columns[:n_kept], *made], names=[*kept, *names])
 
     return source.mapInArrow(run, schema)
-
-
-def read_table(spark, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def text_or_empty(column: str):
-    return F.coalesce(F.col(column), F.lit(""))

@@ -312,11 +312,16 @@ def decode(df: DataFrame, tokenizer: str, ids_col: str = "token_ids", carry: lis
     return with_columns(df, [ids_col], carry, "decoded_text string", compute)
 
 
+def ids_digest(ids_col: str):
+    """SHA-256 of the decimal ids joined by commas."""
+    return F.sha2(F.array_join(F.col(ids_col).cast("array<string>"), ","), 256)
+
+
 def round_trip_digest(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_tokens, SHA-256 of the decimal ids joined by commas, SHA-256 of the decoded text."""
     encoded = encode(df.select(id_col, text_col), tokenizer, text_col, [id_col])
     decoded = decode(encoded, tokenizer)
     return decoded.select(
         id_col, "n_tokens",
-        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        ids_digest("token_ids").alias("ids_sha256"),
         F.sha2("decoded_text", 256).alias("decoded_sha256"))

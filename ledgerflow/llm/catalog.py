@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import bpe, chat, decontaminate, lbl, quality, sharding, simhash, url_filter, warc
-from ledgerflow.llm.arrow import read_table
+from ledgerflow.llm import bpe, chat, decontaminate, lbl, licenses, quality, sharding, simhash, url_filter, warc
+from ledgerflow.llm.inputs import read_table, tokenizer_file
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLE_SQL: dict[str, str] = {}
@@ -18,13 +19,6 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
-def tokenizer_file() -> str:
-    """The public byte-level tokenizer that the check queries use."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @query
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids and their decoding, as digests."""
@@ -57,6 +51,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences and licences of every document."""
+    return licenses.scan(read_table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 @query
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram and log-bilinear scores of every document."""
@@ -84,6 +84,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group(read_table(spark, sf_dir, "documents"))
 
 
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    LLM_ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 LLM_ORACLE_SQL["op2_url_filter"] = url_filter.judge_sql()
 LLM_ORACLE_SQL["op5_decontamination"] = decontaminate.report_sql()
 LLM_ORACLE_SQL["op8_warc"] = warc.round_trip_sql()
