@@ -110,8 +110,12 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """Totals and the most frequent tokens of the written counts; rows that reach the driver are bounded."""
-    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct")).first()
+    ends = F.sum(F.when(F.length("token") == 0, F.col("n")))
+    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct"),
+                        F.coalesce(ends, F.lit(0)).alias("ends")).first()
     heavy = {bytes(r["token"]): r["n"] for r in counts.orderBy(F.desc("n"), "token").limit(HEAVY_WORDS).collect()}
+    if totals["ends"]:
+        heavy[END] = totals["ends"]
     own = sorted((t for t in heavy if t != END), key=lambda t: (-heavy[t], t))[:OWN_WORDS]
     symbol = {END: 0} | {t: i + 1 for i, t in enumerate(own)}
     symbol_count, types = np.zeros(SYMBOLS), np.zeros(SYMBOLS)

@@ -88,7 +88,7 @@ RULES = (
 )
 
 _CLAUSE = re.compile(r"[\n\r]+|(?<=[.!?;:])[ \t]+")
-_TOKEN = re.compile(r"[0-9]+(?:\.[0-9]+)*|[^\W\d_]+")
+_TOKEN = re.compile(r"[0-9]+(?:\.[0-9]+)*|[^\W\d_][^\W_]*")
 
 
 def normalise(text: str) -> tuple[tuple[str, ...], list[str]]:
