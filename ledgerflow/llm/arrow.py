@@ -13,14 +13,15 @@ SLICE_ROWS = 2000
 
 
 def with_columns(df: DataFrame, inputs: list[str], carry: list[str] | None, results: str,
-                 compute: Callable[..., dict[str, object]]) -> DataFrame:
+                 compute: Callable[..., dict[str, object]], as_lists: bool = True) -> DataFrame:
     """Add ``results`` (a DDL string) computed from the columns ``inputs``.
 
     ``carry`` names the input columns to keep; ``None`` keeps all. A carried
     column whose name (ignoring case) is that of a result gives way to the
     result. Only carried and input columns are read. ``compute`` gets one
-    Python list per input and returns one sequence per result. No shuffle; a
-    lost task runs again from its input split.
+    Python list (or, unless ``as_lists``, an Arrow array) per input and returns
+    one sequence or Arrow array per result. No shuffle; a lost task runs again
+    from its input split.
     """
     added = T.StructType.fromDDL(results)
     new = {f.name.lower() for f in added}
@@ -38,8 +39,9 @@ def with_columns(df: DataFrame, inputs: list[str], carry: list[str] | None, resu
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE_ROWS):
                 batch = whole.slice(at, SLICE_ROWS)
-                out = compute(*[c.to_pylist() for c in batch.columns[n_kept:]])
-                made = [pa.array(out[name], type=kind) for name, kind in zip(names, types)]
+                out = compute(*[c.to_pylist() if as_lists else c for c in batch.columns[n_kept:]])
+                made = [out[name].cast(kind) if isinstance(out[name], pa.Array) else pa.array(out[name], type=kind)
+                        for name, kind in zip(names, types)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:n_kept], *made], names=[*kept, *names])
 
     return source.mapInArrow(run, schema)

@@ -23,8 +23,11 @@ from __future__ import annotations
 import codecs
 import functools
 import json
+import struct
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,12 +35,13 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.arrow import with_columns
 
 # Fixed value: the pattern that splits text into pretokens before the merges.
-PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Letters come first, which changes no match: no other alternative can begin with one.
+PRETOKEN = r""" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: Longest vocabulary that is broadcast; a larger file is refused.
 MAX_VOCABULARY = 1_000_000
-#: Pretokens of up to MEMO_BYTES characters are remembered, in two generations of MEMO_SIZE; as many pairs of tokens, once.
-MEMO_BYTES, MEMO_SIZE = 64, 150_000
+#: Pretokens of up to MEMO_BYTES characters are remembered, in two generations of MEMO_SIZE; PAIRS pairs of tokens are.
+MEMO_BYTES, MEMO_SIZE, PAIRS = 64, 120_000, 400_000
 #: Bytes of a long pretoken that enter the transducer at a time.
 CHUNK = 4096
 #: Texts of up to so many characters are split into pretokens at once, longer ones as they are needed.
@@ -78,8 +82,8 @@ class BytePairModel:
         #: every prefix of a token, with the token's id or -1
         self.trie = {t[:n]: -1 for t in reachable for n in range(1, len(t))} | {t: vocabulary[t] for t in reachable}
         self.window = self.lookahead()
-        self.memo: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, bytes] = {}  # ids as 32-bit numbers
+        self.older: dict[str, bytes] = {}
         self.beside: dict[int, bool] = {}
 
     @classmethod
@@ -144,7 +148,7 @@ class BytePairModel:
                 if left >= 0:
                     fits = beside.get(left << 20 | right)
                     if fits is None:
-                        if len(beside) >= MEMO_SIZE:
+                        if len(beside) >= PAIRS:
                             beside.clear()
                         fits = beside[left << 20 | right] = not self._crossed(text[left], text[right])
                     if not fits:
@@ -222,48 +226,44 @@ class Encoder:
         names = sorted(model.special, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, names))) if names else None
 
-    def stream(self, text: str) -> Iterator[list[int]]:
-        """The ids of ``text`` in blocks, each as soon as its tokens are stable."""
+    def stream(self, text: str) -> Iterator[bytes]:
+        """The ids of ``text`` as 32-bit numbers, in blocks, each as soon as its tokens are stable."""
         at = 0
         if self.special is not None:
             for m in self.special.finditer(text):
                 yield from self._plain(text[at:m.start()])
-                yield [self.model.special[m.group()]]
+                yield struct.pack("<i", self.model.special[m.group()])
                 at = m.end()
         yield from self._plain(text[at:] if at else text)
 
-    def _plain(self, text: str) -> Iterator[list[int]]:
-        model, memo = self.model, self.model.memo
+    def _plain(self, text: str) -> Iterator[bytes]:
+        known, new = self.model.memo.get, self._pretoken
         if len(text) <= WHOLE:
-            words = self.pretoken.findall(text)
-        else:
-            words = (m.group() for m in self.pretoken.finditer(text))
-        ids: list[int] = []
-        for word in words:
-            known = memo.get(word)
-            if known is not None:
-                ids += known
-            elif len(word) <= MEMO_BYTES:
-                known = model.older.get(word) or tuple(model.chain(word.encode()))
-                if len(memo) >= MEMO_SIZE:
-                    model.older = dict(memo)
-                    memo.clear()
-                memo[word] = known
-                ids += known
-            else:
-                transducer = Transducer(model)
-                for at in range(0, len(word), CHUNK):
-                    yield ids
-                    ids = transducer.push(word[at:at + CHUNK].encode())
-                ids += transducer.close()
-            if len(ids) >= CHUNK:
-                yield ids
-                ids = []
-        yield ids
-
-    def encode(self, text: str | None) -> list[int]:
-        blocks = list(self.stream(text or ""))
-        return blocks[0] if len(blocks) == 1 else [i for block in blocks for i in block]
+            yield b"".join([known(word) or new(word) for word in self.pretoken.findall(text)])
+            return
+        for m in self.pretoken.finditer(text):
+            word = m.group()
+            yield known(word) or new(word)
+
+    def _pretoken(self, word: str) -> bytes:
+        model = self.model
+        if len(word) <= MEMO_BYTES:
+            ids = model.older.get(word)
+            if ids is None:
+                ids = np.array(model.chain(word.encode()), "<i4").tobytes()
+            if len(model.memo) >= MEMO_SIZE:
+                model.older = dict(model.memo)
+                model.memo.clear()
+            model.memo[word] = ids
+            return ids
+        transducer, blocks = Transducer(model), []
+        for at in range(0, len(word), CHUNK):
+            blocks.append(np.array(transducer.push(word[at:at + CHUNK].encode()), "<i4").tobytes())
+        blocks.append(np.array(transducer.close(), "<i4").tobytes())
+        return b"".join(blocks)
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return np.frombuffer(b"".join(self.stream(text)) if text else b"", "<i4")
 
 
 class Decoder:
@@ -279,9 +279,9 @@ class Decoder:
     def close(self) -> str:
         return self.state.decode(b"", final=True)
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         self.state.reset()
-        pieces = [self.push(ids[at:at + CHUNK]) for at in range(0, len(ids), CHUNK)]
+        pieces = [self.push(ids[at:at + CHUNK].tolist()) for at in range(0, len(ids), CHUNK)]
         return "".join([*pieces, self.close()])
 
 
@@ -296,7 +296,10 @@ def encode(df: DataFrame, tokenizer: str, text_col: str = "text", carry: list[st
     def compute(texts):
         encoder = Encoder(model.value)
         ids = [encoder.encode(t) for t in texts]
-        return {"token_ids": ids, "n_tokens": [len(x) for x in ids]}
+        sizes = np.array([len(x) for x in ids], np.int64)
+        flat = np.concatenate(ids) if ids else np.zeros(0, "<i4")
+        return {"token_ids": pa.ListArray.from_arrays(np.concatenate([[0], sizes.cumsum()]).astype(np.int32), flat),
+                "n_tokens": sizes}
 
     return with_columns(df, [text_col], carry, "token_ids array<int>, n_tokens long", compute)
 
@@ -307,9 +310,9 @@ def decode(df: DataFrame, tokenizer: str, ids_col: str = "token_ids", carry: lis
 
     def compute(rows):
         decoder = Decoder(model.value)
-        return {"decoded_text": [None if ids is None else decoder.decode(ids) for ids in rows]}
+        return {"decoded_text": [decoder.decode(row.values.to_numpy()) if row.is_valid else None for row in rows]}
 
-    return with_columns(df, [ids_col], carry, "decoded_text string", compute)
+    return with_columns(df, [ids_col], carry, "decoded_text string", compute, as_lists=False)
 
 
 def ids_digest(ids_col: str):
