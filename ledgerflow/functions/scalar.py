@@ -16,8 +16,9 @@ _SCALE_BITS = 62
 
 
 def clamp01(c) -> Column:
-    """``min(max(c, 0), 1)``."""
-    return F.least(F.greatest(_col(c), F.lit(0.0)), F.lit(1.0))
+    """``min(max(c, 0), 1)`` of a number (X9); NULL and NaN give NULL, so that a contract rejects the row."""
+    v = _col(c)
+    return F.when(v.isNotNull() & ~F.isnan(v), F.least(F.greatest(v, F.lit(0.0)), F.lit(1.0)))
 
 
 def _scaled_half_even(v: Column, places: int) -> Column:
@@ -38,25 +39,30 @@ def _scaled_half_even(v: Column, places: int) -> Column:
     return k + F.when(up, F.lit(1)).otherwise(F.lit(0))
 
 
-def _in_exact_domain(v: Column) -> Column:
+def in_score_domain(c) -> Column:
+    """Whether a value is a score that the rounding below takes: 0 <= x < 2."""
+    v = _col(c).cast("double")
     return (v >= 0.0) & (v < 2.0)
 
 
-def py_round(c, places: int) -> Column:
-    """Python's ``round(x, places)`` for doubles (X11): exact half-even on [0, 2),
-    Spark's ``bround`` elsewhere."""
+def _score_only(v: Column, name: str, result: Column) -> Column:
+    """``result`` for scores, NULL for NULL, an error for any other number."""
+    return F.when(v.isNull(), F.lit(None)).when(in_score_domain(v), result).otherwise(
+        F.raise_error(F.lit(f"{name} takes scores in [0, 2) only")))
+
+
+def round_score(c, places: int) -> Column:
+    """Python's ``round(x, places)`` of a score in [0, 2) (X11); any other number is an error."""
     v = _col(c).cast("double")
-    exact = _scaled_half_even(v, places).cast("double") / F.lit(float(10 ** places))
-    return F.when(_in_exact_domain(v), exact).otherwise(F.bround(v, places))
+    return _score_only(v, "round_score", _scaled_half_even(v, places).cast("double") / F.lit(float(10 ** places)))
 
 
-def fmt_fixed(c, places: int = 2) -> Column:
-    """Python's ``f"{x:.{places}f}"`` (X12): exact on [0, 2), ``format_string`` elsewhere."""
+def format_score(c, places: int = 2) -> Column:
+    """Python's ``f"{x:.{places}f}"`` of a score in [0, 2) (X12); any other number is an error."""
     v = _col(c).cast("double")
     k = _scaled_half_even(v, places)
     unit = 10 ** places
-    exact = F.format_string(f"%d.%0{places}d", (k / unit).cast("long"), k % unit)
-    return F.when(_in_exact_domain(v), exact).otherwise(F.format_string(f"%.{places}f", v))
+    return _score_only(v, "format_score", F.format_string(f"%d.%0{places}d", (k / unit).cast("long"), k % unit))
 
 
 def fmt_thousands(c) -> Column:
@@ -70,11 +76,6 @@ def context_id(run_id: str, key, prefix: str = "graph-ctx-", width: int = 12) ->
     return F.concat(F.lit(prefix), F.substring(F.sha2(F.concat(F.lit(run_id), _col(key)), 256), 1, width))
 
 
-def random_context_id(prefix: str = "graph-ctx-", width: int = 12) -> Column:
-    """Per-row random id, the legacy behaviour (not stable under retries)."""
-    return F.concat(F.lit(prefix), F.substring(F.replace(F.uuid(), F.lit("-"), F.lit("")), 1, width))
-
-
 def run_ts(ts: _dt.datetime | str | None = None) -> Column:
     """One snapshot timestamp per run (X15), as a naive (NTZ) timestamp."""
     if ts is None:

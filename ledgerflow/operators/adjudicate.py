@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import Contract, load_contract, required
-from ..functions.scalar import clamp01, context_id, fmt_fixed, parse_rationale, py_round, run_ts
-from .split import Rule, split
+from ..functions.scalar import clamp01, context_id, format_score, in_score_domain, parse_rationale, round_score, run_ts
+from .split import REASON, Rule, with_reason
 
 # Scoring constants, label thresholds, provider defaults and
 # governance tags of the adjudication service.
@@ -42,6 +42,7 @@ STRUCTURAL_WEIGHT, SEMANTIC_WEIGHT = 0.60, 0.40
 BATCH_MODEL_VERSION, BATCH_COMPLIANCE_TAG = "v3.1.0-sovereign-xai", "AML_2026_SOVEREIGN"
 REQUEST_MODEL_VERSION, REQUEST_COMPLIANCE_TAG = "v2.0.0", "AML_2026"
 CONTEXT_PREFIX = "graph-ctx-"
+MISSING_FROM_GOLD = "transaction id is missing from gold"
 
 PAYLOAD_COLUMNS = ["transaction_id", "risk_score", "adjudication_label", "confidence_score",
                    "adjudication_rationale", "governance_metadata"]
@@ -52,27 +53,36 @@ RationaleProvider = Callable[[DataFrame], DataFrame]
 # ------------------------------------------------------------------ scoring
 
 def distinct_transactions(gold: DataFrame, key: str = "transaction_hash_id") -> DataFrame:
-    """One row per id. With duplicate ids the smallest (balance, bucket)
-    is taken, so the choice is deterministic (the legacy look-up took any row).
-    Aggregated partially before the shuffle, so a hot id costs one row per task."""
-    picked = gold.groupBy(key).agg(F.min(F.struct("account_balance", "risk_category")).alias("_row"))
-    return picked.select(key, "_row.account_balance", "_row.risk_category")
+    """One row per id. With duplicate ids the smallest balance is taken, LOW rows first among equal ones;
+    a number goes before NaN and NaN before NULL, so a bad balance never hides a good one.
+
+    Only the smallest balance of the LOW rows and of the others is kept, two doubles per id: a hash
+    aggregate with partial sums before the one shuffle, no sort, and a hot id costs one row per task.
+    ``is_low`` is all that scoring needs of the bucket.
+    """
+    balance, low = F.col("account_balance").cast("double"), F.coalesce(F.upper("risk_category") == LOW_BUCKET, F.lit(False))
+    least = gold.groupBy(key).agg(F.min(F.when(low, balance)).alias("_low"), F.min(F.when(~low, balance)).alias("_other"))
+    is_low = F.col("_low").isNotNull() & (F.col("_other").isNull() | (F.col("_low") <= F.col("_other")))
+    return least.select(key, F.when(is_low, F.col("_low")).otherwise(F.col("_other")).alias("account_balance"),
+                        is_low.alias("is_low"))
 
 
-def structural_metrics(df: DataFrame, balance: str = "account_balance", bucket: str = "risk_category") -> DataFrame:
-    """risk = clamp(balance / 300000); structural confidence 0.95 for LOW, else 0.75."""
+def structural_metrics(df: DataFrame, balance: str = "account_balance", bucket: str | Column = "risk_category") -> DataFrame:
+    """risk = clamp(balance / 300000); structural confidence 0.95 for LOW, else 0.75.
+    A NULL or NaN balance has no risk. ``bucket`` is a column of bucket names or a boolean expression for LOW."""
+    low = bucket if isinstance(bucket, Column) else F.upper(F.col(bucket)) == F.lit(LOW_BUCKET)
     return df.withColumns({
         "calculated_risk": clamp01(F.col(balance).cast("double") / F.lit(RISK_DIVISOR)),
-        "structural_confidence": F.when(F.upper(F.col(bucket)) == F.lit(LOW_BUCKET), F.lit(LOW_BUCKET_CONFIDENCE))
-                                  .otherwise(F.lit(OTHER_BUCKET_CONFIDENCE)),
+        "structural_confidence": F.when(low, F.lit(LOW_BUCKET_CONFIDENCE)).otherwise(F.lit(OTHER_BUCKET_CONFIDENCE)),
     })
 
 
 def label(risk, thresholds: tuple[float, float] = BATCH_THRESHOLDS) -> Column:
-    """BLOCK above the first threshold, REVIEW above the second, else APPROVE (strict >)."""
+    """BLOCK above the first threshold, REVIEW above the second, else APPROVE (strict >). No risk, no label."""
     risk = F.col(risk) if isinstance(risk, str) else risk
     block, review = thresholds
-    return (F.when(risk > F.lit(block), F.lit(LABEL_BLOCK))
+    return (F.when(risk.isNull(), F.lit(None).cast("string"))
+             .when(risk > F.lit(block), F.lit(LABEL_BLOCK))
              .when(risk > F.lit(review), F.lit(LABEL_REVIEW))
              .otherwise(F.lit(LABEL_APPROVE)))
 
@@ -81,11 +91,15 @@ def label(risk, thresholds: tuple[float, float] = BATCH_THRESHOLDS) -> Column:
 
 def first_per_label(df: DataFrame, label_col: str = "adjudication_label", key: str = "transaction_hash_id",
                     risk: str = "calculated_risk") -> DataFrame:
-    """For each label, the risk of its smallest id. Partial aggregation, <=3 output rows."""
-    return df.groupBy(label_col).agg(
-        F.min(key).alias("first_transaction_id"),
-        F.min_by(F.col(risk), F.col(key)).alias(risk),
-    )
+    """For each label, the risk of its smallest id, <=3 rows.
+
+    One aggregate without a grouping key, a conditional minimum per label: one pass, no sort of the input.
+    """
+    firsts = df.agg(*[F.min(F.when(F.col(label_col) == name, F.struct(F.col(key).alias("id"), F.col(risk).alias("risk"))))
+                      .alias(name) for name in LABELS])
+    rows = F.array(*[F.struct(F.lit(name).alias(label_col), F.col(f"{name}.id").alias("first_transaction_id"),
+                              F.col(f"{name}.risk").alias(risk)) for name in LABELS])
+    return firsts.select(F.inline(rows)).where(F.col("first_transaction_id").isNotNull())
 
 
 def heuristic_rationale(dim: DataFrame, risk: str = "calculated_risk") -> DataFrame:
@@ -94,7 +108,7 @@ def heuristic_rationale(dim: DataFrame, risk: str = "calculated_risk") -> DataFr
     return dim.withColumns({
         "semantic_confidence": F.when(r < F.lit(HEURISTIC_LOW_RISK_CUTOFF), F.lit(HEURISTIC_LOW_RISK_CONFIDENCE))
                                 .otherwise(F.lit(HEURISTIC_OTHER_CONFIDENCE)),
-        "rationale": F.format_string(HEURISTIC_TEXT, fmt_fixed(r, 2)),
+        "rationale": F.format_string(HEURISTIC_TEXT, format_score(r, 2)),
     })
 
 
@@ -125,8 +139,10 @@ def with_rationale(df: DataFrame, dim: DataFrame, label_col: str = "adjudication
 
 
 def blend(structural: str = "structural_confidence", semantic: str = "semantic_confidence") -> Column:
-    """round(0.60 * S + 0.40 * M, 3), rounding like Python."""
-    return py_round(F.lit(STRUCTURAL_WEIGHT) * F.col(structural) + F.lit(SEMANTIC_WEIGHT) * F.col(semantic), 3)
+    """round(0.60 * S + 0.40 * M, 3), rounding like Python. A provider's value that is no score stays
+    unrounded and fails the contract."""
+    mixed = F.lit(STRUCTURAL_WEIGHT) * F.col(structural) + F.lit(SEMANTIC_WEIGHT) * F.col(semantic)
+    return F.when(in_score_domain(mixed), round_score(F.when(in_score_domain(mixed), mixed), 3)).otherwise(mixed)
 
 
 # --------------------------------------------------------------- governance
@@ -171,9 +187,11 @@ def product_rules(contract: Contract | str | dict = "product", payload: DataFram
 def scored_ids(gold: DataFrame, thresholds: tuple[float, float] = BATCH_THRESHOLDS,
                assume_unique_ids: bool = False) -> DataFrame:
     """J1 + D7 + D8: one scored, labelled row per id."""
-    ids = gold.select("transaction_hash_id", "account_balance", "risk_category") if assume_unique_ids \
-        else distinct_transactions(gold)
-    return structural_metrics(ids).withColumn("adjudication_label", label("calculated_risk", thresholds))
+    if assume_unique_ids:
+        ids = structural_metrics(gold.select("transaction_hash_id", "account_balance", "risk_category"))
+    else:
+        ids = structural_metrics(distinct_transactions(gold), bucket=F.col("is_low"))
+    return ids.withColumn("adjudication_label", label("calculated_risk", thresholds))
 
 
 def label_dimension(gold: DataFrame, provider: RationaleProvider = heuristic_rationale,
@@ -182,11 +200,11 @@ def label_dimension(gold: DataFrame, provider: RationaleProvider = heuristic_rat
     return rationale_by_label(scored_ids(gold, thresholds, assume_unique_ids), provider)
 
 
-def adjudicate(gold: DataFrame, run_id: str = "run", snapshot_ts: _dt.datetime | str | None = None,
-               provider: RationaleProvider = heuristic_rationale, rationale_dim: DataFrame | None = None,
-               thresholds: tuple[float, float] = BATCH_THRESHOLDS, contract: Contract | str | dict = "product",
-               assume_unique_ids: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Adjudicate every distinct id of ``gold`` -> (valid payloads, contract rejects).
+def judged(gold: DataFrame, run_id: str = "run", snapshot_ts: _dt.datetime | str | None = None,
+           provider: RationaleProvider = heuristic_rationale, rationale_dim: DataFrame | None = None,
+           thresholds: tuple[float, float] = BATCH_THRESHOLDS, contract: Contract | str | dict = "product",
+           assume_unique_ids: bool = False) -> DataFrame:
+    """The payload of every distinct id of ``gold`` with the reason of its rejection, NULL for valid ones.
 
     ``rationale_dim`` overrides the per-label dimension (used to keep resumed
     or streamed batches consistent with the full input).
@@ -198,18 +216,30 @@ def adjudicate(gold: DataFrame, run_id: str = "run", snapshot_ts: _dt.datetime |
     joined = with_rationale(scored, dim).withColumn("confidence_score", blend())
     payload = build_payload(joined, BATCH_MODEL_VERSION, BATCH_COMPLIANCE_TAG, run_ts(snapshot_ts),
                             context_id(run_id, F.col("transaction_hash_id"), CONTEXT_PREFIX), F.col("rationale"))
-    return split(payload, product_rules(contract, payload))
-
-
-def adjudicate_one(gold: DataFrame, transaction_id: str | DataFrame, **kwargs) -> tuple[DataFrame, DataFrame]:
-    """One id (or a one-column frame of ids) through the batch logic; the
-    label rationale still comes from the full input."""
-    valid, rejects = adjudicate(gold, **kwargs)
-    if isinstance(transaction_id, DataFrame):
-        wanted = transaction_id.toDF("transaction_id")
-        return valid.join(wanted, "transaction_id", "left_semi"), rejects.join(wanted, "transaction_id", "left_semi")
-    return (valid.filter(F.col("transaction_id") == F.lit(transaction_id)),
-            rejects.filter(F.col("transaction_id") == F.lit(transaction_id)))
+    return with_reason(payload, product_rules(contract, payload))
+
+
+def adjudicate(gold: DataFrame, **kwargs) -> tuple[DataFrame, DataFrame]:
+    """(valid payloads, contract rejects with their reason); the parameters are those of :func:`judged`."""
+    out = judged(gold, **kwargs)
+    return out.where(F.col(REASON).isNull()).drop(REASON), out.where(F.col(REASON).isNotNull())
+
+
+def adjudicate_one(gold: DataFrame, transaction_id: str, **kwargs) -> tuple[DataFrame, DataFrame]:
+    """One id through the batch logic, on that id's rows alone.
+
+    The filter reaches the scan, nothing else is read, and the rationale is that of the id's own risk.
+    An id that is not in gold is a reject.
+    """
+    mine = gold.where(F.col("transaction_hash_id") == F.lit(transaction_id))
+    asked = gold.sparkSession.range(1).select(F.lit(transaction_id).alias("transaction_hash_id"))
+    found = mine.groupBy("transaction_hash_id").agg(F.lit(True).alias("_found"))
+    valid, rejects = adjudicate(mine, **kwargs)
+    absent = asked.join(found, "transaction_hash_id", "left_anti").select(
+        *[F.col("transaction_hash_id").alias(f.name) if f.name == "transaction_id"
+          else F.lit(MISSING_FROM_GOLD).alias(f.name) if f.name == REASON
+          else F.lit(None).cast(f.dataType).alias(f.name) for f in rejects.schema.fields])
+    return valid, rejects.unionByName(absent)
 
 
 def ordered_ids(gold: DataFrame) -> DataFrame:

@@ -53,7 +53,3 @@ def split(df: DataFrame, rules: list[Rule], reason_col: str = REASON) -> tuple[D
     rejects = df.filter(~passes(rules)).withColumn(reason_col, reason_column(rules))
     return valid, rejects
 
-
-def with_literal_reason(df: DataFrame, text: str, reason_col: str = REASON) -> DataFrame:
-    """Add a constant reason column."""
-    return df.withColumn(reason_col, F.lit(text))

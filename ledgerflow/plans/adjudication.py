@@ -1,9 +1,11 @@
 """Batch adjudication run over a written gold table (D15 + R1 + K5-K7).
 
 Reads the gold product, skips ids already in the published output (resume),
-adjudicates the rest in one plan, appends them to the product and writes
-contract failures to their own queue. A crash between runs costs nothing: the
-next run picks up every id without a published result.
+adjudicates the rest in one plan that runs once, into a staged table with the
+outcome of each id, then appends the valid ones to the product and writes
+contract failures to their own queue. A run with nothing to publish adds no
+file. A crash between runs costs nothing: the next run picks up every id
+without a published result.
 """
 
 from __future__ import annotations
@@ -11,13 +13,15 @@ from __future__ import annotations
 import datetime as _dt
 import posixpath
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.adjudicate import RationaleProvider, heuristic_rationale
+from ..operators.split import REASON
+from ..session import scratch_path
 from ..sinks.tables import dump_json
 from ..sources.tables import path_exists, read_table, require_path
-from ..streaming.resume import resume_batch
+from ..streaming.resume import resume_judged
 
 
 def run_adjudication(spark: SparkSession, gold_path: str, out_dir: str, run_id: str,
@@ -32,11 +36,15 @@ def run_adjudication(spark: SparkSession, gold_path: str, out_dir: str, run_id:
         published = spark.read.parquet(product_path)
     else:
         published = spark.createDataFrame([], "transaction_id string")
-    valid, rejects = resume_batch(gold, published.select("transaction_id"), run_id=run_id,
-                                  snapshot_ts=snapshot_ts, provider=provider)
-    done, failed = Observation("published"), Observation("rejected")
-    valid.observe(done, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(product_path)
-    rejects.observe(failed, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(rejects_path)
-    if json_dump:
+    judged = resume_judged(gold, published.select("transaction_id"), run_id=run_id,
+                           snapshot_ts=snapshot_ts, provider=provider)
+    staged = scratch_path(spark, "adjudicated")
+    judged.write.parquet(staged)
+    judged = spark.read.schema(judged.schema).parquet(staged)
+    counts = judged.agg(F.count_if(F.col(REASON).isNull()).alias("done"), F.count(REASON).alias("failed")).first()
+    if counts["done"]:
+        judged.where(F.col(REASON).isNull()).drop(REASON).write.mode("append").parquet(product_path)
+    judged.where(F.col(REASON).isNotNull()).write.mode("overwrite").parquet(rejects_path)
+    if json_dump and path_exists(spark, product_path):
         dump_json(spark.read.parquet(product_path), posixpath.join(out_dir, "results_json"))
-    return {"published": done.get["n"], "rejected": failed.get["n"]}
+    return {"published": counts["done"], "rejected": counts["failed"]}

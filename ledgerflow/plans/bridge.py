@@ -22,8 +22,8 @@ from ..functions.codec import comp3_encode, encode_text_field, make_id
 from ..layout import LEDGER_LAYOUT, RecordLayout
 
 # Bridge id formats and anomaly cadence.
-TX_PREFIX = "TXN"
-CUST_PREFIX = "CUST"
+TX_PREFIX = "T"
+CUST_PREFIX = "C"
 BLANK_EVERY = 250
 NEGATIVE_EVERY = 333
 CORRUPT_EVERY = 499

@@ -16,7 +16,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codec import (_code_page_pairs, comp3_decode, comp3_encode, comp3_encode_hex_quirk,
+from ..functions.codec import (comp3_decode, comp3_encode, comp3_encode_hex_quirk,
                                ebcdic_decode, ebcdic_encode)
 from ..layout import LEDGER_LAYOUT
 from ..operators import adjudicate as adj
@@ -27,6 +27,7 @@ from ..operators.split import with_reason
 from ..operators.vault import build_vault, process_silver, vault_join
 from ..contracts import load_contract
 from ..session import scratch_path
+from ..sinks.tables import dump_json
 from .bridge import BLANK_EVERY, CORRUPT_EVERY, NEGATIVE_EVERY
 from .dumps import ledger_dump
 from .medallion import layer_paths, run_medallion
@@ -65,9 +66,9 @@ def _gold(spark, sf):
     return process_gold(_silver(spark, sf)[0])
 
 
-def _flatten_payload(df: DataFrame) -> DataFrame:
+def _flatten_payload(df: DataFrame, *more: str) -> DataFrame:
     return df.select("transaction_id", "risk_score", "adjudication_label", "confidence_score",
-                     "adjudication_rationale", "governance_metadata.*")
+                     "adjudication_rationale", "governance_metadata.*", *more)
 
 
 def q_bronze_valid(spark, sf):
@@ -227,9 +228,23 @@ def q_adjudicated(spark, sf):
     return _flatten_payload(valid)
 
 
+def _faulty_gold(spark, sf):
+    """Gold with faults by the id's first digit: NULL (0) and NaN (1) balances, copies with a NULL (2) or larger (3) balance."""
+    gold, _ = _gold(spark, sf)
+    first = F.substring("transaction_hash_id", 1, 1)
+    broken = gold.withColumn("account_balance", F.when(first == "0", F.lit(None)).when(first == "1", F.lit(float("nan")))
+                             .otherwise(F.col("account_balance")))
+    copies = gold.where(first.isin("2", "3")).withColumn(
+        "account_balance", F.when(first == "3", F.col("account_balance") + 1000.0))
+    return broken.unionByName(copies)
+
+
 def q_adjudication_rejects(spark, sf):
-    _, rejects = _adjudicated(spark, sf)
-    return _flatten_payload(rejects.drop("rejection_reason")).withColumn("n", F.lit(1))
+    def answers(dim):  # a provider that is too sure of one label
+        return F.when(F.col("adjudication_label") == "BLOCK", F.lit('{"semantic_confidence": 2.0, "rationale": "sure"}')).otherwise(F.lit("{}"))
+
+    _, rejects = adj.adjudicate(_faulty_gold(spark, sf), run_id=RUN_ID, snapshot_ts=SNAPSHOT_TS, provider=adj.json_rationale(answers))
+    return rejects.select("transaction_id", "risk_score", "adjudication_label", "confidence_score", "rejection_reason")
 
 
 def q_ordered_ids(spark, sf):
@@ -239,9 +254,10 @@ def q_ordered_ids(spark, sf):
 
 def q_adjudicate_one(spark, sf):
     gold, _ = _gold(spark, sf)
-    target = gold.agg(F.min("transaction_hash_id"))
-    valid, _ = adj.adjudicate_one(gold, target, run_id=RUN_ID, snapshot_ts=SNAPSHOT_TS)
-    return _flatten_payload(valid)
+    last = gold.agg(F.max("transaction_hash_id")).first()[0]  # not the first of its label
+    answers = [adj.adjudicate_one(gold, i, run_id=RUN_ID, snapshot_ts=SNAPSHOT_TS) for i in (last, "absent")]
+    return (_flatten_payload(answers[0][0]).withColumn("rejection_reason", F.lit(None).cast("string"))
+            .unionByName(_flatten_payload(answers[1][1], "rejection_reason")))
 
 
 def _requests(spark, sf):
@@ -296,6 +312,8 @@ def q_availablenow_adjudicated(spark, sf):
     gold, _ = _gold(spark, sf)
     gold_path = scratch_path(spark, "gold")
     gold.write.parquet(gold_path)
+    # some ids come again in a later file
+    gold.where(F.substring("transaction_hash_id", 1, 1) == "5").coalesce(1).write.mode("append").parquet(gold_path)
     out = scratch_path(spark, "streamed")
     adjudicate_available_now(spark, gold_path, out, scratch_path(spark, "stream-ckpt"),
                              run_id=RUN_ID, snapshot_ts=SNAPSHOT_TS, max_files_per_trigger=2)
@@ -304,7 +322,9 @@ def q_availablenow_adjudicated(spark, sf):
 
 def q_results_json(spark, sf):
     valid, _ = _adjudicated(spark, sf)
-    return valid.select("transaction_id", F.to_json(F.struct(*valid.columns)).alias("payload_json"))
+    path = scratch_path(spark, "results-json")
+    dump_json(valid, path)
+    return _flatten_payload(spark.read.schema(valid.schema).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").json(path))
 
 
 def _medallion(spark, sf):
@@ -422,9 +442,9 @@ adjudicated{suffix} AS (
 _BRIDGE = f"""
 src AS (
   SELECT o_orderkey, o_orderdate,
-         'TXN' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS tx_id,
+         'T' || lpad(CAST(o_orderkey AS VARCHAR), 11, '0') AS tx_id,
          CASE WHEN o_orderkey % {BLANK_EVERY} = 0 THEN repeat(' ', 10)
-              ELSE 'CUST' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') END AS cust_id,
+              ELSE 'C' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') END AS cust_id,
          CAST(round(o_totalprice * 100) AS BIGINT) * (CASE WHEN o_orderkey % {NEGATIVE_EVERY} = 0 THEN -1 ELSE 1 END) AS cents,
          CASE WHEN o_orderstatus = 'P' THEN 'SUSPEND' ELSE 'ACTIVE' END AS tx_status,
          o_orderkey % {CORRUPT_EVERY} = 0 AS corrupt
@@ -552,9 +572,27 @@ ORACLE_SQL: dict[str, str] = {
         "CASE WHEN adjudication_label = 'BLOCK' THEN 'No reasoning provided.' ELSE 'label ' || adjudication_label END "
         "AS rationale FROM dim"),
     "binaryfile_scan": _w("SELECT tx_id, cust_id, bal_hex AS raw_balance_hex, tx_status FROM bronze"),
-    "adjudication_rejects": _w(f"SELECT {_PAYLOAD}, 1 AS n FROM adjudicated WHERE false"),
+    "adjudication_rejects": _w(
+        ", faulty AS (SELECT transaction_hash_id AS id, risk_category, CASE left(transaction_hash_id, 1) WHEN '0' THEN NULL "
+        "WHEN '1' THEN CAST('NaN' AS DOUBLE) ELSE account_balance END AS balance FROM gold "
+        "UNION ALL SELECT transaction_hash_id, risk_category, NULL FROM gold WHERE left(transaction_hash_id, 1) = '2' "
+        "UNION ALL SELECT transaction_hash_id, risk_category, account_balance + 1000 FROM gold WHERE left(transaction_hash_id, 1) = '3'), "
+        "good AS (SELECT id, min(risk_category) AS risk_category, "
+        "min(balance) FILTER (WHERE balance IS NOT NULL AND NOT isnan(balance)) AS balance FROM faulty GROUP BY id), "
+        "risks AS (SELECT *, least(greatest(balance / CAST(300000.0 AS DOUBLE), CAST(0.0 AS DOUBLE)), CAST(1.0 AS DOUBLE)) AS risk FROM good) "
+        "SELECT id AS transaction_id, CASE WHEN balance IS NOT NULL THEN risk END AS risk_score, "
+        "CASE WHEN balance IS NOT NULL THEN 'BLOCK' END AS adjudication_label, "
+        "CASE WHEN balance IS NOT NULL THEN CAST(round(CAST(0.6 AS DOUBLE) * CASE WHEN risk_category = 'LOW' THEN CAST(0.95 AS DOUBLE) "
+        "ELSE CAST(0.75 AS DOUBLE) END + CAST(0.4 AS DOUBLE) * 2, 3) AS DOUBLE) END AS confidence_score, "
+        "CASE WHEN balance IS NULL THEN 'CONTRACT_VIOLATION: missing required field' "
+        "ELSE 'CONTRACT_VIOLATION: confidence_score outside [0.0, 1.0]' END AS rejection_reason "
+        "FROM risks WHERE balance IS NULL OR risk > 0.8"),
     "ordered_ids": _w("SELECT transaction_hash_id FROM gold ORDER BY transaction_hash_id"),
-    "adjudicate_one": _w(f"SELECT {_PAYLOAD} FROM adjudicated ORDER BY transaction_id LIMIT 1"),
+    "adjudicate_one": _w(
+        ", mine AS (SELECT * FROM labeled WHERE transaction_hash_id = (SELECT max(transaction_hash_id) FROM labeled)), "
+        + _adjudication_ctes("mine", "_m") + f" SELECT {_PAYLOAD}, CAST(NULL AS VARCHAR) AS rejection_reason FROM adjudicated_m "
+        "UNION ALL SELECT 'absent', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'transaction id is missing from gold'"),
+    "results_json": _w(f"SELECT {_PAYLOAD} FROM adjudicated"),
     "score_requests": (
         "WITH req AS (SELECT sha256(CAST(event_id AS VARCHAR)) AS transaction_id, value / 300.0 AS risk_score, "
         "CAST(event_id % 110 AS DOUBLE) / 100.0 AS confidence_score FROM events) "

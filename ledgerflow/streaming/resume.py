@@ -5,10 +5,14 @@ Batch form: adjudicate only the ids that are not in the published output yet
 a resumed run gives the same rows as an uninterrupted one.
 
 Streaming form: the gold table is read as a file stream with
-``trigger(availableNow=True)``. Every micro-batch is adjudicated and written
-to its own ``batch_id=<n>`` folder with overwrite, so a replayed batch
-replaces its own output and never duplicates it. The checkpoint records which
-files are done: a second run over the same input processes nothing.
+``trigger(availableNow=True)``. Every micro-batch is adjudicated without the
+ids that other batches have published, and written to its own
+``batch_id=<n>`` folder with overwrite, so a replayed batch replaces its own
+output and an id is published once. The checkpoint records which files are
+done: a second run over the same input processes nothing. The label dimension
+(at most one row per label) is written beside the checkpoint on the first run
+and read by later ones, so their rationale is the same and gold isn't read
+again; a label that is new in a batch is added from that batch.
 """
 
 from __future__ import annotations
@@ -18,7 +22,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.adjudicate import RationaleProvider, adjudicate, heuristic_rationale, label_dimension
+from ..operators.adjudicate import LABELS, RationaleProvider, adjudicate, heuristic_rationale, judged, label_dimension
+from ..operators.split import REASON
+from ..sources.tables import path_exists
 
 
 def remaining(gold: DataFrame, published: DataFrame, key: str = "transaction_hash_id") -> DataFrame:
@@ -27,21 +33,29 @@ def remaining(gold: DataFrame, published: DataFrame, key: str = "transaction_has
     return gold.join(done, key, "left_anti")
 
 
-def resume_batch(gold: DataFrame, published: DataFrame, run_id: str = "run",
-                 snapshot_ts: _dt.datetime | str | None = None,
-                 provider: RationaleProvider = heuristic_rationale, **kwargs) -> tuple[DataFrame, DataFrame]:
-    """R1 (batch): results for the ids still missing from ``published``.
-    ``published.unionByName(result)`` is the accumulated output (U2)."""
+def resume_judged(gold: DataFrame, published: DataFrame, run_id: str = "run",
+                  snapshot_ts: _dt.datetime | str | None = None,
+                  provider: RationaleProvider = heuristic_rationale, **kwargs) -> DataFrame:
+    """R1 (batch): payloads and rejection reasons for the ids still missing from ``published``."""
     dim = label_dimension(gold, provider)
-    return adjudicate(remaining(gold, published), run_id=run_id, snapshot_ts=snapshot_ts,
-                      rationale_dim=dim, **kwargs)
+    return judged(remaining(gold, published), run_id=run_id, snapshot_ts=snapshot_ts, rationale_dim=dim, **kwargs)
 
 
-def _bounded_dimension(dim: DataFrame) -> DataFrame:
-    """Freeze the per-label dimension (one row per label, at most the label set) so
-    micro-batches do not recompute it over the full input."""
-    rows = dim.collect()
-    return dim.sparkSession.createDataFrame(rows, dim.schema)
+def resume_batch(gold: DataFrame, published: DataFrame, **kwargs) -> tuple[DataFrame, DataFrame]:
+    """R1 (batch): (valid, rejects) of :func:`resume_judged`.
+    ``published.unionByName(valid)`` is the accumulated output (U2)."""
+    out = resume_judged(gold, published, **kwargs)
+    return out.where(F.col(REASON).isNull()).drop(REASON), out.where(F.col(REASON).isNotNull())
+
+
+def _stored_dimension(spark: SparkSession, path: str, compute, limit: int = len(LABELS)) -> DataFrame:
+    """The label dimension of the first run; computed and written if there is none. One row per label, checked."""
+    if not path_exists(spark, path):
+        compute().write.parquet(path)
+    dim = spark.read.parquet(path)
+    if dim.limit(limit + 1).count() > limit:
+        raise ValueError(f"{path} has more than one row per label")
+    return dim
 
 
 def adjudicate_available_now(spark: SparkSession, gold_path: str, out_path: str, checkpoint: str,
@@ -51,19 +65,36 @@ def adjudicate_available_now(spark: SparkSession, gold_path: str, out_path: str,
                              fmt: str = "parquet") -> int:
     """R1 (streaming): process every gold file not yet seen, then stop.
     Returns the number of micro-batches that had input."""
-    static = spark.read.format(fmt).load(gold_path)
-    dim = _bounded_dimension(rationale_dim if rationale_dim is not None else label_dimension(static, provider))
-    reader = spark.readStream.schema(static.schema).format(fmt)
+    schema = spark.read.format(fmt).load(gold_path).schema
+    dim_path = f"{checkpoint.rstrip('/')}_labels"
+    reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(gold_path)
+    batches = []
+
+    def first_dimension() -> DataFrame:
+        return rationale_dim if rationale_dim is not None else label_dimension(spark.read.format(fmt).load(gold_path), provider)
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        valid, rejects = adjudicate(batch, run_id=run_id, snapshot_ts=snapshot_ts, rationale_dim=dim)
+        if batch.isEmpty():
+            return
+        batches.append(batch_id)
+        dim = _stored_dimension(spark, dim_path, first_dimension)
+        known = [r["adjudication_label"] for r in dim.select("adjudication_label").collect()]  # <= 3 rows
+        if len(known) < len(LABELS):
+            added = label_dimension(batch, provider).where(~F.col("adjudication_label").isin(known))
+            added.write.mode("append").parquet(dim_path)
+            dim = spark.read.parquet(dim_path)
+        todo = batch
+        if path_exists(spark, out_path):
+            others = spark.read.parquet(out_path).where(F.col("batch_id") != batch_id)
+            todo = remaining(batch, others.select("transaction_id"))
+        valid, rejects = adjudicate(todo, run_id=run_id, snapshot_ts=snapshot_ts, rationale_dim=dim)
         valid.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         rejects.write.mode("overwrite").parquet(f"{out_path}_rejects/batch_id={batch_id}")
 
     query = (stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return sum(1 for p in query.recentProgress if p.numInputRows > 0)
+    return len(batches)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.codec import (comp3_decode, comp3_encode, comp3_encode_hex_quirk, ebcdic_decode,
                                         ebcdic_encode, make_id)
-from ledgerflow.functions.scalar import clamp01, fmt_fixed, fmt_thousands, py_round
+from ledgerflow.functions.scalar import clamp01, format_score, fmt_thousands, round_score
 
 # (hex bytes, lenient, strict) from FIXTURES.md §5
 COMP3_CASES = [
@@ -87,7 +87,7 @@ def test_python_rounding(spark):
     vals += [random.randint(0, 30000000) / 100 / 300000.0 for _ in range(3000)]
     vals += [round(random.random(), 3) for _ in range(2000)]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    out = df.select("v", fmt_fixed("v", 2).alias("f"), py_round("v", 3).alias("r")).collect()
+    out = df.select("v", format_score("v", 2).alias("f"), round_score("v", 3).alias("r")).collect()
     for r in out:
         assert r.f == f"{r.v:.2f}", r.v
         assert r.r == round(r.v, 3), r.v

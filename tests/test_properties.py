@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.codec import comp3_decode, comp3_encode, ebcdic_decode, ebcdic_encode
-from ledgerflow.functions.scalar import fmt_fixed, py_round
+from ledgerflow.functions.scalar import format_score, round_score
 
 
 @settings(max_examples=5, deadline=None)
@@ -36,7 +36,7 @@ def test_ebcdic_round_trip(spark, texts):
 @given(st.lists(st.floats(min_value=0.0, max_value=1.0, allow_nan=False), min_size=1, max_size=300))
 def test_python_exact_rounding(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    for r in df.select("v", fmt_fixed("v", 2).alias("f"), py_round("v", 3).alias("r")).collect():
+    for r in df.select("v", format_score("v", 2).alias("f"), round_score("v", 3).alias("r")).collect():
         assert r.f == f"{r.v:.2f}"
         assert r.r == round(r.v, 3)
 
