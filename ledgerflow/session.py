@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -41,8 +40,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint root named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is only read.
-    When it is unset (unit tests, a laptop) a private temporary folder is
-    configured instead.
+    When it is unset on ``local[...]`` (unit tests, a laptop) a private
+    temporary folder is configured instead; on a cluster that is an error, as
+    executors would not see it.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -52,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset conf raises on some versions
             root = None
     if not root:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc.getCheckpointDir() is None:
@@ -63,11 +65,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory below the shared checkpoint root, unique per call."""
     root = ensure_checkpoint_dir(spark)
     return f"{root}/ledgerflow/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def to_uri(path: str) -> str:
-    """Local absolute paths become file: URIs; anything with a scheme is kept."""
-    if "://" in path or path.startswith("file:"):
-        return path
-    return "file://" + os.path.abspath(path)
-

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..sources.fixed_width import FORMAT_NAME, register
+from ..sources.tables import qualified
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -42,7 +43,7 @@ def write_fixed(df: DataFrame, path: str, record_length: int | None = 35, mode:
     writer = df.select("raw_bytes").write.format(FORMAT_NAME).mode(mode)
     if record_length:
         writer = writer.option("recordLength", record_length)
-    writer.save(path)
+    writer.save(qualified(df.sparkSession, path))
 
 
 def preview(df: DataFrame, n: int = 5) -> None:

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import posixpath
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Iterator
 
@@ -27,11 +28,10 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
                                     WriterCommitMessage)
 
 FORMAT_NAME = "fixedwidth"
-DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024   # upper bound per task, like spark.sql.files.maxPartitionBytes
-MIN_SPLIT_BYTES = 256 * 1024              # lower bound, so tiny inputs are not cut into slivers
-MAX_PARTITIONS = 100_000                  # above this, splits grow instead (100 TB -> ~1 GB ranges)
+DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024   # bytes of a range unless splitBytes is given, like spark.sql.files.maxPartitionBytes
 BATCH_RECORDS = 65536
 PART_SUFFIX = ".bin"
+COMMIT_THREADS = 32                       # renames and deletes in flight at commit
 
 
 def _fs_and_path(path: str):
@@ -45,23 +45,21 @@ def _fs_and_path(path: str):
 
 
 def _list_files(path: str) -> list[tuple[str, int]]:
-    """(path, size) of the data files under ``path`` (a file, a directory or a comma list)."""
+    """(path, size) of the data files under ``path``, a file or a directory. A file whose name, or any folder's
+    below ``path``, begins with ``_`` or ``.`` is not data (Spark's own rule: uncommitted output, markers)."""
     import pyarrow.fs as pafs
 
+    fs, root = _fs_and_path(path)
+    info = fs.get_file_info(root)
+    if info.type == pafs.FileType.NotFound:
+        raise FileNotFoundError(f"input path not found: {path}")
+    if info.type == pafs.FileType.File:
+        return [(path, info.size)]
     out: list[tuple[str, int]] = []
-    for one in [p for p in path.split(",") if p]:
-        fs, root = _fs_and_path(one)
-        info = fs.get_file_info(root)
-        if info.type == pafs.FileType.NotFound:
-            raise FileNotFoundError(f"input path not found: {one}")
-        if info.type == pafs.FileType.File:
-            out.append((one, info.size))
-            continue
-        for child in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
-            name = posixpath.basename(child.path)
-            if child.type != pafs.FileType.File or name.startswith(("_", ".")):
-                continue
-            prefix = one[: len(one) - len(root)] if one.endswith(root) else ""
+    prefix = path[: len(path) - len(root)] if path.endswith(root) else ""
+    for child in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
+        below = posixpath.relpath(child.path, root).split("/")
+        if child.type == pafs.FileType.File and not any(part.startswith(("_", ".")) for part in below):
             out.append((prefix + child.path, child.size))
     return sorted(out)
 
@@ -87,7 +85,7 @@ class FixedWidthReader(DataSourceReader):
         if self.record_length <= 0:
             raise ValueError("fixedwidth: recordLength must be positive")
         self.max_split = int(options.get("splitBytes", DEFAULT_SPLIT_BYTES))
-        self.min_split = min(self.max_split, int(options.get("minSplitBytes", MIN_SPLIT_BYTES)))
+        self.min_split = min(self.max_split, int(options.get("minSplitBytes", self.record_length)))
         self.min_partitions = int(options.get("minPartitions", 1))
         self.tail = options.get("tail", "drop").lower()
         if self.tail not in ("drop", "keep", "fail"):
@@ -99,7 +97,6 @@ class FixedWidthReader(DataSourceReader):
         within [minSplitBytes, splitBytes], aligned to whole records."""
         per_task = -(-total // max(1, self.min_partitions))
         split = min(self.max_split, max(self.min_split, per_task))
-        split = max(split, -(-total // MAX_PARTITIONS))
         return max(self.record_length, split - split % self.record_length)
 
     def partitions(self):
@@ -213,31 +210,28 @@ class FixedWidthWriter(DataSourceArrowWriter):
         import pyarrow.fs as pafs
 
         fs, root = _fs_and_path(self.path)
-        if self.overwrite:
-            for info in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
-                name = posixpath.basename(info.path)
-                if info.type == pafs.FileType.File and name.startswith("part-") and not name.endswith(self.job + PART_SUFFIX):
-                    fs.delete_file(info.path)
-        committed = set()
-        for m in messages:
-            if m is not None:
-                fs.move(m.temp, m.final)
-                committed.add(m.temp)
-        # attempts that failed or were superseded leave temporaries; drop them
-        for info in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
-            if posixpath.basename(info.path).startswith(f"_temporary-{self.job}-") and info.path not in committed:
-                fs.delete_file(info.path)
+        done = [m for m in messages if m is not None]
+        with ThreadPoolExecutor(COMMIT_THREADS) as pool:  # the new parts stand before any old one goes
+            list(pool.map(lambda m: fs.move(m.temp, m.final), done))
+            stale = [i.path for i in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+                     if i.type == pafs.FileType.File and self._is_stale(posixpath.basename(i.path))]
+            list(pool.map(fs.delete_file, stale))
         with fs.open_output_stream(f"{root}/_SUCCESS"):
             pass
 
+    def _is_stale(self, name: str) -> bool:
+        """Temporaries of this job (failed or superseded attempts) and, when overwriting, earlier parts."""
+        if name.startswith(f"_temporary-{self.job}-"):
+            return True
+        return self.overwrite and name.startswith("part-") and not name.endswith(self.job + PART_SUFFIX)
+
     def abort(self, messages) -> None:
-        fs, _ = _fs_and_path(self.path)
-        for m in messages:
-            if m is not None:
-                try:
-                    fs.delete_file(m.temp)
-                except OSError:
-                    pass
+        import pyarrow.fs as pafs
+
+        fs, root = _fs_and_path(self.path)
+        for info in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
+            if posixpath.basename(info.path).startswith(f"_temporary-{self.job}-"):
+                fs.delete_file(info.path)
 
 
 class FixedWidthDataSource(DataSource):

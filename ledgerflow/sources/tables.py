@@ -2,23 +2,71 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..layout import LEDGER_LAYOUT
-from .fixed_width import FORMAT_NAME, register
+from .fixed_width import DEFAULT_SPLIT_BYTES, FORMAT_NAME, register
 
 
 def scan_fixed(spark: SparkSession, path: str, record_length: int = LEDGER_LAYOUT.record_length,
                tail: str = "drop", split_bytes: int | None = None, with_position: bool = False) -> DataFrame:
-    """Fixed-length records from one file, a directory or a comma list, split across tasks."""
+    """Fixed-length records from one file or a directory, split across tasks.
+
+    Files of whole records go through Hadoop's fixed-length input format: the JVM reads them, on any file system
+    that the session knows, with its settings. Files with a ragged tail, told by their length alone, go through the
+    ``fixedwidth`` source, which drops, keeps or fails on the tail. ``with_position`` reads all files that way, and
+    so do paths with a character that the input format takes for a pattern.
+    """
+    path = qualified(spark, path)
+    if with_position or _PATTERN.search(path):
+        return _scan_python(spark, path, record_length, tail, split_bytes, with_position)
+    files = input_files(spark, path)
+    ragged = [r["path"] for r in files.where(F.col("length") % record_length != 0).select("path").collect()]
+    if not ragged:
+        return _scan_jvm(spark, [path], record_length, split_bytes)
+    if tail == "fail":
+        raise ValueError(f"{len(ragged)} files end in a partial record, {ragged[0]} for one")
+    whole = [r["path"] for r in files.where((F.col("length") % record_length == 0) & (F.col("length") > 0)).select("path").collect()]
+    apart = [p for p in whole if _PATTERN.search(p)]
+    whole = [p for p in whole if not _PATTERN.search(p)]
+    parts = [_scan_python(spark, p, record_length, tail, split_bytes, False) for p in ragged + apart]
+    if whole:
+        parts.append(_scan_jvm(spark, whole, record_length, split_bytes))
+    return reduce(DataFrame.union, parts)
+
+
+#: Characters that Hadoop's input formats read as patterns or separators.
+_PATTERN = re.compile(r"[,{}\[\]*?\\]")
+
+
+def input_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of the data files below ``path``; nothing of their content is read."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            .select("path", "length"))
+
+
+def _scan_jvm(spark: SparkSession, paths: list[str], record_length: int, split_bytes: int | None) -> DataFrame:
+    jvm, context = spark._jvm, spark.sparkContext._jsc.sc()
+    conf = jvm.org.apache.hadoop.conf.Configuration(context.hadoopConfiguration())
+    conf.set("mapreduce.input.fileinputformat.input.dir.recursive", "true")
+    conf.set("mapreduce.input.fileinputformat.split.maxsize", str(split_bytes or DEFAULT_SPLIT_BYTES))
+    records = context.binaryRecords(",".join(paths), record_length, conf)
+    frame = spark._jsparkSession.createDataset(records, jvm.org.apache.spark.sql.Encoders.BINARY()).toDF()
+    return DataFrame(frame, spark).toDF("raw_bytes")
+
+
+def _scan_python(spark: SparkSession, path: str, record_length: int, tail: str, split_bytes: int | None,
+                 with_position: bool) -> DataFrame:
     register(spark)
     reader = (spark.read.format(FORMAT_NAME).option("recordLength", record_length).option("tail", tail)
-              .option("withPosition", str(with_position).lower())
-              .option("minPartitions", spark.sparkContext.defaultParallelism))
+              .option("withPosition", str(with_position).lower()))
     if split_bytes:
-        reader = reader.option("splitBytes", split_bytes).option("minSplitBytes", split_bytes)
+        reader = reader.option("splitBytes", split_bytes)
     return reader.load(path)
 
 
@@ -46,12 +94,6 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
-def register_view(df: DataFrame, name: str) -> DataFrame:
-    """Expose a frame to SQL."""
-    df.createOrReplaceTempView(name)
-    return df
-
-
 BRONZE_DLQ_SCHEMA = T.StructType([
     T.StructField("tx_id", T.StringType()), T.StructField("cust_id", T.StringType()),
     T.StructField("raw_balance", T.StringType()), T.StructField("tx_status", T.StringType()),
@@ -82,6 +124,12 @@ def _hadoop_path(spark: SparkSession, path: str):
     return fs, hpath
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme; without one it belongs to the session's default file system (``fs.defaultFS``)."""
+    fs, hpath = _hadoop_path(spark, path)
+    return fs.makeQualified(hpath).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, hpath = _hadoop_path(spark, path)
     return bool(fs.exists(hpath))

@@ -90,11 +90,39 @@ def test_medallion_rejects_kept_tail(spark, tmp):
     assert (kept["ingested"], kept["structural_rejects"], kept["delivered"]) == (4, 1, 3)
 
 
-def test_split_planning_bounds():
-    from ledgerflow.sources.fixed_width import MAX_PARTITIONS, FixedWidthReader
-
-    r = FixedWidthReader({"path": "x", "recordLength": "35", "minPartitions": "8"}, None)
-    assert r._split_bytes(35 * 1000) >= 35 * 1000                      # tiny input: a single split
-    assert r._split_bytes(100 * 2**20) % 35 == 0
-    huge = 100 * 2**40                                                 # 100 TB
-    assert huge / r._split_bytes(huge) <= MAX_PARTITIONS + 1
+def test_split_planning():
+    from ledgerflow.sources.fixed_width import FixedWidthReader
+
+    assert FixedWidthReader({"path": "x", "splitBytes": "1000"}, None)._split_bytes(100 * 2**40) == 980  # as asked, in whole records
+    assert FixedWidthReader({"path": "x", "minPartitions": "8"}, None)._split_bytes(35 * 1000) <= 35 * 125
+
+
+def test_whole_files_are_read_by_the_jvm(spark, tmp):
+    recs = _records(500)
+    os.makedirs(os.path.join(tmp, "in", "sub"))
+    _write(os.path.join(tmp, "in", "x.bin"), b"".join(recs[:300]))
+    _write(os.path.join(tmp, "in", "sub", "y.bin"), b"".join(recs[300:]))
+    os.makedirs(os.path.join(tmp, "in", "_temporary", "0"))
+    _write(os.path.join(tmp, "in", "_temporary", "0", "z.bin"), b"".join(recs))
+    _write(os.path.join(tmp, "in", ".hidden"), b"x" * 7)
+    df = scan_fixed(spark, os.path.join(tmp, "in"), split_bytes=35 * 64)
+    assert sorted(bytes(r.raw_bytes) for r in df.collect()) == sorted(recs)
+    assert df.rdd.getNumPartitions() >= 8
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "BatchScan" not in plan
+    os.rename(os.path.join(tmp, "in", "sub"), os.path.join(tmp, "in", "sub,1"))
+    assert scan_fixed(spark, os.path.join(tmp, "in", "sub,1")).count() == 200
+    _write(os.path.join(tmp, "in", "ragged.bin"), b"".join(recs[:3]) + b"tail")
+    assert scan_fixed(spark, os.path.join(tmp, "in")).count() == 503
+    assert scan_fixed(spark, os.path.join(tmp, "in"), tail="keep").count() == 504
+
+
+def test_checkpoint_dir_is_required_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from ledgerflow.session import ensure_checkpoint_dir
+
+    unset = SimpleNamespace(get=lambda *a: None)
+    session = SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: unset, master="spark://x:7077"), conf=unset)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)
