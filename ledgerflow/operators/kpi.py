@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +10,7 @@ from pyspark.sql import types as T
 from ..contracts import Contract, load_contract
 from ..functions.codec import comp3_decode
 from ..layout import LEDGER_LAYOUT, RecordLayout
-from .bronze import parse_records, structural_rules
+from .bronze import parse_records, record_length_rule, structural_rules
 from .product import risk_bucket, semantic_rules
 from .split import reason_column
 from .vault import balance_rules
@@ -18,13 +19,14 @@ STAGES = ("structural", "malformed", "semantic", "gold")
 
 
 def route_records(raw: DataFrame, strict: bool = False, contract: Contract | str | dict = "consumer",
-                  layout: RecordLayout = LEDGER_LAYOUT) -> DataFrame:
+                  layout: RecordLayout = LEDGER_LAYOUT, check_length: bool = False) -> DataFrame:
     """Every record with its decoded fields, its ``stage`` (where it ends up) and
-    ``rejection_reason``. The same rules as the layer operators, evaluated once."""
+    ``rejection_reason``. The same rules as the layer operators, evaluated once.
+    ``check_length`` rejects records that are not of full width."""
     allowed = load_contract(contract).allowed_values("risk_category") or []
-    decoded = parse_records(raw, layout).withColumn(
+    decoded = parse_records(raw, layout, keep=["raw_bytes"] if check_length else None).withColumn(
         "unpacked_balance", comp3_decode(F.col("raw_balance"), strict=strict))
-    structural = reason_column(structural_rules())
+    structural = reason_column(([record_length_rule(layout)] if check_length else []) + structural_rules())
     malformed = reason_column(balance_rules())
     product = decoded.withColumns({
         "account_balance": F.col("unpacked_balance"),
@@ -35,7 +37,7 @@ def route_records(raw: DataFrame, strict: bool = False, contract: Contract | str
               .when(malformed.isNotNull(), F.lit("malformed"))
               .when(semantic.isNotNull(), F.lit("semantic"))
               .otherwise(F.lit("gold")))
-    return product.withColumns({"stage": stage, "rejection_reason": F.coalesce(structural, malformed, semantic)})
+    return product.withColumns({"stage": stage, "rejection_reason": F.coalesce(structural, malformed, semantic)}).drop("raw_bytes")
 
 
 def stage_counts(routed: DataFrame) -> list[Column]:
@@ -90,7 +92,7 @@ def check_layer(spark: SparkSession, name: str, path: str, formats: tuple[str, .
             if where:
                 df = df.where(where)
             return (name, path, fmt, "ok", df.count())
-        except Exception:  # noqa: BLE001 - any load failure moves on to the next format
+        except AnalysisException:  # no such path, or not of this format; any other failure is the caller's to see
             continue
     return (name, path, None, "inaccessible", None)
 

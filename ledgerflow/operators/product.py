@@ -60,8 +60,8 @@ def apply_masking(df: DataFrame, policy: Contract | dict | list | str = "consume
 
 
 def project_gold(df: DataFrame) -> DataFrame:
-    """P9."""
-    return df.select(*GOLD_COLUMNS)
+    """P9. The balance is a double, as the contract says, whichever decoder made it."""
+    return df.withColumn("account_balance", F.col("account_balance").cast("double")).select(*GOLD_COLUMNS)
 
 
 def process_gold(silver: DataFrame, contract: Contract | str | dict = "consumer",

@@ -28,6 +28,7 @@ from ..operators.vault import build_vault, process_silver, vault_join
 from ..contracts import load_contract
 from ..session import scratch_path
 from ..sinks.tables import dump_json
+from ..sources.tables import read_dlq
 from .bridge import BLANK_EVERY, CORRUPT_EVERY, NEGATIVE_EVERY
 from .dumps import ledger_dump
 from .medallion import layer_paths, run_medallion
@@ -130,9 +131,25 @@ def q_sat_account_state(spark, sf):
     return _vault(spark, sf)["sat_account_state"]
 
 
+def q_vault_gold(spark, sf):
+    """The written vault, joined again and put through the consumer gates and masking; it equals gold."""
+    joined = q_vault_join(spark, sf)
+    silver = joined.select(F.col("source_tx_id").alias("tx_id"), F.col("source_cust_id").alias("cust_id"),
+                           F.col("ledger_status").alias("tx_status"), F.col("account_balance").alias("unpacked_balance"))
+    return process_gold(silver)[0]
+
+
+def q_dlq_read(spark, sf):
+    """The written producer dead-letter queue, read with its explicit schema."""
+    out, _ = _medallion(spark, sf)
+    return read_dlq(spark, layer_paths(out)["dlq/structural"]).select(
+        "tx_id", _hex("raw_balance").alias("raw_balance_hex"), "unpacked_balance", "rejection_reason")
+
+
 def q_vault_join(spark, sf):
-    v = _vault(spark, sf)
-    return vault_join(v["hub_customer"], v["lnk_transaction"], v["sat_account_state"])
+    out, _ = _medallion(spark, sf)
+    return vault_join(*[spark.read.parquet(layer_paths(out)[f"silver/{t}"])
+                        for t in ("hub_customer", "lnk_transaction", "sat_account_state")])
 
 
 def q_risk_bucket(spark, sf):
@@ -349,7 +366,7 @@ def q_layer_audit(spark, sf):
     out, _ = _medallion(spark, sf)
     p = layer_paths(out)
     audit = layer_audit(spark, [
-        ("BRONZE LAYER", p["bronze"], "gate = 'valid'"),
+        ("BRONZE LAYER", p["bronze"]),
         ("GOLD LAYER", p["gold"]),
         ("STRUCTURAL DLQ", p["dlq/structural"]),
         ("SEMANTIC DLQ", p["dlq/semantic"]),
@@ -371,6 +388,8 @@ QUERIES: dict[str, Query] = {
     "lnk_transaction": q_lnk_transaction,
     "sat_account_state": q_sat_account_state,
     "vault_join": q_vault_join,
+    "vault_gold": q_vault_gold,
+    "dlq_read": q_dlq_read,
     "risk_bucket": q_risk_bucket,
     "gold_product": q_gold_product,
     "dlq_semantic": q_dlq_semantic,
@@ -526,7 +545,13 @@ ORACLE_SQL: dict[str, str] = {
     "vault_join": _w(
         "SELECT DISTINCT sha256(concat_ws('||', trim(tx_id), trim(cust_id))) AS transaction_link_hash_key, "
         "sha256(trim(cust_id)) AS customer_hash_key, trim(tx_id) AS source_tx_id, trim(cust_id) AS source_cust_id, "
-        "balance AS account_balance, trim(tx_status) AS ledger_status FROM bronze"),
+        "CAST(balance AS DECIMAL(9,2)) AS account_balance, trim(tx_status) AS ledger_status FROM bronze WHERE NOT corrupt"),
+    "vault_gold": _w("SELECT g.transaction_hash_id, g.masked_customer_id, g.account_balance, g.risk_category "
+                     "FROM gold g JOIN bronze b ON g.transaction_hash_id = sha256(trim(b.tx_id)) WHERE NOT b.corrupt"),
+    "dlq_read": _w(
+        f"SELECT tx_id, {_RAW_HEX_CORRUPT} AS raw_balance_hex, CAST(NULL AS DOUBLE) AS unpacked_balance, "
+        f"'{_MISSING}' AS rejection_reason FROM structural "
+        f"UNION ALL SELECT tx_id, {_RAW_HEX_CORRUPT}, CAST(NULL AS DOUBLE), '{_MALFORMED}' FROM bronze WHERE corrupt"),
     "risk_bucket": _w("SELECT tx_id, account_balance, risk_category FROM silver"),
     "gold_product": _w("SELECT transaction_hash_id, masked_customer_id, account_balance, risk_category FROM gold"),
     "dlq_semantic": _w(

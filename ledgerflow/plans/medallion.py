@@ -2,34 +2,33 @@
 
 Shape of the job, chosen for very large dumps:
 
-1. One pass over the source. Records are parsed, gated and written once, as
-   the bronze table partitioned by ``gate`` (``valid`` / ``structural``).
-   Nothing is lost: rejected rows sit in their own partition with the reason.
-   The written table cuts the lineage, so later stages never re-read the dump,
-   and a lost executor only repeats work from bronze onwards.
-2. The silver hand-off (valid bronze + decoded balance) is persisted with
-   MEMORY_AND_DISK and feeds the vault, gold and the reject queues. Partition
-   pruning on ``gate`` and column pruning keep each scan narrow.
-3. Counts come from ``Observation``s attached to the writes. No extra action
-   runs just to count.
+1. One pass over the source decodes and judges every record and writes it
+   once, partitioned by ``stage`` (where it ends up), with its balance and
+   reason, to the shared scratch folder. That table cuts the lineage: later
+   stages never read the dump again, and work that a lost executor repeats
+   starts from it. Nothing is persisted on executors.
+2. Bronze, the vault, gold and the dead-letter queues are reads of that table,
+   pruned to their stages and columns. The counts are one aggregate over its
+   partition column. The scratch table goes when all layers are written.
 """
 
 from __future__ import annotations
 
 import posixpath
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import Contract
-from ..operators.bronze import BRONZE_COLUMNS, parse_records, record_length_rule, structural_rules
-from ..operators.kpi import assert_conserved
+from ..layout import LEDGER_LAYOUT
+from ..operators.bronze import BRONZE_COLUMNS
+from ..operators.kpi import assert_conserved, route_records
 from ..operators.product import process_gold
-from ..operators.split import REASON, reason_column, split
-from ..operators.vault import balance_rules, build_vault, with_balance
+from ..operators.split import REASON
+from ..operators.vault import build_vault
+from ..session import scratch_path
 from ..sinks.tables import write_dlq, write_table
-from ..sources.tables import require_path, scan_fixed
+from ..sources.tables import input_files, remove, require_path, scan_fixed
 
 LAYERS = ("bronze", "silver/hub_customer", "silver/lnk_transaction", "silver/sat_account_state", "gold",
           "dlq/structural", "dlq/semantic")
@@ -39,68 +38,53 @@ def layer_paths(out_dir: str) -> dict[str, str]:
     return {name: posixpath.join(out_dir, name) for name in LAYERS}
 
 
-def read_bronze(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> DataFrame:
-    """The bronze layer as the legacy 4-column table of records that passed the gate."""
-    return (spark.read.format(fmt).load(layer_paths(out_dir)["bronze"])
-                 .where(F.col("gate") == "valid").select(*BRONZE_COLUMNS))
-
-
 def run_medallion(spark: SparkSession, source: str | DataFrame, out_dir: str, strict: bool = False,
-                  contract: Contract | str | dict = "consumer", fmt: str = "parquet", tail: str = "drop",
+                  contract: Contract | str | dict = "consumer", fmt: str = "parquet", tail: str = "keep",
                   check: bool = True) -> dict:
-    """Run every layer, write every table, return the KPI counts (A1/A2/A3)."""
+    """Run every layer, write every table, return the KPI counts (A1/A2/A3).
+
+    A partial record at a file's end is kept and rejected (``tail="keep"``), dropped and counted as
+    ``dropped_tails`` (``"drop"``), or stops the run (``"fail"``).
+    """
+    dropped = 0
     if isinstance(source, str):
         raw = scan_fixed(spark, require_path(spark, source), tail=tail)
+        if tail == "drop":
+            dropped = input_files(spark, source).where(F.col("length") % LEDGER_LAYOUT.record_length != 0).count()
     else:
         raw = source
     paths = layer_paths(out_dir)
 
-    # 1. bronze: one pass over the source, every record kept, routed by gate.
-    #    With tail="keep" a short last record is rejected here by the length rule.
-    rules = ([record_length_rule()] if tail == "keep" else []) + structural_rules()
-    parsed = parse_records(raw, keep=["raw_bytes"] if tail == "keep" else None)
-    parsed = parsed.withColumn(REASON, reason_column(rules)).withColumn(
-        "gate", F.when(F.col(REASON).isNull(), F.lit("valid")).otherwise(F.lit("structural")))
-    if tail == "keep":
-        parsed = parsed.drop("raw_bytes")
-    ingest = Observation("ingest")
-    parsed = parsed.observe(ingest, F.count(F.lit(1)).alias("ingested"),
-                            F.count_if(F.col("gate") == "structural").alias("structural_rejects"))
-    write_table(parsed, paths["bronze"], fmt, partition_by=["gate"])
-    bronze_all = spark.read.format(fmt).load(paths["bronze"])
-    bronze = bronze_all.where(F.col("gate") == "valid").select(*BRONZE_COLUMNS)
-    structural = bronze_all.where(F.col("gate") == "structural").select(*BRONZE_COLUMNS, REASON)
-
-    # 2. silver hand-off, persisted once for the vault, gold and reject writes.
-    silver_all = with_balance(bronze, strict=strict).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        silver, malformed = split(silver_all, balance_rules())
-        producer_rejects = structural.unionByName(malformed, allowMissingColumns=True)
-        rejected = Observation("producer_dlq")
-        write_dlq(producer_rejects.observe(rejected, F.count_if(F.col(REASON) == F.lit(
-            balance_rules()[0].reason)).alias("malformed_rejects")), paths["dlq/structural"])
-
-        counts: dict[str, int] = {}
-        for name, table in build_vault(silver).items():
-            obs = Observation(name)
-            write_table(table.observe(obs, F.count(F.lit(1)).alias("n")), paths[f"silver/{name}"], fmt)
-            counts[name] = obs.get["n"]
-
-        gold, semantic = process_gold(silver, contract)
-        delivered, sem_obs = Observation("gold"), Observation("semantic")
-        write_table(gold.observe(delivered, F.count(F.lit(1)).alias("n")), paths["gold"], fmt)
-        write_dlq(semantic.observe(sem_obs, F.count(F.lit(1)).alias("n")), paths["dlq/semantic"])
-    finally:
-        silver_all.unpersist()
+    scratch = scratch_path(spark, "routed")
+    columns = [*BRONZE_COLUMNS, "unpacked_balance", REASON, "stage"]
+    judged = route_records(raw, strict=strict, contract=contract, check_length=tail == "keep").select(*columns)
+    judged.write.partitionBy("stage").parquet(scratch)
+    routed = spark.read.schema(judged.schema).parquet(scratch)
+    stage, balance = F.col("stage"), F.col("unpacked_balance")
+    count = {r["stage"]: r["count"] for r in routed.groupBy("stage").count().collect()}  # one row per stage
+
+    write_table(routed.where(stage != "structural").select(*BRONZE_COLUMNS), paths["bronze"], fmt)
+    producer = routed.where(stage.isin("structural", "malformed"))
+    write_dlq(producer.select(*BRONZE_COLUMNS, REASON, F.when(stage == "malformed", balance).alias("unpacked_balance")),
+              paths["dlq/structural"])
+    rows = {}
+    silver = routed.where(stage.isin("semantic", "gold")).select(*BRONZE_COLUMNS, "unpacked_balance")
+    for name, table in build_vault(silver).items():
+        write_table(table, paths[f"silver/{name}"], fmt)
+        rows[name] = spark.read.format(fmt).load(paths[f"silver/{name}"]).count()
+    clean = [*BRONZE_COLUMNS, "unpacked_balance"]
+    write_table(process_gold(routed.where(stage == "gold").select(*clean), contract)[0], paths["gold"], fmt)
+    write_dlq(process_gold(routed.where(stage == "semantic").select(*clean), contract)[1], paths["dlq/semantic"])
+    remove(spark, scratch)
 
     kpi = {
-        **ingest.get,
-        "malformed_rejects": rejected.get["malformed_rejects"],
-        "semantic_rejects": sem_obs.get["n"],
-        "delivered": delivered.get["n"],
-        "hub_customer": counts["hub_customer"],
-        "lnk_transaction": counts["lnk_transaction"],
-        "sat_account_state": counts["sat_account_state"],
+        "ingested": sum(count.values()),
+        "structural_rejects": count.get("structural", 0),
+        "malformed_rejects": count.get("malformed", 0),
+        "semantic_rejects": count.get("semantic", 0),
+        "delivered": spark.read.format(fmt).load(paths["gold"]).count(),
+        "dropped_tails": dropped,
+        **rows,
     }
     accounted = kpi["delivered"] + kpi["structural_rejects"] + kpi["malformed_rejects"] + kpi["semantic_rejects"]
     kpi["survival_pct"] = 100.0 * accounted / kpi["ingested"] if kpi["ingested"] else None
@@ -117,5 +101,6 @@ def kpi_lines(kpi: dict) -> list[str]:
         f"Clean data products loaded in gold: {kpi['delivered']:,}",
         f"Structural anomalies (producer DLQ): {kpi['structural_rejects'] + kpi['malformed_rejects']:,}",
         f"Semantic anomalies (consumer DLQ): {kpi['semantic_rejects']:,}",
+        f"Partial records dropped at file ends: {kpi.get('dropped_tails', 0):,}",
         f"Record survival rate: {survival}",
     ]

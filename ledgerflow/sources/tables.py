@@ -135,6 +135,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library made."""
+    fs, hpath = _hadoop_path(spark, path)
+    fs.delete(hpath, True)
+
+
 def require_path(spark: SparkSession, path: str) -> str:
     """Fail early on a missing input, listing what the parent folder holds."""
     fs, hpath = _hadoop_path(spark, path)

@@ -84,10 +84,12 @@ def test_medallion_rejects_kept_tail(spark, tmp):
     path = os.path.join(tmp, "in")
     os.makedirs(path)
     _write(os.path.join(path, "d.bin"), bytes(rec) * 3 + bytes(rec)[:30])
-    dropped = run_medallion(spark, path, os.path.join(tmp, "o1"))
-    assert (dropped["ingested"], dropped["delivered"]) == (3, 3)
-    kept = run_medallion(spark, path, os.path.join(tmp, "o2"), tail="keep")
-    assert (kept["ingested"], kept["structural_rejects"], kept["delivered"]) == (4, 1, 3)
+    dropped = run_medallion(spark, path, os.path.join(tmp, "o1"), tail="drop")
+    assert (dropped["ingested"], dropped["delivered"], dropped["dropped_tails"]) == (3, 3, 1)
+    kept = run_medallion(spark, path, os.path.join(tmp, "o2"))
+    assert (kept["ingested"], kept["structural_rejects"], kept["delivered"], kept["dropped_tails"]) == (4, 1, 3, 0)
+    bronze = spark.read.parquet(os.path.join(tmp, "o2", "bronze"))
+    assert bronze.columns == ["tx_id", "cust_id", "raw_balance", "tx_status"] and bronze.count() == 3
 
 
 def test_split_planning():
