@@ -13,12 +13,12 @@ nearest to a word and to its one-bit neighbours (about six) are its keys, and
 words within two bits share one. A key is an exact segment with one codeword of
 the next: about 16 keys a fingerprint, 34 bits each.
 
-Links. Fingerprints are made distinct first, so copies cost nothing. Buckets of
-up to SMALL_BUCKET fingerprints are compared pairwise and only true links come
-out. Larger buckets (dense groups of near copies) never form pairs: each of
-their fingerprints names the values within one bit of it, and two fingerprints
-within two bits name a value in common, which joins them. That is exact too,
-and linear in the bucket.
+Links. Fingerprints are made distinct first, so copies cost nothing. Within a
+bucket of up to SMALL_BUCKET fingerprints all are compared, and a spanning
+forest of the true links comes out: at most one link a fingerprint, however
+dense the bucket. In larger buckets each fingerprint names the values within
+one bit of it; two fingerprints within two bits name a value in common and
+link to the smallest that names it. That is exact too, and linear.
 
 Groups. Links go through alternating star contractions until nothing changes;
 each round is written to the shared folder, which also cuts the lineage.
@@ -40,8 +40,8 @@ from ledgerflow.llm.storage import materialise
 SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 2
 #: Bits of the three segments, lowest first.
 SEGMENTS = (22, 21, 21)
-#: Buckets up to this size are compared pairwise; larger ones go through shared neighbours.
-SMALL_BUCKET = 32
+#: Buckets up to this size are compared pairwise in numpy; larger ones go through shared neighbours.
+SMALL_BUCKET = 1024
 
 # Length, message bits and generator polynomial of the binary Golay code.
 GOLAY_BITS, GOLAY_MESSAGE, GOLAY_POLYNOMIAL = 23, 12, 0b110001110101
@@ -130,23 +130,44 @@ def candidate_keys(distinct: DataFrame) -> DataFrame:
     return distinct.select("fingerprint").mapInArrow(run, "key long, fingerprint long")
 
 
+def spanning_forest(values: np.ndarray) -> list[tuple[int, int]]:
+    """Links (value, value) that connect exactly what the links of all pairs within MAX_BITS connect."""
+    if len(values) == 2:
+        a, b = values.tolist()
+        return [(a, b)] if ((a ^ b) & 0xFFFFFFFFFFFFFFFF).bit_count() <= MAX_BITS else []
+    bits, out, left = values.view(np.uint64), [], np.arange(len(values))
+    while len(left):
+        front, left = left[:1], left[1:]
+        while len(front) and len(left):
+            near = np.bitwise_count(bits[left][:, None] ^ bits[front][None, :]) <= MAX_BITS
+            found = near.any(axis=1)
+            out += zip(values[left[found]].tolist(), values[front[near[found].argmax(axis=1)]].tolist())
+            front, left = left[found], left[~found]
+    return out
+
+
 def links(distinct: DataFrame) -> DataFrame:
-    """(a, b): edges whose components are those of the links; b may be a shared neighbour value instead of a fingerprint."""
+    """(a, b): fingerprints whose components are those of all links."""
     keyed = candidate_keys(distinct)
     sizes = keyed.groupBy("key").count().where("count > 1")
     shared = materialise(keyed.join(sizes, "key"), "simhash-buckets")
-    small = shared.where(F.col("count") <= SMALL_BUCKET).groupBy("key").agg(F.sort_array(F.collect_list("fingerprint")).alias("all"))
-    pairs = F.expr(f"""
-        flatten(transform(all, (a, i) -> transform(
-            filter(slice(all, i + 2, {SMALL_BUCKET}), b -> bit_count(a ^ b) <= {MAX_BITS}),
-            b -> struct(a AS a, b AS b))))""")
-    close = small.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
+
+    def run(batches):
+        for batch in batches:
+            ends, values = batch.column(0).offsets.to_numpy(), batch.column(0).values.to_numpy()
+            pairs = [p for i, j in zip(ends[:-1].tolist(), ends[1:].tolist()) for p in spanning_forest(values[i:j])]
+            a, b = zip(*pairs) if pairs else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    small = shared.where(F.col("count") <= SMALL_BUCKET).groupBy("key").agg(F.collect_list("fingerprint").alias("all"))
+    close = small.select("all").mapInArrow(run, "a long, b long")
     crowded = shared.where(F.col("count") > SMALL_BUCKET).select("fingerprint").distinct()
     one_off = F.transform(F.sequence(F.lit(-1), F.lit(63)),
                           lambda i: F.when(i < 0, F.col("fingerprint"))
                           .otherwise(F.col("fingerprint").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))))
-    named = crowded.select(F.col("fingerprint").alias("a"), F.explode(one_off).alias("b"))
-    return close.union(named.where("a != b")).distinct()
+    named = crowded.select(F.col("fingerprint").alias("a"), F.explode(one_off).alias("near"))
+    firsts = named.groupBy("near").agg(F.min("a").alias("b"), F.count("*").alias("n")).where("n > 1").select("near", "b")
+    return close.union(named.join(firsts, "near").where("a != b").select("a", "b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
