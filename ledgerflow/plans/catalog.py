@@ -16,7 +16,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codec import (comp3_decode, comp3_encode, comp3_encode_hex_quirk,
+from ..functions.codec import (comp3_decode, comp3_encode,
                                ebcdic_decode, ebcdic_encode)
 from ..layout import LEDGER_LAYOUT
 from ..operators import adjudicate as adj
@@ -97,8 +97,7 @@ def q_comp3_encode_hex(spark, sf):
     orders = spark.read.parquet(f"{sf}/orders.parquet")
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     signed = F.when(F.col("o_orderkey") % NEGATIVE_EVERY == 0, -cents).otherwise(cents)
-    return orders.select("o_orderkey", F.hex(comp3_encode(signed)).alias("packed_hex"),
-                         F.hex(comp3_encode_hex_quirk(cents)).alias("legacy_packed_hex"))
+    return orders.select("o_orderkey", F.hex(comp3_encode(signed)).alias("packed_hex"))
 
 
 def q_ebcdic_roundtrip(spark, sf):
@@ -522,9 +521,7 @@ ORACLE_SQL: dict[str, str] = {
     "comp3_strict": _w("SELECT tx_id, CASE WHEN corrupt THEN NULL ELSE CAST(balance AS DECIMAL(9,2)) END AS balance "
                        "FROM bronze"),
     "comp3_encode_hex": _w(
-        "SELECT o_orderkey, bal_hex AS packed_hex, "
-        "right(repeat('0', 10) || hex(abs(CAST(round(o_totalprice * 100) AS BIGINT))) || 'C', 10) AS legacy_packed_hex "
-        "FROM enc JOIN orders USING (o_orderkey)"),
+        "SELECT o_orderkey, bal_hex AS packed_hex FROM enc JOIN orders USING (o_orderkey)"),
     "ebcdic_roundtrip": (
         "SELECT c_custkey, array_to_string(list_transform(string_split(c_name, ''), lambda x: "
         + _ebcdic_hex_map() + "[x]), '') AS c_name_ebcdic_hex, c_name, c_mktsegment FROM customer"),

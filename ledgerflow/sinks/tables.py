@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..session import scratch_path
 from ..sources.fixed_width import FORMAT_NAME, register
-from ..sources.tables import qualified
+from ..sources.tables import qualified, remove
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -25,11 +26,18 @@ def write_dlq(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def publish(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
-    """K5/K6: publish a product as Parquet (nested columns kept); an empty frame is a no-op."""
-    if df.isEmpty():
-        return False
-    df.write.mode(mode).parquet(path)
-    return True
+    """K5/K6: publish a product as Parquet (nested columns kept); an empty frame is a no-op.
+
+    The plan runs once, into a scratch table, whose rows are then published.
+    """
+    scratch = scratch_path(df.sparkSession, "to-publish")
+    df.write.parquet(scratch)
+    rows = df.sparkSession.read.schema(df.schema).parquet(scratch)
+    some = not rows.isEmpty()
+    if some:
+        rows.write.mode(mode).parquet(path)
+    remove(df.sparkSession, scratch)
+    return some
 
 
 def dump_json(df: DataFrame, path: str) -> None:

@@ -3,9 +3,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.codec import (comp3_decode, comp3_encode, comp3_encode_hex_quirk, ebcdic_decode,
+from ledgerflow.functions.codec import (comp3_decode, comp3_encode, ebcdic_decode,
                                         ebcdic_encode, make_id)
 from ledgerflow.functions.scalar import clamp01, format_score, fmt_thousands, round_score
+from legacy import comp3_encode_hex_quirk
 
 # (hex bytes, lenient, strict) from FIXTURES.md §5
 COMP3_CASES = [

@@ -3,10 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.codec import comp3_encode_hex_quirk, encode_text_field, make_id
+from ledgerflow.functions.codec import encode_text_field, make_id
 from ledgerflow.operators import adjudicate as adj
 from ledgerflow.plans.medallion import layer_paths, run_medallion
 from ledgerflow.sinks.tables import write_fixed
+from legacy import comp3_encode_hex_quirk
 
 
 def golden_records(spark, n=10000):
