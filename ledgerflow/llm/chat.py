@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 
 from ledgerflow.llm.storage import materialise
 
-_QUOTE = r"^(?:[ \t]*>)+"
+_QUOTE = r"^[ \t>]*>"  # no repeated group, which Java's matcher would recurse into
 _WROTE = r"^On .* wrote:[ \t]*$"
 
 

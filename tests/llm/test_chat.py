@@ -51,6 +51,6 @@ def test_long_chain_and_no_python(spark):
     assert "Python" not in frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("text,level", [("no", 0), (">a", 1), ("> > b", 2), (">>> c", 3), ("a > b", 0)])
+@pytest.mark.parametrize("text,level", [("no", 0), (">a", 1), ("> > b", 2), (">>> c", 3), ("a > b", 0), (" >\t> d", 2), ("> " * 50_000, 50_000)])
 def test_levels(spark, text, level):
     assert chat.parse(spark.createDataFrame([(1, 0, "r", text)], SCHEMA)).first()["quote_levels"] == level
