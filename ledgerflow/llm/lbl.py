@@ -18,7 +18,7 @@ parameters, and the results are averaged, weighted by tokens. Each training
 text is used in one round, so all of them are used once.
 
 What a task holds is bounded: the symbols and the known counts of the
-HEAVY_WORDS most frequent words are broadcast. The counts of all other words
+most frequent words, HEAVY_WORDS at most, are broadcast. The counts of all other words
 stay distributed and meet the texts' rare words in a join.
 """
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.arrow import with_columns
 from ledgerflow.llm.storage import materialise
 
-#: Most frequent words with a symbol of their own, buckets of other words, and most frequent words whose counts are broadcast.
+#: Most frequent words with a symbol of their own, buckets of other words, and words whose counts are broadcast, at most.
 OWN_WORDS, BUCKETS, HEAVY_WORDS = 447, 64, 100_000
 CONTEXT, DIMENSIONS, ROUNDS = 2, 16, 2
 BATCH, NOISE, RATE = 2048, 64, 0.05
@@ -108,12 +108,29 @@ class Vocabulary:
         return np.log(counts / counts.sum())
 
 
+def _heavy_threshold(counts: DataFrame) -> int | None:
+    """The least count such that at most HEAVY_WORDS tokens have it or more; None if even the highest counts are too many.
+
+    From a histogram of the counts in steps of an eighth of a power of two: a few hundred rows, no sort of the words.
+    """
+    step = F.floor(F.log2("n") * 8).alias("step")
+    bars = sorted(counts.groupBy(step).agg(F.count("*").alias("words"), F.min("n").alias("least")).collect(), reverse=True)
+    least, words = None, 0
+    for bar in bars:
+        words += bar["words"]
+        if words > HEAVY_WORDS:
+            break
+        least = bar["least"]
+    return least
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """Totals and the most frequent tokens of the written counts; rows that reach the driver are bounded."""
     ends = F.sum(F.when(F.length("token") == 0, F.col("n")))
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct"),
                         F.coalesce(ends, F.lit(0)).alias("ends")).first()
-    heavy = {bytes(r["token"]): r["n"] for r in counts.orderBy(F.desc("n"), "token").limit(HEAVY_WORDS).collect()}
+    least = _heavy_threshold(counts)
+    heavy = {} if least is None else {bytes(r["token"]): r["n"] for r in counts.where(F.col("n") >= least).collect()}
     if totals["ends"]:
         heavy[END] = totals["ends"]
     own = sorted((t for t in heavy if t != END), key=lambda t: (-heavy[t], t))[:OWN_WORDS]
@@ -301,23 +318,23 @@ def _scored(own: DataFrame, text_col: str, counts: DataFrame, shared, fitted, wo
         out = {"n_tokens": sizes, "sure": [], "base_part": [], "model_part": [], "rare": []}
         for t, (w, part) in enumerate(zip(split, model_part.tolist())):
             found = [heavy.get(x, 0) for x in w]
-            rare = [x for x, n in zip(w, found) if not n]
+            rare = Counter(x for x, n in zip(w, found) if not n)
             had = np.array([n for n in found if n], np.float64)
             logs = float(np.log(had + 0.5).sum())
             mine = np.array([n for x, n in zip(w, found) if n and x not in symbol], np.float64)
             out["sure"].append(len(had) + (end_count > 0))
             out["base_part"].append(logs + float(np.log(end_count + 0.5)))
             out["model_part"].append(part + float(np.log(mine + 0.5).sum()))
-            out["rare"].append(rare)
+            out["rare"].append([{"token": x, "times": n} for x, n in rare.items()])
         return out
 
     scored = with_columns(own.withColumn("row", F.monotonically_increasing_id()), [text_col], [id_col, "held_out", "row"],
-                          "n_tokens long, sure long, base_part double, model_part double, rare array<binary>", compute)
+                          "n_tokens long, sure long, base_part double, model_part double, "
+                          "rare array<struct<token: binary, times: long>>", compute)
     scored = materialise(scored, "lbl-scored")
-    rare = scored.select("row", F.explode("rare").alias("token"))
+    rare = scored.select("row", F.inline("rare"))
     unseen = float(np.log(0.5))
-    looked = (rare.groupBy("row", "token").agg(F.count("*").alias("times"))
-              .join(counts, "token", "left")
+    looked = (rare.join(counts.where(F.length("token") > 0), "token", "left")
               .groupBy("row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("found"),
                                   F.sum(F.col("times") * F.when(F.col("n").isNotNull(), F.log(F.col("n") + 0.5))
                                         .otherwise(unseen)).alias("logs")))
