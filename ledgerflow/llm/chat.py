@@ -33,7 +33,8 @@ def _normal(text: Column) -> Column:
 
 def _hashes(texts: Column) -> Column:
     """Distinct hashes of the texts that hold a letter or digit."""
-    return F.array_distinct(F.transform(F.filter(F.transform(texts, _normal), lambda x: x != ""), lambda x: F.md5(x)))
+    distinct = F.array_distinct(texts)  # a text of one line is its own paragraph and line
+    return F.array_distinct(F.transform(F.filter(F.transform(distinct, _normal), lambda x: x != ""), lambda x: F.md5(x)))
 
 
 def parse(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -82,19 +83,22 @@ def reply_links(parsed: DataFrame) -> DataFrame:
 def roots(links: DataFrame) -> DataFrame:
     """(conv_id, turn, thread, depth): the first message of each linked message's tree and the steps to it.
 
-    Pointer doubling: a round joins each message's pointer with its target's, so a chain of n takes log n rounds.
+    Pointer doubling: a round joins each pointer that isn't at a root yet with its target's pointer, so a chain of
+    n takes log n rounds, and messages that have arrived take no further part.
     """
-    moving = materialise(links.select("conv_id", "turn", F.col("reply_to").alias("thread"), F.lit(1).cast("long").alias("depth")),
-                         "chat-pointers")
-    while True:
-        on = moving.select("conv_id", F.col("turn").alias("thread"), F.col("thread").alias("next"), F.col("depth").alias("more"))
-        stepped = moving.join(on, ["conv_id", "thread"], "left").select(
-            "conv_id", "turn", F.coalesce("next", "thread").alias("thread"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("moved"))
-        moving = materialise(stepped, "chat-pointers")
-        if moving.where("moved").limit(1).count() == 0:
-            return moving.drop("moved")
-        moving = moving.drop("moved")
+    target = links.select("conv_id", F.col("turn").alias("thread"), F.lit(True).alias("linked"))
+    pointers = materialise(
+        links.select("conv_id", "turn", F.col("reply_to").alias("thread"), F.lit(1).cast("long").alias("depth"))
+        .join(target, ["conv_id", "thread"], "left")
+        .select("conv_id", "turn", "thread", "depth", F.col("linked").isNull().alias("arrived")), "chat-pointers")
+    while pointers.where("not arrived").limit(1).count():
+        jump = pointers.select("conv_id", F.col("turn").alias("thread"), F.col("thread").alias("next"),
+                               F.col("depth").alias("more"), F.col("arrived").alias("ends"))
+        stepped = (pointers.where("not arrived").join(jump, ["conv_id", "thread"])
+                   .select("conv_id", "turn", F.col("next").alias("thread"), (F.col("depth") + F.col("more")).alias("depth"),
+                           F.col("ends").alias("arrived")))
+        pointers = materialise(pointers.where("arrived").union(stepped), "chat-pointers")
+    return pointers.drop("arrived")
 
 
 def reply_positions(nodes: DataFrame) -> DataFrame:
