@@ -34,9 +34,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with the digests of the ids and of their decoding."""
-    path = tokenizer_file()
-    encoded = bpe.encode(docs.select("doc_id", "text"), path, "text", ["doc_id"])
-    return bpe.decode(encoded, path).select(
+    return bpe.round_trip(docs.select("doc_id", "text"), tokenizer_file(), "text", ["doc_id"]).select(
         "doc_id", "n_tokens", "token_ids", bpe.ids_digest("token_ids").alias("ids_sha256"),
         F.sha2("decoded_text", 256).alias("decoded_sha256"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Rows that one call of a compute function sees at most; bounds its memory beside the batch itself.
-SLICE_ROWS = 2000
+SLICE_ROWS = 1000
 
 
 def with_columns(df: DataFrame, inputs: list[str], carry: list[str] | None, results: str,
@@ -43,5 +43,7 @@ def with_columns(df: DataFrame, inputs: list[str], carry: list[str] | None, resu
                 made = [out[name].cast(kind) if isinstance(out[name], pa.Array) else pa.array(out[name], type=kind)
                         for name, kind in zip(names, types)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:n_kept], *made], names=[*kept, *names])
+                del out, made
+            pa.default_memory_pool().release_unused()  # reused workers would keep it
 
     return source.mapInArrow(run, schema)

@@ -25,6 +25,7 @@ import functools
 import json
 import struct
 from collections.abc import Iterable, Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ PRETOKEN = r""" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 #: Longest vocabulary that is broadcast; a larger file is refused.
 MAX_VOCABULARY = 1_000_000
 #: Pretokens of up to MEMO_BYTES characters are remembered, in two generations of MEMO_SIZE; PAIRS pairs of tokens are.
-MEMO_BYTES, MEMO_SIZE, PAIRS = 64, 120_000, 400_000
+MEMO_BYTES, MEMO_SIZE, PAIRS = 64, 80_000, 200_000
 #: Bytes of a long pretoken that enter the transducer at a time.
 CHUNK = 4096
 #: Texts of up to so many characters are split into pretokens at once, longer ones as they are needed.
@@ -269,7 +270,7 @@ class Encoder:
 class Decoder:
     """Ids to text as they come; an unfinished character waits, broken bytes become U+FFFD."""
 
-    def __init__(self, model: BytePairModel):
+    def __init__(self, model: BytePairModel | SimpleNamespace):
         self.bytes_of = model.text
         self.state = codecs.getincrementaldecoder("utf-8")("replace")
 
@@ -295,18 +296,33 @@ def encode(df: DataFrame, tokenizer: str, text_col: str = "text", carry: list[st
 
     def compute(texts):
         encoder = Encoder(model.value)
-        ids = [encoder.encode(t) for t in texts]
-        sizes = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate(ids) if ids else np.zeros(0, "<i4")
-        return {"token_ids": pa.ListArray.from_arrays(np.concatenate([[0], sizes.cumsum()]).astype(np.int32), flat),
-                "n_tokens": sizes}
+        return _id_columns([encoder.encode(t) for t in texts])
 
     return with_columns(df, [text_col], carry, "token_ids array<int>, n_tokens long", compute)
 
 
+def _id_columns(ids: list[np.ndarray]) -> dict[str, object]:
+    sizes = np.array([len(x) for x in ids], np.int64)
+    flat = np.concatenate(ids) if ids else np.zeros(0, "<i4")
+    offsets = np.concatenate([[0], sizes.cumsum()]).astype(np.int32)
+    return {"token_ids": pa.ListArray.from_arrays(offsets, flat), "n_tokens": sizes}
+
+
+def round_trip(df: DataFrame, tokenizer: str, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """:func:`encode`, then :func:`decode` of the ids, in the same tasks: one Python worker a core instead of two."""
+    model = df.sparkSession.sparkContext.broadcast(load_model(tokenizer))
+
+    def compute(texts):
+        encoder, decoder = Encoder(model.value), Decoder(model.value)
+        ids = [encoder.encode(t) for t in texts]
+        return _id_columns(ids) | {"decoded_text": [decoder.decode(x) for x in ids]}
+
+    return with_columns(df, [text_col], carry, "token_ids array<int>, n_tokens long, decoded_text string", compute)
+
+
 def decode(df: DataFrame, tokenizer: str, ids_col: str = "token_ids", carry: list[str] | None = None) -> DataFrame:
     """Add ``decoded_text`` of each array of ids, special tokens kept; null ids give null, no ids the empty text."""
-    model = df.sparkSession.sparkContext.broadcast(load_model(tokenizer))
+    model = df.sparkSession.sparkContext.broadcast(SimpleNamespace(text=load_model(tokenizer).text))  # decoding needs no merges
 
     def compute(rows):
         decoder = Decoder(model.value)
@@ -322,9 +338,7 @@ def ids_digest(ids_col: str):
 
 def round_trip_digest(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_tokens, SHA-256 of the decimal ids joined by commas, SHA-256 of the decoded text."""
-    encoded = encode(df.select(id_col, text_col), tokenizer, text_col, [id_col])
-    decoded = decode(encoded, tokenizer)
-    return decoded.select(
+    return round_trip(df.select(id_col, text_col), tokenizer, text_col, [id_col]).select(
         id_col, "n_tokens",
         ids_digest("token_ids").alias("ids_sha256"),
         F.sha2("decoded_text", 256).alias("decoded_sha256"))

@@ -27,7 +27,7 @@ from ledgerflow.llm.fm_index import FMIndex
 
 WINDOW = 10
 #: Words of a shard; a longer text is indexed in pieces that overlap by the longest window.
-SHARD_WORDS = 500_000
+SHARD_WORDS = 250_000
 #: Benchmark words of one broadcast of windows; an item that alone has more has one of its own.
 BLOCK_WORDS = 1_000_000
 
