@@ -1,21 +1,25 @@
 """Log-bilinear language model trained by noise-contrastive estimation, and scoring of whole texts.
 
 Tokens are the words of a text in A-Z lower case and one end per text. The
-training texts give every token's count, over all of them. The most frequent
-words and the end are symbols of their own; every other word is counted in a
-bucket by its first bytes. The model predicts a symbol from the CONTEXT
-symbols before it:
+training texts give every token's count, over all of them. The end and the
+CLASS_WORDS + OWN_WORDS most frequent words of MIN_COUNT or more have vectors of
+their own, as contexts and as predicted words; only the tail below them is
+counted in buckets by its first bytes. The model predicts from the CONTEXT
+tokens before:
 
     r(context) = sum_i C_i * R[context_i],   s(w) = r(context) . Q[w] + b[w]
 
-and is normalised over all symbols, in batched matrix products, once per
-context. A word in a bucket then has its smoothed share of the bucket, with
+in two levels: a symbol (the end, one of the OWN_WORDS most frequent words, a
+bucket or a class of words), normalised over all symbols once per context, and
+for a class the word, normalised over the words of the class. Both are batched
+matrix products. A word in a bucket has its smoothed share of the bucket, with
 one share for words never seen, so the probabilities of all tokens sum to one.
 
 Training is data-parallel: in each round every task runs stochastic gradient
 steps of noise-contrastive estimation over its texts, from the same
-parameters, and the results are averaged, weighted by tokens. Each training
-text is used in one round, so all of them are used once.
+parameters, and the results are averaged, each token's parameters weighted by
+its occurrences. Each training text is used in one round, so all of them are
+used once.
 
 What a task holds is bounded: the symbols and the known counts of the
 most frequent words, HEAVY_WORDS at most, are broadcast. The counts of all other words
@@ -27,7 +31,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +41,23 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.arrow import with_columns
 from ledgerflow.llm.storage import materialise
 
-#: Most frequent words with a symbol of their own, buckets of other words, and words whose counts are broadcast, at most.
+#: Most frequent words with a symbol of their own, buckets of the tail, and words whose counts are broadcast, at most.
 OWN_WORDS, BUCKETS, HEAVY_WORDS = 447, 64, 100_000
+#: Classes of the next words, the words in them at most, and the least count of a word with vectors there.
+CLASSES, CLASS_WORDS, MIN_COUNT = 192, 49_152, 5
 CONTEXT, DIMENSIONS, ROUNDS = 2, 16, 2
 BATCH, NOISE, RATE = 2048, 64, 0.05
+#: Noise words of a class per word, and the places of the table they are drawn from.
+CLASS_NOISE, PLACES = 4, 2048
+#: Tokens whose parameters travel in one row when the tasks' results are averaged.
+BLOCK = 64
 #: Distinct words that a counting task holds before it hands on partial counts.
 HELD_WORDS = 500_000
 FOLDS, HELD_OUT = 5, 1
 END = b""  # no word is empty
-SYMBOLS = OWN_WORDS + 1 + BUCKETS
+FIRST_CLASS = OWN_WORDS + 1 + BUCKETS
+#: Symbols of the first level; words of a class are numbered from here on.
+SYMBOLS = FIRST_CLASS + CLASSES
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -88,12 +100,26 @@ def count_tokens(training: DataFrame, text_col: str) -> DataFrame:
 class Vocabulary:
     """Everything about counts that a task needs; bounded by HEAVY_WORDS, whatever the corpus."""
 
-    symbol: dict[bytes, int]  # own symbols: the end is 0
+    symbol: dict[bytes, int]  # tokens with vectors: the end is 0, from SYMBOLS on words of a class in order of bytes
     heavy: dict[bytes, int]  # exact counts of the most frequent tokens, own symbols included
     tokens: int  # N
     distinct: int  # V
     symbol_count: np.ndarray  # training tokens of each symbol
     bucket_types: np.ndarray  # distinct training words of each bucket symbol, 0 for own symbols
+    word_count: np.ndarray = field(default_factory=lambda: np.zeros(0))  # training tokens of each word of a class
+
+    @property
+    def width(self) -> int:
+        """Words in a class; only the last one may have fewer."""
+        return max(1, -(-len(self.word_count) // CLASSES))
+
+    def class_parts(self) -> list[slice]:
+        """The words of each class that has any, in order."""
+        return [slice(at, min(at + self.width, len(self.word_count))) for at in range(0, len(self.word_count), self.width)]
+
+    def first_level(self, targets: np.ndarray) -> np.ndarray:
+        """The symbol of each token: the class for a word of a class."""
+        return np.where(targets < SYMBOLS, targets, FIRST_CLASS + (targets - SYMBOLS) // self.width)
 
     @property
     def base_total(self) -> float:
@@ -103,10 +129,27 @@ class Vocabulary:
         return self.symbol_count + 0.5 * (self.bucket_types + 1)
 
     def log_start(self) -> np.ndarray:
-        """Smoothed log probability of each symbol, the noise distribution and the first bias."""
+        """Smoothed log probability of each symbol, the noise distribution and the first bias; none for classes without words."""
         counts = self.symbol_count + 0.5
+        counts[FIRST_CLASS:][self.symbol_count[FIRST_CLASS:] == 0] = 1e-30
         return np.log(counts / counts.sum())
 
+    def noise_table(self) -> tuple[np.ndarray, np.ndarray]:
+        """((classes, PLACES) words to draw noise from, log share of each word's places in its class).
+
+        Half of a class's places go by counts and half evenly, so every word has places.
+        """
+        parts = self.class_parts()
+        table, log_share = np.zeros((len(parts), PLACES), np.int32), np.zeros(len(self.word_count), np.float32)
+        for row, part in zip(table, parts):
+            share = self.word_count[part] / self.word_count[part].sum() + 1 / (part.stop - part.start)
+            edges = np.cumsum(share)
+            row[:] = np.searchsorted(edges[:-1], (np.arange(PLACES) + 0.5) / PLACES * edges[-1])
+            places = np.bincount(row, minlength=part.stop - part.start)
+            log_share[part] = np.log(np.maximum(places, 1) / PLACES)
+            row += part.start
+        return table, log_share
+
 
 def _heavy_threshold(counts: DataFrame) -> int | None:
     """The least count such that at most HEAVY_WORDS tokens have it or more; None if even the highest counts are too many.
@@ -133,94 +176,138 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     heavy = {} if least is None else {bytes(r["token"]): r["n"] for r in counts.where(F.col("n") >= least).collect()}
     if totals["ends"]:
         heavy[END] = totals["ends"]
-    own = sorted((t for t in heavy if t != END), key=lambda t: (-heavy[t], t))[:OWN_WORDS]
-    symbol = {END: 0} | {t: i + 1 for i, t in enumerate(own)}
+    ranked = sorted((t for t in heavy if t != END), key=lambda t: (-heavy[t], t))
+    own = ranked[:OWN_WORDS]
+    classed = sorted(t for t in ranked[OWN_WORDS:OWN_WORDS + CLASS_WORDS] if heavy[t] >= MIN_COUNT)
+    symbol = {END: 0} | {t: i + 1 for i, t in enumerate(own)} | {t: SYMBOLS + i for i, t in enumerate(classed)}
     symbol_count, types = np.zeros(SYMBOLS), np.zeros(SYMBOLS)
-    for t, i in symbol.items():
-        symbol_count[i] = heavy.get(t, 0)
-    ours = sorted(own)
     spread = (F.pmod(F.crc32(F.substring("token", 1, 3)), F.lit(BUCKETS)) + OWN_WORDS + 1).alias("bucket")
-    rest = counts.where(F.length("token") > 0)
-    if ours:
-        names = counts.sparkSession.createDataFrame([(bytearray(t),) for t in ours], "token binary")
-        rest = rest.join(F.broadcast(names), "token", "left_anti")  # OWN_WORDS rows
-    for r in rest.groupBy(spread).agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():
+    for r in counts.where(F.length("token") > 0).groupBy(spread).agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():
         symbol_count[r["bucket"]], types[r["bucket"]] = r["n"], r["types"]
-    return Vocabulary(symbol, heavy, totals["tokens"], totals["distinct"], symbol_count, types)
+    for t in own + classed:  # words with vectors are in no bucket
+        symbol_count[bucket_of(t)] -= heavy[t]
+        types[bucket_of(t)] -= 1
+    for t in [END, *own]:
+        symbol_count[symbol[t]] = heavy.get(t, 0)
+    words = Vocabulary(symbol, heavy, totals["tokens"], totals["distinct"], symbol_count, types,
+                       np.array([heavy[t] for t in classed], np.float64))
+    for i, part in enumerate(words.class_parts()):
+        symbol_count[FIRST_CLASS + i] = words.word_count[part].sum()
+    return words
 
 
 @dataclass
 class Model:
-    """Parameters; float32."""
+    """Parameters; float32. Rows are the symbols and, after them, the words of the classes."""
 
-    r: np.ndarray  # (SYMBOLS, DIMENSIONS) vectors of context symbols
-    q: np.ndarray  # (SYMBOLS, DIMENSIONS) vectors of predicted symbols
-    b: np.ndarray  # (SYMBOLS,) biases
+    r: np.ndarray  # (rows, DIMENSIONS) vectors of context tokens
+    q: np.ndarray  # (rows, DIMENSIONS) vectors of predicted symbols and of words in their class
+    b: np.ndarray  # (rows,) biases
     c: np.ndarray  # (CONTEXT, DIMENSIONS) weights of the context places
 
     @classmethod
     def start(cls, words: Vocabulary, seed: int = 0) -> Model:
         rng = np.random.default_rng(seed)
-        shape = (SYMBOLS, DIMENSIONS)
+        shape = (SYMBOLS + len(words.word_count), DIMENSIONS)
+        bias = [words.log_start()]
+        bias += [np.log(words.word_count[part] / words.word_count[part].sum()) for part in words.class_parts()]
         return cls(rng.normal(0, 0.1, shape).astype(np.float32), rng.normal(0, 0.1, shape).astype(np.float32),
-                   words.log_start().astype(np.float32), np.ones((CONTEXT, DIMENSIONS), np.float32))
+                   np.concatenate(bias).astype(np.float32), np.ones((CONTEXT, DIMENSIONS), np.float32))
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.r, self.q, self.b, self.c)])
+    def rows(self) -> np.ndarray:
+        """(rows, 2 * DIMENSIONS + 1): all parameters of a token side by side."""
+        return np.concatenate([self.r, self.q, self.b[:, None]], axis=1)
 
     @classmethod
-    def from_flat(cls, values: np.ndarray) -> Model:
-        shapes = [(SYMBOLS, DIMENSIONS), (SYMBOLS, DIMENSIONS), (SYMBOLS,), (CONTEXT, DIMENSIONS)]
-        parts = np.split(values.astype(np.float32), np.cumsum([int(np.prod(s)) for s in shapes])[:-1])
-        return cls(*[p.reshape(s) for p, s in zip(parts, shapes)])
+    def from_rows(cls, rows: np.ndarray, c: np.ndarray) -> Model:
+        r, q, b = np.split(rows.astype(np.float32), [DIMENSIONS, 2 * DIMENSIONS], axis=1)
+        return cls(r.copy(), q.copy(), b[:, 0].copy(), c.astype(np.float32))
 
     def predicted(self, contexts: np.ndarray) -> np.ndarray:
-        """(n, DIMENSIONS) from (n, CONTEXT) symbols."""
+        """(n, DIMENSIONS) from (n, CONTEXT) tokens."""
         return (self.r[contexts] * self.c).sum(axis=1)
 
+    def log_sums(self, v: np.ndarray, part: slice) -> np.ndarray:
+        """Log of the sum over the rows ``part`` of the exponentiated scores, for each predicted vector."""
+        q, b = np.ascontiguousarray(self.q[part].T), self.b[part]
+        out = np.empty(len(v), np.float32)
+        for at in range(0, len(v), 512):
+            s = v[at:at + 512] @ q
+            s += b
+            top = s.max(axis=1)
+            s -= top[:, None]
+            np.exp(s, out=s)
+            out[at:at + 512] = top + np.log(s.sum(axis=1))
+        return out
+
     def log_normalisers(self, contexts: np.ndarray) -> np.ndarray:
         """Log of the sum over all symbols of each context's exponentiated scores."""
-        out = np.empty(len(contexts), np.float32)
-        for at in range(0, len(contexts), 4096):
-            s = self.predicted(contexts[at:at + 4096]) @ self.q.T + self.b
-            top = s.max(axis=1)
-            out[at:at + 4096] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
+        return self.log_sums(self.predicted(contexts), slice(0, SYMBOLS))
+
+    def log_in_class(self, words: Vocabulary, v: np.ndarray, targets: np.ndarray) -> np.ndarray:
+        """Log probability of each token in its class: 0 for tokens that are symbols."""
+        out = np.zeros(len(targets), np.float64)
+        classes = words.first_level(targets)
+        classes[targets < SYMBOLS] = -1
+        order = np.argsort(classes, kind="stable")
+        edges = np.searchsorted(classes[order], np.arange(FIRST_CLASS, SYMBOLS + 1))
+        for i, part in enumerate(words.class_parts()):
+            at = order[edges[i]:edges[i + 1]]
+            if len(at):
+                mine, t = v[at], targets[at]
+                log_z = self.log_sums(mine, slice(SYMBOLS + part.start, SYMBOLS + part.stop))
+                out[at] = (mine * self.q[t]).sum(axis=1) + self.b[t] - log_z
         return out
 
 
-def _scatter(shape: tuple[int, int], index: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Sum of the rows of ``values`` by ``index``."""
+def _sums(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct indices, sums of the rows of ``values`` by ``index``)."""
     order = np.argsort(index, kind="stable")
     index, values = index[order], values[order]
     starts = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
-    out = np.zeros(shape, np.float32)
-    out[index[starts]] = np.add.reduceat(values, starts, axis=0)
-    return out
+    return index[starts], np.add.reduceat(values, starts, axis=0)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 def train_batch(m: Model, contexts: np.ndarray, targets: np.ndarray, noise: np.ndarray, log_noise: np.ndarray,
-                squares: list[np.ndarray]) -> None:
-    """One noise-contrastive step, with noise words shared by the batch and adaptive step sizes."""
+                squares: list[np.ndarray], inner: tuple[np.ndarray, ...] | None = None) -> None:
+    """One noise-contrastive step, with noise symbols shared by the batch and adaptive step sizes.
+
+    ``inner`` has the places of the targets that are classes, their words, the words' own noise words (all as
+    row numbers) and the noise's log share by word. Only rows that the batch touches change.
+    """
     n, k = len(targets), len(noise)
     places = m.r[contexts]
     v = (places * m.c).sum(axis=1)
     qt, qn = m.q[targets], m.q[noise]
     shift = np.log(k)
-
-    def sigmoid(x):
-        return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-    miss = 1 - sigmoid((v * qt).sum(axis=1) + m.b[targets] - log_noise[targets] - shift)  # pull the true word up
-    false = sigmoid(v @ qn.T + m.b[noise] - log_noise[noise] - shift)  # push the noise words down
+    miss = 1 - _sigmoid((v * qt).sum(axis=1) + m.b[targets] - log_noise[targets] - shift)  # pull the true word up
+    false = _sigmoid(v @ qn.T + m.b[noise] - log_noise[noise] - shift)  # push the noise words down
     dv = miss[:, None] * qt - false @ qn
-    dq = _scatter(m.q.shape, targets, miss[:, None] * v) + _scatter(m.q.shape, noise, -(false.T @ v))
-    db = np.bincount(targets, miss, len(m.b)) - np.bincount(noise, false.sum(axis=0), len(m.b))
-    dr = sum(_scatter(m.r.shape, contexts[:, i], dv * m.c[i]) for i in range(CONTEXT))
+    rows, pulls = [targets, noise], [miss[:, None] * v, -(false.T @ v)]
+    biases = [miss, -false.sum(axis=0)]
+    if inner is not None and len(inner[0]):
+        at, words, others, log_share = inner
+        shift, u, qw, qo = np.log(others.shape[1]), v[at], m.q[words], m.q[others]
+        miss = 1 - _sigmoid((u * qw).sum(axis=1) + m.b[words] - log_share[words - SYMBOLS] - shift)
+        false = _sigmoid((qo @ u[:, :, None])[:, :, 0] + m.b[others] - log_share[others - SYMBOLS] - shift)
+        dv[at] += miss[:, None] * qw - (false[:, None, :] @ qo)[:, 0]
+        rows += [words, others.ravel()]
+        pulls += [miss[:, None] * u, -(false[:, :, None] * u[:, None, :]).reshape(-1, DIMENSIONS)]
+        biases += [miss, -false.ravel()]
+    row, grad = _sums(np.concatenate(rows), np.concatenate(
+        [np.concatenate(pulls), np.concatenate(biases)[:, None]], axis=1))
+    by_context, dr = _sums(contexts.T.ravel(), np.concatenate([dv * m.c[i] for i in range(CONTEXT)]))
     dc = np.stack([(dv * places[:, i]).sum(axis=0) for i in range(CONTEXT)])
-    for x, grad, square in zip((m.r, m.q, m.b, m.c), (dr, dq, db, dc), squares):
-        grad = (grad / n).astype(np.float32)
-        square += grad * grad
-        x += RATE * grad / (np.sqrt(square) + 1e-6)
+    for x, at, g, square in zip((m.r, m.q, m.b, m.c), (by_context, row, row, slice(None)),
+                                (dr, grad[:, :-1], grad[:, -1], dc), squares):
+        g = (g / n).astype(np.float32)
+        total = square[at] + g * g
+        square[at] = total
+        x[at] += RATE * g / (np.sqrt(total) + 1e-6)
 
 
 def encode(texts: list[str | None], symbol: dict[bytes, int]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
@@ -239,38 +326,78 @@ def encode(texts: list[str | None], symbol: dict[bytes, int]) -> tuple[list[list
     return words, targets, contexts
 
 
-def train_round(training: DataFrame, text_col: str, shared, start: np.ndarray) -> np.ndarray | None:
-    """Parameters after one pass over ``training``: every task's own, averaged by its tokens; None without texts."""
+def _averaged(rows: DataFrame) -> DataFrame:
+    """(block, weights, sums) of all tasks' rows of a block, as float64 bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for block, weights, values in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                w = np.frombuffer(weights)
+                x = np.frombuffer(values, np.float32).reshape(len(w), -1) * w[:, None]
+                if block in sums:
+                    sums[block][0] += w
+                    sums[block][1] += x
+                else:
+                    sums[block] = [w.copy(), x]
+        for block, (w, x) in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([w.tobytes()], pa.binary()),
+                                              pa.array([x.tobytes()], pa.binary())], names=["block", "weights", "sums"])
+
+    return rows.repartition("block").mapInArrow(run, "block int, weights binary, sums binary")
+
+
+def train_round(training: DataFrame, text_col: str, shared, start: Model) -> Model | None:
+    """The model after one pass over ``training``: every task's own, each token's parameters averaged by its
+    occurrences in the tasks and the weights of the places by all tokens; None without texts."""
     begin = training.sparkSession.sparkContext.broadcast(start)
-    n_values = len(start)
+    n_rows = len(start.b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, model = shared.value, Model.from_flat(begin.value.copy())
+        words, first = shared.value, begin.value
+        model = Model(*(x.copy() for x in (first.r, first.q, first.b, first.c)))
         log_noise = words.log_start().astype(np.float32)
         chance = np.exp(log_noise.astype(np.float64))
-        rng, seen = np.random.default_rng(0), 0
+        table, log_share = words.noise_table()
+        rng, seen = np.random.default_rng(0), np.zeros(n_rows)
         squares = [np.full(x.shape, 1e-6, np.float32) for x in (model.r, model.q, model.b, model.c)]
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
-                _, targets, contexts = encode(whole.column(0).slice(at, 500).to_pylist(), words.symbol)
+                _, tokens, contexts = encode(whole.column(0).slice(at, 500).to_pylist(), words.symbol)
+                targets = words.first_level(tokens)
                 draws = rng.choice(SYMBOLS, (-(-len(targets) // BATCH), NOISE), p=chance / chance.sum())
                 for noise, begin_at in zip(draws, range(0, len(targets), BATCH)):
-                    train_batch(model, contexts[begin_at:begin_at + BATCH], targets[begin_at:begin_at + BATCH], noise,
-                                log_noise, squares)
-                seen += len(targets)
-        if seen:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(n_values, dtype=np.int32)), pa.array(model.flat().astype(np.float64) * seen),
-                 pa.array(np.full(n_values, seen, np.int64))], names=["i", "weighted", "seen"])
-
-    rows = (training.select(text_col).mapInArrow(run, "i int, weighted double, seen long")
-            .groupBy("i").agg(F.sum("weighted").alias("weighted"), F.sum("seen").alias("seen")).collect())
-    if not rows:
+                    part = slice(begin_at, begin_at + BATCH)
+                    places = np.flatnonzero(tokens[part] >= SYMBOLS)
+                    drawn = rng.integers(0, PLACES, (len(places), CLASS_NOISE))
+                    classes = targets[part][places] - FIRST_CLASS
+                    others = table[classes[:, None], drawn] + SYMBOLS if len(places) else drawn
+                    train_batch(model, contexts[part], targets[part], noise, log_noise, squares,
+                                (places, tokens[part][places], others, log_share))
+                seen += np.bincount(targets, minlength=n_rows)
+                inside = tokens >= SYMBOLS
+                seen += np.bincount(tokens[inside], minlength=n_rows)
+        if seen.any():
+            rows = np.ascontiguousarray(model.rows())
+            cuts = range(0, n_rows, BLOCK)
+            total = seen[:SYMBOLS].sum()
+            blocks = [*range(len(cuts)), -1]  # the last one is the weights of the places
+            weights = [seen[i:i + BLOCK].tobytes() for i in cuts] + [np.full(CONTEXT, total).tobytes()]
+            values = [rows[i:i + BLOCK].tobytes() for i in cuts] + [model.c.tobytes()]
+            for at in range(0, len(blocks), 64):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(blocks[at:at + 64], pa.int32()), pa.array(weights[at:at + 64], pa.binary()),
+                     pa.array(values[at:at + 64], pa.binary())], names=["block", "weights", "values"])
+
+    parts = _averaged(training.select(text_col).mapInArrow(run, "block int, weights binary, values binary")).collect()
+    if not parts:
         return None
-    out = np.zeros(n_values)
-    for r in rows:
-        out[r["i"]] = r["weighted"] / r["seen"]
-    return out
+    rows, c = start.rows(), start.c.copy()
+    for part in parts:
+        w = np.frombuffer(part["weights"])
+        x = np.frombuffer(part["sums"]).reshape(len(w), -1)
+        to = c if part["block"] < 0 else rows[part["block"] * BLOCK:(part["block"] + 1) * BLOCK]
+        to[w > 0] = x[w > 0] / w[w > 0, None]  # a token that no task met stays as it is
+    return Model.from_rows(rows, c)
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -286,12 +413,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     counts = materialise(count_tokens(training, text_col), "lbl-counts")
     words = vocabulary(counts)
     shared = spark.sparkContext.broadcast(words)
-    values = Model.start(words).flat()
+    model = Model.start(words)
     for k in range(ROUNDS):
         part = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(ROUNDS)) == k
-        trained = train_round(training.where(part), text_col, shared, values)
-        values = values if trained is None else trained
-    fitted = spark.sparkContext.broadcast(Model.from_flat(np.asarray(values)))
+        model = train_round(training.where(part), text_col, shared, model) or model
+    fitted = spark.sparkContext.broadcast(model)
     return _scored(own, text_col, counts, shared, fitted, words, id_col)
 
 
@@ -301,15 +427,17 @@ def _scored(own: DataFrame, text_col: str, counts: DataFrame, shared, fitted, wo
     def compute(texts):
         known, model = shared.value, fitted.value
         heavy, symbol = known.heavy, known.symbol
-        split, targets, contexts = encode(texts, symbol)
-        pair, where = np.unique(contexts @ (SYMBOLS ** np.arange(CONTEXT)), return_inverse=True)
-        distinct = np.stack([pair // SYMBOLS ** i % SYMBOLS for i in range(CONTEXT)], axis=1)
+        split, tokens, contexts = encode(texts, symbol)
+        targets, rows = known.first_level(tokens), len(model.b)
+        pair, where = np.unique(contexts @ (rows ** np.arange(CONTEXT)), return_inverse=True)
+        distinct = np.stack([pair // rows ** i % rows for i in range(CONTEXT)], axis=1)
         log_z, v = model.log_normalisers(distinct), model.predicted(distinct)
         log_p = np.empty(len(targets), np.float64)
         for at in range(0, len(targets), 1 << 16):
             w, t = where[at:at + (1 << 16)], targets[at:at + (1 << 16)]
             log_p[at:at + (1 << 16)] = (v[w] * model.q[t]).sum(axis=1) + model.b[t] - log_z[w]
-        inside = targets > OWN_WORDS  # a word's share of its bucket; its count joins below
+            log_p[at:at + (1 << 16)] += model.log_in_class(known, v[w], tokens[at:at + (1 << 16)])
+        inside = (targets > OWN_WORDS) & (targets < FIRST_CLASS)  # a word's share of its bucket; its count joins below
         log_p[inside] -= np.log(known.bucket_total())[targets[inside]]
         sizes = np.array([len(w) + 1 for w in split])
         starts = np.cumsum(sizes) - sizes

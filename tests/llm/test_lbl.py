@@ -83,3 +83,58 @@ def test_empty_tables(spark, make_docs):
     row = lbl.score(make_docs([(held, "no training rows")])).first()
     assert (row["train_tokens"], row["n_known"], row["n_tokens"]) == (0, 0, 4)
     assert row["base_score"] == pytest.approx(0.0) and math.isfinite(row["score"])
+
+
+def test_words_above_the_minimum_count_have_vectors(spark):
+    frequent = {b"same%04d" % i: 3000 - i for i in range(2000)}
+    rare = {b"tail%d" % i: lbl.MIN_COUNT - 1 for i in range(50)}
+    rows = [(bytearray(t), n) for t, n in {**frequent, **rare, b"": 70}.items()]
+    words = lbl.vocabulary(spark.createDataFrame(rows, "token binary, n long"))
+    assert set(words.symbol) == {*frequent, b""} and len(set(words.symbol.values())) == 2001
+    _, tokens, contexts = lbl.encode(["same1990 same1991 tail7"], words.symbol)
+    assert contexts[1, 0] != contexts[2, 0]  # words of one bucket are different contexts
+    assert words.symbol_count.sum() == words.tokens and words.bucket_types.sum() == len(rare)
+    assert words.symbol_count[lbl.bucket_of(b"tail7")] == 50 * (lbl.MIN_COUNT - 1)
+    assert words.word_count.sum() == words.symbol_count[lbl.FIRST_CLASS:].sum() == sum(sorted(frequent.values())[:-lbl.OWN_WORDS])
+
+
+def test_class_words_sum_to_their_class_and_learn():
+    rng = np.random.default_rng(5)
+    width = 3
+    symbol = {b"": 0} | {b"w%04d" % i: lbl.SYMBOLS + i for i in range(lbl.CLASSES * width - 1)}
+    count = rng.integers(5, 50, lbl.CLASSES * width - 1).astype(float)
+    words = lbl.Vocabulary(symbol, {}, 10, 1, np.zeros(lbl.SYMBOLS), np.zeros(lbl.SYMBOLS), count)
+    for i, part in enumerate(words.class_parts()):
+        words.symbol_count[lbl.FIRST_CLASS + i] = count[part].sum()
+    assert words.width == width
+    model = lbl.Model.start(words, seed=3)
+    everything = np.arange(lbl.SYMBOLS + len(count))
+    v = np.repeat(model.predicted(np.array([[lbl.SYMBOLS + 9, 0]])), len(everything), axis=0)
+    p = np.exp(model.log_in_class(words, v, everything))
+    assert (p[:lbl.SYMBOLS] == 1).all()
+    assert all(p[lbl.SYMBOLS:][part].sum() == pytest.approx(1, abs=1e-5) for part in words.class_parts())
+    table, share = words.noise_table()
+    assert all(np.exp(share[part]).sum() == pytest.approx(1, abs=1e-5) for part in words.class_parts())
+    assert all(set(row) == set(range(part.start, part.stop)) for row, part in zip(table, words.class_parts()))
+    # after w0009 comes w0100, after w0011 w0101: one class, so only the word's own vectors can tell them apart
+    texts = [b"w0009 w0100".decode(), b"w0011 w0101".decode()] * 600
+    _, tokens, contexts = lbl.encode(texts, symbol)
+    targets = words.first_level(tokens)
+    assert targets[1] == targets[4] and tokens[1] != tokens[4]
+    squares = [np.full(x.shape, 1e-6, np.float32) for x in (model.r, model.q, model.b, model.c)]
+    places = np.flatnonzero(tokens >= lbl.SYMBOLS)
+    for _ in range(60):
+        drawn = rng.integers(0, lbl.PLACES, (len(places), lbl.CLASS_NOISE))
+        others = table[(targets[places] - lbl.FIRST_CLASS)[:, None], drawn] + lbl.SYMBOLS
+        lbl.train_batch(model, contexts, targets, rng.integers(0, lbl.SYMBOLS, 32), words.log_start().astype(np.float32),
+                        squares, (places, tokens[places], others, share))
+    inside = model.log_in_class(words, model.predicted(contexts), tokens)
+    assert np.exp(inside[[1, 4]]).min() > 0.7
+
+
+def test_frequent_words_beyond_the_first_ones_are_predicted_from_context(spark, make_docs, rng):
+    """Two languages of 600 words with one prefix: the language shows only in whole words."""
+    rows = [(i, " ".join(f"same{rng.randrange(600) * 2 + i % 2}" for _ in range(400))) for i in range(3000)]
+    held = [r for r in lbl.score(make_docs(rows).coalesce(1)).collect() if r["held_out"]]
+    gain = sum(r["score"] - r["base_score"] for r in held) / sum(r["n_tokens"] for r in held)
+    assert gain > 0.1
