@@ -9,7 +9,9 @@ no rule takes are reported as unmatched.
 
 A sentence may be broken over lines: a clause (up to a line or sentence end)
 that begins a known sentence takes on the clauses after it as long as they
-continue one.
+continue one. A known sentence may have gaps, which names of up to GAP words
+fill. Sentences that only grant a licence by its name ("this work is licensed
+under ...") are read as a lead-in, a verb and one of the known names.
 """
 
 from __future__ import annotations
@@ -20,7 +22,11 @@ from pyspark.sql import DataFrame
 
 from ledgerflow.llm.arrow import with_columns
 
-# Known licence sentences. "#" stands for a version number.
+#: Words that a gap ("*") in a known sentence takes at most.
+GAP = 12
+_FREE = "* is free software: you can redistribute it and/or modify it under the terms of the GNU {} General Public License "
+_FSF = "as published by the Free Software Foundation"
+# Known licence sentences. "#" stands for a version number, "*" for a name.
 SENTENCES = {
     "gpl.work": "this work is licensed under the GNU General Public License, version #",
     "gpl.under": "licensed under the GNU General Public License, version #",
@@ -36,6 +42,7 @@ SENTENCES = {
     "agpl.under": "licensed under the GNU Affero General Public License, version #",
     "apache.under": "licensed under the Apache License, Version #",
     "apache.paren": "licensed under the Apache License, Version # (the \"License\")",
+    "apache.asf": "the ASF licenses this file to you under the Apache License, Version # (the \"License\")",
     "apache.comply": "you may not use this file except in compliance with the License",
     "apache.asis": "unless required by applicable law or agreed to in writing, software distributed under the License is "
                    "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
@@ -54,14 +61,29 @@ SENTENCES = {
                   "following disclaimer",
     "bsd.binary": "redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
                   "following disclaimer in the documentation and/or other materials provided with the distribution",
-    "bsd.endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+    "bsd.endorse": "neither the name of * nor the names of its contributors may be used to endorse or "
                    "promote products derived from this software without specific prior written permission",
     "mpl.form": "this Source Code Form is subject to the terms of the Mozilla Public License, v. #",
     "cc.by": "licensed under CC BY #",
     "cc.bysa": "licensed under CC BY-SA #",
     "cc.bync": "licensed under CC BY-NC #",
     "cc.zero": "licensed under CC0 #",
-}
+    "bsd.author": "the name of * may not be used to endorse or promote products derived from this software without specific "
+                  "prior written permission",
+    "bsd.advert": "all advertising materials mentioning features or use of this software must display the following "
+                  "acknowledgement",
+    "any.hope": "* is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+                "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
+    "lgpl.see": "see the GNU Lesser General Public License for more details",
+    "agpl.see": "see the GNU Affero General Public License for more details",
+    "isc.grant": "permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+                 "hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "isc.and": "permission to use, copy, modify, and distribute this software for any purpose with or without fee is "
+               "hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "unlicense.free": "this is free and unencumbered software released into the public domain",
+} | {f"{kind}.{form}": _FREE.format(word) + text for kind, word in (("gpl2", ""), ("lgpl", "Lesser"), ("agpl", "Affero"))
+     for form, text in (("free", f"{_FSF}, either version # of the License, or (at your option) any later version"),
+                        ("only", f"version # {_FSF}"), ("only2", f"{_FSF}, version # of the License"))}
 #: Ordered rules: the licence (with "#" for the version) and the identifiers that state it.
 RULES = (
     ("GPL-#-or-later", ("gpl.free", "gpl.hope", "gpl.see")),
@@ -85,49 +107,160 @@ RULES = (
     ("CC-BY-SA-#", ("cc.bysa",)),
     ("CC-BY-NC-#", ("cc.bync",)),
     ("CC0-#", ("cc.zero",)),
+    ("ISC", ("isc.grant",)),
+    ("ISC", ("isc.and",)),
+    ("Unlicense", ("unlicense.free",)),
 )
+_BSD = ("bsd.grant", "bsd.source", "bsd.binary")
+_GNU = tuple((f"{name}-#-{end}", (f"{kind}.{form}", *rest)) for kind, name in (("gpl", "GPL"), ("gpl2", "GPL"), ("lgpl", "LGPL"), ("agpl", "AGPL"))
+             for form, end in (("free", "or-later"), ("only", "only"), ("only2", "only"))
+             for rest in ((hope, f"{kind.rstrip('2')}.see") for hope in ("gpl.hope", "any.hope")))
+RULES = (*(("Apache-#", (grant, "apache.comply", "apache.asis")) for grant in ("apache.under", "apache.asf")), ("Apache-#", ("apache.asf",)),
+         *_GNU, *((name, (sequence,)) for name, (sequence, *_) in _GNU[::2]),
+         ("BSD-4-Clause", (*_BSD, "bsd.advert", "bsd.endorse")), ("BSD-4-Clause", (*_BSD, "bsd.advert", "bsd.author")),
+         ("BSD-3-Clause", (*_BSD, "bsd.author")), *RULES)
+
+#: Names of licences in grants, in normalised words, by the identifier that they get.
+NAMES: dict[str, list[str]] = {}
+for _kind, _word, _short in (("gpl", "", "gpl"), ("lgpl", "lesser ", "lgpl"), ("agpl", "affero ", "agpl")):
+    _long = f"{_word}general public license"
+    _any = [f"{gnu}{name}{v}" for gnu in ("gnu ", "") for name in (_long, f"{_long} {_short}", _short) for v in (" version #", " #")]
+    _later = (" or later", " or any later version", " or at your option any later version")
+    NAMES |= {f"{_kind}.under": _any, f"{_kind}.later": [n + end for n in _any for end in _later],
+              f"{_kind}.bare": [f"{gnu}{name}" for gnu in ("gnu ", "") for name in (_long, _short)]}
+NAMES |= {
+    "apache.under": [f"apache{x}{v} #{y}" for x in (" license", "") for v in (" version", "") for y in ("", " license", " the license")],
+    "mit.under": ["mit license", "mit", "expat license"],
+    "bsd2.under": ["# clause bsd license", "bsd # clause license", "bsd # clause"],
+    "bsd.under": ["bsd license"],
+    "isc.under": ["isc license"],
+    "mpl.under": [f"{x}{v} #" for x in ("mozilla public license", "mpl") for v in (" version", "")],
+    "epl.under": [f"{x}{v} #" for x in ("eclipse public license", "epl") for v in (" version", "")],
+    "cc.zero": [f"{x} #{y}" for x in ("cc0", "creative commons zero", "creative commons cc0", "creative commons zero version")
+                for y in ("", " universal", " license", " universal license", " universal public domain dedication")],
+}
+_CC = (("by", "attribution", ""), ("bysa", "attribution sharealike", "SA-"), ("bync", "attribution noncommercial", "NC-"),
+       ("bynd", "attribution noderivatives", "ND-"), ("byncsa", "attribution noncommercial sharealike", "NC-SA-"),
+       ("byncnd", "attribution noncommercial noderivatives", "NC-ND-"))
+for _kind, _word, _end in _CC:
+    _short = "by " + _end.lower().replace("-", " ")
+    _words = {_word, _word.replace("sharealike", "share alike").replace("noncommercial", "non commercial").replace("noderivatives", "no derivatives"),
+              _word.replace("noderivatives", "noderivs")}
+    NAMES[f"cc.{_kind}"] = [f"{name} #{y}" for name in (f"cc {_short}".strip(), f"creative commons {_short}".strip(),
+                                                        *(f"creative commons {w}" for w in sorted(_words)))
+                            for x in ("", " international", " unported", " generic") for y in (x, x + " license", x + " public license")]
+RULES += tuple((f"{n}-#-or-later", (f"{n.lower()}.later",)) for n in ("GPL", "LGPL", "AGPL"))
+RULES += tuple((n, (f"{n.lower()}.bare",)) for n in ("GPL", "LGPL", "AGPL"))
+RULES += (("BSD-#-Clause", ("bsd2.under",)), ("BSD", ("bsd.under",)), ("ISC", ("isc.under",)), ("MPL-#", ("mpl.under",)),
+          ("EPL-#", ("epl.under",)), *((f"CC-BY-{end}#", (f"cc.{kind}",)) for kind, _, end in _CC))
 
+_GRANT = re.compile(r"(?:(?:except where|unless) otherwise (?:noted|stated|indicated) )?(?:(?:this|the|these|all|our)(?: \S+){0,5}? (?:is|are) )?"
+                    r"(?:hereby )?(?:licensed|released|distributed|published|made available|available|provided) under "
+                    r"(?:the terms (?:and conditions )?of )?(?:(?:the|a|an) )?(.*)")
+#: What may still become a grant by the clauses after it.
+_LEADS = frozenset("except unless this the these all our hereby licensed released distributed published made available provided".split())
+_LEAD_WORDS = 14
+
+_VERSION = re.compile(r"(?<![^\W_])([al]?gpl|[me]pl)?v(?=[0-9])")
+_V = re.compile("v[0-9]")
+_ITEM = re.compile(r"\W*(?:[0-9]{1,2}|[a-z])\)\s")
 _CLAUSE = re.compile(r"[\n\r]+|(?<=[.!?;:])[ \t]+")
 _TOKEN = re.compile(r"[0-9]+(?:\.[0-9]+)*|[^\W\d_][^\W_]*")
 
 
 def normalise(text: str) -> tuple[tuple[str, ...], list[str]]:
-    """(words in lower case with "#" for every version number, those numbers)."""
-    words = _TOKEN.findall(text.lower())
+    """(words in lower case with "#" for every version number, those numbers); "v2" is "version 2"."""
+    low = text.lower().replace("licence", "license")
+    words = _TOKEN.findall(_VERSION.sub(r"\1 version ", low) if _V.search(low) else low)
+    if "v" in words:
+        words = ["version" if w == "v" else w for w in words]
     return tuple("#" if w[0].isdecimal() else w for w in words), [w for w in words if w[0].isdecimal()]
 
 
 class SentenceIndex:
     """Known sentences by their words, and the beginnings that make it worth reading on."""
 
-    def __init__(self, sentences: dict[str, str]):
+    def __init__(self, sentences: dict[str, str], names: dict[str, list[str]] | None = None):
         self.known: dict[tuple[str, ...], str] = {}
+        self.gapped: dict[str, list[tuple[str, ...]]] = {}
         for name, text in sentences.items():
             # a "#" in the list is a number in a text
+            if "*" in text:
+                self.gapped[name] = [normalise(part.replace("#", "0"))[0] for part in text.split("*")]
+                continue
             words = normalise(text.replace("#", "0"))[0]
             if words in self.known:
                 raise ValueError(f"{name} and {self.known[words]} are one sentence")
             self.known[words] = name
         self.begun = {words[:n] for words in self.known for n in range(1, len(words) + 1)}
-        self.heads = {words[:2] for words in self.known}
+        if names is None:
+            names = NAMES if sentences is SENTENCES else {}
+        self.names = {tuple(text.split()): name for name, texts in names.items() for text in texts}
+        self.names_begun = {words[:n] for words in self.names for n in range(len(words) + 1)}
+
+    def _exact(self, words: tuple[str, ...]) -> tuple[str | None, bool]:
+        """(identifier if the words are a known sentence, whether more words may make one)."""
+        return self.known.get(words), words in self.begun
+
+    def _with_gaps(self, words: tuple[str, ...]) -> tuple[str | None, bool]:
+        more = False
+        for name, parts in self.gapped.items():
+            if words[:len(parts[0])] != parts[0][:len(words)] or not (parts[0] or "free" in words or "distributed" in words):
+                continue
+            ends, whole = {len(parts[0])}, True
+            for part in parts[1:]:
+                starts = {at for end in ends for at in range(end, end + GAP + 1)}
+                more = more or any(at >= len(words) or words[at:] == part[:len(words) - at] for at in starts)
+                ends = {at + len(part) for at in starts if words[at:at + len(part)] == part}
+                whole = bool(ends)
+                if not whole:
+                    break
+            if whole and len(words) in ends:
+                return name, True
+        return None, more
+
+    def _grant(self, words: tuple[str, ...]) -> tuple[str | None, bool]:
+        if words[0] not in _LEADS:
+            return None, False
+        text = " ".join(words)
+        found = _GRANT.match(text + " ")
+        if not found:
+            return None, len(words) < _LEAD_WORDS
+        rest = tuple(found[1].split())
+        return self.names.get(rest), rest in self.names_begun
+
+    def _read(self, clauses: list, at: int, fits) -> tuple[str, str, int] | None:
+        """(identifier, version, clause after it) of the longest sentence from the clause ``at``."""
+        words, numbers, found = (), [], None
+        for stop in range(at, len(clauses)):
+            more, further = clauses[stop]
+            words, numbers = words + more, numbers + further
+            if not words:
+                break
+            name, goes_on = fits(words)
+            if name:
+                found = name, numbers[-1] if fits == self._grant and numbers else numbers[0] if numbers else "", stop + 1
+            if not goes_on:
+                break
+        return found
 
     def identify(self, text: str | None) -> list[tuple[str, str]]:
         """(identifier, version or "") of each known sentence of the text, in order."""
         out: list[tuple[str, str]] = []
         if not text:
             return out
-        clauses = [normalise(c) for c in _CLAUSE.split(text)]
+        clauses = [normalise(_ITEM.sub("", c, 1) if _ITEM.match(c) else c) for c in _CLAUSE.split(text)]
+        firsts = {parts[0][:n] for parts in self.gapped.values() if parts[0] for n in (1, 2)}
         at = 0
         while at < len(clauses):
-            words, numbers, stop, found = (), [], at, None
-            while stop < len(clauses):
-                more, further = clauses[stop]
-                words, stop = words + more, stop + 1
-                if words not in self.begun:
-                    break
-                numbers = numbers + further
-                if words in self.known:
-                    found = self.known[words], numbers[0] if numbers else "", stop
+            words, found = clauses[at][0], None
+            if words:
+                found = self._read(clauses, at, self._exact)
+                # sentences that begin with a name show "is free" or "is distributed" within their first clause
+                if not found and (words[:2] in firsts or "is" in words[:GAP + 1] and ("free" in words or "distributed" in words)):
+                    found = self._read(clauses, at, self._with_gaps)
+                if not found and self.names and words[0] in _LEADS:
+                    found = self._read(clauses, at, self._grant)
             if found:
                 out.append(found[:2])
                 at = found[2]

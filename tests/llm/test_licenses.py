@@ -48,3 +48,79 @@ def test_against_search_of_whole_texts(rng):
         known = {lic.normalise(lic.SENTENCES[n].replace("#", "3"))[0]: n for n in names}
         want = [known[w] for w in (lic.normalise(x)[0] for x in lines) if w in known]
         assert [n for n, _ in INDEX.identify("\n".join(lines))] == want
+
+
+REAL = {
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:
+
+   * Redistributions of source code must retain the above copyright
+notice, this list of conditions and the following disclaimer.
+   * Redistributions in binary form must reproduce the above
+copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the
+distribution.
+   * Neither the name of Google Inc. nor the names of its
+contributors may be used to endorse or promote products derived from
+this software without specific prior written permission.
+""",
+    "LGPL-2.1-or-later": """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.
+ *
+ * This library is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+ * Lesser General Public License for more details.
+""",
+    "AGPL-3-or-later": """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU Affero General Public License as published
+    by the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+""",
+    "GPL-3-or-later": """Foo is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+Foo is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+""",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-NC-SA-3.0": "Except where otherwise noted, this work is licensed under a\nCreative Commons "
+                       "Attribution-NonCommercial-ShareAlike 3.0 Unported License.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby "
+           "granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+}
+
+
+def test_real_texts():
+    for licence, text in REAL.items():
+        assert found("Copyright 2020 A. Person\n\n" + text + "\nMore text.") == ([licence], [])
+    university = REAL["BSD-3-Clause"].replace("Google Inc.", "the University of California, Berkeley")
+    assert found(university) == (["BSD-3-Clause"], [])
+    assert found(REAL["BSD-3-Clause"].replace("Google Inc.", "x " * (lic.GAP + 1))) == (["BSD-2-Clause"], [])
+
+
+def test_apache_headers():
+    rest = """ you may not
+use this file except in compliance with the License. Unless required by applicable law or agreed to in
+writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR
+CONDITIONS OF ANY KIND, either express or implied."""
+    for grant in ('The ASF licenses this file\nto you under the Apache License, Version 2.0 (the "License");',
+                  'This file is licensed under the Apache License, Version 2.0 (the "License");'):
+        assert found("x\n" + grant + rest) == (["Apache-2.0"], [])
+
+
+def test_grants_with_lead_ins():
+    for text, licence in {"This work is licensed under CC BY 4.0.": "CC-BY-4.0", "This program is released under the MIT License.": "MIT",
+                          "This file is licensed under the Apache License, Version 2.0": "Apache-2.0", "Licensed under the GPLv3": "GPL-3",
+                          "All files in this repository are\ndistributed under the terms of the GNU Affero General Public\nLicense v3.0":
+                          "AGPL-3.0", "Licensed under GPL v2 or later.": "GPL-2-or-later"}.items():
+        assert found("Intro.\n" + text + "\nMore") == ([licence], []), text
+    for text in ("This work is not licensed under the MIT License.", "This work is licensed under a licence of its own.", "The MIT License is short."):
+        assert found(text) == ([], [])
