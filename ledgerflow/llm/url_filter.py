@@ -46,7 +46,7 @@ def site_rule(verdict: str, host: str, path: str) -> Rule:
     if not path.startswith("/"):
         raise ValueError(f"the path of a site rule starts with '/': {path!r}")
     whole = _TOKEN.findall(host.translate(_LOWER)) + _TOKEN.findall(re.sub(r"[0-9A-Za-z]+\Z", "", path).lower())
-    return Rule(host + path, verdict, rf"\A(?:[^/]*\.)?{re.escape(host)}{re.escape(path)}", tuple(whole))
+    return Rule(host + path, verdict, rf"\A(?:[^/?#]*\.)?{re.escape(host)}{re.escape(path)}", tuple(whole))
 
 
 def wildcard_rule(verdict: str, text: str) -> Rule:

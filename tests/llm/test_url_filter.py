@@ -35,3 +35,16 @@ def test_rules_are_filed_under_their_rarest_token():
 
 def test_empty_table(spark):
     assert uf.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def test_site_rules_end_at_the_host(spark):
+    """Site rules against the host's suffix and the path's beginning, compared as plain strings."""
+    urls = ["http://shop.com?next=www.example.org/es/", "http://shop.com#www.example.org/es/", "http://shop.net?to=.com/de/",
+            "http://a.example.org/es/x?y", "http://example.org/es/", "http://b.com/de/?x=example.org/es/", "http://x.net/a?b.org/"]
+    rules = [(r.name[:r.name.index("/")], r.name[r.name.index("/"):], r) for r in uf.SITE_RULES]
+    got = {r["url"]: r["rule"] for r in uf.judge(spark.createDataFrame([(u,) for u in urls], "url string"), carry=["url"]).collect()}
+    for url in urls:
+        host, path, _ = uf.split_url(url)
+        hits = [r for h, p, r in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        best = min(hits, key=lambda r: (-len(r.name), r.name)).name if hits else None
+        assert got[url] == best, url
