@@ -63,7 +63,8 @@ def parse(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
                          F.filter(passages, lambda p: p["level"] > 0).alias("passages"))
     says = _hashes(F.concat(F.array("body"), F.split("body", r"\n[ \t]*\n"), F.split("body", "\n")))
     quotes = F.flatten(F.transform("passages", lambda p: F.transform(
-        _hashes(F.concat(F.array(F.array_join(p["lines"], " ")), p["lines"])),
+        _hashes(F.concat(F.array(F.array_join(p["lines"], " ")), F.split(F.array_join(p["lines"], "\n"), r"\n[ \t]*\n"),
+                         p["lines"])),
         lambda h: F.struct(p["level"].alias("level"), h.alias("hash")))))
     return cutted.select("conv_id", "turn", "role", "body", "quote_levels", says.alias("says"), quotes.alias("quotes"))
 

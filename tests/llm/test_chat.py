@@ -54,3 +54,10 @@ def test_long_chain_and_no_python(spark):
 @pytest.mark.parametrize("text,level", [("no", 0), (">a", 1), ("> > b", 2), (">>> c", 3), ("a > b", 0), (" >\t> d", 2), ("> " * 50_000, 50_000)])
 def test_levels(spark, text, level):
     assert chat.parse(spark.createDataFrame([(1, 0, "r", text)], SCHEMA)).first()["quote_levels"] == level
+
+
+def test_rewrapped_quote_of_some_paragraphs(spark):
+    first = "One two three four\nfive six.\n\nSeven eight\nnine ten.\n\nEleven twelve."
+    quote = "> One two three\n> four five\n> six.\n>\n> Seven\n> eight nine ten.\nI agree."
+    got = rows(chat.format_chats(spark.createDataFrame([(1, 0, "a", first), (1, 1, "b", "Other."), (1, 2, "c", quote)], SCHEMA)))
+    assert [got[1, t]["reply_to"] for t in range(3)] == [None, None, 0] and got[1, 2]["body"] == "I agree."
