@@ -7,7 +7,8 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import bpe, chat, decontaminate, lbl, licenses, quality, sharding, simhash, url_filter, warc
+from ledgerflow.llm import (bpe, chat, decontaminate, html_text, lbl, licenses, quality, sharding, simhash, url_filter,
+                            warc)
 from ledgerflow.llm.inputs import read_table, tokenizer_file
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +85,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(read_table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     LLM_ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
