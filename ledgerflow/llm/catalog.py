@@ -7,8 +7,8 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import (bpe, chat, decontaminate, html_text, lbl, licenses, quality, repair, sharding, simhash,
-                            url_filter, warc)
+from ledgerflow.llm import (bpe, chat, collocations, decontaminate, html_text, lbl, licenses, quality, repair,
+                            sharding, simhash, url_filter, warc)
 from ledgerflow.llm.inputs import read_table, tokenizer_file
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of every language."""
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every conversation, after damage."""
@@ -105,4 +111,5 @@ LLM_ORACLE_SQL["op2_url_filter"] = url_filter.judge_sql()
 LLM_ORACLE_SQL["op5_decontamination"] = decontaminate.report_sql()
 LLM_ORACLE_SQL["op8_warc"] = warc.round_trip_sql()
 LLM_ORACLE_SQL["op3_chat_quotes"] = chat.format_chats_sql()
+LLM_ORACLE_SQL["op11_collocations"] = collocations.collocations_sql()
 LLM_ORACLE_SQL["op4_sharding"] = sharding.place_sql()
