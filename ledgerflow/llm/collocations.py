@@ -19,15 +19,17 @@ and the path stands for it. Frequent edges that follow each other without loss
 are compacted to such paths (pointer doubling over the links); a path is the
 passage around a phrase that recurs as often as the phrase does.
 
-Words below the minimum count cannot be part of a frequent phrase, so they cut
-pieces like punctuation does. They are told by a bit table of fixed size over
-the hashes of the frequent words; a hash that two words share only lets a rare
-word pass, which costs rows, not exactness.
+Words and word pairs below the minimum count cannot be part of a frequent
+phrase, so pieces are cut there too before grams are made. A first pass counts
+their hashes (as sorted, packed blocks, a byte or two an entry), and a bit table
+of fixed size tells the frequent ones. Hashes that two pairs share only let a
+rare pair pass, which costs rows, not exactness: all counts are of words as text.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -46,8 +48,8 @@ ABSORB_PERCENT = 100
 TOP = 2000
 #: Words that a task sums at once, and bytes of text that it cuts into words at once; they bound its memory.
 FLUSH_WORDS, CUT_BYTES = 2_000_000, 4_000_000
-#: Bits of the table of frequent words (2 MB).
-TABLE_BITS = 1 << 24
+#: Bits of the table of frequent words and pairs (8 MB), however many there are.
+TABLE_BITS = 1 << 26
 #: Parts that a key's rows are dealt to where many rows may look up one key.
 SALTS = 16
 
@@ -164,82 +166,202 @@ def _buffered(batches: Iterator[pa.RecordBatch], flush) -> Iterator[pa.RecordBat
     pa.default_memory_pool().release_unused()
 
 
-def _batches(lang: str, texts: pa.Array, counts, names: tuple[str, str]) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(texts), 65536):
-        part = texts.slice(at, 65536)
-        yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(part)), part,
-                                          pa.array(counts[at:at + 65536], pa.int64())], names=["lang", *names])
+def _mixed(a, b):
+    """Well-spread 64-bit hashes of pairs of word hashes; a word alone is paired with 0."""
+    import numpy as np
+
+    h = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(31))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(31))
+
+
+def _hashes(lang: str, words: list[bytes]):
+    """Hashes of the words, by number; that of no word is 0."""
+    import numpy as np
+    import xxhash
+
+    prefix = lang.encode() + _TAB
+    out = np.fromiter((xxhash.xxh64_intdigest(prefix + w, seed=42) | 1 for w in words), np.uint64, len(words))
+    out[0] = 0
+    return out
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack(entries, counts) -> bytes:
+    """Sorted 32-bit entries and their counts, as compressed planes of bytes of the differences."""
     import numpy as np
 
-    def flush(lang: str, buffer: _Buffer) -> Iterator[pa.RecordBatch]:
-        counts = np.bincount(buffer.numbers(), minlength=len(buffer.ids.words))[1:]
-        yield from _batches(lang, pa.array(buffer.ids.words[1:], pa.binary()), counts, ("word", "n"))
+    values = np.concatenate([np.diff(entries, prepend=entries[:1] * 0), counts]).astype(np.uint32)
+    return zlib.compress(values.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unpack(block: bytes):
+    import numpy as np
+
+    planes = np.frombuffer(zlib.decompress(block), np.uint8).reshape(4, -1)
+    values = np.ascontiguousarray(planes.T).view(np.uint32).ravel().astype(np.int64)
+    half = len(values) // 2
+    return np.cumsum(values[:half]), values[half:]
+
+
+_BLOCK = "part int, lang string, n long, block binary"
+
+
+def _count_hashes(parts: int):
+    """Task function: (lang, text) -> blocks of counted hashes of words and pairs by part, and words of each language."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        def flush(lang: str, buffer: _Buffer) -> Iterator[pa.RecordBatch]:
+            numbers = buffer.numbers()
+            hashes = _hashes(lang, buffer.ids.words)
+            words = np.bincount(numbers, minlength=len(hashes))[1:]
+            alone = _mixed(hashes[1:], np.uint64(0))
+            pairs = np.flatnonzero((numbers[:-1] > 0) & (numbers[1:] > 0))
+            pairs = _mixed(hashes[numbers[pairs]], hashes[numbers[pairs + 1]])
+            keys, counts = [], []
+            for values in (alone, pairs):
+                keys.append(((values & np.uint64(0xFFFFFFFF)) % np.uint64(parts) << np.uint64(32)) | (values >> np.uint64(32)))
+            keys[1].sort()
+            first = np.flatnonzero(np.diff(keys[1], prepend=keys[1][:1] + np.uint64(1)))
+            counts = np.concatenate([words, np.diff(np.append(first, len(keys[1])))])
+            key = np.concatenate([keys[0], keys[1][first]])
+            rank = np.argsort(key, kind="stable")
+            key, counts = key[rank], np.minimum(counts[rank], 0xFFFFFFFF)
+            borders = np.searchsorted(key, np.arange(parts + 1, dtype=np.uint64) << np.uint64(32))
+            rows = [(p, None, None, _pack((key[a:b] & np.uint64(0xFFFFFFFF)).astype(np.int64), counts[a:b]))
+                    for p, (a, b) in enumerate(zip(borders[:-1].tolist(), borders[1:].tolist())) if b > a]
+            rows.append((zlib.crc32(lang.encode()) % parts, lang, int(words.sum()), None))
+            yield _block_batch(rows)
+
+        return _buffered(batches, flush)
+
+    return run
+
+
+def _block_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.string(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["part", "lang", "n", "block"])
+
+
+def _sum_hashes(cells: int, min_count: int):
+    """Task function: blocks sorted by part -> each part's segment of the bit table; language totals pass."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        now, entries, counts, waiting = None, None, None, []
+
+        def merge() -> None:
+            nonlocal entries, counts, waiting
+            both = [x for x in waiting if len(x[0])] + ([(entries, counts)] if entries is not None else [])
+            key = np.concatenate([x for x, _ in both])
+            n = np.concatenate([x for _, x in both])
+            rank = np.argsort(key, kind="stable")
+            key, n = key[rank], n[rank]
+            first = np.flatnonzero(np.diff(key, prepend=key[:1] - 1))
+            entries, counts, waiting = key[first], np.add.reduceat(n, first), []
+
+        def segment() -> tuple:
+            merge()
+            bits = np.zeros(cells, np.uint8)
+            bits[entries[counts >= min_count] % cells] = 1
+            return (now, None, None, np.packbits(bits, bitorder="little").tobytes())
+
+        size = 0
+        for batch in batches:
+            for part, lang, n, block in zip(*[c.to_pylist() for c in batch.columns]):
+                if block is None:
+                    yield _block_batch([(part, lang, n, None)])
+                    continue
+                if part != now:
+                    if now is not None:
+                        yield _block_batch([segment()])
+                    now, entries, counts, size = part, None, None, 0
+                waiting.append(_unpack(block))
+                size += len(waiting[-1][0])
+                if size > max(1_000_000, 0 if entries is None else len(entries)):
+                    merge()
+                    size = 0
+        if now is not None:
+            yield _block_batch([segment()])
+
+    return run
+
 
-    return _buffered(batches, flush)
+class Table:
+    """Which words and pairs may be frequent: one bit a cell, each part a segment of cells."""
 
+    def __init__(self, segments: dict[int, bytes], parts: int, cells: int):
+        self.parts, self.cells = parts, cells
+        self.bits = b"".join(segments.get(p, bytes(cells // 8)) for p in range(parts))
+
+    def holds(self, hashes):
+        import numpy as np
+
+        bits = np.frombuffer(self.bits, np.uint8)
+        at = ((hashes & np.uint64(0xFFFFFFFF)) % np.uint64(self.parts)).astype(np.int64) * self.cells
+        at += (hashes >> np.uint64(32)).astype(np.int64) % self.cells
+        return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
-def _hash_key(lang: str) -> bytes:
-    return lang.encode() + _TAB
 
+def _batches(lang: str, texts: pa.Array, counts) -> Iterator[pa.RecordBatch]:
+    yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(texts)), texts, pa.array(counts, pa.int64())],
+                                     names=["lang", "gram", "n"])
 
-def _count_grams(table: bytes):
+
+def _count_grams(table: Table):
     """Task function: (lang, text) -> (lang, gram, n), the edges of ``ORDER`` words and the shorter ends of pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         import pyarrow.compute as pc
-        import xxhash
-
-        bits = np.frombuffer(table, np.uint64)
 
         def flush(lang: str, buffer: _Buffer) -> Iterator[pa.RecordBatch]:
             words = buffer.ids.words
-            prefix = _hash_key(lang)
-            hashes = np.fromiter((xxhash.xxh64_intdigest(prefix + w, seed=42) for w in words), np.uint64, len(words))
-            at = hashes % np.uint64(TABLE_BITS)
-            known = (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+            hashes = _hashes(lang, words)
+            known = table.holds(_mixed(hashes, np.uint64(0)))
             known[0] = False
             # numbers anew for the words of the table, in byte order: grams come out sorted and fit few bits
             kept = sorted(np.flatnonzero(known).tolist(), key=words.__getitem__)
             renumbered = np.zeros(len(words), np.int64)
             renumbered[kept] = np.arange(1, len(kept) + 1)
             numbers = renumbered[buffer.numbers()]
-            padded = np.concatenate([numbers, np.zeros(ORDER, np.int64)])
             starts = np.flatnonzero(numbers)
             if not len(starts):
                 return
-            width = max(1, len(kept).bit_length())
+            hashes = np.append(np.uint64(0), hashes[kept])
+            linked = np.zeros(len(numbers) + ORDER, bool)
+            pairs = np.flatnonzero((numbers[:-1] > 0) & (numbers[1:] > 0))
+            linked[pairs] = table.holds(_mixed(hashes[numbers[pairs]], hashes[numbers[pairs + 1]]))
+            padded = np.concatenate([numbers, np.zeros(ORDER, np.int64)])
+            width = len(kept).bit_length()
             per_key = 63 // width
-            keys, open_ = [], np.ones(len(starts), bool)
+            keys, alive = [], np.ones(len(starts), bool)
             for i in range(ORDER):
-                column = np.where(open_, padded[starts + i], 0)
-                open_ &= column > 0
+                if i:
+                    alive &= linked[starts + i - 1]
+                column = np.where(alive, padded[starts + i], 0)
                 if i % per_key == 0:
                     keys.append(column)
                 else:
                     keys[-1] = (keys[-1] << width) | column
             rank = np.lexsort(keys[::-1])
-            new = np.ones(len(rank), bool)
-            new[1:] = False
+            new = np.zeros(len(rank), bool)
+            new[0] = True
             for key in keys:
-                sorted_key = key[rank]
-                new[1:] |= sorted_key[1:] != sorted_key[:-1]
+                ordered = key[rank]
+                new[1:] |= ordered[1:] != ordered[:-1]
             first = np.flatnonzero(new)
             counts = np.diff(np.append(first, len(rank)))
-            at_text = starts[rank[first]]
-            del rank, new, keys
+            sources = starts[rank[first]]
             dictionary = pa.array([words[k] for k in kept], pa.binary())
             for part in range(0, len(first), 65536):
-                here = at_text[part:part + 65536]
+                here = sources[part:part + 65536]
                 columns, alive = [], np.ones(len(here), bool)
                 for i in range(ORDER):
-                    column = padded[here + i]
-                    alive = alive & (column > 0)
-                    columns.append(dictionary.take(pa.array(column - 1, mask=~alive)))
-                grams = pc.binary_join_element_wise(*columns, _TAB, null_handling="skip")
-                yield from _batches(lang, grams, counts[part:part + 65536], ("gram", "n"))
+                    if i:
+                        alive = alive & linked[here + i - 1]
+                    columns.append(dictionary.take(pa.array(padded[here + i] - 1, mask=~alive)))
+                yield from _batches(lang, pc.binary_join_element_wise(*columns, _TAB, null_handling="skip"), counts[part:part + 65536])
 
         return _buffered(batches, flush)
 
@@ -305,31 +427,27 @@ def _flows(out: list[tuple]) -> pa.RecordBatch:
                                       names=["lang", "gram", "words", "f", "part"])
 
 
-def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, word, n) of all words; ``word`` is binary, with control characters escaped."""
-    return _rows(docs, text_col, lang_col).mapInArrow(_count_words, "lang string, word binary, n long").groupBy(
-        "lang", "word").agg(F.sum("n").alias("n"))
-
-
 def _rows(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return docs.select(F.coalesce(docs[lang_col], F.lit(NO_LANG)).alias("lang"), docs[text_col].cast("binary").alias("text"))
 
 
-def frequent_table(counts: DataFrame, min_count: int = MIN_COUNT) -> bytes:
-    """Bit table of the frequent words' hashes: ``TABLE_BITS`` bits, however many words there are."""
-    import numpy as np
+def frequent_words_and_pairs(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
+                             min_count: int = MIN_COUNT) -> tuple[Table, DataFrame]:
+    """The table of words and pairs that may reach ``min_count``, and (lang, n), all words of each language.
 
-    key = F.concat(F.encode("lang", "UTF-8"), F.lit(bytearray(_TAB)), F.col("word"))
-    at = F.pmod(F.xxhash64(key), F.lit(TABLE_BITS))  # the modulus divides 2^64, so signed and unsigned hashes agree
-    cells = (counts.where(F.col("n") >= min_count).select((at / 64).cast("long").alias("cell"), (at % 64).cast("int").alias("bit"))
-             .groupBy("cell").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")))
-    table = np.zeros(TABLE_BITS // 64, np.int64)
-    for batch in cells.toArrow().to_batches():  # at most TABLE_BITS / 64 rows
-        table[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
-    return table.tobytes()
+    Hashes are dealt to as many parts as the session has shuffle partitions; a task merges one part's blocks, so more
+    data asks for more partitions, as in any shuffle. The driver gets the table's segments, ``TABLE_BITS`` in all.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = max(8, TABLE_BITS // parts // 8 * 8)
+    blocks = _rows(docs, text_col, lang_col).mapInArrow(_count_hashes(parts), _BLOCK)
+    summed = materialise(blocks.repartition("part").sortWithinPartitions("part").mapInArrow(_sum_hashes(cells, min_count), _BLOCK),
+                         "collocation-table")
+    segments = {r["part"]: bytes(r["block"]) for r in summed.where("block is not null").select("part", "block").toLocalIterator()}
+    return Table(segments, parts, cells), summed.where("block is null").groupBy("lang").agg(F.sum("n").alias("n"))
 
 
-def phrase_flows(docs: DataFrame, table: bytes, text_col: str = "text", lang_col: str = "lang",
+def phrase_flows(docs: DataFrame, table: Table, text_col: str = "text", lang_col: str = "lang",
                  min_count: int = MIN_COUNT) -> DataFrame:
     """(lang, gram, words, f) of every phrase of up to ``ORDER`` words with ``min_count`` occurrences or more."""
     grams = materialise(_rows(docs, text_col, lang_col).mapInArrow(_count_grams(table), "lang string, gram binary, n long"),
@@ -435,9 +553,9 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     no rows. Further columns are not read, so their names cannot clash. Texts of any length are read whole: a task holds
     the word numbers of one text and of ``FLUSH_WORDS`` words more.
     """
-    counts = materialise(word_counts(docs, text_col, lang_col), "collocation-words")
-    flows = materialise(phrase_flows(docs, frequent_table(counts, min_count), text_col, lang_col, min_count), "collocation-phrases")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("n")).select("lang", "n", F.explode(_all_salts()).alias("salt"))
+    table, totals = frequent_words_and_pairs(docs, text_col, lang_col, min_count)
+    flows = materialise(phrase_flows(docs, table, text_col, lang_col, min_count), "collocation-phrases")
+    totals = totals.select("lang", "n", F.explode(_all_salts()).alias("salt"))
     cuts = candidates(flows, percent).withColumn("salt", _salt("gram"))
     scored = cuts.join(totals, ["lang", "salt"]).withColumn("score", F.expr(
         "cast(1000 as decimal(4,0)) * cast(f as decimal(17,0)) * cast(n as decimal(17,0)) "
