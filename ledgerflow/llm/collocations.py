@@ -47,7 +47,7 @@ ABSORB_PERCENT = 100
 #: Phrases of each language in the report.
 TOP = 2000
 #: Words that a task sums at once, and bytes of text that it cuts into words at once; they bound its memory.
-FLUSH_WORDS, CUT_BYTES = 2_000_000, 4_000_000
+FLUSH_WORDS, CUT_BYTES = 6_000_000, 4_000_000
 #: Bits of the table of frequent words and pairs (8 MB), however many there are.
 TABLE_BITS = 1 << 26
 #: Parts that a key's rows are dealt to where many rows may look up one key.
@@ -212,16 +212,17 @@ def _count_hashes(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
+        def part_key(hashes):
+            return ((hashes & np.uint64(0xFFFFFFFF)) % np.uint64(parts) << np.uint64(32)) | (hashes >> np.uint64(32))
+
         def flush(lang: str, buffer: _Buffer) -> Iterator[pa.RecordBatch]:
             numbers = buffer.numbers()
             hashes = _hashes(lang, buffer.ids.words)
             words = np.bincount(numbers, minlength=len(hashes))[1:]
             alone = _mixed(hashes[1:], np.uint64(0))
-            pairs = np.flatnonzero((numbers[:-1] > 0) & (numbers[1:] > 0))
-            pairs = _mixed(hashes[numbers[pairs]], hashes[numbers[pairs + 1]])
-            keys, counts = [], []
-            for values in (alone, pairs):
-                keys.append(((values & np.uint64(0xFFFFFFFF)) % np.uint64(parts) << np.uint64(32)) | (values >> np.uint64(32)))
+            keys = [part_key(alone)]
+            keys.append(np.concatenate([part_key(_mixed(hashes[pair[:-1]], hashes[pair[1:]])[(pair[:-1] > 0) & (pair[1:] > 0)])
+                                        for pair in (numbers[at:at + (1 << 20) + 1] for at in range(0, len(numbers), 1 << 20))]))
             keys[1].sort()
             first = np.flatnonzero(np.diff(keys[1], prepend=keys[1][:1] + np.uint64(1)))
             counts = np.concatenate([words, np.diff(np.append(first, len(keys[1])))])
@@ -322,24 +323,27 @@ def _count_grams(table: Table):
             known[0] = False
             # numbers anew for the words of the table, in byte order: grams come out sorted and fit few bits
             kept = sorted(np.flatnonzero(known).tolist(), key=words.__getitem__)
-            renumbered = np.zeros(len(words), np.int64)
+            renumbered = np.zeros(len(words), np.int32)
             renumbered[kept] = np.arange(1, len(kept) + 1)
             numbers = renumbered[buffer.numbers()]
-            starts = np.flatnonzero(numbers)
+            starts = np.flatnonzero(numbers).astype(np.int32)
             if not len(starts):
                 return
             hashes = np.append(np.uint64(0), hashes[kept])
             linked = np.zeros(len(numbers) + ORDER, bool)
-            pairs = np.flatnonzero((numbers[:-1] > 0) & (numbers[1:] > 0))
-            linked[pairs] = table.holds(_mixed(hashes[numbers[pairs]], hashes[numbers[pairs + 1]]))
-            padded = np.concatenate([numbers, np.zeros(ORDER, np.int64)])
+            for at in range(0, len(numbers) - 1, 1 << 20):
+                pair = numbers[at:at + (1 << 20) + 1]
+                both = np.flatnonzero((pair[:-1] > 0) & (pair[1:] > 0))
+                linked[at + both] = table.holds(_mixed(hashes[pair[both]], hashes[pair[both + 1]]))
+            padded = np.concatenate([numbers, np.zeros(ORDER, np.int32)])
+            del numbers
             width = len(kept).bit_length()
             per_key = 63 // width
             keys, alive = [], np.ones(len(starts), bool)
             for i in range(ORDER):
                 if i:
                     alive &= linked[starts + i - 1]
-                column = np.where(alive, padded[starts + i], 0)
+                column = np.where(alive, padded[starts + i], 0).astype(np.int64)
                 if i % per_key == 0:
                     keys.append(column)
                 else:
@@ -353,8 +357,9 @@ def _count_grams(table: Table):
             first = np.flatnonzero(new)
             counts = np.diff(np.append(first, len(rank)))
             sources = starts[rank[first]]
+            del keys, key, ordered, rank, new, first, starts
             dictionary = pa.array([words[k] for k in kept], pa.binary())
-            for part in range(0, len(first), 65536):
+            for part in range(0, len(sources), 65536):
                 here = sources[part:part + 65536]
                 columns, alive = [], np.ones(len(here), bool)
                 for i in range(ORDER):
