@@ -1,10 +1,12 @@
 """Batch adjudication run over a written gold table (D15 + R1 + K5-K7).
 
-Reads the gold product, skips ids already in the published output (resume),
-adjudicates the rest in one plan that runs once, into a staged table with the
-outcome of each id, then appends the valid ones to the product and writes
-contract failures to their own queue. A run with nothing to publish adds no
-file. A crash between runs costs nothing: the next run picks up every id
+Finds the ids of the gold product that have no published result (only the id
+columns are read), adjudicates their rows in one plan that runs once, into a
+staged table with the outcome of each id, then appends the valid ones to the
+product and writes contract failures to their own queue. The label dimension of
+the first run is kept beside the product, so later runs give the same rationale
+without reading all of gold. A run with nothing to publish reads ids alone and
+adds no file. A crash between runs costs nothing: the next run picks up every id
 without a published result.
 """
 
@@ -13,15 +15,15 @@ from __future__ import annotations
 import datetime as _dt
 import posixpath
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.adjudicate import RationaleProvider, heuristic_rationale
+from ..operators.adjudicate import RationaleProvider, heuristic_rationale, judged, label_dimension
 from ..operators.split import REASON
 from ..session import scratch_path
 from ..sinks.tables import dump_json
-from ..sources.tables import path_exists, read_table, require_path
-from ..streaming.resume import resume_judged
+from ..sources.tables import path_exists, read_table, remove, require_path
+from ..streaming.resume import stored_dimension, unpublished
 
 
 def run_adjudication(spark: SparkSession, gold_path: str, out_dir: str, run_id: str,
@@ -36,15 +38,24 @@ def run_adjudication(spark: SparkSession, gold_path: str, out_dir: str, run_id:
         published = spark.read.parquet(product_path)
     else:
         published = spark.createDataFrame([], "transaction_id string")
-    judged = resume_judged(gold, published.select("transaction_id"), run_id=run_id,
-                           snapshot_ts=snapshot_ts, provider=provider)
-    staged = scratch_path(spark, "adjudicated")
-    judged.write.parquet(staged)
-    judged = spark.read.schema(judged.schema).parquet(staged)
-    counts = judged.agg(F.count_if(F.col(REASON).isNull()).alias("done"), F.count(REASON).alias("failed")).first()
-    if counts["done"]:
-        judged.where(F.col(REASON).isNull()).drop(REASON).write.mode("append").parquet(product_path)
-    judged.where(F.col(REASON).isNotNull()).write.mode("overwrite").parquet(rejects_path)
+    done = {"published": 0, "rejected": 0}
+    ids = scratch_path(spark, "unpublished")
+    seen = Observation()
+    unpublished(gold, published).observe(seen, F.count(F.lit(1)).alias("ids")).write.parquet(ids)
+    if seen.get["ids"]:
+        todo = gold.join(spark.read.schema("transaction_hash_id string").parquet(ids), "transaction_hash_id", "left_semi")
+        dim = stored_dimension(spark, posixpath.join(out_dir, "labels"), lambda: label_dimension(gold, provider), todo, provider)
+        staged, counts = scratch_path(spark, "adjudicated"), Observation()
+        out = judged(todo, run_id=run_id, snapshot_ts=snapshot_ts, rationale_dim=dim)
+        out.observe(counts, F.count_if(F.col(REASON).isNull()).alias("published"),
+                    F.count(REASON).alias("rejected")).write.parquet(staged)
+        out = spark.read.schema(out.schema).parquet(staged)
+        done = dict(counts.get)
+        if done["published"]:
+            out.where(F.col(REASON).isNull()).drop(REASON).write.mode("append").parquet(product_path)
+        out.where(F.col(REASON).isNotNull()).write.mode("overwrite").parquet(rejects_path)
+        remove(spark, staged)
+    remove(spark, ids)
     if json_dump and path_exists(spark, product_path):
         dump_json(spark.read.parquet(product_path), posixpath.join(out_dir, "results_json"))
-    return {"published": counts["done"], "rejected": counts["failed"]}
+    return done

@@ -329,7 +329,7 @@ def q_availablenow_adjudicated(spark, sf):
     gold_path = scratch_path(spark, "gold")
     gold.write.parquet(gold_path)
     # some ids come again in a later file
-    gold.where(F.substring("transaction_hash_id", 1, 1) == "5").coalesce(1).write.mode("append").parquet(gold_path)
+    gold.where(F.substring("transaction_hash_id", 1, 1) == "5").write.mode("append").parquet(gold_path)
     out = scratch_path(spark, "streamed")
     adjudicate_available_now(spark, gold_path, out, scratch_path(spark, "stream-ckpt"),
                              run_id=RUN_ID, snapshot_ts=SNAPSHOT_TS, max_files_per_trigger=2)
