@@ -118,31 +118,16 @@ class FixedWidthReader(DataSourceReader):
         return parts
 
     def read(self, partition: ByteRange) -> Iterator:
+        if partition is None:  # no input bytes at all: Spark asks for one empty partition
+            return
+        for pos, values in read_range(partition.path, partition.start, partition.end, partition.tail, self.record_length):
+            yield self._batch(values, partition.path, pos)
+
+    def _batch(self, values, path: str, pos: int):
         import numpy as np
         import pyarrow as pa
 
-        if partition is None:  # no input bytes at all: Spark asks for one empty partition
-            return
-        fs, real = _fs_and_path(partition.path)
-        n = self.record_length
-        chunk = BATCH_RECORDS * n
-        with fs.open_input_file(real) as fh:
-            fh.seek(partition.start)
-            pos = partition.start
-            while pos < partition.end:
-                want = min(chunk, partition.end - pos)
-                data = fh.read(want)
-                if len(data) != want:
-                    raise IOError(f"fixedwidth: short read in {partition.path} at {pos}")
-                yield self._batch(data, n, partition.path, pos, np, pa)
-                pos += want
-            if partition.tail:
-                data = fh.read(partition.tail)
-                yield self._batch(data, len(data), partition.path, pos, np, pa)
-
-    def _batch(self, data: bytes, width: int, path: str, pos: int, np, pa):
-        count = len(data) // width
-        values = pa.Array.from_buffers(pa.binary(width), count, [None, pa.py_buffer(data)]).cast(pa.binary())
+        count = len(values)
         cols = [values]
         names = ["raw_bytes"]
         if self.with_position:
@@ -152,6 +137,39 @@ class FixedWidthReader(DataSourceReader):
         return pa.RecordBatch.from_arrays(cols, names=names)
 
 
+def read_range(path: str, start: int, end: int, tail: int, record_length: int) -> Iterator:
+    """(position, Arrow array of records) of a range of whole records, then of the partial record behind it if ``tail``."""
+    import pyarrow as pa
+
+    def records(data: bytes, width: int):
+        return pa.Array.from_buffers(pa.binary(width), len(data) // width, [None, pa.py_buffer(data)]).cast(pa.binary())
+
+    fs, real = _fs_and_path(path)
+    with fs.open_input_file(real) as fh:
+        fh.seek(start)
+        pos = start
+        while pos < end + tail:
+            want = min(BATCH_RECORDS * record_length, end - pos) if pos < end else tail
+            data = fh.read(want)
+            if len(data) != want:
+                raise IOError(f"fixedwidth: short read in {path} at {pos}")
+            yield pos, records(data, record_length if pos < end else tail)
+            pos += want
+
+
+def range_reader(record_length: int):
+    """Task function for ``mapInArrow``: (path, start, end, tail) rows -> the records of those ranges."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                for _, values in read_range(row["path"], row["start"], row["end"], row["tail"], record_length):
+                    yield pa.RecordBatch.from_arrays([values], names=["raw_bytes"])
+
+    return run
+
+
 @dataclass
 class PartWritten(WriterCommitMessage):
     temp: str
@@ -258,9 +276,14 @@ def register(spark) -> None:
     driver and the readers and writers on executors) need no installed copy
     of this package.
     """
+    by_value()
+    spark.dataSource.register(FixedWidthDataSource)
+
+
+def by_value() -> None:
+    """Pickle this module's functions and classes by value."""
     import sys
 
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    spark.dataSource.register(FixedWidthDataSource)

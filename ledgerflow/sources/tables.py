@@ -10,36 +10,75 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..layout import LEDGER_LAYOUT
-from .fixed_width import DEFAULT_SPLIT_BYTES, FORMAT_NAME, register
+from .fixed_width import DEFAULT_SPLIT_BYTES, FORMAT_NAME, by_value, range_reader, register
+
+
+#: Files up to this size are read as one row each where a folder holds ragged files; larger ones are read by ranges.
+WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
 
 def scan_fixed(spark: SparkSession, path: str, record_length: int = LEDGER_LAYOUT.record_length,
-               tail: str = "drop", split_bytes: int | None = None, with_position: bool = False) -> DataFrame:
+               tail: str = "drop", split_bytes: int | None = None, with_position: bool = False,
+               whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """Fixed-length records from one file or a directory, split across tasks.
 
     Files of whole records go through Hadoop's fixed-length input format: the JVM reads them, on any file system
-    that the session knows, with its settings. Files with a ragged tail, told by their length alone, go through the
-    ``fixedwidth`` source, which drops, keeps or fails on the tail. ``with_position`` reads all files that way, and
-    so do paths with a character that the input format takes for a pattern.
+    that the session knows, with its settings. Where some files end in a partial record, told by the lengths alone, the
+    listing itself is the manifest and the tails are dropped, kept or fail: files of up to ``whole_file_bytes`` are one
+    JVM scan, however many there are, and larger ones are cut into ranges, rows of (file, range, tail) that tasks read.
+    No list of paths comes to the driver's Python. ``with_position`` reads all files with the ``fixedwidth`` source,
+    and so do paths with a character that the input format takes for a pattern.
     """
+    if tail not in ("drop", "keep", "fail"):
+        raise ValueError("tail must be drop, keep or fail")
     path = qualified(spark, path)
     if with_position or _PATTERN.search(path):
         return _scan_python(spark, path, record_length, tail, split_bytes, with_position)
     files = input_files(spark, path)
-    ragged = [r["path"] for r in files.where(F.col("length") % record_length != 0).select("path").collect()]
-    if not ragged:
-        return _scan_jvm(spark, [path], record_length, split_bytes)
+    ragged, size = F.col("length") % record_length != 0, F.col("length")
+    split = max(1, (split_bytes or DEFAULT_SPLIT_BYTES) // record_length) * record_length
+    large = files.where(size > whole_file_bytes)
+    seen = files.agg(F.count_if(ragged).alias("ragged"), F.count_if(size <= whole_file_bytes).alias("small"),
+                     F.sum(F.when(size > whole_file_bytes, F.ceil(size / split))).alias("ranges")).first()
+    if not seen["ragged"]:
+        return _scan_jvm(spark, path, record_length, split_bytes)
     if tail == "fail":
-        raise ValueError(f"{len(ragged)} files end in a partial record, {ragged[0]} for one")
-    whole = [r["path"] for r in files.where((F.col("length") % record_length == 0) & (F.col("length") > 0)).select("path").collect()]
-    apart = [p for p in whole if _PATTERN.search(p)]
-    whole = [p for p in whole if not _PATTERN.search(p)]
-    parts = [_scan_python(spark, p, record_length, tail, split_bytes, False) for p in ragged + apart]
-    if whole:
-        parts.append(_scan_jvm(spark, whole, record_length, split_bytes))
+        raise ValueError(f"{seen['ragged']} files below {path} end in a partial record")
+    parts = []
+    if seen["small"]:
+        parts.append(_records(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+                              .where(size <= whole_file_bytes), record_length, tail))
+    if seen["ranges"]:
+        parts.append(scan_ranges(byte_ranges(large, record_length, split, tail).repartition(min(seen["ranges"], MAX_TASKS)),
+                                 record_length))
     return reduce(DataFrame.union, parts)
 
 
+#: Tasks of one scan by ranges; beyond, a task reads several ranges.
+MAX_TASKS = 100_000
+
+
+def byte_ranges(files: DataFrame, record_length: int, split_bytes: int, tail: str = "drop") -> DataFrame:
+    """The manifest: (path, start, end, tail) rows that cover the records of ``files`` (path, length).
+
+    ``tail`` is the length of the partial record that follows the range, 0 unless it is the file's last range and kept.
+    """
+    whole = F.col("length") - F.col("length") % record_length
+    partial = (F.col("length") - whole) if tail == "keep" else F.lit(0).cast("long")
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(whole - 1, F.lit(0)), F.lit(split_bytes).cast("long"))
+    ranges = files.select("path", whole.alias("whole"), partial.alias("partial"), F.explode(starts).alias("start"))
+    end = F.least(F.col("start") + split_bytes, F.col("whole"))
+    return ranges.select("path", "start", end.alias("end"),
+                         F.when(end == F.col("whole"), F.col("partial")).otherwise(F.lit(0)).cast("long").alias("tail")
+                         ).where("end > start or tail > 0")
+
+
+def scan_ranges(ranges: DataFrame, record_length: int = LEDGER_LAYOUT.record_length) -> DataFrame:
+    """Records of the byte ranges of a manifest (path, start, end, tail), as Arrow batches; a lost task reads its ranges again."""
+    by_value()
+    return ranges.select("path", "start", "end", "tail").mapInArrow(range_reader(record_length), "raw_bytes binary")
+
+
 #: Characters that Hadoop's input formats read as patterns or separators.
 _PATTERN = re.compile(r"[,{}\[\]*?\\]")
 
@@ -50,12 +89,12 @@ def input_files(spark: SparkSession, path: str) -> DataFrame:
             .select("path", "length"))
 
 
-def _scan_jvm(spark: SparkSession, paths: list[str], record_length: int, split_bytes: int | None) -> DataFrame:
+def _scan_jvm(spark: SparkSession, path: str, record_length: int, split_bytes: int | None) -> DataFrame:
     jvm, context = spark._jvm, spark.sparkContext._jsc.sc()
     conf = jvm.org.apache.hadoop.conf.Configuration(context.hadoopConfiguration())
     conf.set("mapreduce.input.fileinputformat.input.dir.recursive", "true")
     conf.set("mapreduce.input.fileinputformat.split.maxsize", str(split_bytes or DEFAULT_SPLIT_BYTES))
-    records = context.binaryRecords(",".join(paths), record_length, conf)
+    records = context.binaryRecords(path, record_length, conf)
     frame = spark._jsparkSession.createDataset(records, jvm.org.apache.spark.sql.Encoders.BINARY()).toDF()
     return DataFrame(frame, spark).toDF("raw_bytes")
 
@@ -76,7 +115,11 @@ def scan_small_files(spark: SparkSession, path: str, record_length: int = LEDGER
     and ``explode`` cuts it into records. Each file must fit in one row (< 2 GB);
     use ``scan_fixed`` for large dumps.
     """
-    files = spark.read.format("binaryFile").load(path).select("content", "length")
+    return _records(spark.read.format("binaryFile").load(path), record_length, tail)
+
+
+def _records(files: DataFrame, record_length: int, tail: str) -> DataFrame:
+    """The records of files that are one row each (content, length)."""
     n = F.lit(record_length)
     count = F.floor(F.col("length") / n).cast("int")
     has_tail = (F.col("length") % n) != 0

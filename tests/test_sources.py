@@ -119,6 +119,61 @@ def test_whole_files_are_read_by_the_jvm(spark, tmp):
     assert scan_fixed(spark, os.path.join(tmp, "in"), tail="keep").count() == 504
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_ragged_files_are_one_scan(spark, tmp):
+    folder = os.path.join(tmp, "in")
+    os.makedirs(folder)
+    want = []
+    for k in range(1000):
+        recs = [bytes([65 + k % 26]) * 30 + f"{k:05d}".encode()] * (k % 4)
+        want += recs
+        _write(os.path.join(folder, f"f{k:04d}.bin"), b"".join(recs) + b"z" * (k % 3))
+    df = scan_fixed(spark, folder)
+    plan = _plan(df)
+    assert plan.count("Scan binaryFile") == 1 and "Union" not in plan and "Python" not in plan and "InArrow" not in plan
+    assert sorted(bytes(r.raw_bytes) for r in df.collect()) == sorted(want)
+    tails = sum(1 for k in range(1000) if k % 3)
+    assert scan_fixed(spark, folder, tail="keep").count() == len(want) + tails
+    with pytest.raises(ValueError, match=f"{tails} files"):
+        scan_fixed(spark, folder, tail="fail")
+
+
+@pytest.mark.parametrize("tail", ["drop", "keep"])
+def test_large_ragged_files_are_read_by_ranges(spark, tmp, tail):
+    folder = os.path.join(tmp, "in")
+    os.makedirs(os.path.join(folder, "sub"))
+    recs = _records(1000)
+    _write(os.path.join(folder, "large.bin"), b"".join(recs) + b"tail")
+    _write(os.path.join(folder, "sub", "exact.bin"), b"".join(recs[:640]))   # ends with a range
+    _write(os.path.join(folder, "small.bin"), b"".join(recs[:5]) + b"cut")
+    _write(os.path.join(folder, "stump.bin"), b"x" * 34)
+    _write(os.path.join(folder, "empty.bin"), b"")
+    df = scan_fixed(spark, folder, tail=tail, split_bytes=35 * 64, whole_file_bytes=35 * 10)
+    want = recs + recs[:640] + recs[:5] + ([b"tail", b"cut", b"x" * 34] if tail == "keep" else [])
+    plan = _plan(df)
+    assert sorted(bytes(r.raw_bytes) for r in df.collect()) == sorted(want)
+    assert plan.count("MapInArrow") == 1 and plan.count("Scan binaryFile") == 2 and "BatchScan" not in plan
+
+
+def test_byte_ranges_cover_each_record_once(spark):
+    from ledgerflow.sources.tables import byte_ranges
+
+    sizes = [0, 1, 34, 35, 36, 70, 350, 351, 700, 35 * 64, 35 * 64 + 34]
+    files = spark.createDataFrame([(str(i), n) for i, n in enumerate(sizes)], "path string, length long")
+    for tail in ("drop", "keep"):
+        got = {}
+        for r in byte_ranges(files, 35, 350, tail).collect():
+            assert r.start % 35 == 0 and (r.end - r.start) % 35 == 0 and r.end - r.start <= 350
+            got.setdefault(r.path, []).append((r.start, r.end, r.tail))
+        for i, n in enumerate(sizes):
+            ranges, left = sorted(got.get(str(i), [])), n % 35 if tail == "keep" else 0
+            assert sum(e - s for s, e, _ in ranges) == n - n % 35 and sum(t for *_, t in ranges) == left
+            assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+
+
 def test_checkpoint_dir_is_required_on_a_cluster(monkeypatch):
     from types import SimpleNamespace
 
