@@ -98,10 +98,10 @@ def check_layer(spark: SparkSession, name: str, path: str, formats: tuple[str, .
 
 
 def _has_files_like(spark: SparkSession, path: str, fmt: str) -> bool:
-    from ..sources.tables import _hadoop_path
+    from ..sources.tables import hadoop_path
 
     try:
-        fs, hpath = _hadoop_path(spark, path)
+        fs, hpath = hadoop_path(spark, path)
         if not fs.exists(hpath):
             return False
         return any(f".{fmt}" in str(s.getPath().getName()) for s in fs.listStatus(hpath))

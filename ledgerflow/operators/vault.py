@@ -88,14 +88,29 @@ def build_vault(silver: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def vault_join(hub: DataFrame, lnk: DataFrame, sat: DataFrame) -> DataFrame:
-    """Reassemble transactions from the vault (hub ⋈ link ⋈ satellite).
-
-    Two equi-joins on hash keys. The hub is tiny relative to the link (one
-    row per customer) but is not broadcast blindly: AQE turns the join into
-    a broadcast at run time when the measured hub fits the threshold.
+#: Bucket key of each vault table. The link and its satellite share theirs, so they join without a shuffle.
+VAULT_KEYS = {"hub_customer": "customer_hash_key", "lnk_transaction": "transaction_link_hash_key",
+              "sat_account_state": "transaction_link_hash_key"}
+#: A hub of up to this many rows (of some 100 bytes) is broadcast.
+BROADCAST_HUB_ROWS = 200_000
+#: Parts that the transactions of one customer are dealt to when they meet a larger hub.
+HUB_SALTS = 8
+
+
+def vault_join(hub: DataFrame, lnk: DataFrame, sat: DataFrame, hub_rows: int | None = None) -> DataFrame:
+    """Reassemble transactions from the vault (link ⋈ satellite ⋈ hub).
+
+    The link and its satellite are the large sides and meet first, on the key that both are bucketed by: no exchange.
+    The hub, one row per customer, is broadcast if ``hub_rows`` (the count its write returned) says that it is small.
+    Otherwise every hub row stands in ``HUB_SALTS`` copies and the transactions are dealt to them, so a customer that
+    holds a third of all transactions is spread over as many tasks.
     """
-    return (lnk.join(hub, "customer_hash_key")
-               .join(sat, "transaction_link_hash_key")
-               .select("transaction_link_hash_key", "customer_hash_key", "source_tx_id",
-                       "source_cust_id", "account_balance", "ledger_status"))
+    states = lnk.join(sat, "transaction_link_hash_key")
+    if hub_rows is not None and hub_rows <= BROADCAST_HUB_ROWS:
+        joined = states.join(F.broadcast(hub), "customer_hash_key")
+    else:
+        copies = hub.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(HUB_SALTS - 1))))
+        dealt = states.withColumn("_salt", F.pmod(F.xxhash64("transaction_link_hash_key"), F.lit(HUB_SALTS)).cast("int"))
+        joined = dealt.join(copies, ["customer_hash_key", "_salt"])
+    return joined.select("transaction_link_hash_key", "customer_hash_key", "source_tx_id",
+                         "source_cust_id", "account_balance", "ledger_status")

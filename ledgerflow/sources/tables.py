@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import posixpath
 import re
 from functools import reduce
 
@@ -160,7 +163,8 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     return spark.createDataFrame([], schema)
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop's, with the session's settings."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -169,24 +173,67 @@ def _hadoop_path(spark: SparkSession, path: str):
 
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` with its scheme; without one it belongs to the session's default file system (``fs.defaultFS``)."""
-    fs, hpath = _hadoop_path(spark, path)
+    fs, hpath = hadoop_path(spark, path)
     return fs.makeQualified(hpath).toString()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hpath = _hadoop_path(spark, path)
+    fs, hpath = hadoop_path(spark, path)
     return bool(fs.exists(hpath))
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library made."""
-    fs, hpath = _hadoop_path(spark, path)
+    fs, hpath = hadoop_path(spark, path)
     fs.delete(hpath, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, on any file system that the session knows."""
+    fs, hpath = hadoop_path(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file, replacing an earlier one."""
+    fs, hpath = hadoop_path(spark, path)
+    stream = fs.create(hpath, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def bucketed_name(path: str) -> str:
+    """Catalog name of the bucketed table at a qualified path."""
+    return "ledgerflow_" + hashlib.md5(path.encode()).hexdigest()[:20]
+
+
+def bucket_spec_path(path: str) -> str:
+    return posixpath.join(path, "_buckets.json")
+
+
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    """K9: a table that ``sinks.tables.write_bucketed`` wrote, in this session or another, with its buckets known."""
+    path = qualified(spark, path)
+    name = bucketed_name(path)
+    spec = json.loads(read_text(spark, bucket_spec_path(path)))
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromJson(spec["schema"]))
+        key = spec["key"]
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
+                  f"INTO {int(spec['buckets'])} BUCKETS LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def require_path(spark: SparkSession, path: str) -> str:
     """Fail early on a missing input, listing what the parent folder holds."""
-    fs, hpath = _hadoop_path(spark, path)
+    fs, hpath = hadoop_path(spark, path)
     if fs.exists(hpath):
         return path
     parent = hpath.getParent()
