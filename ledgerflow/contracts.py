@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .operators.split import Rule
+from .operators.split import REASON, Rule, passes, reason_column
 
 BUNDLED = {
     "producer": "ledger_producer_v1.yaml",
@@ -135,7 +135,7 @@ def _spark_type(t: str) -> T.DataType:
 
 
 def load_contract(source: str | dict | Contract) -> Contract:
-    """A path, a bundled name (producer / consumer / product), a dict or a Contract."""
+    """A path on any file system of the session, a bundled name (producer / consumer / product), a dict or a Contract."""
     import yaml
 
     if isinstance(source, Contract):
@@ -145,5 +145,49 @@ def load_contract(source: str | dict | Contract) -> Contract:
     if source in BUNDLED:
         text = importlib.resources.files("ledgerflow.config").joinpath(BUNDLED[source]).read_text()
         return Contract(yaml.safe_load(text), source=BUNDLED[source])
-    with open(source, encoding="utf-8") as fh:
-        return Contract(yaml.safe_load(fh), source=source)
+    return Contract(yaml.safe_load(_contract_text(source)), source=source)
+
+
+def _contract_text(path: str) -> str:
+    """A contract file: through the session's file systems where there is a session (a path without a scheme belongs to
+    its default one), else from the local disk."""
+    from pyspark.sql import SparkSession
+
+    from .sources.tables import read_text, require_path
+
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        with open(path, encoding="utf-8") as fh:
+            return fh.read()
+    return read_text(spark, require_path(spark, path))
+
+
+def conform(df: DataFrame, contract: str | dict | Contract, prefix: str = "CONTRACT_VIOLATION") -> tuple[DataFrame, DataFrame]:
+    """F11 on a whole table: (rows that keep the contract, rejects).
+
+    Valid rows have the contract's columns, in its order, with its types (``Contract.schema()``). A column that is absent
+    is NULL. A value that does not convert breaks the rule ``<name> is not a <type>``, which stands before the column's
+    constraints. Rejects keep their columns as they came, with the first broken rule's reason; columns that the contract
+    does not name are theirs alone.
+    """
+    contract = load_contract(contract)
+    names, rules = [f"__c{i}" for i in range(len(contract.columns))], []
+    typed = df
+    have = {c.lower(): c for c in df.columns}
+    for name, field in zip(names, contract.schema()):
+        raw = df[have[field.name.lower()]] if field.name.lower() in have else F.lit(None)
+        same = field.name.lower() in have and df.schema[have[field.name.lower()]].dataType == field.dataType
+        value = raw if same else raw.try_cast(field.dataType)
+        typed = typed.withColumn(name, value)
+        if not same and field.name.lower() in have:
+            rules.append((field.name, Rule(f"{field.name}.type", f"{prefix}: {field.name} is not a {field.dataType.simpleString()}",
+                                           raw.isNull() | F.col(name).isNotNull())))
+    shadow = Contract({"schema": [{**c, "name": n} for c, n in zip(contract.columns, names)]})
+    for own, c in zip(names, contract.columns):
+        rules += [(c["name"], Rule(r.name, r.reason.replace(own, c["name"]), r.ok)) for r in shadow.rules([own], prefix)]
+    order = {c["name"]: i for i, c in enumerate(contract.columns)}
+    ordered = [r for _, r in sorted(rules, key=lambda x: order[x[0]])]
+    ok = passes(ordered)
+    valid = typed.where(ok).select(*[F.col(n).alias(c["name"]) for n, c in zip(names, contract.columns)])
+    rejects = typed.where(~ok).withColumn(REASON, reason_column(ordered)).drop(*names)
+    return valid, rejects

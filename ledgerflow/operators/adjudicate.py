@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import Contract, load_contract, required
 from ..functions.scalar import clamp01, context_id, format_score, in_score_domain, parse_rationale, round_score, run_ts
-from .split import REASON, Rule, with_reason
+from .split import REASON, Rule, failures_column, passes, with_reason
 
 # Scoring constants, label thresholds, provider defaults and
 # governance tags of the adjudication service.
@@ -203,8 +203,9 @@ def label_dimension(gold: DataFrame, provider: RationaleProvider = heuristic_rat
 def judged(gold: DataFrame, run_id: str = "run", snapshot_ts: _dt.datetime | str | None = None,
            provider: RationaleProvider = heuristic_rationale, rationale_dim: DataFrame | None = None,
            thresholds: tuple[float, float] = BATCH_THRESHOLDS, contract: Contract | str | dict = "product",
-           assume_unique_ids: bool = False) -> DataFrame:
+           assume_unique_ids: bool = False, all_failures: bool = False) -> DataFrame:
     """The payload of every distinct id of ``gold`` with the reason of its rejection, NULL for valid ones.
+    ``all_failures`` adds ``failures``, the reasons of every rule that the row breaks, not the first one's alone.
 
     ``rationale_dim`` overrides the per-label dimension (used to keep resumed
     or streamed batches consistent with the full input).
@@ -216,13 +217,15 @@ def judged(gold: DataFrame, run_id: str = "run", snapshot_ts: _dt.datetime | str
     joined = with_rationale(scored, dim).withColumn("confidence_score", blend())
     payload = build_payload(joined, BATCH_MODEL_VERSION, BATCH_COMPLIANCE_TAG, run_ts(snapshot_ts),
                             context_id(run_id, F.col("transaction_hash_id"), CONTEXT_PREFIX), F.col("rationale"))
-    return with_reason(payload, product_rules(contract, payload))
+    rules = product_rules(contract, payload)
+    out = with_reason(payload, rules)
+    return out.withColumn("failures", failures_column(rules)) if all_failures else out
 
 
 def adjudicate(gold: DataFrame, **kwargs) -> tuple[DataFrame, DataFrame]:
     """(valid payloads, contract rejects with their reason); the parameters are those of :func:`judged`."""
     out = judged(gold, **kwargs)
-    return out.where(F.col(REASON).isNull()).drop(REASON), out.where(F.col(REASON).isNotNull())
+    return out.where(F.col(REASON).isNull()).drop(REASON, "failures"), out.where(F.col(REASON).isNotNull())
 
 
 def adjudicate_one(gold: DataFrame, transaction_id: str, **kwargs) -> tuple[DataFrame, DataFrame]:
@@ -238,6 +241,7 @@ def adjudicate_one(gold: DataFrame, transaction_id: str, **kwargs) -> tuple[Data
     absent = asked.join(found, "transaction_hash_id", "left_anti").select(
         *[F.col("transaction_hash_id").alias(f.name) if f.name == "transaction_id"
           else F.lit(MISSING_FROM_GOLD).alias(f.name) if f.name == REASON
+          else F.array(F.lit(MISSING_FROM_GOLD)).alias(f.name) if f.name == "failures"
           else F.lit(None).cast(f.dataType).alias(f.name) for f in rejects.schema.fields])
     return valid, rejects.unionByName(absent)
 
@@ -268,8 +272,7 @@ def score_requests(requests: DataFrame, run_id: str = "api", snapshot_ts: _dt.da
     ctx = F.concat(F.lit(CONTEXT_PREFIX), F.substring(F.sha2(F.lit(run_id), 256), 1, 12))
     payload = build_payload(scored, REQUEST_MODEL_VERSION, REQUEST_COMPLIANCE_TAG, run_ts(snapshot_ts), ctx, None)
     rules = product_rules(contract, payload, require_rationale=require_rationale)
-    failures = F.filter(F.array(*[F.when(r.fails(), F.lit(r.reason)) for r in rules]), lambda x: x.isNotNull())
     return payload.withColumns({
-        "failures": failures,
-        "status_code": F.when(F.size(failures) == 0, F.lit(201)).otherwise(F.lit(400)),
+        "failures": failures_column(rules),
+        "status_code": F.when(passes(rules), F.lit(201)).otherwise(F.lit(400)),
     })

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..contracts import Contract, load_contract
 from ..functions.codec import ebcdic_decode
 from ..layout import LEDGER_LAYOUT, RecordLayout
 from .split import Rule, split
@@ -53,8 +54,10 @@ def structural_ok() -> Column:
     return (F.trim(F.col("cust_id")) != F.lit("")) & F.col("tx_id").isNotNull()
 
 
-def structural_rules() -> list[Rule]:
-    return [Rule("business_key", MISSING_KEY_REASON, structural_ok())]
+def structural_rules(contract: Contract | str | dict | None = "producer") -> list[Rule]:
+    """the business key, then what the producer's contract declares (not-null, lengths, ranges, allowed values)."""
+    declared = load_contract(contract).rules(prefix="PRODUCER_VIOLATION") if contract is not None else []
+    return [Rule("business_key", MISSING_KEY_REASON, structural_ok()), *declared]
 
 
 def record_length_rule(layout: RecordLayout = LEDGER_LAYOUT, source: str = "raw_bytes") -> Rule:
@@ -63,10 +66,10 @@ def record_length_rule(layout: RecordLayout = LEDGER_LAYOUT, source: str = "raw_
 
 
 def process_bronze(raw: DataFrame, layout: RecordLayout = LEDGER_LAYOUT, source: str = "raw_bytes",
-                   check_length: bool = False) -> tuple[DataFrame, DataFrame]:
+                   check_length: bool = False, contract: Contract | str | dict | None = "producer") -> tuple[DataFrame, DataFrame]:
     """D1 (lazy): raw records -> (bronze rows, structural rejects with reason)."""
     parsed = parse_records(raw, layout, source, keep=[source] if check_length else None)
-    rules = ([record_length_rule(layout, source)] if check_length else []) + structural_rules()
+    rules = ([record_length_rule(layout, source)] if check_length else []) + structural_rules(contract)
     valid, rejects = split(parsed, rules)
     if check_length:
         valid, rejects = valid.drop(source), rejects.drop(source)

@@ -19,14 +19,15 @@ STAGES = ("structural", "malformed", "semantic", "gold")
 
 
 def route_records(raw: DataFrame, strict: bool = False, contract: Contract | str | dict = "consumer",
-                  layout: RecordLayout = LEDGER_LAYOUT, check_length: bool = False) -> DataFrame:
+                  layout: RecordLayout = LEDGER_LAYOUT, check_length: bool = False,
+                  producer: Contract | str | dict | None = "producer") -> DataFrame:
     """Every record with its decoded fields, its ``stage`` (where it ends up) and
     ``rejection_reason``. The same rules as the layer operators, evaluated once.
     ``check_length`` rejects records that are not of full width."""
     allowed = load_contract(contract).allowed_values("risk_category") or []
     decoded = parse_records(raw, layout, keep=["raw_bytes"] if check_length else None).withColumn(
         "unpacked_balance", comp3_decode(F.col("raw_balance"), strict=strict))
-    structural = reason_column(([record_length_rule(layout)] if check_length else []) + structural_rules())
+    structural = reason_column(([record_length_rule(layout)] if check_length else []) + structural_rules(producer))
     malformed = reason_column(balance_rules())
     product = decoded.withColumns({
         "account_balance": F.col("unpacked_balance"),

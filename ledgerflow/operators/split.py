@@ -35,6 +35,13 @@ def reason_column(rules: list[Rule]) -> Column:
     return expr
 
 
+def failures_column(rules: list[Rule]) -> Column:
+    """The reasons of all rules that fail, in order; empty when every rule holds."""
+    if not rules:
+        return F.array().cast("array<string>")
+    return F.filter(F.array(*[F.when(r.fails(), F.lit(r.reason)) for r in rules]), lambda x: x.isNotNull())
+
+
 def passes(rules: list[Rule]) -> Column:
     """True when every rule holds (never NULL)."""
     out = F.lit(True)

@@ -3,7 +3,8 @@
 Finds the ids of the gold product that have no published result (only the id
 columns are read), keeps the one narrow row that decides each of them in a
 scratch table, and makes the payloads from it: valid ones are appended to the
-product and contract failures go to a queue of the run, each row written once. The label dimension of
+product and contract failures, with every rule that they break, go to a queue of
+the run, each row written once. The label dimension of
 the first run is kept beside the product, so later runs give the same rationale
 without reading all of gold. A run with nothing to publish reads ids alone and
 adds no file. A crash between runs costs nothing: the next run picks up every id
@@ -47,7 +48,8 @@ def run_adjudication(spark: SparkSession, gold_path: str, out_dir: str, run_id:
                                            F.when(F.col("is_low"), F.lit(LOW_BUCKET)).alias("risk_category")).write.parquet(rows)
         todo = spark.read.parquet(rows)
         dim = stored_dimension(spark, posixpath.join(out_dir, "labels"), lambda: label_dimension(gold, provider), todo, provider)
-        valid, rejects = adjudicate(todo, run_id=run_id, snapshot_ts=snapshot_ts, rationale_dim=dim, assume_unique_ids=True)
+        valid, rejects = adjudicate(todo, run_id=run_id, snapshot_ts=snapshot_ts, rationale_dim=dim, assume_unique_ids=True,
+                                    all_failures=True)
         done = {"published": publish(valid, product_path, mode="append"), "rejected": publish(rejects, rejects_path)}
         remove(spark, rows)
     remove(spark, ids)

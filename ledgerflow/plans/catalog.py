@@ -11,7 +11,9 @@ the two engines' results compare cell by cell.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import os
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,16 +25,17 @@ from ..layout import LEDGER_LAYOUT
 from ..operators import adjudicate as adj
 from ..operators.bronze import process_bronze
 from ..operators.kpi import kpi_report, layer_audit, route_records
+from ..operators.order import parts_by_position
 from ..operators.product import apply_masking, process_gold
 from ..operators.split import with_reason
 from ..operators.vault import build_vault, process_silver, vault_join
-from ..contracts import load_contract
+from ..contracts import conform, load_contract
 from ..session import scratch_path
 from ..sinks.tables import dump_json
-from ..sources.tables import read_bucketed, read_dlq
+from ..sources.tables import qualified, read_bucketed, read_dlq, write_text
 from .bridge import BLANK_EVERY, CORRUPT_EVERY, NEGATIVE_EVERY
 from .dumps import ledger_dump
-from .medallion import layer_paths, run_medallion
+from .medallion import layer_paths, read_layer, run_medallion
 
 # Fixed parameters of the checks (not of the library).
 RUN_ID = "RUN"
@@ -47,6 +50,14 @@ CUSTOMER_CONTRACT = {"schema": [
 ]}
 CUSTOMER_MASKING = [{"apply_sha256": ["c_name", "c_mktsegment", "c_not_a_column"]}]
 
+ORDERED_ROWS = 1000
+ORDER_CONTRACT = [
+    {"name": "order_ref", "type": "string", "length": 12, "constraints": [{"is_not_null": True}]},
+    {"name": "customer", "type": "long", "constraints": [{"is_not_null": True}]},
+    {"name": "total", "type": "double", "constraints": [{"range": [0.0, 300000.0]}]},
+    {"name": "status", "type": "string", "allowed_values": ["F", "O"]},
+]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -288,6 +299,55 @@ def q_ordered_ids(spark, sf):
     return adj.ordered_ids(gold)
 
 
+def q_ordered_parts(spark, sf):
+    """The written gold table in file order, a thousand rows a part: what stands first and last in each."""
+    out, _ = written_medallion(spark, sf)
+    return parts_by_position(spark.read.parquet(layer_paths(out)["gold"]), "transaction_hash_id", ORDERED_ROWS)
+
+
+def q_layers_by_run(spark, sf):
+    """Layers of two runs side by side: one lenient and one strict, and a third that died after its first layers."""
+    out = scratch_path(spark, "runs")
+    dump = ledger_dump_path_for(spark, sf)
+    run_medallion(spark, dump, out, run_id="lenient")
+    run_medallion(spark, dump, out, strict=True, run_id="strict")
+    try:
+        run_medallion(spark, dump, out, run_id="broken", contract={"required_schema": [{"name": "risk_category", "allowed_values": ["LOW"]}],
+                                                                   "data_security": {"masking_policy": {"apply_sha256": 1}}})
+    except TypeError:  # a masking policy that is no list: bronze and the vault are written by then
+        pass
+    layers = {"bronze": "bronze", "gold": "gold", "lnk": "silver/lnk_transaction", "semantic": "dlq/semantic"}
+    read = [(run, name, read_layer(spark, out, path, None if run == "last" else run))
+            for run in ("lenient", "strict", "last") for name, path in layers.items()]
+    counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(run).alias("run"), F.lit(name).alias("layer"), "row_count")
+              for run, name, df in read]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def q_contract_enforced(spark, sf):
+    """Orders as text, put through a contract file: valid rows with the contract's types, rejects with their reason."""
+    path = f"{qualified(spark, scratch_path(spark, 'contract'))}.yaml"
+    write_text(spark, path, json.dumps({"schema": ORDER_CONTRACT}))  # JSON is YAML
+    key = F.col("o_orderkey")
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select(
+        F.concat(F.lit("T"), F.lpad(key.cast("string"), 11, "0"), F.when(key % 7 == 0, "XYZ").otherwise("")).alias("order_ref"),
+        F.when(key % 11 == 0, "unknown").otherwise(F.col("o_custkey").cast("string")).alias("customer"),
+        F.when(key % 13 == 0, "n/a").when(key % 17 != 0, F.col("o_totalprice").cast("string")).alias("total"),
+        F.col("o_orderstatus").alias("status"))
+    valid, rejects = conform(orders, path)
+    typed = valid.select("order_ref", F.col("customer").cast("string").alias("customer"), F.col("total").cast("string").alias("total"),
+                         F.lit(None).cast("string").alias("rejection_reason"))
+    assert valid.schema.simpleString() == "struct<order_ref:string,customer:bigint,total:double,status:string>"
+    return typed.withColumn("total", F.col("total").cast("double")).unionByName(
+        rejects.select("order_ref", "customer", F.col("total").try_cast("double").alias("total"), "rejection_reason"))
+
+
+def q_adjudication_all_failures(spark, sf):
+    """Every rule that a rejected id breaks, not the first one alone."""
+    _, rejects = adj.adjudicate(_faulty_gold(spark, sf), run_id=RUN_ID, snapshot_ts=SNAPSHOT_TS, all_failures=True)
+    return rejects.select("transaction_id", F.concat_ws("; ", "failures").alias("failure_list"))
+
+
 def q_adjudicate_one(spark, sf):
     gold, _ = _gold(spark, sf)
     last = gold.agg(F.max("transaction_hash_id")).first()[0]  # not the first of its label
@@ -425,6 +485,10 @@ QUERIES: dict[str, Query] = {
     "adjudicated": q_adjudicated,
     "adjudication_rejects": q_adjudication_rejects,
     "ordered_ids": q_ordered_ids,
+    "ordered_parts": q_ordered_parts,
+    "layers_by_run": q_layers_by_run,
+    "contract_enforced": q_contract_enforced,
+    "adjudication_all_failures": q_adjudication_all_failures,
     "adjudicate_one": q_adjudicate_one,
     "score_requests": q_score_requests,
     "resume_remaining": q_resume_remaining,
@@ -670,3 +734,28 @@ ORACLE_SQL: dict[str, str] = {
         "UNION ALL SELECT 'MISSING LAYER', NULL, 'inaccessible', NULL"),
 }
 ORACLE_SQL["vault_join_salted"] = ORACLE_SQL["vault_join"]
+ORACLE_SQL["ordered_parts"] = _w(
+    f", placed AS (SELECT transaction_hash_id AS id, (row_number() OVER (ORDER BY transaction_hash_id) - 1) // {ORDERED_ROWS} AS part "
+    "FROM gold WHERE transaction_hash_id NOT IN (SELECT sha256(trim(tx_id)) FROM bronze WHERE corrupt)) "
+    "SELECT part, min(id) AS first_id, max(id) AS last_id, count(*) AS rows FROM placed GROUP BY part")
+_COUNTS = ("(SELECT count(*) FROM bronze) AS bronze, count_if({0} AND balance >= 0 AND tx_status = 'ACTIVE') AS gold, "
+           "count_if({0}) AS lnk, count_if({0} AND NOT (balance >= 0 AND tx_status = 'ACTIVE')) AS semantic FROM decoded")
+ORACLE_SQL["layers_by_run"] = _w(
+    f", decoded AS (SELECT tx_status, corrupt, {_LENIENT_CORRUPT} AS balance FROM bronze), "
+    f"wide AS (SELECT 'lenient' AS run, {_COUNTS.format('true')} UNION ALL SELECT 'strict', {_COUNTS.format('NOT corrupt')} "
+    f"UNION ALL SELECT 'last', {_COUNTS.format('NOT corrupt')}) "
+    "SELECT run, layer, row_count FROM (UNPIVOT wide ON bronze, gold, lnk, semantic INTO NAME layer VALUE row_count)")
+ORACLE_SQL["contract_enforced"] = (
+    "WITH raw AS (SELECT 'T' || lpad(CAST(o_orderkey AS VARCHAR), 11, '0') || CASE WHEN o_orderkey % 7 = 0 THEN 'XYZ' ELSE '' END AS order_ref, "
+    "CASE WHEN o_orderkey % 11 = 0 THEN 'unknown' ELSE CAST(o_custkey AS VARCHAR) END AS customer, "
+    "CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 17 <> 0 THEN o_totalprice END AS total, "
+    "o_orderkey % 13 = 0 AS bad_total, o_orderstatus AS status FROM orders) "
+    "SELECT order_ref, customer, total, CASE WHEN length(order_ref) > 12 THEN 'CONTRACT_VIOLATION: order_ref longer than 12' "
+    "WHEN TRY_CAST(customer AS BIGINT) IS NULL THEN 'CONTRACT_VIOLATION: customer is not a bigint' "
+    "WHEN bad_total THEN 'CONTRACT_VIOLATION: total is not a double' "
+    "WHEN NOT coalesce(total BETWEEN 0 AND 300000, false) THEN 'CONTRACT_VIOLATION: total outside [0.0, 300000.0]' "
+    "WHEN status NOT IN ('F', 'O') THEN 'CONTRACT_VIOLATION: status not in allowed values' END AS rejection_reason FROM raw")
+ORACLE_SQL["adjudication_all_failures"] = _w(
+    "SELECT transaction_hash_id AS transaction_id, 'CONTRACT_VIOLATION: missing required field; "
+    "CONTRACT_VIOLATION: risk_score outside [0.0, 1.0]; CONTRACT_VIOLATION: confidence_score outside [0.0, 1.0]' AS failure_list "
+    "FROM gold WHERE left(transaction_hash_id, 1) IN ('0', '1')")

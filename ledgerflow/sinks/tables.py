@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..contracts import conform
 from ..sources.fixed_width import FORMAT_NAME, register
 from ..sources.tables import bucket_spec_path, bucketed_name, hadoop_path, qualified, remove, write_text
 
@@ -39,6 +40,14 @@ def write_dlq(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     return write_table(df, path, "json", mode)
 
 
+def write_conforming(df: DataFrame, contract, path: str, dlq_path: str, fmt: str = "parquet",
+                     prefix: str = "CONTRACT_VIOLATION") -> tuple[int, int]:
+    """Write the rows that keep the contract with its schema, and the others to a dead-letter queue.
+    Returns both counts."""
+    valid, rejects = conform(df, contract, prefix)
+    return write_table(valid, path, fmt), write_dlq(rejects, dlq_path)
+
+
 def write_bucketed(df: DataFrame, path: str, key: str, buckets: int | None = None) -> int:
     """K9: a Parquet table of hash buckets by ``key`` at ``path``, registered in the session's catalog.
 

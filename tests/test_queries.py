@@ -35,10 +35,11 @@ def test_all_queries_match_oracle(spark, con):
 
     from __spark_entry__ import oracle_sql, queries
 
-    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) == set(ORACLE_SQL)  # every library query has an oracle
+    assert set(QUERIES) <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql()) <= set(queries())
     bad = []
     for name, fn in QUERIES.items():
-        line = compare(spark, con, name, fn, ORACLE_SQL.get(name), SF)
-        if ORACLE_SQL.get(name) is not None and not line.startswith("OK"):
+        line = compare(spark, con, name, fn, ORACLE_SQL[name], SF)
+        if not line.startswith("OK"):
             bad.append(line)
     assert not bad, "\n".join(bad)
