@@ -15,11 +15,14 @@ for a class the word, normalised over the words of the class. Both are batched
 matrix products. A word in a bucket has its smoothed share of the bucket, with
 one share for words never seen, so the probabilities of all tokens sum to one.
 
-Training is data-parallel: in each round every task runs stochastic gradient
-steps of noise-contrastive estimation over its texts, from the same
-parameters, and the results are averaged, each token's parameters weighted by
-its occurrences. Each training text is used in one round, so all of them are
-used once.
+Training texts are dealt to logical shards by the hash of id and text, as many
+as give each about SHARD_TOKENS tokens, so what is learned follows from the rows
+and not from files or tasks. A shard's texts go, as token numbers and in order
+of their hash, to one task, which runs stochastic gradient steps of
+noise-contrastive estimation from the round's parameters. After each round the
+shards' parameters are averaged, each token's weighted by its occurrences, and
+so are the step sizes, which later rounds go on from. Each training text is used
+in one round, so all of them are used once.
 
 What a task holds is bounded: the symbols and the known counts of the
 most frequent words, HEAVY_WORDS at most, are broadcast. The counts of all other words
@@ -28,8 +31,8 @@ stay distributed and meet the texts' rare words in a join.
 
 from __future__ import annotations
 
+import itertools
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -42,15 +45,17 @@ from ledgerflow.llm.arrow import with_columns
 from ledgerflow.llm.storage import materialise
 
 #: Most frequent words with a symbol of their own, buckets of the tail, and words whose counts are broadcast, at most.
-OWN_WORDS, BUCKETS, HEAVY_WORDS = 447, 64, 100_000
+OWN_WORDS, BUCKETS, HEAVY_WORDS = 191, 64, 100_000
 #: Classes of the next words, the words in them at most, and the least count of a word with vectors there.
-CLASSES, CLASS_WORDS, MIN_COUNT = 192, 49_152, 5
-CONTEXT, DIMENSIONS, ROUNDS = 2, 16, 2
-BATCH, NOISE, RATE = 2048, 64, 0.05
-#: Noise words of a class per word, and the places of the table they are drawn from.
-CLASS_NOISE, PLACES = 4, 2048
-#: Tokens whose parameters travel in one row when the tasks' results are averaged.
-BLOCK = 64
+CLASSES, CLASS_WORDS, MIN_COUNT = 256, 49_408, 5
+CONTEXT, DIMENSIONS = 2, 16
+#: Rounds of training, and tokens of a shard.
+ROUNDS, SHARD_TOKENS = 4, 4_000_000
+BATCH, NOISE, RATE = 4096, 64, 0.12
+#: Noise words of a class in a batch, and the places of the table they are drawn from.
+CLASS_NOISE, PLACES = 8, 2048
+#: Tokens whose parameters travel in one row when the shards' results are averaged.
+BLOCK = 512
 #: Distinct words that a counting task holds before it hands on partial counts.
 HELD_WORDS = 500_000
 FOLDS, HELD_OUT = 5, 1
@@ -75,23 +80,36 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
+class _Numbers(dict):
+    """Numbers of words in order of appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def count_tokens(training: DataFrame, text_col: str) -> DataFrame:
     """(token as binary, n) over all training texts, ends included; partial counts per task, summed in one shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(counts):
-            return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())],
+        def out(numbers, counts):
+            return pa.RecordBatch.from_arrays([pa.array(numbers, pa.binary()), pa.array(counts[:len(numbers)], pa.int64())],
                                               names=["token", "n"])
 
-        counts: Counter[bytes] = Counter()
+        numbers, counts = _Numbers(), np.zeros(0, np.int64)
         for batch in batches:
-            for text in batch.column(0):
-                counts.update(words_of(text.as_py()))
-                counts[END] += 1
-                if len(counts) >= HELD_WORDS:
-                    yield out(counts)
-                    counts = Counter()
-        if counts:
-            yield out(counts)
+            for at in range(0, batch.num_rows, 200):
+                flat: list[bytes] = []
+                for text in batch.column(0).slice(at, 200).to_pylist():
+                    flat += words_of(text)
+                    flat.append(END)
+                found = np.bincount(np.fromiter(map(numbers.__getitem__, flat), np.int64, len(flat)), minlength=len(counts))
+                found[:len(counts)] += counts
+                counts = found
+                if len(numbers) >= HELD_WORDS:
+                    yield out(numbers, counts)
+                    numbers, counts = _Numbers(), np.zeros(0, np.int64)
+        if numbers:
+            yield out(numbers, counts)
 
     return training.select(text_col).mapInArrow(run, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
@@ -151,20 +169,20 @@ class Vocabulary:
         return table, log_share
 
 
-def _heavy_threshold(counts: DataFrame) -> int | None:
-    """The least count such that at most HEAVY_WORDS tokens have it or more; None if even the highest counts are too many.
+def most_frequent(counts: DataFrame, limit: int) -> list:
+    """The ``limit`` most frequent rows of (token, n), by n and then by token; exact, however many counts are equal.
 
-    From a histogram of the counts in steps of an eighth of a power of two: a few hundred rows, no sort of the words.
+    A histogram of the counts in steps of an eighth of a power of two, a few hundred rows, tells below which count
+    nothing is wanted; the rest goes through a top-k of at most ``limit`` rows a partition.
     """
     step = F.floor(F.log2("n") * 8).alias("step")
     bars = sorted(counts.groupBy(step).agg(F.count("*").alias("words"), F.min("n").alias("least")).collect(), reverse=True)
-    least, words = None, 0
+    least, words = 0, 0
     for bar in bars:
-        words += bar["words"]
-        if words > HEAVY_WORDS:
+        least, words = bar["least"], words + bar["words"]
+        if words >= limit:
             break
-        least = bar["least"]
-    return least
+    return counts.where(F.col("n") >= least).orderBy(F.desc("n"), "token").limit(limit).collect()
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -172,8 +190,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     ends = F.sum(F.when(F.length("token") == 0, F.col("n")))
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct"),
                         F.coalesce(ends, F.lit(0)).alias("ends")).first()
-    least = _heavy_threshold(counts)
-    heavy = {} if least is None else {bytes(r["token"]): r["n"] for r in counts.where(F.col("n") >= least).collect()}
+    heavy = {bytes(r["token"]): r["n"] for r in most_frequent(counts, HEAVY_WORDS)}
     if totals["ends"]:
         heavy[END] = totals["ends"]
     ranked = sorted((t for t in heavy if t != END), key=lambda t: (-heavy[t], t))
@@ -214,14 +231,19 @@ class Model:
         return cls(rng.normal(0, 0.1, shape).astype(np.float32), rng.normal(0, 0.1, shape).astype(np.float32),
                    np.concatenate(bias).astype(np.float32), np.ones((CONTEXT, DIMENSIONS), np.float32))
 
-    def rows(self) -> np.ndarray:
-        """(rows, 2 * DIMENSIONS + 1): all parameters of a token side by side."""
-        return np.concatenate([self.r, self.q, self.b[:, None]], axis=1)
+    def rows(self, steps: Steps) -> np.ndarray:
+        """(rows, 2 * DIMENSIONS + 4): all parameters and step sizes of a token side by side."""
+        return np.concatenate([self.r, self.q, self.b[:, None], steps.r, steps.q, steps.b], axis=1)
 
     @classmethod
-    def from_rows(cls, rows: np.ndarray, c: np.ndarray) -> Model:
-        r, q, b = np.split(rows.astype(np.float32), [DIMENSIONS, 2 * DIMENSIONS], axis=1)
-        return cls(r.copy(), q.copy(), b[:, 0].copy(), c.astype(np.float32))
+    def from_rows(cls, rows: np.ndarray, places: np.ndarray) -> tuple[Model, Steps]:
+        r, q, b, sr, sq, sb = (x.copy() for x in np.split(
+            rows.astype(np.float32), np.cumsum([DIMENSIONS, DIMENSIONS, 1, 1, 1]), axis=1))
+        c, sc = np.split(places.astype(np.float32), [DIMENSIONS], axis=1)
+        return cls(r, q, b[:, 0].copy(), c.copy()), Steps(sr, sq, sb, sc.copy())
+
+    def copy(self) -> Model:
+        return Model(self.r.copy(), self.q.copy(), self.b.copy(), self.c.copy())
 
     def predicted(self, contexts: np.ndarray) -> np.ndarray:
         """(n, DIMENSIONS) from (n, CONTEXT) tokens."""
@@ -229,15 +251,16 @@ class Model:
 
     def log_sums(self, v: np.ndarray, part: slice) -> np.ndarray:
         """Log of the sum over the rows ``part`` of the exponentiated scores, for each predicted vector."""
-        q, b = np.ascontiguousarray(self.q[part].T), self.b[part]
-        out = np.empty(len(v), np.float32)
-        for at in range(0, len(v), 512):
-            s = v[at:at + 512] @ q
-            s += b
-            top = s.max(axis=1)
-            s -= top[:, None]
+        q = np.concatenate([self.q[part].T, self.b[None, part]])  # a bias is one more dimension
+        ones, out = np.ones(q.shape[1], np.float32), np.empty(len(v), np.float32)
+        for at in range(0, len(v), 128):
+            some = v[at:at + 128]
+            s = np.concatenate([some, np.ones((len(some), 1), np.float32)], axis=1) @ q
+            top = np.float32(0) if np.abs(s).max() < 60 else s.max(axis=1)  # float32 holds exp(60) and its sums
+            if np.ndim(top):
+                s -= top[:, None]
             np.exp(s, out=s)
-            out[at:at + 512] = top + np.log(s.sum(axis=1))
+            out[at:at + 128] = top + np.log(s @ ones)
         return out
 
     def log_normalisers(self, contexts: np.ndarray) -> np.ndarray:
@@ -249,8 +272,9 @@ class Model:
         out = np.zeros(len(targets), np.float64)
         classes = words.first_level(targets)
         classes[targets < SYMBOLS] = -1
+        classes = classes.astype(np.int16)  # sorted by radix
         order = np.argsort(classes, kind="stable")
-        edges = np.searchsorted(classes[order], np.arange(FIRST_CLASS, SYMBOLS + 1))
+        edges = np.searchsorted(classes[order], np.arange(FIRST_CLASS, SYMBOLS + 1).astype(np.int16))
         for i, part in enumerate(words.class_parts()):
             at = order[edges[i]:edges[i + 1]]
             if len(at):
@@ -260,70 +284,161 @@ class Model:
         return out
 
 
+@dataclass
+class Steps:
+    """Sums of squared gradients, one a token and kind of parameter: they set the step sizes."""
+
+    r: np.ndarray
+    q: np.ndarray
+    b: np.ndarray
+    c: np.ndarray
+
+    @classmethod
+    def start(cls, rows: int) -> Steps:
+        return cls(*(np.full((n, 1), 1e-6, np.float32) for n in (rows, rows, rows, CONTEXT)))
+
+    def copy(self) -> Steps:
+        return Steps(self.r.copy(), self.q.copy(), self.b.copy(), self.c.copy())
+
+
 def _sums(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct indices, sums of the rows of ``values`` by ``index``)."""
-    order = np.argsort(index, kind="stable")
-    index, values = index[order], values[order]
+    order = np.argsort(index.astype(np.uint16) if index.max() < 1 << 16 else index, kind="stable")  # 16 bits: by radix
+    index = index[order]
     starts = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
-    return index[starts], np.add.reduceat(values, starts, axis=0)
+    return index[starts], np.add.reduceat(values[order], starts, axis=0)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    """In place."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+@dataclass
+class Noise:
+    """What noise is drawn from: symbols by their smoothed share, words of a class by its table."""
+
+    cumulated: np.ndarray  # chances of the symbols, summed up
+    log_share: np.ndarray  # log chance of each row: of a symbol among all, of a word in its class
+    table: np.ndarray  # (classes, PLACES) rows
 
+    @classmethod
+    def of(cls, words: Vocabulary) -> Noise:
+        log_noise = words.log_start()
+        chance = np.exp(log_noise)
+        table, log_share = words.noise_table()
+        return cls(np.cumsum(chance / chance.sum()), np.concatenate([log_noise, log_share]).astype(np.float32), table + SYMBOLS)
+
+    def symbols(self, rng: np.random.Generator) -> np.ndarray:
+        return np.minimum(np.searchsorted(self.cumulated, rng.random(NOISE)), SYMBOLS - 1)
 
-def train_batch(m: Model, contexts: np.ndarray, targets: np.ndarray, noise: np.ndarray, log_noise: np.ndarray,
-                squares: list[np.ndarray], inner: tuple[np.ndarray, ...] | None = None) -> None:
-    """One noise-contrastive step, with noise symbols shared by the batch and adaptive step sizes.
 
-    ``inner`` has the places of the targets that are classes, their words, the words' own noise words (all as
-    row numbers) and the noise's log share by word. Only rows that the batch touches change.
+def train_batch(m: Model, steps: Steps, contexts: np.ndarray, tokens: np.ndarray, targets: np.ndarray, noise: Noise,
+                rng: np.random.Generator) -> None:
+    """One noise-contrastive step: noise symbols are shared by the batch, noise words by a class's words in it.
+
+    ``tokens`` are rows and ``targets`` their symbols. Only rows that the batch touches change.
     """
-    n, k = len(targets), len(noise)
+    n, others = len(targets), noise.symbols(rng)
+    offset = m.b - noise.log_share  # a score less its noise
     places = m.r[contexts]
     v = (places * m.c).sum(axis=1)
-    qt, qn = m.q[targets], m.q[noise]
-    shift = np.log(k)
-    miss = 1 - _sigmoid((v * qt).sum(axis=1) + m.b[targets] - log_noise[targets] - shift)  # pull the true word up
-    false = _sigmoid(v @ qn.T + m.b[noise] - log_noise[noise] - shift)  # push the noise words down
+    qt, qn = m.q[targets], m.q[others]
+    shift = np.float32(np.log(len(others)))
+    miss = 1 - _sigmoid(np.einsum("ij,ij->i", v, qt) + offset[targets] - shift)  # pull the true symbol up
+    false = _sigmoid(v @ qn.T + (offset[others] - shift))  # push the noise symbols down
     dv = miss[:, None] * qt - false @ qn
-    rows, pulls = [targets, noise], [miss[:, None] * v, -(false.T @ v)]
+    rows, pulls = [targets, others], [miss[:, None] * v, -(false.T @ v)]
     biases = [miss, -false.sum(axis=0)]
-    if inner is not None and len(inner[0]):
-        at, words, others, log_share = inner
-        shift, u, qw, qo = np.log(others.shape[1]), v[at], m.q[words], m.q[others]
-        miss = 1 - _sigmoid((u * qw).sum(axis=1) + m.b[words] - log_share[words - SYMBOLS] - shift)
-        false = _sigmoid((qo @ u[:, :, None])[:, :, 0] + m.b[others] - log_share[others - SYMBOLS] - shift)
-        dv[at] += miss[:, None] * qw - (false[:, None, :] @ qo)[:, 0]
-        rows += [words, others.ravel()]
-        pulls += [miss[:, None] * u, -(false[:, :, None] * u[:, None, :]).reshape(-1, DIMENSIONS)]
-        biases += [miss, -false.ravel()]
+    at = np.flatnonzero(tokens >= SYMBOLS)
+    if len(at):
+        classes = (targets[at] - FIRST_CLASS).astype(np.uint16)
+        order = np.argsort(classes, kind="stable")
+        at, classes = at[order], classes[order]
+        first = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
+        size = np.diff(np.append(first, len(classes)))
+        group, place = np.repeat(np.arange(len(first)), size), np.arange(len(at)) - np.repeat(first, size)
+        word, u = tokens[at], v[at]
+        drawn = noise.table[classes[first][:, None], rng.integers(0, PLACES, (len(first), CLASS_NOISE))]
+        qw, qd = m.q[word], m.q[drawn]
+        shift = np.float32(np.log(CLASS_NOISE))
+        padded = np.zeros((len(first), size.max(), DIMENSIONS), np.float32)  # one matrix a class, its words' contexts
+        padded[group, place] = u
+        false = _sigmoid(padded @ qd.transpose(0, 2, 1) + (offset[drawn] - shift)[:, None, :])
+        false *= (np.arange(size.max()) < size[:, None])[:, :, None]
+        miss = 1 - _sigmoid(np.einsum("ij,ij->i", u, qw) + offset[word] - shift)
+        dv[at] += miss[:, None] * qw - (false @ qd)[group, place]
+        rows += [word, drawn.ravel()]
+        pulls += [miss[:, None] * u, -(false.transpose(0, 2, 1) @ padded).reshape(-1, DIMENSIONS)]
+        biases += [miss, -false.sum(axis=1).ravel()]
     row, grad = _sums(np.concatenate(rows), np.concatenate(
         [np.concatenate(pulls), np.concatenate(biases)[:, None]], axis=1))
     by_context, dr = _sums(contexts.T.ravel(), np.concatenate([dv * m.c[i] for i in range(CONTEXT)]))
-    dc = np.stack([(dv * places[:, i]).sum(axis=0) for i in range(CONTEXT)])
-    for x, at, g, square in zip((m.r, m.q, m.b, m.c), (by_context, row, row, slice(None)),
-                                (dr, grad[:, :-1], grad[:, -1], dc), squares):
-        g = (g / n).astype(np.float32)
-        total = square[at] + g * g
+    dc = np.stack([np.einsum("ij,ij->j", dv, places[:, i]) for i in range(CONTEXT)])
+    for x, square, at, g in ((m.r, steps.r, by_context, dr), (m.q, steps.q, row, grad[:, :-1]),
+                             (m.b[:, None], steps.b, row, grad[:, -1:]), (m.c, steps.c, slice(None), dc)):
+        g = (g / np.float32(n)).astype(np.float32)
+        total = square[at] + np.einsum("ij,ij->i", g, g)[:, None] / g.shape[1]
         square[at] = total
-        x[at] += RATE * g / (np.sqrt(total) + 1e-6)
-
-
-def encode(texts: list[str | None], symbol: dict[bytes, int]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    """(words of each text, symbols of all tokens with ends, contexts). Contexts before a text's start are ends."""
-    words = [words_of(t) for t in texts]
-    coded: list[int] = []
-    for w in words:
-        coded += [symbol[x] if x in symbol else bucket_of(x) for x in w]
-        coded.append(0)
-    targets = np.array(coded, np.int64)
-    padded = np.concatenate([np.zeros(CONTEXT, np.int64), targets])
+        x[at] += np.float32(RATE) * g / (np.sqrt(total) + np.float32(1e-6))
+
+
+class Coder(dict):
+    """The number of each heavy token, -1 for others; by number its row (``code``) and its count (``count``)."""
+
+    def __init__(self, words: Vocabulary):
+        super().__init__((t, i) for i, t in enumerate(words.heavy))
+        self.code = np.array([words.symbol.get(t, -1) for t in words.heavy], np.int64)
+        bucketed = np.flatnonzero(self.code < 0)
+        tokens = list(words.heavy)
+        self.code[bucketed] = [bucket_of(tokens[i]) for i in bucketed.tolist()]
+        self.count = np.array(list(words.heavy.values()), np.float64)
+        if END not in self:  # no training texts
+            self[END] = len(tokens)
+            self.code, self.count = np.append(self.code, 0), np.append(self.count, 0.0)
+
+    def __missing__(self, token: bytes) -> int:
+        return -1
+
+    def encode(self, texts: list[str | None]) -> Encoded:
+        flat: list[bytes] = []
+        sizes = np.empty(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            before = len(flat)
+            flat += words_of(text)
+            flat.append(END)
+            sizes[i] = len(flat) - before
+        number = np.fromiter(map(self.__getitem__, flat), np.int64, len(flat))
+        rare = np.flatnonzero(number < 0)
+        rare_words = [flat[i] for i in rare.tolist()]
+        rows = self.code[number] if len(self.code) else np.zeros(0, np.int64)
+        rows[rare] = [bucket_of(w) for w in rare_words]
+        return Encoded(sizes, number, rows, rare, rare_words)
+
+
+@dataclass
+class Encoded:
+    """Tokens of some texts, each text's end behind it."""
+
+    sizes: np.ndarray  # tokens of each text
+    number: np.ndarray  # the coder's number of each token
+    rows: np.ndarray  # the row of each token in the model
+    rare: np.ndarray  # places of the tokens that the coder doesn't know
+    rare_words: list[bytes]  # and those tokens
+
+
+def contexts_of(rows: np.ndarray) -> np.ndarray:
+    """(n, CONTEXT) rows before each token. Contexts before a text's start are ends."""
+    padded = np.concatenate([np.zeros(CONTEXT, rows.dtype), rows])
     contexts = np.stack([padded[CONTEXT - 1 - i:len(padded) - 1 - i] for i in range(CONTEXT)], axis=1)
     # beyond the nearest end the context is all ends
     for i in range(1, CONTEXT):
         contexts[contexts[:, i - 1] == 0, i] = 0
-    return words, targets, contexts
+    return contexts
 
 
 def _averaged(rows: DataFrame) -> DataFrame:
@@ -346,60 +461,98 @@ def _averaged(rows: DataFrame) -> DataFrame:
     return rows.repartition("block").mapInArrow(run, "block int, weights binary, sums binary")
 
 
-def train_round(training: DataFrame, text_col: str, shared, start: Model) -> Model | None:
-    """The model after one pass over ``training``: every task's own, each token's parameters averaged by its
-    occurrences in the tasks and the weights of the places by all tokens; None without texts."""
-    begin = training.sparkSession.sparkContext.broadcast(start)
-    n_rows = len(start.b)
-
+def _numbered(shared):
+    """Task function: (place, at, text) -> (place, at, ids), the rows of the text's tokens as 16-bit numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, first = shared.value, begin.value
-        model = Model(*(x.copy() for x in (first.r, first.q, first.b, first.c)))
-        log_noise = words.log_start().astype(np.float32)
-        chance = np.exp(log_noise.astype(np.float64))
-        table, log_share = words.noise_table()
-        rng, seen = np.random.default_rng(0), np.zeros(n_rows)
-        squares = [np.full(x.shape, 1e-6, np.float32) for x in (model.r, model.q, model.b, model.c)]
+        coder = Coder(shared.value)
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
-                _, tokens, contexts = encode(whole.column(0).slice(at, 500).to_pylist(), words.symbol)
-                targets = words.first_level(tokens)
-                draws = rng.choice(SYMBOLS, (-(-len(targets) // BATCH), NOISE), p=chance / chance.sum())
-                for noise, begin_at in zip(draws, range(0, len(targets), BATCH)):
-                    part = slice(begin_at, begin_at + BATCH)
-                    places = np.flatnonzero(tokens[part] >= SYMBOLS)
-                    drawn = rng.integers(0, PLACES, (len(places), CLASS_NOISE))
-                    classes = targets[part][places] - FIRST_CLASS
-                    others = table[classes[:, None], drawn] + SYMBOLS if len(places) else drawn
-                    train_batch(model, contexts[part], targets[part], noise, log_noise, squares,
-                                (places, tokens[part][places], others, log_share))
-                seen += np.bincount(targets, minlength=n_rows)
-                inside = tokens >= SYMBOLS
-                seen += np.bincount(tokens[inside], minlength=n_rows)
-        if seen.any():
-            rows = np.ascontiguousarray(model.rows())
-            cuts = range(0, n_rows, BLOCK)
-            total = seen[:SYMBOLS].sum()
-            blocks = [*range(len(cuts)), -1]  # the last one is the weights of the places
-            weights = [seen[i:i + BLOCK].tobytes() for i in cuts] + [np.full(CONTEXT, total).tobytes()]
-            values = [rows[i:i + BLOCK].tobytes() for i in cuts] + [model.c.tobytes()]
-            for at in range(0, len(blocks), 64):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(blocks[at:at + 64], pa.int32()), pa.array(weights[at:at + 64], pa.binary()),
-                     pa.array(values[at:at + 64], pa.binary())], names=["block", "weights", "values"])
-
-    parts = _averaged(training.select(text_col).mapInArrow(run, "block int, weights binary, values binary")).collect()
-    if not parts:
-        return None
-    rows, c = start.rows(), start.c.copy()
+                batch = whole.slice(at, 500)
+                made = coder.encode(batch.column(2).to_pylist())
+                data, ends = made.rows.astype(np.uint16).tobytes(), 2 * np.cumsum(made.sizes)
+                ids = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(
+                    np.concatenate([[0], ends]).astype(np.int32).tobytes()), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], names=["place", "at", "ids"])
+
+    return run
+
+
+def train_round(training: DataFrame, text_col: str, shared, start: Model, steps: Steps, shards: int) -> tuple[Model, Steps]:
+    """Parameters and step sizes after one round over ``training``, whose column ``place`` (0 to ``shards`` - 1) tells the
+    shard and ``at`` the order in it: averages over the shards, each token's weighted by its occurrences there and those
+    of the context places by all tokens. Without texts they stay as they are.
+    """
+    begin = training.sparkSession.sparkContext.broadcast((start, steps))
+    n_rows = len(start.b)
+
+    def learned(words: Vocabulary, texts: Iterator[bytes]) -> list[tuple[int, bytes, bytes]]:
+        model, squares = (x.copy() for x in begin.value)
+        noise, rng, seen = Noise.of(words), np.random.default_rng(0), np.zeros(n_rows)
+        before, waiting = np.zeros(CONTEXT, np.int64), np.zeros(0, np.int64)  # a shard begins like a text
+
+        def learn(stop: int) -> None:
+            """Steps over the first ``stop`` tokens that wait; the rest goes on waiting."""
+            nonlocal before, waiting
+            joined = np.concatenate([before, waiting[:stop]])
+            contexts, rows = contexts_of(joined)[CONTEXT:], joined[CONTEXT:]
+            targets = words.first_level(rows)
+            for at in range(0, stop, BATCH):
+                part = slice(at, min(at + BATCH, stop))
+                train_batch(model, squares, contexts[part], rows[part], targets[part], noise, rng)
+            np.add(seen, np.bincount(targets, minlength=n_rows), out=seen)
+            np.add(seen, np.bincount(rows[rows >= SYMBOLS], minlength=n_rows), out=seen)
+            before, waiting = joined[len(joined) - CONTEXT:], waiting[stop:]
+
+        held: list[np.ndarray] = []
+        size = 0
+        for ids in texts:
+            held.append(np.frombuffer(ids, np.uint16))
+            size += len(held[-1])
+            if size >= 64 * BATCH:
+                waiting = np.concatenate([waiting, *held])
+                learn(len(waiting) // BATCH * BATCH)
+                held, size = [], len(waiting)
+        waiting = np.concatenate([waiting, *held]).astype(np.int64)
+        if len(waiting):
+            learn(len(waiting))
+        rows = np.ascontiguousarray(model.rows(squares))
+        places = np.concatenate([model.c, squares.c], axis=1)
+        out = [(i, seen[at:at + BLOCK].tobytes(), rows[at:at + BLOCK].tobytes()) for i, at in enumerate(range(0, n_rows, BLOCK))]
+        return [*out, (-1, np.full(CONTEXT, seen[:SYMBOLS].sum()).tobytes(), places.tobytes())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        rows = ((p, i) for batch in batches for p, i in zip(batch.column(0).to_pylist(), batch.column(2)))
+        for _, group in itertools.groupby(rows, key=lambda x: x[0]):
+            blocks = learned(words, (i.as_py() for _, i in group))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*blocks), (pa.int32(), pa.binary(), pa.binary()))],
+                                             names=["block", "weights", "values"])
+
+    numbered = training.select("place", "at", text_col).mapInArrow(_numbered(shared), "place int, at long, ids binary")
+    dealt = numbered.repartitionById(shards, F.col("place")).sortWithinPartitions("place", "at", "ids")
+    parts = _averaged(dealt.mapInArrow(run, "block int, weights binary, values binary")).collect()
+    rows, c = start.rows(steps), np.concatenate([start.c, steps.c], axis=1)
     for part in parts:
         w = np.frombuffer(part["weights"])
         x = np.frombuffer(part["sums"]).reshape(len(w), -1)
         to = c if part["block"] < 0 else rows[part["block"] * BLOCK:(part["block"] + 1) * BLOCK]
-        to[w > 0] = x[w > 0] / w[w > 0, None]  # a token that no task met stays as it is
+        to[w > 0] = x[w > 0] / w[w > 0, None]  # a token that no shard met stays as it is
     return Model.from_rows(rows, c)
 
 
+def train(training: DataFrame, id_col: str, text_col: str, shared, words: Vocabulary) -> Model:
+    """The model after all rounds. Shards are numbered by the hash of id and text, and taken in turns by the rounds."""
+    model, steps = Model.start(words), Steps.start(SYMBOLS + len(words.word_count))
+    shards = max(1, round(words.tokens / SHARD_TOKENS))
+    rounds = min(ROUNDS, shards)
+    key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+    placed = training.select(text_col, key.alias("at"), F.pmod(key, F.lit(shards)).alias("shard"))
+    for k in range(rounds):
+        mine = placed.where(F.col("shard") % rounds == k).withColumn("place", F.floor(F.col("shard") / rounds).cast("int"))
+        model, steps = train_round(mine, text_col, shared, model, steps, -(-(shards - k) // rounds))
+    return model
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per input row.
 
@@ -413,48 +566,48 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     counts = materialise(count_tokens(training, text_col), "lbl-counts")
     words = vocabulary(counts)
     shared = spark.sparkContext.broadcast(words)
-    model = Model.start(words)
-    for k in range(ROUNDS):
-        part = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(ROUNDS)) == k
-        model = train_round(training.where(part), text_col, shared, model) or model
+    model = train(training, id_col, text_col, shared, words)
     fitted = spark.sparkContext.broadcast(model)
     return _scored(own, text_col, counts, shared, fitted, words, id_col)
 
 
 def _scored(own: DataFrame, text_col: str, counts: DataFrame, shared, fitted, words: Vocabulary, id_col: str) -> DataFrame:
     scale = 1 / np.log(10)
+    coders: list[Coder] = []  # a task's own
 
     def compute(texts):
         known, model = shared.value, fitted.value
-        heavy, symbol = known.heavy, known.symbol
-        split, tokens, contexts = encode(texts, symbol)
-        targets, rows = known.first_level(tokens), len(model.b)
-        pair, where = np.unique(contexts @ (rows ** np.arange(CONTEXT)), return_inverse=True)
-        distinct = np.stack([pair // rows ** i % rows for i in range(CONTEXT)], axis=1)
-        log_z, v = model.log_normalisers(distinct), model.predicted(distinct)
-        log_p = np.empty(len(targets), np.float64)
-        for at in range(0, len(targets), 1 << 16):
-            w, t = where[at:at + (1 << 16)], targets[at:at + (1 << 16)]
-            log_p[at:at + (1 << 16)] = (v[w] * model.q[t]).sum(axis=1) + model.b[t] - log_z[w]
-            log_p[at:at + (1 << 16)] += model.log_in_class(known, v[w], tokens[at:at + (1 << 16)])
+        if not coders:
+            coders.append(Coder(known))
+        coder = coders[0]
+        made = coder.encode(texts)
+        rows, targets = made.rows, known.first_level(made.rows)
+        starts = np.cumsum(made.sizes) - made.sizes
+        weighted = [model.r * model.c[i] for i in range(CONTEXT)]
+        contexts = contexts_of(rows)
+        log_p = np.empty(len(rows), np.float64)
+        for at in range(0, len(rows), 1 << 17):
+            part = slice(at, at + (1 << 17))
+            v, t = sum(w[contexts[part, i]] for i, w in enumerate(weighted)), targets[part]
+            log_p[part] = np.einsum("ij,ij->i", v, model.q[t]) + model.b[t] - model.log_sums(v, slice(0, SYMBOLS))
+            log_p[part] += model.log_in_class(known, v, rows[part])
         inside = (targets > OWN_WORDS) & (targets < FIRST_CLASS)  # a word's share of its bucket; its count joins below
         log_p[inside] -= np.log(known.bucket_total())[targets[inside]]
-        sizes = np.array([len(w) + 1 for w in split])
-        starts = np.cumsum(sizes) - sizes
-        model_part = np.add.reduceat(log_p, starts) if len(starts) else np.zeros(0)
-        end_count = heavy.get(END, 0)
-        out = {"n_tokens": sizes, "sure": [], "base_part": [], "model_part": [], "rare": []}
-        for t, (w, part) in enumerate(zip(split, model_part.tolist())):
-            found = [heavy.get(x, 0) for x in w]
-            rare = Counter(x for x, n in zip(w, found) if not n)
-            had = np.array([n for n in found if n], np.float64)
-            logs = float(np.log(had + 0.5).sum())
-            mine = np.array([n for x, n in zip(w, found) if n and x not in symbol], np.float64)
-            out["sure"].append(len(had) + (end_count > 0))
-            out["base_part"].append(logs + float(np.log(end_count + 0.5)))
-            out["model_part"].append(part + float(np.log(mine + 0.5).sum()))
-            out["rare"].append([{"token": x, "times": n} for x, n in rare.items()])
-        return out
+        counts = np.where(made.number >= 0, coder.count[made.number], 0.0)
+        sure = counts > 0
+        logs = np.where(made.number >= 0, np.log(counts + 0.5), 0.0)
+        log_p += np.where(inside, logs, 0.0)
+        text_of = np.searchsorted(starts, made.rare, side="right") - 1
+        found = pa.table({"text": text_of, "token": pa.array(made.rare_words, pa.binary())}).group_by(
+            ["text", "token"], use_threads=False).aggregate([([], "count_all")]).sort_by("text")
+        offsets = np.searchsorted(found["text"].to_numpy(), np.arange(len(texts) + 1))
+        token, times = (found[c].combine_chunks() for c in ("token", "count_all"))
+        rare = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([token, times.cast(pa.int64())], ["token", "times"]))
+
+        def sums(x):
+            return np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
+
+        return {"n_tokens": made.sizes, "sure": sums(sure.astype(np.int64)), "base_part": sums(logs), "model_part": sums(log_p), "rare": rare}
 
     scored = with_columns(own.withColumn("row", F.monotonically_increasing_id()), [text_col], [id_col, "held_out", "row"],
                           "n_tokens long, sure long, base_part double, model_part double, "

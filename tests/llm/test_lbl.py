@@ -57,24 +57,53 @@ def test_probabilities_sum_to_one(rng):
     assert sum((c + 0.5) / words.bucket_total()[500] for c in (1, 2, 3, 0)) == pytest.approx(1)
 
 
+def steps_of(model):
+    return lbl.Steps.start(len(model.b))
+
+
 def test_gradient_step_raises_the_true_words():
     r = np.random.default_rng(0)
     words = lbl.Vocabulary({b"": 0}, {}, 10, 1, np.full(lbl.SYMBOLS, 5.0), np.ones(lbl.SYMBOLS))
     model = lbl.Model.start(words)
     contexts, targets = np.tile([[3, 4]], (256, 1)), np.full(256, 7)
-    squares = [np.full(x.shape, 1e-6, np.float32) for x in (model.r, model.q, model.b, model.c)]
+    steps, noise = steps_of(model), lbl.Noise.of(words)
     def score():
         return float((model.predicted(contexts[:1]) @ model.q[7])[0] + model.b[7] - model.log_normalisers(contexts[:1])[0])
     before = score()
     for _ in range(30):
-        lbl.train_batch(model, contexts, targets, r.integers(0, lbl.SYMBOLS, 32), words.log_start().astype(np.float32), squares)
+        lbl.train_batch(model, steps, contexts, targets, targets, noise, r)
     assert score() > before + 0.5
 
 
 def test_contexts_stop_at_text_ends():
-    _, targets, contexts = lbl.encode(["a b", None, "c"], {b"": 0, b"a": 1, b"b": 2, b"c": 3})
-    assert targets.tolist() == [1, 2, 0, 0, 3, 0]
-    assert contexts.tolist() == [[0, 0], [1, 0], [2, 1], [0, 0], [0, 0], [3, 0]]
+    words = lbl.Vocabulary({b"": 0, b"a": 1, b"b": 2, b"c": 3}, {b"": 3, b"a": 1, b"b": 1, b"c": 1, b"d": 1}, 7, 5,
+                           np.zeros(lbl.SYMBOLS), np.zeros(lbl.SYMBOLS))
+    made = lbl.Coder(words).encode(["a b", None, "c", "D zz"])
+    assert made.rows.tolist() == [1, 2, 0, 0, 3, 0, lbl.bucket_of(b"d"), lbl.bucket_of(b"zz"), 0]
+    assert made.sizes.tolist() == [3, 1, 2, 3] and made.rare.tolist() == [7] and made.rare_words == [b"zz"]
+    assert lbl.contexts_of(made.rows[:6]).tolist() == [[0, 0], [1, 0], [2, 1], [0, 0], [0, 0], [3, 0]]
+
+
+def test_most_frequent_is_exact_where_counts_are_equal(spark):
+    rows = [(b"flat%05d" % i, 50) for i in range(3000)] + [(b"top", 60), (b"low", 2)]
+    counts = spark.createDataFrame([(bytearray(t), n) for t, n in rows], "token binary, n long").repartition(5)
+    for limit in (1, 2, 1000, 3001, 5000):
+        got = [(bytes(r["token"]), r["n"]) for r in lbl.most_frequent(counts, limit)]
+        assert got == sorted(rows, key=lambda r: (-r[1], r[0]))[:limit]
+    assert lbl.most_frequent(counts.limit(0), 5) == []
+
+
+@pytest.mark.parametrize("scores", [1.0, 200.0])
+def test_log_sums_of_small_and_large_scores(scores):
+    r = np.random.default_rng(2)
+    words = lbl.Vocabulary({b"": 0}, {}, 10, 1, np.full(lbl.SYMBOLS, 5.0), np.ones(lbl.SYMBOLS))
+    model = lbl.Model.start(words)
+    model.q = (r.normal(size=model.q.shape) * scores).astype(np.float32)
+    v = r.normal(size=(300, lbl.DIMENSIONS)).astype(np.float32)
+    s = v.astype(float) @ model.q.T.astype(float) + model.b
+    top = s.max(axis=1, keepdims=True)
+    want = top[:, 0] + np.log(np.exp(s - top).sum(axis=1))
+    assert np.allclose(model.log_sums(v, slice(0, lbl.SYMBOLS)), want, rtol=1e-4, atol=1e-3)
 
 
 def test_empty_tables(spark, make_docs):
@@ -91,7 +120,8 @@ def test_words_above_the_minimum_count_have_vectors(spark):
     rows = [(bytearray(t), n) for t, n in {**frequent, **rare, b"": 70}.items()]
     words = lbl.vocabulary(spark.createDataFrame(rows, "token binary, n long"))
     assert set(words.symbol) == {*frequent, b""} and len(set(words.symbol.values())) == 2001
-    _, tokens, contexts = lbl.encode(["same1990 same1991 tail7"], words.symbol)
+    tokens = lbl.Coder(words).encode(["same1990 same1991 tail7"]).rows
+    contexts = lbl.contexts_of(tokens)
     assert contexts[1, 0] != contexts[2, 0]  # words of one bucket are different contexts
     assert words.symbol_count.sum() == words.tokens and words.bucket_types.sum() == len(rare)
     assert words.symbol_count[lbl.bucket_of(b"tail7")] == 50 * (lbl.MIN_COUNT - 1)
@@ -118,16 +148,13 @@ def test_class_words_sum_to_their_class_and_learn():
     assert all(set(row) == set(range(part.start, part.stop)) for row, part in zip(table, words.class_parts()))
     # after w0009 comes w0100, after w0011 w0101: one class, so only the word's own vectors can tell them apart
     texts = [b"w0009 w0100".decode(), b"w0011 w0101".decode()] * 600
-    _, tokens, contexts = lbl.encode(texts, symbol)
-    targets = words.first_level(tokens)
+    words.heavy.update(dict.fromkeys(symbol, 5))
+    tokens = lbl.Coder(words).encode(texts).rows
+    contexts, targets = lbl.contexts_of(tokens), words.first_level(tokens)
     assert targets[1] == targets[4] and tokens[1] != tokens[4]
-    squares = [np.full(x.shape, 1e-6, np.float32) for x in (model.r, model.q, model.b, model.c)]
-    places = np.flatnonzero(tokens >= lbl.SYMBOLS)
+    steps, noise = steps_of(model), lbl.Noise.of(words)
     for _ in range(60):
-        drawn = rng.integers(0, lbl.PLACES, (len(places), lbl.CLASS_NOISE))
-        others = table[(targets[places] - lbl.FIRST_CLASS)[:, None], drawn] + lbl.SYMBOLS
-        lbl.train_batch(model, contexts, targets, rng.integers(0, lbl.SYMBOLS, 32), words.log_start().astype(np.float32),
-                        squares, (places, tokens[places], others, share))
+        lbl.train_batch(model, steps, contexts, tokens, targets, noise, rng)
     inside = model.log_in_class(words, model.predicted(contexts), tokens)
     assert np.exp(inside[[1, 4]]).min() > 0.7
 
@@ -135,6 +162,30 @@ def test_class_words_sum_to_their_class_and_learn():
 def test_frequent_words_beyond_the_first_ones_are_predicted_from_context(spark, make_docs, rng):
     """Two languages of 600 words with one prefix: the language shows only in whole words."""
     rows = [(i, " ".join(f"same{rng.randrange(600) * 2 + i % 2}" for _ in range(400))) for i in range(3000)]
-    held = [r for r in lbl.score(make_docs(rows).coalesce(1)).collect() if r["held_out"]]
+    held = [r for r in lbl.score(make_docs(rows).repartition(16)).collect() if r["held_out"]]
     gain = sum(r["score"] - r["base_score"] for r in held) / sum(r["n_tokens"] for r in held)
     assert gain > 0.1
+
+
+def test_scores_do_not_depend_on_the_partitions(spark, make_docs, rng, monkeypatch):
+    """Several shards and rounds; the rows lie in 1, 16 and 128 partitions, in another order each."""
+    monkeypatch.setattr(lbl, "SHARD_TOKENS", 20_000)
+    monkeypatch.setattr(lbl, "BATCH", 128)
+    rows = [(i, " ".join(f"same{rng.randrange(200) * 2 + i % 2}" for _ in range(200))) for i in range(600)]
+    rows += [(None, "same1 same3")] * 3
+    scores, gains = [], []
+    for parts in (1, 16, 128):
+        got = lbl.score(make_docs(rng.sample(rows, len(rows))).repartition(parts)).collect()
+        scores.append(sorted((-1 if r["doc_id"] is None else r["doc_id"], r["score"]) for r in got))
+        held = [r for r in got if r["held_out"]]
+        gains.append(sum(r["score"] - r["base_score"] for r in held) / sum(r["n_tokens"] for r in held))
+    for other in scores[1:]:
+        assert all(a[0] == b[0] and a[1] == pytest.approx(b[1], rel=0.01) for a, b in zip(scores[0], other))
+    assert min(gains) > 0.9 * max(gains) > 0
+
+
+def test_very_long_text_and_ties(spark, make_docs):
+    long = "many words of one text " * 60_000
+    got = {r["doc_id"]: r for r in lbl.score(make_docs([(0, long), (2, "many words"), (3, "many words")])).collect()}
+    assert got[0]["n_tokens"] == 300_001 and math.isfinite(got[0]["score"])
+    assert got[2]["score"] == got[3]["score"] and got[2]["base_score"] == got[3]["base_score"]
