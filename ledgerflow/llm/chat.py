@@ -126,13 +126,14 @@ def format_chats(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     place in the conversation's reply order; rows of one conversation and turn share links and position. Null turns
     come first, a null conversation is one of its own. Extra columns are not read.
     """
-    parsed = parse(messages, conv_col, turn_col, role_col, text_col)
+    # written once: the line expressions are the costly part, and links, bodies and ranks all need some of it
+    parsed = materialise(parse(messages, conv_col, turn_col, role_col, text_col), "chat-parsed")
     links = materialise(reply_links(parsed), "chat-links")
     trees = links.join(roots(links), ["conv_id", "turn"])
     # ids stand beside their null flags, as an equality join drops nulls
     keys = [F.coalesce(F.col("conv_id"), F.lit(0)).alias("k1"), F.col("conv_id").isNull().alias("k2"),
             F.coalesce(F.col("turn"), F.lit(0)).alias("k3"), F.col("turn").isNull().alias("k4")]
-    turns = (messages.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"))
+    turns = (parsed.select("conv_id", "turn")
              .groupBy("conv_id", "turn").agg(F.count("*").alias("n")))
     placed = turns.join(trees, ["conv_id", "turn"], "left").withColumn("thread", F.coalesce("thread", "turn"))
     ranked = materialise(reply_positions(placed.select("conv_id", "thread", "turn", "n")), "chat-ranks")

@@ -52,8 +52,8 @@ CONTEXT, DIMENSIONS = 2, 16
 #: Rounds of training, and tokens of a shard.
 ROUNDS, SHARD_TOKENS = 4, 4_000_000
 BATCH, NOISE, RATE = 4096, 64, 0.12
-#: Noise words of a class in a batch, and the places of the table they are drawn from.
-CLASS_NOISE, PLACES = 8, 2048
+#: Noise words that up to GROUP words of one class share in a batch, and the places of the table they are drawn from.
+CLASS_NOISE, GROUP, PLACES = 8, 16, 2048
 #: Tokens whose parameters travel in one row when the shards' results are averaged.
 BLOCK = 512
 #: Distinct words that a counting task holds before it hands on partial counts.
@@ -251,16 +251,22 @@ class Model:
 
     def log_sums(self, v: np.ndarray, part: slice) -> np.ndarray:
         """Log of the sum over the rows ``part`` of the exponentiated scores, for each predicted vector."""
+        # No product is larger than that of the largest norms, so with the largest bias it bounds the largest score from
+        # both sides; float32 holds exp(60) and its sums.
+        reach = np.sqrt(np.einsum("ij,ij->i", v, v).max(initial=0) * np.einsum("ij,ij->i", self.q[part], self.q[part]).max())
+        small = reach + abs(self.b[part].max()) < 60
         q = np.concatenate([self.q[part].T, self.b[None, part]])  # a bias is one more dimension
-        ones, out = np.ones(q.shape[1], np.float32), np.empty(len(v), np.float32)
-        for at in range(0, len(v), 128):
-            some = v[at:at + 128]
-            s = np.concatenate([some, np.ones((len(some), 1), np.float32)], axis=1) @ q
-            top = np.float32(0) if np.abs(s).max() < 60 else s.max(axis=1)  # float32 holds exp(60) and its sums
-            if np.ndim(top):
+        v = np.concatenate([v, np.ones((len(v), 1), np.float32)], axis=1)
+        out, step = np.empty(len(v), np.float32), min(128, max(1, len(v)))
+        scores, ones = np.empty((step, q.shape[1]), np.float32), np.ones(q.shape[1], np.float32)
+        for at in range(0, len(v), step):
+            some = v[at:at + step]
+            s = np.matmul(some, q, out=scores[:len(some)])
+            top = 0 if small else s.max(axis=1)
+            if not small:
                 s -= top[:, None]
             np.exp(s, out=s)
-            out[at:at + 128] = top + np.log(s @ ones)
+            out[at:at + step] = top + np.log(s @ ones)
         return out
 
     def log_normalisers(self, contexts: np.ndarray) -> np.ndarray:
@@ -339,14 +345,14 @@ class Noise:
 
 def train_batch(m: Model, steps: Steps, contexts: np.ndarray, tokens: np.ndarray, targets: np.ndarray, noise: Noise,
                 rng: np.random.Generator) -> None:
-    """One noise-contrastive step: noise symbols are shared by the batch, noise words by a class's words in it.
+    """One noise-contrastive step: noise symbols are shared by the batch, noise words by a class's words in it, by GROUP.
 
     ``tokens`` are rows and ``targets`` their symbols. Only rows that the batch touches change.
     """
     n, others = len(targets), noise.symbols(rng)
     offset = m.b - noise.log_share  # a score less its noise
-    places = m.r[contexts]
-    v = (places * m.c).sum(axis=1)
+    places = [m.r[contexts[:, i]] for i in range(CONTEXT)]
+    v = sum(p * m.c[i] for i, p in enumerate(places))
     qt, qn = m.q[targets], m.q[others]
     shift = np.float32(np.log(len(others)))
     miss = 1 - _sigmoid(np.einsum("ij,ij->i", v, qt) + offset[targets] - shift)  # pull the true symbol up
@@ -360,16 +366,18 @@ def train_batch(m: Model, steps: Steps, contexts: np.ndarray, tokens: np.ndarray
         order = np.argsort(classes, kind="stable")
         at, classes = at[order], classes[order]
         first = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]]))
+        within = np.arange(len(classes)) - np.repeat(first, np.diff(np.append(first, len(classes))))
+        first = np.flatnonzero(within % GROUP == 0)  # a class's words in groups of few, with noise of their own
         size = np.diff(np.append(first, len(classes)))
         group, place = np.repeat(np.arange(len(first)), size), np.arange(len(at)) - np.repeat(first, size)
         word, u = tokens[at], v[at]
         drawn = noise.table[classes[first][:, None], rng.integers(0, PLACES, (len(first), CLASS_NOISE))]
         qw, qd = m.q[word], m.q[drawn]
         shift = np.float32(np.log(CLASS_NOISE))
-        padded = np.zeros((len(first), size.max(), DIMENSIONS), np.float32)  # one matrix a class, its words' contexts
+        padded = np.zeros((len(first), GROUP, DIMENSIONS), np.float32)  # one matrix a group, its words' contexts
         padded[group, place] = u
         false = _sigmoid(padded @ qd.transpose(0, 2, 1) + (offset[drawn] - shift)[:, None, :])
-        false *= (np.arange(size.max()) < size[:, None])[:, :, None]
+        false *= (np.arange(GROUP) < size[:, None])[:, :, None]
         miss = 1 - _sigmoid(np.einsum("ij,ij->i", u, qw) + offset[word] - shift)
         dv[at] += miss[:, None] * qw - (false @ qd)[group, place]
         rows += [word, drawn.ravel()]
@@ -378,7 +386,7 @@ def train_batch(m: Model, steps: Steps, contexts: np.ndarray, tokens: np.ndarray
     row, grad = _sums(np.concatenate(rows), np.concatenate(
         [np.concatenate(pulls), np.concatenate(biases)[:, None]], axis=1))
     by_context, dr = _sums(contexts.T.ravel(), np.concatenate([dv * m.c[i] for i in range(CONTEXT)]))
-    dc = np.stack([np.einsum("ij,ij->j", dv, places[:, i]) for i in range(CONTEXT)])
+    dc = np.stack([np.einsum("ij,ij->j", dv, places[i]) for i in range(CONTEXT)])
     for x, square, at, g in ((m.r, steps.r, by_context, dr), (m.q, steps.q, row, grad[:, :-1]),
                              (m.b[:, None], steps.b, row, grad[:, -1:]), (m.c, steps.c, slice(None), dc)):
         g = (g / np.float32(n)).astype(np.float32)

@@ -267,16 +267,17 @@ def with_faults(rows: DataFrame) -> DataFrame:
         F.sha2(F.concat(F.length("role").cast("string"), F.lit(":"), F.col("role"), F.col("text")), 256).alias("same"),
         (~F.col("text").rlike(_BLANK)).alias("blank"),
         (~F.regexp_extract("text", f"([^\\x20\\x09-\\x0D]){_SPACE}*\\z", 1).rlike("[.!?]")).alias("truncated"))
-    turn = F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn"))
-    salted = (marked.where("not blank").groupBy("conv_id", "same", F.pmod(F.xxhash64("turn"), F.lit(SALTS)).alias("salt"))
-              .agg(F.min(turn).alias("first"), F.max(turn).alias("last")))
-    firsts = (salted.groupBy("conv_id", "same").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-              .where("first != last").select(F.col("conv_id").alias("c"), F.col("same").alias("s"), "first",
-                                             F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
-    marked = marked.withColumn("key_salt", F.pmod(F.xxhash64("turn"), F.lit(SALTS)))
-    joined = marked.join(firsts, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("same") == F.col("s"))
-                         & (F.col("key_salt") == F.col("salt")), "left")
-    repeated = F.coalesce(F.col("first") < turn, F.lit(False))
+    salt = F.pmod(F.xxhash64("turn"), F.lit(SALTS))
+    salted = (marked.where("not blank").groupBy("conv_id", "same", salt.alias("salt"))
+              .agg(F.min("turn").alias("first"), F.max("turn").alias("last"), F.max(F.col("turn").isNull().cast("int")).alias("unplaced")))
+    firsts = (salted.groupBy("conv_id", "same").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.max("unplaced").alias("unplaced"))
+              .where("first < last or (unplaced = 1 and first is not null)")
+              .select(F.col("conv_id").alias("c"), F.col("same").alias("s"), "first", "unplaced",
+                      F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    joined = marked.withColumn("key_salt", salt).join(
+        firsts, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("same") == F.col("s")) & (F.col("key_salt") == F.col("salt")), "left")
+    # a row without a turn comes before all others
+    repeated = F.coalesce(F.col("turn").isNotNull() & ((F.col("unplaced") == 1) | (F.col("first") < F.col("turn"))), F.lit(False))
     fault = (F.when(F.col("blank"), F.lit(BLANK)).when(repeated, F.lit(DUPLICATE)).when(F.col("truncated"), F.lit(TRUNCATED))
              .otherwise(F.lit(NONE)).cast("int"))
     return joined.select("conv_id", "turn", "role", "text", fault.alias("fault"))

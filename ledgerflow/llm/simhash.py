@@ -148,7 +148,7 @@ def spanning_forest(values: np.ndarray) -> list[tuple[int, int]]:
 
 def links(distinct: DataFrame) -> DataFrame:
     """(a, b): fingerprints whose components are those of all links."""
-    keyed = candidate_keys(distinct)
+    keyed = materialise(candidate_keys(distinct), "simhash-keys")  # used twice
     sizes = keyed.groupBy("key").count().where("count > 1")
     shared = materialise(keyed.join(sizes, "key"), "simhash-buckets")
 
@@ -225,14 +225,17 @@ def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` with one row for each group: the smallest id's (ids before null), ties by the text's hash.
 
-    Repeated rows are made one before the shuffle, so a row repeated without end costs each task one row.
+    Null and empty texts are one text. Repeated rows are made one before the shuffle, so a row repeated without end costs
+    each task one row. All columns come through as they are, whatever their names; an empty table stays empty.
     """
-    keys = {"__id": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "__no_id": F.col(id_col).isNull(),
-            "__text": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
-    marked = df.select("*", *[c.alias(k) for k, c in keys.items()])
-    printed = materialise(fingerprints(marked, text_col, [id_col, *keys]), "simhash-prints")
-    best = printed.groupBy("fingerprint").agg(F.min(F.struct("__no_id", id_col, "__text", "__id")).alias("best"))
+    keys = {"id": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "no_id": F.col(id_col).isNull(),
+            "text_hash": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
+    # the row's own columns lie in a struct, out of the way of the keys
+    marked = df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"), df[id_col].alias("own_id"), df[text_col].alias("own_text"),
+                       *[c.alias(k) for k, c in keys.items()])
+    printed = materialise(fingerprints(marked.select("own_id", "own_text", *keys), "own_text", ["own_id", *keys]), "simhash-prints")
+    best = printed.groupBy("fingerprint").agg(F.min(F.struct("no_id", "own_id", "text_hash", "id")).alias("best"))
     stays = best.join(rooted(printed), "fingerprint").groupBy("root").agg(F.min("best").alias("best"))
-    return (marked.dropDuplicates(list(keys))
+    return (marked.select("row", *keys).dropDuplicates(list(keys))
             .join(stays.select(*[F.col(f"best.{k}").alias(k) for k in keys]).distinct(), list(keys), "left_semi")
-            .select(df.columns))
+            .select(*[F.col("row").getField(c).alias(c) for c in df.columns]))

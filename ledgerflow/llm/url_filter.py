@@ -110,7 +110,7 @@ class RuleIndex:
     def best(self, target: str) -> Rule | None:
         """The rule that decides: site rules before general ones, then the longest, then the first by name."""
         filed = self.filed
-        some = [r for t in set(_TOKEN.findall(target.lower())) if t in filed for r in filed[t]]
+        some = [r for t in set(_TOKEN.findall(target.translate(_LOWER))) if t in filed for r in filed[t]]
         hits = [r for r in [*some, *self.always] if self._fits(r, target)]
         return min(hits, key=lambda r: (-r.priority, -len(r.name), r.name)) if hits else None
 
@@ -127,7 +127,9 @@ def judge(df: DataFrame, site_rules: tuple[Rule, ...] = SITE_RULES, page_rules:
 
     ``rule`` names the longest fitting site rule, else null; ``pattern`` the general pattern that decided where
     no site rule fits, else null; ``verdict`` is that rule's, else ``default``. Columns of these names give way
-    to the results. Two passes over the URL column (token frequencies, then rules), no shuffle of rows.
+    to the results. Two passes over the URL column (token frequencies, then rules), no shuffle of rows. Every row is
+    judged by its own URL alone, so repeated rows get equal verdicts; an empty table has none. Letters A-Z are folded,
+    in the lookup as in the rules, and no others.
     """
     rules = (*site_rules, *page_rules)
     index = df.sparkSession.sparkContext.broadcast(RuleIndex(rules, token_frequencies(df, rules, url_col)))
@@ -149,14 +151,20 @@ def judge(df: DataFrame, site_rules: tuple[Rule, ...] = SITE_RULES, page_rules:
 
 
 def judge_sql(table: str = "pages") -> str:
-    """DuckDB SQL for :func:`judge` with the default rules: every rule against every URL."""
+    """DuckDB SQL for :func:`judge` with the default rules: every rule against every URL, site rules as plain strings."""
     def quoted(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 
-    def cases(rules, value):
+    def site(rule: Rule) -> str:
+        host, path = rule.name.split("/", 1)
+        return (f"(host = {quoted(host)} OR ends_with(host, {quoted('.' + host)})) AND starts_with(path, {quoted('/' + path)})")
+
+    def page(rule: Rule) -> str:
+        return f"regexp_matches(target, {quoted(rule.pattern.replace(chr(92) + 'Z', chr(92) + 'z'))}, 's')"
+
+    def cases(rules, test, value):
         ordered = sorted(rules, key=lambda r: (-len(r.name), r.name))
-        return " ".join(f"WHEN regexp_matches(target, {quoted(r.pattern.replace(chr(92) + 'Z', chr(92) + 'z'))}, 's')"
-                        f" THEN {quoted(value(r))}" for r in ordered)
+        return " ".join(f"WHEN {test(r)} THEN {quoted(value(r))}" for r in ordered)
 
     return f"""
 WITH cut AS (
@@ -169,9 +177,9 @@ parts AS (
   FROM cut),
 aimed AS (SELECT *, host || substr(rest, length(host) + 1) AS target FROM parts)
 SELECT page_id, host, path,
-       CASE WHEN host = '' THEN NULL {cases(SITE_RULES, lambda r: r.name)} END AS rule,
-       nullif(CASE WHEN host = '' THEN NULL {cases(SITE_RULES, lambda r: '')}
-                   {cases(PAGE_RULES, lambda r: r.name)} END, '') AS pattern,
-       CASE WHEN host = '' THEN 'allow' {cases(SITE_RULES, lambda r: r.verdict)}
-            {cases(PAGE_RULES, lambda r: r.verdict)} ELSE 'allow' END AS verdict
+       CASE WHEN host = '' THEN NULL {cases(SITE_RULES, site, lambda r: r.name)} END AS rule,
+       nullif(CASE WHEN host = '' THEN NULL {cases(SITE_RULES, site, lambda r: '')}
+                   {cases(PAGE_RULES, page, lambda r: r.name)} END, '') AS pattern,
+       CASE WHEN host = '' THEN 'allow' {cases(SITE_RULES, site, lambda r: r.verdict)}
+            {cases(PAGE_RULES, page, lambda r: r.verdict)} ELSE 'allow' END AS verdict
 FROM aimed"""

@@ -82,3 +82,25 @@ def test_clashing_columns_and_empty_table(spark, make_docs, tokenizer_path):
     assert out.columns == ["doc_id", "text", "source", "token_ids", "n_tokens"] and out.first()["n_tokens"] == 1
     assert bpe.decode(spark.createDataFrame([(1, None)], "doc_id long, token_ids array<int>"), tokenizer_path).first()["decoded_text"] is None
     assert bpe.round_trip_digest(make_docs([]), tokenizer_path).count() == 0
+
+
+@pytest.mark.parametrize("change", [
+    {"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}},
+    {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "use_regex": True}}, {"pre_tokenizer": None},
+    {"decoder": None}, {"model": {"dropout": 0.1}}, {"model": {"ignore_merges": True}}, {"added": {"lstrip": True}}, {"added": {"single_word": True}}])
+def test_settings_that_are_not_implemented_are_refused(tokenizer_path, tmp_path, change):
+    import json
+
+    with open(tokenizer_path, encoding="utf-8") as f:
+        spec = json.load(f)
+    bpe.refuse_unknown(spec)
+    if "model" in change:
+        spec["model"].update(change["model"])
+    elif "added" in change:
+        spec["added_tokens"][0].update(change["added"])
+    else:
+        spec.update(change)
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(ValueError, match="not implemented"):
+        bpe.BytePairModel.from_file(str(path))

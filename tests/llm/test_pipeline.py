@@ -99,3 +99,52 @@ def test_entry_without_the_subpackage(monkeypatch):
     entry = importlib.import_module("__spark_entry__")
     assert "gold_product" in entry.queries() and not [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
     monkeypatch.delitem(sys.modules, "__spark_entry__")
+
+
+CLASHES = {"n_words": "'w'", "kept": "'k'", "emptied": "7", "__id": "'i'", "__in0": "1.5", "rest": "'r'", "row": "array(1)",
+           "a.b": "'dot'", "fingerprint": "'f'", "spans": "'s'", "probability": "'p'"}
+
+
+def _with_clashes(spark, source, target):
+    docs = spark.read.parquet(f"{source}/documents.parquet")
+    docs.selectExpr("*", *[f"concat({v}, '-', doc_id) AS `{c}`" if v.startswith("'") else f"{v} AS `{c}`" for c, v in CLASHES.items()]
+                    ).write.parquet(f"{target}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{source}/{name}.parquet").write.parquet(f"{target}/{name}.parquet")
+
+
+def test_stages_carry_columns_of_any_name(spark, tables, tmp):
+    path, texts, _ = tables
+    _with_clashes(spark, path, tmp)
+    docs = plain = None
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs if docs is not None else spark.read.parquet(f"{tmp}/documents.parquet"), tmp)
+        plain = stage(spark, plain if plain is not None else spark.read.parquet(f"{path}/documents.parquet"), path)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *CLASHES]
+        rows = docs.collect()
+        assert sorted((r["doc_id"], r["text"]) for r in rows) == sorted((r["doc_id"], r["text"]) for r in plain.collect())
+        for r in rows:  # every document's own values
+            assert [r[c] for c in ("n_words", "kept", "__id", "a.b")] == [f"{v}-{r['doc_id']}" for v in ("w", "k", "i", "dot")]
+            assert (r["emptied"], float(r["__in0"]), list(r["row"]), r["source"]) == (7, 1.5, [1], "s")
+
+
+def test_empty_tables_through_all_stages(spark, tables, tmp):
+    path, _, _ = tables
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{path}/{name}.parquet").limit(0).write.parquet(f"{tmp}/{name}.parquet")
+    out = corpus_pipeline.run(spark, tmp)
+    assert out.count() == 0 and out.columns == ["doc_id", "n_tokens", "token_ids", "ids_sha256", "decoded_sha256"]
+
+
+def test_very_long_and_repeated_texts(spark, tables, tmp, rng):
+    path, texts, _ = tables
+    words = [f"term{i}" for i in range(5000)]
+    long = " ".join(rng.choice(words) for _ in range(150_000)) + ". " + ITEM
+    rows = [(0, long), (1, long), (2, texts[3]), (2, texts[3]), (3, None), (None, texts[8])]
+    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], DOCS).write.parquet(f"{tmp}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{path}/{name}.parquet").write.parquet(f"{tmp}/{name}.parquet")
+    out = {r["doc_id"]: r for r in corpus_pipeline.run(spark, tmp).collect()}
+    assert set(out) == {0, 2, None}
+    kept = long[:-len(ITEM)]
+    assert out[0]["decoded_sha256"] == hashlib.sha256(kept.encode()).hexdigest() and out[0]["n_tokens"] > 150_000

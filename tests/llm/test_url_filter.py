@@ -48,3 +48,15 @@ def test_site_rules_end_at_the_host(spark):
         hits = [r for h, p, r in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
         best = min(hits, key=lambda r: (-len(r.name), r.name)).name if hits else None
         assert got[url] == best, url
+
+
+def test_only_a_to_z_are_folded(spark):
+    urls = ["http://x.net/ads\u212a", "http://x.net/ads\u212a?x", "http://X.NET/ads", "http://x.net/ADS"]
+    got = [r["verdict"] for r in uf.judge(spark.createDataFrame([(u,) for u in urls], "url string").coalesce(1)).collect()]
+    assert got == ["block", "block", "block", "allow"]  # the Kelvin sign is no letter of the token before it
+
+
+def test_very_long_and_repeated_urls(spark):
+    long = "http://a.example.org/es/" + "x/" * 200_000 + "?q=" + "y" * 100_000
+    out = uf.judge(spark.createDataFrame([(long,), (long,), ("http://example.org/es/",)], "url string"), carry=["url"]).collect()
+    assert [(r["rule"], r["verdict"]) for r in out] == [("example.org/es/", "block")] * 3 and len(out[0]["path"]) == 400_004

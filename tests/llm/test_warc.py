@@ -75,7 +75,7 @@ def test_seek_table():
 
 
 def test_damage_is_found():
-    record = warc.format_record(1, "u", "payload", hashlib.sha256(b"payload").hexdigest(), "response", None)
+    record = warc.format_record(1, 0, "u", "payload", hashlib.sha256(b"payload").hexdigest(), "response", None, None)
     with pytest.raises(ValueError):
         warc.parse_record(record.replace(b"payload\r", b"pAyload\r"), 0)
 
@@ -83,3 +83,27 @@ def test_damage_is_found():
 def test_empty_table(spark, tmp):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.round_trip(none, f"{tmp}/w").count() == 0
+
+
+def test_every_record_has_its_own_id(pages, tmp):
+    index = warc.write_archives(warc.plan_records(pages), f"file:{tmp}/w")
+    rows = index.collect()
+    assert len({r["record_id"] for r in rows}) == len(ROWS)  # repeated and null page ids too
+    for r in rows:
+        (found,) = warc.fetch(index, record_ids=[r["record_id"]])
+        assert found["record_id"] == r["record_id"] and found["page_id"] == r["page_id"]
+    responses = {r["record_id"]: r["page_id"] for r in rows if r["record_type"] == "response"}
+    for name in glob.glob(f"{tmp}/w/*.zst"):
+        with open(name, "rb") as f:
+            data = zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True).read()
+        for head in data.split(b"WARC-Type: revisit")[1:]:
+            refers = head.split(b"WARC-Refers-To: ")[1].split(b"\r\n")[0].decode()
+            page = int(head.split(b"X-Refers-To-Page: ")[1].split(b"\r\n")[0])
+            assert responses[refers] == page  # a response of that page, there to be read
+
+
+def test_paths_without_a_scheme_go_to_the_default_file_system(spark, pages, tmp):
+    index = warc.write_archives(warc.plan_records(pages), f"{tmp}/w")
+    assert all(r["bundle"].startswith("file:/") for r in index.collect())
+    with pytest.raises(ValueError, match="scheme"):
+        warc.open_store("/tmp/x")
