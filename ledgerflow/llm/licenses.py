@@ -11,7 +11,13 @@ A sentence may be broken over lines: a clause (up to a line or sentence end)
 that begins a known sentence takes on the clauses after it as long as they
 continue one. A known sentence may have gaps, which names of up to GAP words
 fill. Sentences that only grant a licence by its name ("this work is licensed
-under ...") are read as a lead-in, a verb and one of the known names.
+under ...") are read as a lead-in, a verb and known names: one, either of
+several, or one for the code and another for the rest, and a known tail ("see
+LICENSE for details"). ``SPDX-License-Identifier`` tags are read as written.
+
+What comes near leaves a trace: a sentence that begins like a known one for
+NEAR_WORDS words but goes on otherwise, and a grant whose name is known but
+whose tail is not, have identifiers that no rule takes.
 """
 
 from __future__ import annotations
@@ -24,6 +30,8 @@ from ledgerflow.llm.arrow import with_columns
 
 #: Words that a gap ("*") in a known sentence takes at most.
 GAP = 12
+#: Words at the beginning of a known sentence that make another one a near miss.
+NEAR_WORDS = 8
 _FREE = "* is free software: you can redistribute it and/or modify it under the terms of the GNU {} General Public License "
 _FSF = "as published by the Free Software Foundation"
 # Known licence sentences. "#" stands for a version number, "*" for a name.
@@ -80,6 +88,38 @@ SENTENCES = {
                  "hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
     "isc.and": "permission to use, copy, modify, and distribute this software for any purpose with or without fee is "
                "hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "mit.asis": "the Software is provided \"AS IS\", without warranty of any kind, express or implied, including but not limited to "
+                "the warranties of merchantability, fitness for a particular purpose and noninfringement",
+    "mit.event": "in no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in "
+                 "an action of contract, tort or otherwise, arising from, out of or in connection with the Software or the use or "
+                 "other dealings in the Software",
+    "bsd.asis": "this software is provided by the copyright holders and contributors \"AS IS\" and any express or implied warranties, "
+                "including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are "
+                "disclaimed",
+    "bsd.style": "use of this source code is governed by a BSD-style license that can be found in the LICENSE file",
+    "bsd.style2": "use of this source code is governed by a BSD style license that can be found in the LICENSE.txt file",
+    "mit.style": "use of this source code is governed by an MIT-style license that can be found in the LICENSE file",
+    "isc.asis": "the Software is provided \"AS IS\" and the author disclaims all warranties with regard to this software including all "
+                "implied warranties of merchantability and fitness",
+    "gpl.text2": "GNU General Public License Version #, June #",
+    "gpl.text3": "GNU General Public License Version #, # June #",
+    "lgpl.text2": "GNU Lesser General Public License Version #, February #",
+    "lgpl.text3": "GNU Lesser General Public License Version #, # June #",
+    "agpl.text": "GNU Affero General Public License Version #, # November #",
+    "apache.text": "Apache License Version #, January #",
+    "text.end": "end of terms and conditions",
+    "mpl.text": "Mozilla Public License Version #",
+    "epl.text": "Eclipse Public License - v #",
+    "boost.text": "Boost Software License - Version # - August #th, #",
+    "boost.grant": "permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+                   "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, "
+                   "execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties "
+                   "to whom the Software is furnished to do so, all subject to the following",
+    "zlib.asis": "this software is provided 'as-is', without any express or implied warranty",
+    "zlib.event": "in no event will the authors be held liable for any damages arising from the use of this software",
+    "zlib.grant": "permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+                  "alter it and redistribute it freely, subject to the following restrictions",
+    "ofl.text": "SIL Open Font License Version # - # February #",
     "unlicense.free": "this is free and unencumbered software released into the public domain",
 } | {f"{kind}.{form}": _FREE.format(word) + text for kind, word in (("gpl2", ""), ("lgpl", "Lesser"), ("agpl", "Affero"))
      for form, text in (("free", f"{_FSF}, either version # of the License, or (at your option) any later version"),
@@ -120,6 +160,16 @@ RULES = (*(("Apache-#", (grant, "apache.comply", "apache.asis")) for grant in ("
          ("BSD-4-Clause", (*_BSD, "bsd.advert", "bsd.endorse")), ("BSD-4-Clause", (*_BSD, "bsd.advert", "bsd.author")),
          ("BSD-3-Clause", (*_BSD, "bsd.author")), *RULES)
 
+RULES = (*((f"{name}-#", (head, *end)) for end in (("text.end",), ()) for name, head in (
+             ("GPL", "gpl.text2"), ("GPL", "gpl.text3"), ("LGPL", "lgpl.text2"), ("LGPL", "lgpl.text3"), ("AGPL", "agpl.text"), ("Apache", "apache.text"))),
+         ("MPL-#", ("mpl.text",)), ("EPL-#", ("epl.text",)), ("OFL-#", ("ofl.text",)),
+         ("BSL-#", ("boost.text", "boost.grant")), ("BSL-#", ("boost.text",)), ("BSL-1.0", ("boost.grant",)),
+         ("Zlib", ("zlib.asis", "zlib.event", "zlib.grant")), ("Zlib", ("zlib.grant",)),
+         ("MIT", ("mit.grant", "mit.notice", "mit.asis", "mit.event")), ("MIT", ("mit.grant", "mit.notice", "mit.asis")),
+         ("ISC", ("isc.grant", "isc.asis")), ("ISC", ("isc.and", "isc.asis")),
+         ("BSD-4-Clause", (*_BSD, "bsd.advert", "bsd.endorse", "bsd.asis")), ("BSD-3-Clause", (*_BSD, "bsd.endorse", "bsd.asis")),
+         ("BSD-2-Clause", (*_BSD, "bsd.asis")), ("BSD", ("bsd.style",)), ("BSD", ("bsd.style2",)), ("MIT", ("mit.style",)), *RULES)
+
 #: Names of licences in grants, in normalised words, by the identifier that they get.
 NAMES: dict[str, list[str]] = {}
 for _kind, _word, _short in (("gpl", "", "gpl"), ("lgpl", "lesser ", "lgpl"), ("agpl", "affero ", "agpl")):
@@ -136,6 +186,12 @@ NAMES |= {
     "isc.under": ["isc license"],
     "mpl.under": [f"{x}{v} #" for x in ("mozilla public license", "mpl") for v in (" version", "")],
     "epl.under": [f"{x}{v} #" for x in ("eclipse public license", "epl") for v in (" version", "")],
+    "boost.under": [f"{x}{v} #" for x in ("boost software license", "boost license", "bsl") for v in (" version", "")],
+    "zlib.under": ["zlib license", "zlib", "zlib libpng license"],
+    "ofl.under": [f"{sil}{x}{v} #" for sil in ("sil ", "") for x in ("open font license", "ofl") for v in (" version", "")],
+    "odbl.under": ["open database license", "open data commons open database license", "odbl", "open database license odbl",
+                   "open database license #", "open data commons open database license #", "odbl #"],
+    "unlicense.under": ["unlicense"],
     "cc.zero": [f"{x} #{y}" for x in ("cc0", "creative commons zero", "creative commons cc0", "creative commons zero version")
                 for y in ("", " universal", " license", " universal license", " universal public domain dedication")],
 }
@@ -152,11 +208,21 @@ for _kind, _word, _end in _CC:
 RULES += tuple((f"{n}-#-or-later", (f"{n.lower()}.later",)) for n in ("GPL", "LGPL", "AGPL"))
 RULES += tuple((n, (f"{n.lower()}.bare",)) for n in ("GPL", "LGPL", "AGPL"))
 RULES += (("BSD-#-Clause", ("bsd2.under",)), ("BSD", ("bsd.under",)), ("ISC", ("isc.under",)), ("MPL-#", ("mpl.under",)),
-          ("EPL-#", ("epl.under",)), *((f"CC-BY-{end}#", (f"cc.{kind}",)) for kind, _, end in _CC))
+          ("EPL-#", ("epl.under",)), ("BSL-#", ("boost.under",)), ("Zlib", ("zlib.under",)), ("OFL-#", ("ofl.under",)),
+          ("ODbL-1.0", ("odbl.under",)), ("Unlicense", ("unlicense.under",)), ("#", ("spdx.tag",)), *((f"CC-BY-{end}#", (f"cc.{kind}",)) for kind, _, end in _CC))
+
+#: Rules of identifiers that something gives.
+RULES = tuple(r for r in RULES if all(n in SENTENCES or n in NAMES or n == "spdx.tag" for n in r[1]))
 
 _GRANT = re.compile(r"(?:(?:except where|unless) otherwise (?:noted|stated|indicated) )?(?:(?:this|the|these|all|our)(?: \S+){0,5}? (?:is|are) )?"
                     r"(?:hereby )?(?:licensed|released|distributed|published|made available|available|provided) under "
                     r"(?:the terms (?:and conditions )?of )?(?:(?:the|a|an) )?(.*)")
+#: What may stand before the first of several names, between them, and behind the last one.
+_EITHER = re.compile(r"(?:either(?: of)?|both|dual|your choice of|one of)(?: the| an?)? ")
+_NEXT = re.compile(r" (?:and or|and|or)(?: (?:(?:the|its|all|any|other) )?(?:\S+ ){1,3}(?:is |are )?(?:licensed |released )?under)?(?: the terms of)?(?: the| an?)? ")
+_TAIL = re.compile(r" ?(?:the license|license terms|at your option|as found in .*|see .*|which (?:is available|accompanies|can be found|you can find) .*"
+                   r"|that can be found in .*|found in .*|a copy of .*|available (?:at|from) .*|https? .*|copyright .*|all rights reserved)?")
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*(\(?[A-Za-z0-9][A-Za-z0-9.+-]*(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(?[A-Za-z0-9][A-Za-z0-9.+-]*\)*)*\)*)")
 #: What may still become a grant by the clauses after it.
 _LEADS = frozenset("except unless this the these all our hereby licensed released distributed published made available provided".split())
 _LEAD_WORDS = 14
@@ -193,9 +259,12 @@ class SentenceIndex:
                 raise ValueError(f"{name} and {self.known[words]} are one sentence")
             self.known[words] = name
         self.begun = {words[:n] for words in self.known for n in range(1, len(words) + 1)}
+        self.near = {words[:NEAR_WORDS]: name for words, name in self.known.items() if len(words) > NEAR_WORDS}
+        self.near_begun = {words[:3] for words in self.near}
         if names is None:
             names = NAMES if sentences is SENTENCES else {}
         self.names = {tuple(text.split()): name for name, texts in names.items() for text in texts}
+        self.longest = max((len(words) for words in self.names), default=0)
         self.names_begun = {words[:n] for words in self.names for n in range(len(words) + 1)}
 
     def _exact(self, words: tuple[str, ...]) -> tuple[str | None, bool]:
@@ -219,33 +288,85 @@ class SentenceIndex:
                 return name, True
         return None, more
 
-    def _grant(self, words: tuple[str, ...]) -> tuple[str | None, bool]:
+    def _grant(self, words: tuple[str, ...]) -> tuple[list[tuple[str, int]] | None, bool]:
+        """((identifier, place of the name's last word) of each name that the grant gives, whether more words may change it)."""
         if words[0] not in _LEADS:
             return None, False
         text = " ".join(words)
         found = _GRANT.match(text + " ")
         if not found:
             return None, len(words) < _LEAD_WORDS
-        rest = tuple(found[1].split())
-        return self.names.get(rest), rest in self.names_begun
+        rest = found[1].rstrip()
+        either = _EITHER.match(rest + " ")
+        at = min(either.end(), len(rest)) if either else 0
+        given: list[tuple[str, int]] = []
+        before = len(text) - len(rest)
+        while True:
+            some = tuple(rest[at:].split())
+            longest = next((n for n in range(min(len(some), self.longest), 0, -1) if some[:n] in self.names), 0)
+            if not longest:
+                # so far the words may still grow into a name, the first or the next one
+                return given or None, some in self.names_begun
+            at += len(" ".join(some[:longest]))
+            given.append((self.names[some[:longest]], len(text[:before + at].split()) - 1))
+            tail = rest[at:]
+            following = _NEXT.match(tail + " ")
+            if following and len(given) < 9:
+                after = min(at + following.end(), len(rest))
+                others = tuple(rest[after:].split())
+                if not others or others in self.names_begun or any(others[:n] in self.names for n in range(1, self.longest + 1)):
+                    at = after
+                    if not others:
+                        return given, True
+                    continue
+            if _TAIL.fullmatch(tail):
+                return given, some in self.names_begun  # or a longer name begins with these words
+            return [*given, ("grant.tail", given[-1][1])], False
 
-    def _read(self, clauses: list, at: int, fits) -> tuple[str, str, int] | None:
-        """(identifier, version, clause after it) of the longest sentence from the clause ``at``."""
-        words, numbers, found = (), [], None
+    def _read(self, clauses: list, at: int, fits) -> tuple[list[tuple[str, str]], int] | None:
+        """((identifier, version) of what the longest sentence from the clause ``at`` says, clause after it)."""
+        words, numbers, found, given = (), [], None, None
         for stop in range(at, len(clauses)):
             more, further = clauses[stop]
             words, numbers = words + more, numbers + further
             if not words:
                 break
             name, goes_on = fits(words)
+            if name and found and fits == self._grant and (name[-1][0] == "grant.tail" or name == given):
+                break  # the grant was whole before; what follows is another sentence
+            given = name
             if name:
-                found = name, numbers[-1] if fits == self._grant and numbers else numbers[0] if numbers else "", stop + 1
+                if fits == self._grant:  # a name's version is the last number of its words
+                    upto = [sum(w == "#" for w in words[:place + 1]) for _, place in name]
+                    said = [(n, numbers[u - 1] if u > (upto[i - 1] if i else 0) else "") for i, ((n, _), u) in enumerate(zip(name, upto))]
+                else:
+                    said = [(name, numbers[0] if numbers else "")]
+                found = said, stop + 1
             if not goes_on:
                 break
         return found
 
+    def _near_miss(self, clauses: list, at: int) -> str | None:
+        """The known sentence that the words from the clause ``at`` begin like."""
+        words = clauses[at][0]
+        for more, _ in clauses[at + 1:at + NEAR_WORDS]:
+            if len(words) >= NEAR_WORDS or words[:3] not in self.near_begun and len(words) >= 3:
+                break
+            words += more
+        return self.near.get(words[:NEAR_WORDS])
+
     def identify(self, text: str | None) -> list[tuple[str, str]]:
-        """(identifier, version or "") of each known sentence of the text, in order."""
+        """(identifier, version or "") of each known sentence of the text, in order. An SPDX tag's expression stands for its version."""
+        out: list[tuple[str, str]] = []
+        at = 0
+        if text and "SPDX-License-Identifier:" in text:
+            for tag in _SPDX.finditer(text):
+                out += self._identify(text[at:tag.start()])
+                out.append(("spdx.tag", " ".join(tag[1].split())))
+                at = tag.end()
+        return out + self._identify(text[at:] if at else text)
+
+    def _identify(self, text: str | None) -> list[tuple[str, str]]:
         out: list[tuple[str, str]] = []
         if not text:
             return out
@@ -261,9 +382,12 @@ class SentenceIndex:
                     found = self._read(clauses, at, self._with_gaps)
                 if not found and self.names and words[0] in _LEADS:
                     found = self._read(clauses, at, self._grant)
+                if not found and (words[:3] in self.near_begun or len(words) < 3 and words in self.begun):
+                    near = self._near_miss(clauses, at)
+                    found = ([(f"near:{near}", "")], at + 1) if near else None
             if found:
-                out.append(found[:2])
-                at = found[2]
+                out += found[0]
+                at = found[1]
             else:
                 at += 1
         return out

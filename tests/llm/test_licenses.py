@@ -124,3 +124,82 @@ def test_grants_with_lead_ins():
         assert found("Intro.\n" + text + "\nMore") == ([licence], []), text
     for text in ("This work is not licensed under the MIT License.", "This work is licensed under a licence of its own.", "The MIT License is short."):
         assert found(text) == ([], [])
+
+
+SIGNALS = {
+    "SPDX-License-Identifier: MIT": ["MIT"],
+    "// SPDX-License-Identifier: Apache-2.0 OR MIT\nint main": ["Apache-2.0 OR MIT"],
+    "/* SPDX-License-Identifier:GPL-2.0-only WITH Linux-syscall-note */": ["GPL-2.0-only WITH Linux-syscall-note"],
+    "# SPDX-License-Identifier: (MIT OR  Apache-2.0) AND BSD-3-Clause\n": ["(MIT OR Apache-2.0) AND BSD-3-Clause"],
+    "Licensed under the MIT License, see LICENSE for details.": ["MIT"],
+    "Licensed under the MIT license. See LICENSE.txt in the project root.": ["MIT"],
+    "This code is released under the MIT License and the docs under CC BY 4.0.": ["MIT", "CC-BY-4.0"],
+    "Licensed under either of Apache License, Version 2.0 or MIT license at your option.": ["Apache-2.0", "MIT"],
+    "licensed under either of\n\n * Apache License, Version 2.0\n * MIT license": ["Apache-2.0"],
+    "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007": ["GPL-3"],
+    "\t\t    GNU GENERAL PUBLIC LICENSE\n\t\t       Version 2, June 1991\n": ["GPL-2"],
+    "                                 Apache License\n                           Version 2.0, January 2004\n"
+    "                        http://www.apache.org/licenses/\n": ["Apache-2.0"],
+    "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)": ["BSL-1.0"],
+    "Boost Software License - Version 1.0 - August 17th, 2003\n\nPermission is hereby granted, free of charge, to any person or organization\n"
+    "obtaining a copy of the software and accompanying documentation covered by\nthis license (the \"Software\") to use, reproduce, display, "
+    "distribute,\nexecute, and transmit the Software, and to prepare derivative works of the\nSoftware, and to permit third-parties to whom the "
+    "Software is furnished to\ndo so, all subject to the following:\n": ["BSL-1.0"],
+    "This software is provided 'as-is', without any express or implied\nwarranty.  In no event will the authors be held liable for any damages\n"
+    "arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial "
+    "applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:\n": ["Zlib"],
+    "This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 which is available at\n"
+    "https://www.eclipse.org/legal/epl-2.0/": ["EPL-2.0"],
+    "This Font Software is licensed under the SIL Open Font License, Version 1.1.\nThis license is copied below": ["OFL-1.1"],
+    "This database is made available under the Open Database License: http://opendatacommons.org/licenses/odbl/1.0/.": ["ODbL-1.0"],
+    "Use of this source code is governed by a BSD-style license that can be\nfound in the LICENSE file.": ["BSD"],
+}
+
+
+def test_signals_of_real_files():
+    for text, licences in SIGNALS.items():
+        assert found("Some words before.\n" + text + "\nMore words.") == (licences, []), text
+
+
+def test_near_misses_leave_a_trace():
+    odd = lic.SENTENCES["mit.notice"].replace("shall be included", "must be kept")
+    assert found("x\n" + odd + ".") == ([], ["near:mit.notice"])
+    assert found("Licensed under the MIT License but only on Sundays.") == (["MIT"], ["grant.tail"])
+    assert found(lic.SENTENCES["mit.grant"] + ". " + odd + ".") == ([], ["mit.grant", "near:mit.notice"])
+
+
+def as_text(name):
+    if name in lic.SENTENCES:
+        return lic.SENTENCES[name].replace("#", "7").replace("*", "Some Person")
+    if name == "spdx.tag":
+        return "SPDX-License-Identifier: Foo-7"
+    return "Licensed under the " + lic.NAMES[name][0].replace("#", "7")
+
+
+def brute_rules(names, versions):
+    """At each place the first rule of the list whose identifiers come next."""
+    out, rest, at = [], [], 0
+    while at < len(names):
+        taken = [(r, s) for r, s in lic.RULES if list(s) == names[at:at + len(s)]][:1]
+        if not taken:
+            rest.append(names[at])
+            at += 1
+        for r, s in taken:
+            out.append(r.replace("#", next((v for v in versions[at:at + len(s)] if v), "")))
+            at += len(s)
+    return out, rest
+
+
+def test_every_rule_and_every_sentence_by_brute_force(rng):
+    for _, sequence in lic.RULES:  # every identifier of every rule can be read from a text
+        text = "\n\n".join(as_text(n) + "." for n in sequence)
+        assert [n for n, _ in INDEX.identify(text)] == list(sequence), sequence
+    names = sorted({*lic.SENTENCES, *(n for _, s in lic.RULES for n in s)})
+    plain = ["Plain words here.", "", "# | * table", "A sentence about software; it is short."]
+    for _ in range(150):
+        said = [rng.choice(names) if rng.random() < 0.7 else None for _ in range(rng.randint(0, 12))]
+        text = "\n\n".join(rng.choice(plain) if n is None else as_text(n) + "." for n in said)
+        got = INDEX.identify(text)
+        want = [n for n in said if n]
+        assert [n for n, _ in got] == want
+        assert lic.match_rules(got) == brute_rules(want, [v for _, v in got])
