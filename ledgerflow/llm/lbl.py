@@ -45,9 +45,9 @@ from ledgerflow.llm.arrow import with_columns
 from ledgerflow.llm.storage import materialise
 
 #: Most frequent words with a symbol of their own, buckets of the tail, and words whose counts are broadcast, at most.
-OWN_WORDS, BUCKETS, HEAVY_WORDS = 191, 64, 100_000
+OWN_WORDS, BUCKETS, HEAVY_WORDS = 63, 64, 100_000
 #: Classes of the next words, the words in them at most, and the least count of a word with vectors there.
-CLASSES, CLASS_WORDS, MIN_COUNT = 256, 49_408, 5
+CLASSES, CLASS_WORDS, MIN_COUNT = 224, 49_536, 5
 CONTEXT, DIMENSIONS = 2, 16
 #: Rounds of training, and tokens of a shard.
 ROUNDS, SHARD_TOKENS = 4, 4_000_000
@@ -80,6 +80,26 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
+def split_tokens(texts: pa.Array | list[str | None]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(number of each word, the distinct words by number, words of each text) of whole texts, as :func:`words_of` has them.
+
+    Arrow's kernels fold A-Z and cut at ASCII blanks, so Python sees distinct words alone.
+    """
+    import pyarrow.compute as pc
+
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "").cast(pa.binary()).cast(pa.string())))
+    flat = lists.flatten()
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    held = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0  # blanks at a text's ends leave empty strings
+    if not held.all():
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        sizes = np.bincount(text[held], minlength=len(sizes))
+        flat = flat.filter(pa.array(held))
+    coded = flat.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.cast(pa.binary()), sizes
+
+
 class _Numbers(dict):
     """Numbers of words in order of appearance."""
 
@@ -97,14 +117,13 @@ def count_tokens(training: DataFrame, text_col: str) -> DataFrame:
 
         numbers, counts = _Numbers(), np.zeros(0, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                flat: list[bytes] = []
-                for text in batch.column(0).slice(at, 200).to_pylist():
-                    flat += words_of(text)
-                    flat.append(END)
-                found = np.bincount(np.fromiter(map(numbers.__getitem__, flat), np.int64, len(flat)), minlength=len(counts))
-                found[:len(counts)] += counts
-                counts = found
+            for at in range(0, batch.num_rows, 1000):
+                texts = batch.column(0).slice(at, 1000)
+                index, words, _ = split_tokens(texts)
+                place = np.fromiter(map(numbers.__getitem__, [*words.to_pylist(), END]), np.int64, len(words) + 1)
+                if len(numbers) > len(counts):
+                    counts = np.concatenate([counts, np.zeros(2 * len(numbers) - len(counts), np.int64)])
+                counts[place] += np.append(np.bincount(index, minlength=len(words)), len(texts))
                 if len(numbers) >= HELD_WORDS:
                     yield out(numbers, counts)
                     numbers, counts = _Numbers(), np.zeros(0, np.int64)
@@ -412,20 +431,21 @@ class Coder(dict):
     def __missing__(self, token: bytes) -> int:
         return -1
 
-    def encode(self, texts: list[str | None]) -> Encoded:
-        flat: list[bytes] = []
-        sizes = np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            before = len(flat)
-            flat += words_of(text)
-            flat.append(END)
-            sizes[i] = len(flat) - before
-        number = np.fromiter(map(self.__getitem__, flat), np.int64, len(flat))
+    def encode(self, texts: pa.Array | list[str | None]) -> Encoded:
+        index, words, sizes = split_tokens(texts)
+        distinct = words.to_pylist()
+        numbers = np.fromiter(map(self.__getitem__, distinct), np.int64, len(distinct))
+        codes = self.code[numbers] if len(distinct) else numbers
+        unknown = np.flatnonzero(numbers < 0)
+        codes[unknown] = [bucket_of(distinct[i]) for i in unknown.tolist()]
+        sizes = sizes + 1
+        ends = np.cumsum(sizes) - 1
+        inside = np.ones(int(sizes.sum()), bool)
+        inside[ends] = False
+        number, rows = np.full(len(inside), self[END], np.int64), np.zeros(len(inside), np.int64)
+        number[inside], rows[inside] = numbers[index], codes[index]
         rare = np.flatnonzero(number < 0)
-        rare_words = [flat[i] for i in rare.tolist()]
-        rows = self.code[number] if len(self.code) else np.zeros(0, np.int64)
-        rows[rare] = [bucket_of(w) for w in rare_words]
-        return Encoded(sizes, number, rows, rare, rare_words)
+        return Encoded(sizes, number, rows, rare, index[np.flatnonzero(numbers[index] < 0)], words)
 
 
 @dataclass
@@ -436,7 +456,8 @@ class Encoded:
     number: np.ndarray  # the coder's number of each token
     rows: np.ndarray  # the row of each token in the model
     rare: np.ndarray  # places of the tokens that the coder doesn't know
-    rare_words: list[bytes]  # and those tokens
+    rare_words: np.ndarray  # and their numbers among the words
+    words: pa.Array  # distinct words
 
 
 def contexts_of(rows: np.ndarray) -> np.ndarray:
@@ -476,7 +497,7 @@ def _numbered(shared):
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                made = coder.encode(batch.column(2).to_pylist())
+                made = coder.encode(batch.column(2))
                 data, ends = made.rows.astype(np.uint16).tobytes(), 2 * np.cumsum(made.sizes)
                 ids = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(
                     np.concatenate([[0], ends]).astype(np.int32).tobytes()), pa.py_buffer(data)])
@@ -606,11 +627,11 @@ def _scored(own: DataFrame, text_col: str, counts: DataFrame, shared, fitted, wo
         logs = np.where(made.number >= 0, np.log(counts + 0.5), 0.0)
         log_p += np.where(inside, logs, 0.0)
         text_of = np.searchsorted(starts, made.rare, side="right") - 1
-        found = pa.table({"text": text_of, "token": pa.array(made.rare_words, pa.binary())}).group_by(
-            ["text", "token"], use_threads=False).aggregate([([], "count_all")]).sort_by("text")
-        offsets = np.searchsorted(found["text"].to_numpy(), np.arange(len(texts) + 1))
-        token, times = (found[c].combine_chunks() for c in ("token", "count_all"))
-        rare = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([token, times.cast(pa.int64())], ["token", "times"]))
+        pair, times = np.unique(text_of * len(made.words) + made.rare_words, return_counts=True)
+        text, word = np.divmod(pair, max(1, len(made.words)))
+        offsets = np.searchsorted(text, np.arange(len(made.sizes) + 1))
+        rare = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
+            [made.words.take(pa.array(word)), pa.array(times, pa.int64())], ["token", "times"]))
 
         def sums(x):
             return np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
@@ -619,11 +640,12 @@ def _scored(own: DataFrame, text_col: str, counts: DataFrame, shared, fitted, wo
 
     scored = with_columns(own.withColumn("row", F.monotonically_increasing_id()), [text_col], [id_col, "held_out", "row"],
                           "n_tokens long, sure long, base_part double, model_part double, "
-                          "rare array<struct<token: binary, times: long>>", compute)
+                          "rare array<struct<token: binary, times: long>>", compute, as_lists=False)
     scored = materialise(scored, "lbl-scored")
     rare = scored.select("row", F.inline("rare"))
     unseen = float(np.log(0.5))
-    looked = (rare.join(counts.where(F.length("token") > 0), "token", "left")
+    # hashed, not sorted: a partition's rare counts are small
+    looked = (rare.join(counts.where(F.length("token") > 0).hint("shuffle_hash"), "token", "left")
               .groupBy("row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("found"),
                                   F.sum(F.col("times") * F.when(F.col("n").isNotNull(), F.log(F.col("n") + 0.5))
                                         .otherwise(unseen)).alias("logs")))

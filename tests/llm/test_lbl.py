@@ -47,14 +47,15 @@ def test_base_and_held_out_gain(spark, make_docs, corpus, monkeypatch, heavy):
 
 def test_probabilities_sum_to_one(rng):
     words = lbl.Vocabulary({b"": 0, b"a": 1}, {b"": 5, b"a": 9}, 20, 5, np.zeros(lbl.SYMBOLS), np.zeros(lbl.SYMBOLS))
-    words.symbol_count[[0, 1, 500]], words.bucket_types[500] = [5, 9, 6], 3
+    bucket = lbl.OWN_WORDS + 3
+    words.symbol_count[[0, 1, bucket]], words.bucket_types[bucket] = [5, 9, 6], 3
     model = lbl.Model.start(words, seed=3)
-    contexts = np.array([[0, 0], [1, 500], [500, 0]])
+    contexts = np.array([[0, 0], [1, bucket], [bucket, 0]])
     s = model.predicted(contexts) @ model.q.T + model.b
     p = np.exp(s - model.log_normalisers(contexts)[:, None])
     assert np.allclose(p.sum(axis=1), 1, atol=1e-5)
     # within a bucket: known words of counts 1, 2, 3 and one share for new words
-    assert sum((c + 0.5) / words.bucket_total()[500] for c in (1, 2, 3, 0)) == pytest.approx(1)
+    assert sum((c + 0.5) / words.bucket_total()[bucket] for c in (1, 2, 3, 0)) == pytest.approx(1)
 
 
 def steps_of(model):
@@ -80,7 +81,7 @@ def test_contexts_stop_at_text_ends():
                            np.zeros(lbl.SYMBOLS), np.zeros(lbl.SYMBOLS))
     made = lbl.Coder(words).encode(["a b", None, "c", "D zz"])
     assert made.rows.tolist() == [1, 2, 0, 0, 3, 0, lbl.bucket_of(b"d"), lbl.bucket_of(b"zz"), 0]
-    assert made.sizes.tolist() == [3, 1, 2, 3] and made.rare.tolist() == [7] and made.rare_words == [b"zz"]
+    assert made.sizes.tolist() == [3, 1, 2, 3] and made.rare.tolist() == [7] and [made.words[i].as_py() for i in made.rare_words.tolist()] == [b"zz"]
     assert lbl.contexts_of(made.rows[:6]).tolist() == [[0, 0], [1, 0], [2, 1], [0, 0], [0, 0], [3, 0]]
 
 
@@ -189,3 +190,14 @@ def test_very_long_text_and_ties(spark, make_docs):
     got = {r["doc_id"]: r for r in lbl.score(make_docs([(0, long), (2, "many words"), (3, "many words")])).collect()}
     assert got[0]["n_tokens"] == 300_001 and math.isfinite(got[0]["score"])
     assert got[2]["score"] == got[3]["score"] and got[2]["base_score"] == got[3]["base_score"]
+
+
+def test_tokens_are_cut_as_defined(rng):
+    letters = ["a", "B", "Z", "é", "É", "\u2003", "\xa0", "\x1c", "\x85", "\x00", " ", " ", "\t", "\n", "\x0b", "\x0c", "\r", "日", "İ"]
+    texts = [None, "", " ", "\n\n"] + ["".join(rng.choice(letters) for _ in range(rng.randrange(30))) for _ in range(500)]
+    index, words, sizes = lbl.split_tokens(texts)
+    flat, at = [words[i].as_py() for i in index.tolist()], 0
+    for text, size in zip(texts, sizes.tolist()):
+        assert flat[at:at + size] == lbl.words_of(text)
+        at += size
+    assert at == len(flat) and len(set(words.to_pylist())) == len(words)
