@@ -53,7 +53,7 @@ CONTEXT, DIMENSIONS = 2, 16
 ROUNDS, SHARD_TOKENS = 4, 4_000_000
 BATCH, NOISE, RATE = 4096, 64, 0.12
 #: Noise words that up to GROUP words of one class share in a batch, and the places of the table they are drawn from.
-CLASS_NOISE, GROUP, PLACES = 8, 16, 2048
+CLASS_NOISE, GROUP, PLACES = 4, 16, 2048
 #: Tokens whose parameters travel in one row when the shards' results are averaged.
 BLOCK = 512
 #: Distinct words that a counting task holds before it hands on partial counts.
@@ -490,25 +490,44 @@ def _averaged(rows: DataFrame) -> DataFrame:
     return rows.repartition("block").mapInArrow(run, "block int, weights binary, sums binary")
 
 
-def _numbered(shared):
-    """Task function: (place, at, text) -> (place, at, ids), the rows of the text's tokens as 16-bit numbers."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(shared.value)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                made = coder.encode(batch.column(2))
-                data, ends = made.rows.astype(np.uint16).tobytes(), 2 * np.cumsum(made.sizes)
-                ids = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(
-                    np.concatenate([[0], ends]).astype(np.int32).tobytes()), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], names=["place", "at", "ids"])
-
-    return run
-
-
-def train_round(training: DataFrame, text_col: str, shared, start: Model, steps: Steps, shards: int) -> tuple[Model, Steps]:
-    """Parameters and step sizes after one round over ``training``, whose column ``place`` (0 to ``shards`` - 1) tells the
-    shard and ``at`` the order in it: averages over the shards, each token's weighted by its occurrences there and those
+def encode_texts(own: DataFrame, text_col: str, carry: list[str], shared) -> DataFrame:
+    """Add to each text what training and scoring need, so that it is cut into tokens once: ``ids`` (the rows of its tokens
+    as 16-bit numbers), ``n_tokens``, ``sure`` (tokens with a broadcast count), ``base_part`` (sum of the logs of those
+    counts + 0.5), ``known_part`` (the same over tokens in buckets) and ``rare`` (all other tokens, with their times)."""
+    coders: list[Coder] = []  # a task's own
+
+    def compute(texts):
+        if not coders:
+            coders.append(Coder(shared.value))
+        coder = coders[0]
+        made = coder.encode(texts)
+        starts = np.cumsum(made.sizes) - made.sizes
+        counts = np.where(made.number >= 0, coder.count[made.number], 0.0)
+        logs = np.where(made.number >= 0, np.log(counts + 0.5), 0.0)
+        inside = (made.rows > OWN_WORDS) & (made.rows < FIRST_CLASS)
+        text_of = np.searchsorted(starts, made.rare, side="right") - 1
+        pair, times = np.unique(text_of * len(made.words) + made.rare_words, return_counts=True)
+        text, word = np.divmod(pair, max(1, len(made.words)))
+        offsets = np.searchsorted(text, np.arange(len(made.sizes) + 1))
+        rare = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
+            [made.words.take(pa.array(word)), pa.array(times, pa.int64())], ["token", "times"]))
+        ids = pa.Array.from_buffers(pa.binary(), len(made.sizes), [None, pa.py_buffer(
+            np.concatenate([[0], 2 * np.cumsum(made.sizes)]).astype(np.int32).tobytes()), pa.py_buffer(made.rows.astype(np.uint16).tobytes())])
+        return {"ids": ids, "n_tokens": made.sizes, "sure": _by_text((counts > 0).astype(np.int64), starts),
+                "base_part": _by_text(logs, starts), "known_part": _by_text(np.where(inside, logs, 0.0), starts), "rare": rare}
+
+    return with_columns(own, [text_col], carry, "ids binary, n_tokens long, sure long, base_part double, known_part double, "
+                        "rare array<struct<token: binary, times: long>>", compute, as_lists=False)
+
+
+def _by_text(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the tokens' values of each text; each has a token."""
+    return np.add.reduceat(values, starts) if len(starts) else np.zeros(0, values.dtype)
+
+
+def train_round(training: DataFrame, shared, start: Model, steps: Steps, shards: int) -> tuple[Model, Steps]:
+    """Parameters and step sizes after one round over the ``ids`` of ``training``, whose column ``place`` (0 to ``shards`` - 1)
+    tells the shard and ``at`` the order in it: averages over the shards, each token's weighted by its occurrences there and those
     of the context places by all tokens. Without texts they stay as they are.
     """
     begin = training.sparkSession.sparkContext.broadcast((start, steps))
@@ -557,8 +576,7 @@ def train_round(training: DataFrame, text_col: str, shared, start: Model, steps:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*blocks), (pa.int32(), pa.binary(), pa.binary()))],
                                              names=["block", "weights", "values"])
 
-    numbered = training.select("place", "at", text_col).mapInArrow(_numbered(shared), "place int, at long, ids binary")
-    dealt = numbered.repartitionById(shards, F.col("place")).sortWithinPartitions("place", "at", "ids")
+    dealt = training.select("place", "at", "ids").repartitionById(shards, F.col("place")).sortWithinPartitions("place", "at", "ids")
     parts = _averaged(dealt.mapInArrow(run, "block int, weights binary, values binary")).collect()
     rows, c = start.rows(steps), np.concatenate([start.c, steps.c], axis=1)
     for part in parts:
@@ -569,16 +587,16 @@ def train_round(training: DataFrame, text_col: str, shared, start: Model, steps:
     return Model.from_rows(rows, c)
 
 
-def train(training: DataFrame, id_col: str, text_col: str, shared, words: Vocabulary) -> Model:
-    """The model after all rounds. Shards are numbered by the hash of id and text, and taken in turns by the rounds."""
+def train(encoded: DataFrame, shared, words: Vocabulary) -> Model:
+    """The model after all rounds over the encoded texts that are not held out. Shards are numbered by ``at``, the hash of
+    id and text, and taken in turns by the rounds."""
     model, steps = Model.start(words), Steps.start(SYMBOLS + len(words.word_count))
     shards = max(1, round(words.tokens / SHARD_TOKENS))
     rounds = min(ROUNDS, shards)
-    key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
-    placed = training.select(text_col, key.alias("at"), F.pmod(key, F.lit(shards)).alias("shard"))
+    placed = encoded.where("not held_out").select("at", "ids", F.pmod("at", F.lit(shards)).alias("shard"))
     for k in range(rounds):
         mine = placed.where(F.col("shard") % rounds == k).withColumn("place", F.floor(F.col("shard") / rounds).cast("int"))
-        model, steps = train_round(mine, text_col, shared, model, steps, -(-(shards - k) // rounds))
+        model, steps = train_round(mine, shared, model, steps, -(-(shards - k) // rounds))
     return model
 
 
@@ -595,54 +613,37 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     counts = materialise(count_tokens(training, text_col), "lbl-counts")
     words = vocabulary(counts)
     shared = spark.sparkContext.broadcast(words)
-    model = train(training, id_col, text_col, shared, words)
-    fitted = spark.sparkContext.broadcast(model)
-    return _scored(own, text_col, counts, shared, fitted, words, id_col)
+    key = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+    marked = own.select(F.col(id_col).alias("id"), "held_out", key.alias("at"), F.monotonically_increasing_id().alias("row"),
+                        F.col(text_col).alias("text"))
+    encoded = materialise(encode_texts(marked, "text", ["id", "held_out", "at", "row"], shared), "lbl-encoded")
+    fitted = spark.sparkContext.broadcast(train(encoded, shared, words))
+    return _scored(encoded, counts, shared, fitted, words, id_col)
 
 
-def _scored(own: DataFrame, text_col: str, counts: DataFrame, shared, fitted, words: Vocabulary, id_col: str) -> DataFrame:
+def _scored(encoded: DataFrame, counts: DataFrame, shared, fitted, words: Vocabulary, id_col: str) -> DataFrame:
     scale = 1 / np.log(10)
-    coders: list[Coder] = []  # a task's own
 
-    def compute(texts):
+    def compute(ids):
         known, model = shared.value, fitted.value
-        if not coders:
-            coders.append(Coder(known))
-        coder = coders[0]
-        made = coder.encode(texts)
-        rows, targets = made.rows, known.first_level(made.rows)
-        starts = np.cumsum(made.sizes) - made.sizes
+        texts = ids.to_pylist()
+        sizes = np.array([len(x) // 2 for x in texts], np.int64)
+        rows = np.frombuffer(b"".join(texts), np.uint16).astype(np.int64)
+        targets, contexts = known.first_level(rows), contexts_of(rows)
         weighted = [model.r * model.c[i] for i in range(CONTEXT)]
-        contexts = contexts_of(rows)
         log_p = np.empty(len(rows), np.float64)
         for at in range(0, len(rows), 1 << 17):
             part = slice(at, at + (1 << 17))
             v, t = sum(w[contexts[part, i]] for i, w in enumerate(weighted)), targets[part]
             log_p[part] = np.einsum("ij,ij->i", v, model.q[t]) + model.b[t] - model.log_sums(v, slice(0, SYMBOLS))
             log_p[part] += model.log_in_class(known, v, rows[part])
-        inside = (targets > OWN_WORDS) & (targets < FIRST_CLASS)  # a word's share of its bucket; its count joins below
+        inside = (targets > OWN_WORDS) & (targets < FIRST_CLASS)  # a word's share of its bucket; its count comes apart
         log_p[inside] -= np.log(known.bucket_total())[targets[inside]]
-        counts = np.where(made.number >= 0, coder.count[made.number], 0.0)
-        sure = counts > 0
-        logs = np.where(made.number >= 0, np.log(counts + 0.5), 0.0)
-        log_p += np.where(inside, logs, 0.0)
-        text_of = np.searchsorted(starts, made.rare, side="right") - 1
-        pair, times = np.unique(text_of * len(made.words) + made.rare_words, return_counts=True)
-        text, word = np.divmod(pair, max(1, len(made.words)))
-        offsets = np.searchsorted(text, np.arange(len(made.sizes) + 1))
-        rare = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
-            [made.words.take(pa.array(word)), pa.array(times, pa.int64())], ["token", "times"]))
-
-        def sums(x):
-            return np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
-
-        return {"n_tokens": made.sizes, "sure": sums(sure.astype(np.int64)), "base_part": sums(logs), "model_part": sums(log_p), "rare": rare}
+        return {"model_part": _by_text(log_p, np.cumsum(sizes) - sizes)}
 
-    scored = with_columns(own.withColumn("row", F.monotonically_increasing_id()), [text_col], [id_col, "held_out", "row"],
-                          "n_tokens long, sure long, base_part double, model_part double, "
-                          "rare array<struct<token: binary, times: long>>", compute, as_lists=False)
-    scored = materialise(scored, "lbl-scored")
-    rare = scored.select("row", F.inline("rare"))
+    scored = with_columns(encoded, ["ids"], ["id", "held_out", "row", "n_tokens", "sure", "base_part", "known_part"],
+                          "model_part double", compute, as_lists=False)
+    rare = encoded.select("row", F.inline("rare"))
     unseen = float(np.log(0.5))
     # hashed, not sorted: a partition's rare counts are small
     looked = (rare.join(counts.where(F.length("token") > 0).hint("shuffle_hash"), "token", "left")
@@ -651,8 +652,8 @@ def _scored(own: DataFrame, text_col: str, counts: DataFrame, shared, fitted, wo
                                         .otherwise(unseen)).alias("logs")))
     base_total = float(np.log(words.base_total)) if words.base_total > 0 else 0.0
     logs = F.coalesce("logs", F.lit(0.0))
-    return scored.drop("rare").join(looked, "row", "left").select(
-        id_col, "held_out", "n_tokens", (F.col("sure") + F.coalesce("found", F.lit(0))).alias("n_known"),
+    return scored.join(looked, "row", "left").select(
+        F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("sure") + F.coalesce("found", F.lit(0))).alias("n_known"),
         F.lit(words.tokens).cast("long").alias("train_tokens"),
         ((F.col("base_part") + logs - F.col("n_tokens") * base_total) * scale).alias("base_score"),
-        ((F.col("model_part") + logs) * scale).alias("score"))
+        ((F.col("model_part") + F.col("known_part") + logs) * scale).alias("score"))
