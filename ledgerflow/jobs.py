@@ -1,6 +1,6 @@
 """Batch entry points for spark-submit.
 
-    spark-submit ledgerflow/jobs.py medallion SOURCE OUT_DIR [--strict] [--tail keep|drop|fail]
+    spark-submit ledgerflow/jobs.py medallion SOURCE OUT_DIR [--strict] [--tail keep|drop|fail] [--run-id ID]
     spark-submit ledgerflow/jobs.py adjudicate GOLD OUT_DIR RUN_ID [--json]
 
 On a cluster, ship the package with ``--py-files`` and name the shared folder
@@ -16,7 +16,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from ledgerflow.plans.adjudication import run_adjudication  # noqa: E402
-from ledgerflow.plans.medallion import kpi_lines, run_medallion  # noqa: E402
+from ledgerflow.plans.medallion import kpi_lines, layer_paths, run_medallion  # noqa: E402
 from ledgerflow.session import build_session  # noqa: E402
 from ledgerflow.sinks.tables import preview  # noqa: E402
 
@@ -30,6 +30,7 @@ def main(argv: list[str] | None = None) -> list[str]:
     medallion.add_argument("out_dir")
     medallion.add_argument("--strict", action="store_true", help="reject balances with non-decimal digits")
     medallion.add_argument("--tail", choices=("keep", "drop", "fail"), default="keep")
+    medallion.add_argument("--run-id", help="keep this run's layers beside those of other runs")
     medallion.add_argument("--preview", action="store_true", help="show some gold rows")
     adjudicate = jobs.add_parser("adjudicate", help="score every gold id that has no published result")
     adjudicate.add_argument("gold")
@@ -40,9 +41,9 @@ def main(argv: list[str] | None = None) -> list[str]:
 
     spark = build_session()
     if args.job == "medallion":
-        lines = kpi_lines(run_medallion(spark, args.source, args.out_dir, strict=args.strict, tail=args.tail))
+        lines = kpi_lines(run_medallion(spark, args.source, args.out_dir, strict=args.strict, tail=args.tail, run_id=args.run_id))
         if args.preview:
-            preview(spark.read.parquet(f"{args.out_dir}/gold"))
+            preview(spark.read.parquet(layer_paths(args.out_dir, args.run_id)["gold"]))
     else:
         counts = run_adjudication(spark, args.gold, args.out_dir, args.run_id, json_dump=args.json)
         lines = [f"{name.capitalize()} results: {n:,}" for name, n in counts.items()]
