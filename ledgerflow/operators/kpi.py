@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from ..contracts import Contract, load_contract
 from ..functions.codec import comp3_decode
 from ..layout import LEDGER_LAYOUT, RecordLayout
+from ..sources.tables import hadoop_path, path_exists
 from .bronze import parse_records, record_length_rule, structural_rules
 from .product import risk_bucket, semantic_rules
 from .split import reason_column
@@ -86,6 +87,8 @@ def check_layer(spark: SparkSession, name: str, path: str, formats: tuple[str, .
                 where: str | None = None) -> tuple:
     """A4: count a layer, trying each format in turn; "inaccessible" when none loads.
     A format whose extension appears among the layer's files is tried first."""
+    if not path_exists(spark, path):
+        return (name, path, None, "inaccessible", None)
     formats = tuple(sorted(formats, key=lambda f: not _has_files_like(spark, path, f)))
     for fmt in formats:
         try:
@@ -99,8 +102,6 @@ def check_layer(spark: SparkSession, name: str, path: str, formats: tuple[str, .
 
 
 def _has_files_like(spark: SparkSession, path: str, fmt: str) -> bool:
-    from ..sources.tables import hadoop_path
-
     try:
         fs, hpath = hadoop_path(spark, path)
         if not fs.exists(hpath):
