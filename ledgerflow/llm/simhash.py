@@ -42,6 +42,9 @@ SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 2
 SEGMENTS = (22, 21, 21)
 #: Buckets up to this size are compared pairwise in numpy; larger ones go through shared neighbours.
 SMALL_BUCKET = 1024
+#: Bits, at most (32 MB), and for each row, of the table that tells which rows of :func:`keep_one` may go; where they are
+#: many more, more rows are shuffled with their texts, and the result is the same.
+TABLE_BITS, BITS_A_ROW = 1 << 28, 64
 
 # Length, message bits and generator polynomial of the binary Golay code.
 GOLAY_BITS, GOLAY_MESSAGE, GOLAY_POLYNOMIAL = 23, 12, 0b110001110101
@@ -222,11 +225,29 @@ def group(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
             .select(id_col, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
+def _bit_table(keys: DataFrame, bits: int) -> DataFrame:
+    """(bucket, bitmap): a bit for each hash in ``h``, of ``bits`` bits in all; a row holds 32,768 of them."""
+    place = F.pmod("h", F.lit(bits)) + 1
+    return keys.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap"))
+
+
+def _in_table(df: DataFrame, table: DataFrame, bits: int) -> DataFrame:
+    """``df`` with ``maybe``: the bit of the hash in ``h`` is set."""
+    place = F.pmod("h", F.lit(bits)) + 1
+    position = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("bitmap", (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, (position % 8).cast("int")).bitwiseAND(F.lit(1))
+    return (df.withColumn("bucket", F.bitmap_bucket_number(place)).join(F.broadcast(table), "bucket", "left")
+            .withColumn("maybe", F.coalesce(bit == 1, F.lit(False))).drop("bucket", "bitmap"))
+
+
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` with one row for each group: the smallest id's (ids before null), ties by the text's hash.
 
-    Null and empty texts are one text. Repeated rows are made one before the shuffle, so a row repeated without end costs
-    each task one row. All columns come through as they are, whatever their names; an empty table stays empty.
+    Null and empty texts are one text. Who goes is found from ids and hashes alone; a bit table of bounded size, by their
+    number, tells which rows may go or are repeated, and only these (and a few that share a bit) are shuffled with their
+    texts. Repeated rows are made one before that, so a row repeated without end costs each task one row. All columns
+    come through as they are, whatever their names; an empty table stays empty.
     """
     keys = {"id": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "no_id": F.col(id_col).isNull(),
             "text_hash": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))}
@@ -235,7 +256,15 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                        *[c.alias(k) for k, c in keys.items()])
     printed = materialise(fingerprints(marked.select("own_id", "own_text", *keys), "own_text", ["own_id", *keys]), "simhash-prints")
     best = printed.groupBy("fingerprint").agg(F.min(F.struct("no_id", "own_id", "text_hash", "id")).alias("best"))
-    stays = best.join(rooted(printed), "fingerprint").groupBy("root").agg(F.min("best").alias("best"))
-    return (marked.select("row", *keys).dropDuplicates(list(keys))
-            .join(stays.select(*[F.col(f"best.{k}").alias(k) for k in keys]).distinct(), list(keys), "left_semi")
-            .select(*[F.col("row").getField(c).alias(c) for c in df.columns]))
+    stay = best.join(rooted(printed), "fingerprint").groupBy("root").agg(F.min("best").alias("best"))
+    stay = stay.select(*[F.col(f"best.{k}").alias(k) for k in keys], F.lit(True).alias("stays"))
+    copies = printed.groupBy(*keys).agg(F.count("*").alias("n")).join(stay, list(keys), "left")
+    surplus = materialise(copies.where("stays IS NULL OR n > 1").select(*keys, F.coalesce("stays", F.lit(False)).alias("stays")),
+                          "simhash-surplus")
+    bits = min(TABLE_BITS, max(1 << 15, 1 << (surplus.count() * BITS_A_ROW).bit_length()))
+    table = materialise(_bit_table(surplus.select(F.xxhash64(*keys).alias("h")), bits), "simhash-table")
+    sorted_out = _in_table(marked.select("row", *keys, F.xxhash64(*keys).alias("h")), table, bits)
+    sure = sorted_out.where("NOT maybe").select("row")
+    others = (sorted_out.where("maybe").select("row", *keys).dropDuplicates(list(keys))
+              .join(surplus.where("NOT stays").select(*keys), list(keys), "left_anti").select("row"))
+    return sure.unionByName(others).select(*[F.col("row").getField(c).alias(c) for c in df.columns])

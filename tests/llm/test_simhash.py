@@ -98,6 +98,34 @@ def test_group_and_keep_one(spark, make_docs, rng):
     assert kept[0].asDict().keys() == docs.first().asDict().keys()
 
 
+@pytest.mark.parametrize("table_bits", [sh.TABLE_BITS, 1 << 15])
+def test_keep_one_on_many_copies(spark, make_docs, rng, monkeypatch, table_bits):
+    """Copies under other ids, whole rows repeated, and one text that a third of all rows hold; the bits may all be set."""
+    monkeypatch.setattr(sh, "TABLE_BITS", table_bits)
+    monkeypatch.setattr(sh, "BITS_A_ROW", 64 if table_bits > 1 << 15 else 1)
+    texts = [" ".join(rng.choice("abcdefghij") * 3 + str(rng.randint(0, 10**6)) for _ in range(12)) for _ in range(300)]
+    rows = list(enumerate(texts)) + [(1000 + i, texts[i % 40]) for i in range(120)] + [(2000 + i, texts[5]) for i in range(400)]
+    rows += rows[:60] + [(7, "same id but quite another text of some words")] * 3
+    docs = make_docs(rows).selectExpr("*", "'own' AS stays", "doc_id AS h", "1 AS maybe").repartition(7)
+    values = [brute_print(t) for _, t in rows]
+    groups = brute_groups(values, list(range(len(rows))))
+    best = {}
+    for (i, t), g in zip(rows, groups):
+        if g not in best or i < best[g][0]:
+            best[g] = (i, t)
+    kept = sh.keep_one(docs).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted(best.values())
+    assert all((r["stays"], r["h"], r["maybe"]) == ("own", r["doc_id"], 1) for r in kept)
+
+
+def test_bit_table_holds_just_its_hashes(spark):
+    bits = 1 << 17
+    frame = spark.range(-1000, 1000).selectExpr("xxhash64(id) AS h", "id")
+    marked = sh._in_table(frame, sh._bit_table(frame.where("id % 7 = 0").select("h"), bits), bits).collect()
+    cells = {r["h"] % bits for r in marked if r["id"] % 7 == 0}
+    assert len(marked) == 2000 and all(r["maybe"] == (r["h"] % bits in cells) for r in marked)
+
+
 def test_null_ids_and_empty_tables(spark, make_docs):
     docs = make_docs([(None, "same words here now"), (None, "same words here now")])
     assert {r["component_id"] for r in sh.group(docs).collect()} == {None}
