@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -68,6 +68,16 @@ class Phrases:
         items = np.array([i for x in held.values() for i in sorted(x)], np.int64)
         return cls(vocabulary, matrix, lengths, np.concatenate([[0], np.cumsum(sizes)]), items, names)
 
+    def translated(self, words: list[bytes], number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The windows that ``words`` can make, in the words' ``number``, and which windows these are."""
+        to = np.full(len(self.vocabulary) + 1, -1, np.int64)
+        own = np.fromiter((self.vocabulary.get(w, 0) for w in words), np.int64, len(words))
+        to[own[own > 0]] = number[own > 0]
+        to[0] = 0
+        matrix = to[self.matrix]
+        asked = np.flatnonzero((matrix >= 0).all(axis=1))
+        return matrix[asked], asked
+
 
 def phrase_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW,
                   block_words: int = BLOCK_WORDS) -> Iterator[Phrases]:
@@ -109,33 +119,47 @@ class Hits:
     items: list[set[str]]  # per text, the items with occurring windows
 
 
-def find(texts: list[list[bytes]], blocks: Iterator[Phrases], window: int = WINDOW, shard_words: int = SHARD_WORDS) -> Hits:
-    """Covered words and occurring items of each text (a list of words)."""
+def _numbered(words: list[bytes], blocks: Iterable[Phrases]) -> np.ndarray:
+    """A number from 1 for each distinct word that a window of any block has, else 0."""
+    known = np.zeros(len(words), bool)
+    for phrases in blocks:
+        known |= np.fromiter((w in phrases.vocabulary for w in words), bool, len(words))
+    return np.where(known, np.cumsum(known), 0)
+
+
+def find(texts: list[list[bytes]], blocks: Iterable[Phrases], window: int = WINDOW, shard_words: int = SHARD_WORDS) -> Hits:
+    """Covered words and occurring items of each text (a list of words).
+
+    A shard is indexed once, over the words of all blocks, and searched block by block; of a block those windows are
+    asked whose words all occur in ``texts``. ``blocks`` is gone through once and then once a shard.
+    """
     sizes = np.array([len(t) for t in texts], np.int64)
     ends, seen = np.cumsum(sizes), {}
     local = np.fromiter((seen.setdefault(w, len(seen)) for t in texts for w in t), np.int64, int(sizes.sum()))
     edges = np.zeros(len(local) + 1, np.int64)
     items: list[set[str]] = [set() for _ in texts]
-    for phrases in blocks:
-        number = np.fromiter((phrases.vocabulary.get(w, 0) for w in seen), np.int64, len(seen))
-        for shard in _shards(sizes, window, shard_words):
-            parts, origin, at = [], [], 0
-            for start, stop in shard:
-                parts += [number[local[start:stop]], np.zeros(1, np.int64)]
-                origin.append((at, start))
-                at += stop - start + 1
-            symbols = np.concatenate(parts)
-            if not symbols.any():
-                continue
-            index = FMIndex(symbols, len(phrases.vocabulary))
-            low, high = index.search(phrases.matrix, phrases.lengths)
+    words = list(seen)
+    number = _numbered(words, blocks)
+    for shard in _shards(sizes, window, shard_words):
+        parts, origin, at = [], [], 0
+        for start, stop in shard:
+            parts += [number[local[start:stop]], np.zeros(1, np.int64)]
+            origin.append((at, start))
+            at += stop - start + 1
+        symbols = np.concatenate(parts)
+        if not symbols.any():
+            continue
+        index, (in_shard, in_all) = FMIndex(symbols, int(number.max())), np.array(origin).T
+        for phrases in blocks:
+            matrix, asked = phrases.translated(words, number)
+            low, high = index.search(matrix, phrases.lengths[asked])
             found = np.flatnonzero(high > low)
             count = (high - low)[found]
             if not len(found):
                 continue
-            phrase = np.repeat(found, count)
+            phrase = np.repeat(asked[found], count)
             row = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low[found], count)
-            place, (in_shard, in_all) = index.locate(row), np.array(origin).T
+            place = index.locate(row)
             piece = np.searchsorted(in_shard, place, side="right") - 1
             place = place - in_shard[piece] + in_all[piece]
             np.add.at(edges, place, 1)
@@ -165,6 +189,16 @@ def cut(text: str, removed: list[tuple[int, int]]) -> str:
     return b"".join([*kept, raw[at:]]).decode()
 
 
+class _Stored:
+    """The values of broadcasts, one at a time and as often as asked; not ``.value``, which would keep them all in memory."""
+
+    def __init__(self, broadcasts: list):
+        self.broadcasts = broadcasts
+
+    def __iter__(self) -> Iterator[Phrases]:
+        return (b.load_from_path(b._path) for b in self.broadcasts)
+
+
 class Search:
     """The broadcast windows; picklable, used inside tasks."""
 
@@ -174,10 +208,8 @@ class Search:
         self.blocks = [context.broadcast(b) for b in phrase_blocks(benchmark, id_col, text_col, window, block_words)]
 
     def __call__(self, texts: list[list[bytes]], shard_words: int = SHARD_WORDS) -> Hits:
-        if len(self.blocks) == 1:
-            return find(texts, (b.value for b in self.blocks), self.window, shard_words)
-        # not .value, which would keep every block in memory
-        return find(texts, (b.load_from_path(b._path) for b in self.blocks), self.window, shard_words)
+        blocks = [b.value for b in self.blocks] if len(self.blocks) == 1 else _Stored(self.blocks)
+        return find(texts, blocks, self.window, shard_words)
 
 
 def report(df: DataFrame, benchmark: DataFrame, text_col: str = "text", carry: list[str] | None = None,

@@ -74,6 +74,20 @@ def test_pieces_of_long_texts(rng):
     assert all((a == b).all() for a, b in zip(whole.covered, small.covered)) and whole.items == small.items
 
 
+def test_shards_are_indexed_once_for_all_blocks(rng, monkeypatch):
+    texts, items = _case(rng)
+    words = [dc.words_of(t) for t in texts]
+    rows = [(i, dc.words_of(t)) for i, t in items if dc.words_of(t)]
+    blocks = [dc.Phrases.of([row], dc.WINDOW) for row in rows]
+    built = []
+    monkeypatch.setattr(dc, "FMIndex", lambda *args: built.append(1) or FMIndex(*args))
+    whole = dc.find(words, [dc.Phrases.of(rows, dc.WINDOW)], shard_words=50)
+    once = len(built)
+    apart = dc.find(words, blocks, shard_words=50)
+    assert len(built) == 2 * once and once > 1
+    assert all((a == b).all() for a, b in zip(whole.covered, apart.covered)) and whole.items == apart.items
+
+
 def test_clean_leaves_no_window_and_clean_texts_alone(spark, make_docs):
     item = "one two three four five six seven eight nine ten eleven"
     texts = ["Keep this. " + item.upper() + "! And this.", "no hit here", None, "", item,
