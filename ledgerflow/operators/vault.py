@@ -48,30 +48,37 @@ def balance_rules() -> list[Rule]:
     return [Rule("balance", MALFORMED_BALANCE_REASON, balance_ok())]
 
 
-def hub_customer(df: DataFrame) -> DataFrame:
+def hub_keys(df: DataFrame) -> DataFrame:
     """P6 + G1: one row per distinct customer business key."""
-    keys = df.select(customer_key().alias("source_cust_id")).distinct()
-    return keys.select(hash_key(F.col("source_cust_id")).alias("customer_hash_key"), "source_cust_id")
+    return df.select(customer_key().alias("source_cust_id")).distinct()
 
 
-def lnk_transaction(df: DataFrame) -> DataFrame:
+def lnk_keys(df: DataFrame) -> DataFrame:
     """P7 + G1: one row per distinct (transaction, customer) relationship."""
-    keys = df.select(F.trim(F.col("tx_id")).alias("source_tx_id"), customer_key().alias("_cust")).distinct()
-    return keys.select(
-        hash_key(F.concat_ws(LINK_SEPARATOR, F.col("source_tx_id"), F.col("_cust"))).alias("transaction_link_hash_key"),
-        hash_key(F.col("_cust")).alias("customer_hash_key"),
-        "source_tx_id",
-    )
+    return df.select(F.trim(F.col("tx_id")).alias("source_tx_id"), customer_key().alias("_cust")).distinct()
 
 
-def sat_account_state(df: DataFrame, balance: str = "unpacked_balance") -> DataFrame:
+def sat_keys(df: DataFrame, balance: str = "unpacked_balance") -> DataFrame:
     """P8 + G1: distinct (link, balance, status) states."""
-    keys = df.select(
+    return df.select(
         link_key().alias("_link"),
         F.col(balance).alias("account_balance"),
         F.trim(F.col("tx_status")).alias("ledger_status"),
     ).distinct()
-    return keys.select(hash_key(F.col("_link")).alias("transaction_link_hash_key"), "account_balance", "ledger_status")
+
+
+def vault_columns() -> dict[str, dict[str, Column]]:
+    """The columns of each vault table, computed from its natural keys."""
+    return {
+        "hub_customer": {"customer_hash_key": hash_key(F.col("source_cust_id")), "source_cust_id": F.col("source_cust_id")},
+        "lnk_transaction": {
+            "transaction_link_hash_key": hash_key(F.concat_ws(LINK_SEPARATOR, F.col("source_tx_id"), F.col("_cust"))),
+            "customer_hash_key": hash_key(F.col("_cust")),
+            "source_tx_id": F.col("source_tx_id"),
+        },
+        "sat_account_state": {"transaction_link_hash_key": hash_key(F.col("_link")), "account_balance": F.col("account_balance"),
+                              "ledger_status": F.col("ledger_status")},
+    }
 
 
 def process_silver(bronze: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -80,12 +87,14 @@ def process_silver(bronze: DataFrame, strict: bool = False) -> tuple[DataFrame,
     return split(unpacked, balance_rules())
 
 
+def vault_keys(silver: DataFrame) -> dict[str, DataFrame]:
+    """The distinct natural keys of each vault table: what its rows are shuffled as."""
+    return {"hub_customer": hub_keys(silver), "lnk_transaction": lnk_keys(silver), "sat_account_state": sat_keys(silver)}
+
+
 def build_vault(silver: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "hub_customer": hub_customer(silver),
-        "lnk_transaction": lnk_transaction(silver),
-        "sat_account_state": sat_account_state(silver),
-    }
+    columns = vault_columns()
+    return {name: keys.select(*[c.alias(n) for n, c in columns[name].items()]) for name, keys in vault_keys(silver).items()}
 
 
 #: Bucket key of each vault table. The link and its satellite share theirs, so they join without a shuffle.

@@ -7,7 +7,7 @@ import json
 import posixpath
 import uuid
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import conform
@@ -15,6 +15,10 @@ from ..sources.fixed_width import FORMAT_NAME, register
 from ..sources.tables import bucket_spec_path, bucketed_name, hadoop_path, qualified, remove, write_text
 
 
+#: Codec of the Parquet layers: hexadecimal hashes, most of what they hold, shrink to half with it and not at all with LZ codecs.
+PARQUET_CODEC = "zstd"
+
+
 def counted(df: DataFrame, **counts) -> tuple[DataFrame, Observation]:
     """``df`` with an observation of its rows (``rows``) and of further aggregates; read it when a write has ended.
 
@@ -28,6 +32,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     """K1. Returns the rows written."""
     df, seen = counted(df)
     writer = df.write.format(fmt).mode(mode)
+    if fmt == "parquet":
+        writer = writer.option("compression", PARQUET_CODEC)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -48,30 +54,41 @@ def write_conforming(df: DataFrame, contract, path: str, dlq_path: str, fmt: str
     return write_table(valid, path, fmt), write_dlq(rejects, dlq_path)
 
 
-def write_bucketed(df: DataFrame, path: str, key: str, buckets: int | None = None) -> int:
+def _columns_of(df: DataFrame, columns: dict[str, Column] | None) -> dict[str, Column]:
+    return columns if columns is not None else {c: F.col(f"`{c}`") for c in df.columns}
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int | None = None,
+                   columns: dict[str, Column] | None = None) -> int:
     """K9: a Parquet table of hash buckets by ``key`` at ``path``, registered in the session's catalog.
 
     Rows are shuffled once, here, one file a bucket; joins and groupings on ``key`` then need no exchange. ``buckets``
-    is the session's number of shuffle partitions by default, and is kept beside the files for later sessions. Returns
-    the rows written.
+    is the session's number of shuffle partitions by default, and is kept beside the files for later sessions.
+    ``columns`` are those of the table, computed from ``df`` behind the shuffle, which carries the columns of ``df``
+    alone: short natural keys in place of their hashes. Returns the rows written.
     """
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = qualified(spark, path)
-    df, seen = counted(df.repartition(buckets, key))
-    (df.write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path)
+    columns = _columns_of(df, columns)
+    df, seen = counted(df.repartition(buckets, columns[key]).select(*[c.alias(n) for n, c in columns.items()]))
+    (df.write.format("parquet").mode("overwrite").option("compression", PARQUET_CODEC).bucketBy(buckets, key).sortBy(key).option("path", path)
        .saveAsTable(bucketed_name(path)))
     write_text(spark, bucket_spec_path(path), json.dumps({"key": key, "buckets": buckets, "schema": df.schema.jsonValue()}))
     return seen.get["rows"]
 
 
-def write_ordered(df: DataFrame, path: str, key: str, fmt: str = "parquet") -> int:
+def write_ordered(df: DataFrame, path: str, key: str, fmt: str = "parquet", columns: dict[str, Column] | None = None) -> int:
     """L1: parts by ranges of ``key``, sorted, with a Bloom filter of it: a lookup reads the row groups that may hold
-    the key, and the parts in order are the whole table in order. Returns the rows written."""
-    ordered, seen = counted(df.repartitionByRange(key).sortWithinPartitions(key))
+    the key, and the parts in order are the whole table in order. ``columns`` are as in :func:`write_bucketed`.
+    Returns the rows written."""
+    columns = _columns_of(df, columns)
+    ranged = df.repartitionByRange(columns[key]).select(*[c.alias(n) for n, c in columns.items()])
+    ordered, seen = counted(ranged.sortWithinPartitions(key))
     writer: DataFrameWriter = ordered.write.format(fmt).mode("overwrite")
     if fmt == "parquet":
-        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer = (writer.option("compression", PARQUET_CODEC).option(f"parquet.bloom.filter.enabled#{key}", "true")
+                  .option("parquet.bloom.filter.adaptive.enabled", "true"))
     writer.save(path)
     return seen.get["rows"]
 

@@ -207,3 +207,18 @@ def test_all_failures_of_a_row(spark):
     gold = spark.createDataFrame([("a", None, "LOW"), ("b", 1.0, "LOW")], "transaction_hash_id string, account_balance double, risk_category string")
     valid, rejects = adj.adjudicate(gold, all_failures=True)
     assert "failures" not in valid.columns and [len(r.failures) for r in rejects.collect()] == [3]
+
+
+def test_layers_are_shuffled_as_clear_keys(spark, tmp, monkeypatch):
+    from ledgerflow.sinks import tables
+
+    plans, counted = [], tables.counted
+    monkeypatch.setattr(tables, "counted", lambda df, **counts: plans.append(plan(df)) or counted(df, **counts))
+    run_medallion(spark, ledger_dump_path(spark, SF), tmp + "/lake")
+    shuffled = [p.split("Exchange", 1) for p in plans if "Exchange" in p]
+    assert len(shuffled) == 4 and all("sha2(" in above for above, _ in shuffled)  # the vault's tables and gold
+    below = [line for _, rest in shuffled for line in rest.splitlines()[1:] if "Exchange" not in line]
+    assert not [line for line in below if "sha2(" in line]  # hashes are made behind the shuffle, not carried by it
+    for layer in ("silver/lnk_transaction", "gold"):
+        files = [f for f in os.listdir(layer_paths(tmp + "/lake")[layer]) if f.startswith("part-")]
+        assert files and all(f.endswith(".zstd.parquet") or ".zstd" in f for f in files)
