@@ -117,3 +117,17 @@ def test_rationale_is_that_of_the_first_run(spark, tmp):
     assert run_adjudication(spark, gold_path, out, run_id="r2") == {"published": 2, "rejected": 1}
     texts = {r.transaction_id: r.adjudication_rationale for r in spark.read.parquet(os.path.join(out, "published_product")).collect()}
     assert texts["a"] == texts["m"] != texts["z"]
+
+
+def test_state_commits_write_changes_alone(spark, tmp):
+    gold_path, out, ckpt = (os.path.join(tmp, n) for n in ("gold", "out", "ckpt"))
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    _more_gold(spark, gold_path, [(f"id{i}", 100.0 * i, "LOW") for i in range(50)])
+    _more_gold(spark, gold_path, [("id7", 1.0, "LOW"), ("new", 5.0, "LOW")])
+    assert adjudicate_available_now(spark, gold_path, out, ckpt, run_id="r", snapshot_ts="2026-01-01 00:00:00",
+                                    max_files_per_trigger=1) >= 2
+    files = [f for _, _, names in os.walk(os.path.join(ckpt, "state")) for f in names]
+    assert any(f.endswith(".changelog") for f in files) and not any(f.endswith(".delta") for f in files)
+    assert spark.conf.get(key, None) == before  # the session's own streams keep their store
+    assert spark.read.parquet(out).select("transaction_id").distinct().count() == spark.read.parquet(out).count() == 51
