@@ -19,11 +19,18 @@ and the path stands for it. Frequent edges that follow each other without loss
 are compacted to such paths (pointer doubling over the links); a path is the
 passage around a phrase that recurs as often as the phrase does.
 
-Words and word pairs below the minimum count cannot be part of a frequent
-phrase, so pieces are cut there too before grams are made. A first pass counts
-their hashes (as sorted, packed blocks, a byte or two an entry), and a bit table
-of fixed size tells the frequent ones. Hashes that two pairs share only let a
-rare pair pass, which costs rows, not exactness: all counts are of words as text.
+Words, pairs and triples below the minimum count cannot be part of a frequent
+phrase, so grams end before they would hold one. A first pass counts the hashes
+of words and pairs, a second those of the triples of frequent pairs (as sorted,
+packed blocks, a byte or two an entry), and bit tables of fixed size tell the
+frequent ones. Words outside all frequent pairs begin no phrase and are no part
+of one, so nobody asks for their counts and they make no grams. Hashes that two
+triples share only let a rare one pass, which costs rows, not exactness: all
+counts are of words as text.
+
+What is left are little more than the frequent phrases, each once a task. Tasks
+as many as the session's cores ask for, not as the input has splits, keep these
+rows from growing with the product of both.
 """
 
 from __future__ import annotations
@@ -48,7 +55,9 @@ ABSORB_PERCENT = 100
 TOP = 2000
 #: Words that a task sums at once, and bytes of text that it cuts into words at once; they bound its memory.
 FLUSH_WORDS, CUT_BYTES = 6_000_000, 4_000_000
-#: Bits of the table of frequent words and pairs (8 MB), however many there are.
+#: Grams that a task holds to sum equal ones, and tasks per core that make grams.
+SUM_GRAMS, GRAM_TASKS = 1_000_000, 1
+#: Bits of a table of frequent words and pairs, or triples (8 MB), however many there are.
 TABLE_BITS = 1 << 26
 #: Parts that a key's rows are dealt to where many rows may look up one key.
 SALTS = 16
@@ -207,31 +216,40 @@ def _unpack(block: bytes):
 _BLOCK = "part int, lang string, n long, block binary"
 
 
+def _part_key(hashes, parts: int):
+    """A hash's part, above the 32 bits that stand for the hash within it."""
+    import numpy as np
+
+    return ((hashes & np.uint64(0xFFFFFFFF)) % np.uint64(parts) << np.uint64(32)) | (hashes >> np.uint64(32))
+
+
+def _blocks(words, counts, keys, parts: int) -> list[tuple]:
+    """One row a part: the words' keys with their counts, and the other keys (all occurrences) with theirs."""
+    import numpy as np
+
+    keys.sort()
+    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)))
+    counts = np.concatenate([counts, np.diff(np.append(first, len(keys)))])
+    key = np.concatenate([words, keys[first]])
+    rank = np.argsort(key, kind="stable")
+    key, counts = key[rank], np.minimum(counts[rank], 0xFFFFFFFF)
+    borders = np.searchsorted(key, np.arange(parts + 1, dtype=np.uint64) << np.uint64(32))
+    return [(p, None, None, _pack((key[a:b] & np.uint64(0xFFFFFFFF)).astype(np.int64), counts[a:b]))
+            for p, (a, b) in enumerate(zip(borders[:-1].tolist(), borders[1:].tolist())) if b > a]
+
+
 def _count_hashes(parts: int):
     """Task function: (lang, text) -> blocks of counted hashes of words and pairs by part, and words of each language."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        def part_key(hashes):
-            return ((hashes & np.uint64(0xFFFFFFFF)) % np.uint64(parts) << np.uint64(32)) | (hashes >> np.uint64(32))
-
         def flush(lang: str, buffer: _Buffer) -> Iterator[pa.RecordBatch]:
             numbers = buffer.numbers()
             hashes = _hashes(lang, buffer.ids.words)
             words = np.bincount(numbers, minlength=len(hashes))[1:]
-            alone = _mixed(hashes[1:], np.uint64(0))
-            keys = [part_key(alone)]
-            keys.append(np.concatenate([part_key(_mixed(hashes[pair[:-1]], hashes[pair[1:]])[(pair[:-1] > 0) & (pair[1:] > 0)])
-                                        for pair in (numbers[at:at + (1 << 20) + 1] for at in range(0, len(numbers), 1 << 20))]))
-            keys[1].sort()
-            first = np.flatnonzero(np.diff(keys[1], prepend=keys[1][:1] + np.uint64(1)))
-            counts = np.concatenate([words, np.diff(np.append(first, len(keys[1])))])
-            key = np.concatenate([keys[0], keys[1][first]])
-            rank = np.argsort(key, kind="stable")
-            key, counts = key[rank], np.minimum(counts[rank], 0xFFFFFFFF)
-            borders = np.searchsorted(key, np.arange(parts + 1, dtype=np.uint64) << np.uint64(32))
-            rows = [(p, None, None, _pack((key[a:b] & np.uint64(0xFFFFFFFF)).astype(np.int64), counts[a:b]))
-                    for p, (a, b) in enumerate(zip(borders[:-1].tolist(), borders[1:].tolist())) if b > a]
+            pairs = [_part_key(_mixed(hashes[pair[:-1]], hashes[pair[1:]])[(pair[:-1] > 0) & (pair[1:] > 0)], parts)
+                     for pair in (numbers[at:at + (1 << 20) + 1] for at in range(0, len(numbers), 1 << 20))]
+            rows = _blocks(_part_key(_mixed(hashes[1:], np.uint64(0)), parts), words, np.concatenate(pairs), parts)
             rows.append((zlib.crc32(lang.encode()) % parts, lang, int(words.sum()), None))
             yield _block_batch(rows)
 
@@ -240,6 +258,51 @@ def _count_hashes(parts: int):
     return run
 
 
+def _count_triples(table: Table, parts: int, min_count: int):
+    """Task function: (lang, text) -> blocks of counted hashes of the triples whose pairs ``table`` holds, by part.
+
+    The words of such pairs come too, as often as a frequent one.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        def flush(lang: str, buffer: _Buffer) -> Iterator[pa.RecordBatch]:
+            numbers = buffer.numbers()
+            hashes = _hashes(lang, buffer.ids.words)
+            numbers[~table.holds(_mixed(hashes, np.uint64(0)))[numbers]] = 0
+            linked = _linked(numbers, hashes, table)
+            at = np.flatnonzero(linked)
+            if not len(at):
+                return
+            paired = np.zeros(len(hashes), bool)
+            paired[numbers[at]] = paired[numbers[at + 1]] = True
+            words = _part_key(_mixed(hashes[paired], np.uint64(0)), parts)
+            at = at[linked[at + 1]]
+            triples = [_part_key(_triples(numbers, hashes, at[i:i + (1 << 20)]), parts) for i in range(0, len(at), 1 << 20)]
+            yield _block_batch(_blocks(words, np.full(len(words), min_count), np.concatenate([words[:0], *triples]), parts))
+
+        return _buffered(batches, flush)
+
+    return run
+
+
+def _linked(numbers, hashes, table: Table):
+    """Where a word and the next form a pair of the table; words not to be looked up are numbered 0."""
+    import numpy as np
+
+    linked = np.zeros(len(numbers) + ORDER, bool)
+    for at in range(0, len(numbers) - 1, 1 << 20):
+        pair = numbers[at:at + (1 << 20) + 1]
+        both = np.flatnonzero((pair[:-1] > 0) & (pair[1:] > 0))
+        linked[at + both] = table.holds(_mixed(hashes[pair[both]], hashes[pair[both + 1]]))
+    return linked
+
+
+def _triples(numbers, hashes, at):
+    """Hashes of the three words from each place on."""
+    return _mixed(_mixed(hashes[numbers[at]], hashes[numbers[at + 1]]), hashes[numbers[at + 2]])
+
+
 def _block_batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.int32(), pa.string(), pa.int64(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["part", "lang", "n", "block"])
@@ -290,7 +353,7 @@ def _sum_hashes(cells: int, min_count: int):
 
 
 class Table:
-    """Which words and pairs may be frequent: one bit a cell, each part a segment of cells."""
+    """Which words and pairs (or triples) may be frequent: one bit a cell, each part a segment of cells."""
 
     def __init__(self, segments: dict[int, bytes], parts: int, cells: int):
         self.parts, self.cells = parts, cells
@@ -310,7 +373,28 @@ def _batches(lang: str, texts: pa.Array, counts) -> Iterator[pa.RecordBatch]:
                                      names=["lang", "gram", "n"])
 
 
-def _count_grams(table: Table):
+def _sum_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal rows of (lang, gram, n) as one, as long as no more than ``SUM_GRAMS`` are held."""
+    held, rows = [], 0
+
+    def summed() -> list[pa.RecordBatch]:
+        sums = pa.Table.from_batches(held).group_by(["lang", "gram"], use_threads=False).aggregate([("n", "sum")])
+        return sums.select(["lang", "gram", "n_sum"]).rename_columns(["lang", "gram", "n"]).combine_chunks().to_batches(65536)
+
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= SUM_GRAMS:
+            held = summed()
+            rows = sum(part.num_rows for part in held)
+            if 2 * rows > SUM_GRAMS:
+                yield from held
+                held, rows = [], 0
+    if held:
+        yield from summed()
+
+
+def _count_grams(table: Table, triples: Table):
     """Task function: (lang, text) -> (lang, gram, n), the edges of ``ORDER`` words and the shorter ends of pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -319,7 +403,7 @@ def _count_grams(table: Table):
         def flush(lang: str, buffer: _Buffer) -> Iterator[pa.RecordBatch]:
             words = buffer.ids.words
             hashes = _hashes(lang, words)
-            known = table.holds(_mixed(hashes, np.uint64(0)))
+            known = triples.holds(_mixed(hashes, np.uint64(0)))
             known[0] = False
             # numbers anew for the words of the table, in byte order: grams come out sorted and fit few bits
             kept = sorted(np.flatnonzero(known).tolist(), key=words.__getitem__)
@@ -330,11 +414,14 @@ def _count_grams(table: Table):
             if not len(starts):
                 return
             hashes = np.append(np.uint64(0), hashes[kept])
-            linked = np.zeros(len(numbers) + ORDER, bool)
-            for at in range(0, len(numbers) - 1, 1 << 20):
-                pair = numbers[at:at + (1 << 20) + 1]
-                both = np.flatnonzero((pair[:-1] > 0) & (pair[1:] > 0))
-                linked[at + both] = table.holds(_mixed(hashes[pair[both]], hashes[pair[both + 1]]))
+            linked = _linked(numbers, hashes, table)
+            joined = np.zeros(len(linked), bool)
+            at = np.flatnonzero(linked[:-1] & linked[1:])
+            for i in range(0, len(at), 1 << 20):
+                part = at[i:i + (1 << 20)]
+                joined[part] = triples.holds(_triples(numbers, hashes, part))
+            del at
+            follows = [linked, *[joined] * (ORDER - 2)]    # whether a gram goes on, by words so far; a triple also ends its pair
             padded = np.concatenate([numbers, np.zeros(ORDER, np.int32)])
             del numbers
             width = len(kept).bit_length()
@@ -342,7 +429,7 @@ def _count_grams(table: Table):
             keys, alive = [], np.ones(len(starts), bool)
             for i in range(ORDER):
                 if i:
-                    alive &= linked[starts + i - 1]
+                    alive &= follows[i - 1][starts + max(0, i - 2)]
                 column = np.where(alive, padded[starts + i], 0).astype(np.int64)
                 if i % per_key == 0:
                     keys.append(column)
@@ -364,11 +451,11 @@ def _count_grams(table: Table):
                 columns, alive = [], np.ones(len(here), bool)
                 for i in range(ORDER):
                     if i:
-                        alive = alive & linked[here + i - 1]
+                        alive = alive & follows[i - 1][here + max(0, i - 2)]
                     columns.append(dictionary.take(pa.array(padded[here + i] - 1, mask=~alive)))
                 yield from _batches(lang, pc.binary_join_element_wise(*columns, _TAB, null_handling="skip"), counts[part:part + 65536])
 
-        return _buffered(batches, flush)
+        return _sum_grams(_buffered(batches, flush))
 
     return run
 
@@ -443,20 +530,42 @@ def frequent_words_and_pairs(docs: DataFrame, text_col: str = "text", lang_col:
     Hashes are dealt to as many parts as the session has shuffle partitions; a task merges one part's blocks, so more
     data asks for more partitions, as in any shuffle. The driver gets the table's segments, ``TABLE_BITS`` in all.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = _parts(docs)
+    table, totals = _table(_rows(docs, text_col, lang_col).mapInArrow(_count_hashes(parts), _BLOCK), parts, min_count)
+    return table, totals.groupBy("lang").agg(F.sum("n").alias("n"))
+
+
+def frequent_triples(docs: DataFrame, table: Table, text_col: str = "text", lang_col: str = "lang",
+                     min_count: int = MIN_COUNT) -> Table:
+    """The table of triples that may reach ``min_count``, and of the words of pairs that may; ``table`` holds the pairs."""
+    parts = _parts(docs)
+    return _table(_rows(docs, text_col, lang_col).mapInArrow(_count_triples(table, parts, min_count), _BLOCK), parts, min_count)[0]
+
+
+def _parts(docs: DataFrame) -> int:
+    return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _table(blocks: DataFrame, parts: int, min_count: int) -> tuple[Table, DataFrame]:
+    """The table of summed blocks, and the rows without a block."""
     cells = max(8, TABLE_BITS // parts // 8 * 8)
-    blocks = _rows(docs, text_col, lang_col).mapInArrow(_count_hashes(parts), _BLOCK)
     summed = materialise(blocks.repartition("part").sortWithinPartitions("part").mapInArrow(_sum_hashes(cells, min_count), _BLOCK),
                          "collocation-table")
     segments = {r["part"]: bytes(r["block"]) for r in summed.where("block is not null").select("part", "block").toLocalIterator()}
-    return Table(segments, parts, cells), summed.where("block is null").groupBy("lang").agg(F.sum("n").alias("n"))
+    return Table(segments, parts, cells), summed.where("block is null")
 
 
 def phrase_flows(docs: DataFrame, table: Table, text_col: str = "text", lang_col: str = "lang",
                  min_count: int = MIN_COUNT) -> DataFrame:
-    """(lang, gram, words, f) of every phrase of up to ``ORDER`` words with ``min_count`` occurrences or more."""
-    grams = materialise(_rows(docs, text_col, lang_col).mapInArrow(_count_grams(table), "lang string, gram binary, n long"),
-                        "collocation-grams")
+    """(lang, gram, words, f) of every phrase of 2 to ``ORDER`` words with ``min_count`` occurrences or more, and of their words.
+
+    A task makes a row of each frequent phrase that it meets, so few tasks that read more make fewer rows than many; they
+    hold ``FLUSH_WORDS`` and ``SUM_GRAMS`` at a time, however much they read.
+    """
+    triples = frequent_triples(docs, table, text_col, lang_col, min_count)
+    tasks = GRAM_TASKS * docs.sparkSession.sparkContext.defaultParallelism
+    grams = materialise(_rows(docs, text_col, lang_col).coalesce(tasks).mapInArrow(
+        _count_grams(table, triples), "lang string, gram binary, n long"), "collocation-grams")
     ordered = grams.repartitionByRange("lang", "gram").sortWithinPartitions("lang", "gram")
     flows = materialise(ordered.mapInArrow(_sum_flows(min_count),
                                            "lang string, gram binary, words int, f long, part boolean"), "collocation-flows")

@@ -137,3 +137,33 @@ def test_very_long_text(spark):
     text = "Some words stand here. " * 200_000
     out = got(col.collocations(spark.createDataFrame([(1, text, "en")], SCHEMA)))
     assert [r[2:4] for r in out] == [("some words stand here", 200_000)]
+
+
+def test_gram_rows_are_frequent_phrases_once_a_task(spark, monkeypatch):
+    """Frequent pairs of rare triples: rows grew with distinct runs of words and with splits of the input."""
+    made, keep = {}, col.materialise
+
+    def counted(frame, name):
+        out = keep(frame, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(col, "materialise", counted)
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(100)), "en") for i in range(1000)]
+    rows.append((-1, ", ".join(["lonely"] * 90), "en"))
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(60)
+    table, _ = col.frequent_words_and_pairs(frame, min_count=50)
+    flows = {(tuple(r.gram.decode().split("\t")), r.f) for r in col.phrase_flows(frame, table, min_count=50).collect()}
+    counts = Counter(tuple(w[i:i + k]) for w in (r[1].split(" ") for r in rows[:-1]) for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    assert flows == {x for x in counts.items() if x[1] >= 50}
+    assert max(len(p) for p, _ in flows) == 2
+    assert made["collocation-grams"] <= col.GRAM_TASKS * spark.sparkContext.defaultParallelism * len(flows)
+
+
+@pytest.mark.parametrize("held", [1, 40, 1_000_000])
+def test_sums_within_a_task(spark, monkeypatch, held):
+    monkeypatch.setattr(col, "SUM_GRAMS", held)
+    monkeypatch.setattr(col, "FLUSH_WORDS", 60)
+    rows = random_rows(random.Random(7), 120, ["a", "b", "c", "d", "e f"])
+    assert got(col.collocations(spark.createDataFrame(rows, SCHEMA).coalesce(2), min_count=4)) == brute(rows, 4, 100, 2000)
