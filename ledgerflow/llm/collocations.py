@@ -56,7 +56,7 @@ TOP = 2000
 #: Words that a task sums at once, and bytes of text that it cuts into words at once; they bound its memory.
 FLUSH_WORDS, CUT_BYTES = 6_000_000, 4_000_000
 #: Grams that a task holds to sum equal ones, and tasks per core that make grams.
-SUM_GRAMS, GRAM_TASKS = 1_000_000, 1
+SUM_GRAMS, GRAM_TASKS = 2_000_000, 1
 #: Bits of a table of frequent words and pairs, or triples (8 MB), however many there are.
 TABLE_BITS = 1 << 26
 #: Parts that a key's rows are dealt to where many rows may look up one key.
@@ -387,7 +387,7 @@ def _sum_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if rows >= SUM_GRAMS:
             held = summed()
             rows = sum(part.num_rows for part in held)
-            if 2 * rows > SUM_GRAMS:
+            if 4 * rows > 3 * SUM_GRAMS:
                 yield from held
                 held, rows = [], 0
     if held:
